@@ -62,7 +62,7 @@ def _recursive(text: str, seps: list[str], size: int, overlap: int) -> Iterator[
     finer = seps[level + 1:]
     fitting: list[str] = []
     for piece in _pieces(text, seps[level]):
-        if len(piece) < size or (len(piece) <= size and not seps[level]):
+        if len(piece) < size:
             fitting.append(piece)
             continue
         yield from _pack(fitting, size, overlap)
