@@ -166,16 +166,20 @@ def ends_in_tool_call(messages: DataFrame, key: str, pos: str, n_calls: Column)
     )
 
 
-def clamp_slice(items: DataFrame, key: str, unique_pos: str, offset: Column, start: float, end: float) -> DataFrame:
+def clamp_slice(items: DataFrame, key: str, unique_pos: str, at: Column, start: int, end: int) -> DataFrame:
     """Rows of each item at offsets in [start, min(end, duration)]; items ending by `start` are skipped.
 
-    The item's duration is its largest offset. `unique_pos` is an integer that spreads the rows
-    of an item over blocks.
+    `at` is the row's place in the item; offsets count from the item's first row and its
+    duration is the largest offset. `unique_pos` is an integer that spreads the rows of an item
+    over blocks.
     """
-    rows = items.withColumn("_off", offset)
-    total = scan.group_totals(rows, [key], scan.block_id(F.col(unique_pos)), {"duration": ("max", F.col("_off"))})
-    keep = (F.col("duration") > start) & F.col("_off").between(F.lit(start), F.least(F.lit(end), F.col("duration")))
-    return total.where(keep).withColumnRenamed("_off", "offset")
+    rows = items.withColumn("_at", at)
+    aggs: scan.Aggs = {"_first": ("min", F.col("_at")), "_last": ("max", F.col("_at"))}
+    total = scan.group_totals(rows, [key], scan.block_id(F.col(unique_pos)), aggs)
+    placed = total.select(
+        *items.columns, (F.col("_at") - F.col("_first")).alias("offset"), (F.col("_last") - F.col("_first")).alias("duration")
+    )
+    return placed.where((F.col("duration") > start) & F.col("offset").between(F.lit(start), F.least(F.lit(end), F.col("duration"))))
 
 
 def pages_of_history(messages: DataFrame, key: str, order_key: str, text: str, page_size: int = 64) -> DataFrame:

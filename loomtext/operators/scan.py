@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 BLOCK_BITS = 12  # 4096 positions per block
 _BLK, _UP = "_blk", "_up"
 
-#: name -> (kind, expression); kind is "sum" or "max".
+#: name -> (kind, expression); kind is "sum", "min" or "max".
 Aggs = dict[str, tuple[str, Column]]
 
 
@@ -25,13 +25,14 @@ def block_id(pos: Column, bits: int = BLOCK_BITS) -> Column:
 
 
 def _fold(kind: str, c: Column) -> Column:
-    return F.sum(c) if kind == "sum" else F.max(c)
+    return {"sum": F.sum, "min": F.min, "max": F.max}[kind](c)
 
 
 def _combine(kind: str, a: Column, b: Column) -> Column:
     if kind == "sum":
         return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
-    return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(F.greatest(a, b))
+    pick = F.least if kind == "min" else F.greatest
+    return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(pick(a, b))
 
 
 def _exclusive(blocks: DataFrame, keys: list[str], kinds: dict[str, str], bits: int,

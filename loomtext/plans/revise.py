@@ -24,7 +24,7 @@ def revise_loop(drafts: DataFrame, critic: Callable[[Column], Column], reviser:
     human_text = F.lit(None).cast("string") if human is None else F.col(human)
     state = drafts.withColumn("human_feedback", F.when(human_text != "approved", human_text))
     state = state.withColumn("attempts", F.lit(1)).withColumn("total_revisions", F.lit(0))
-    first = _rounds(state, critic, reviser, max_attempts, checkpoint)
+    first = _rounds(state, critic, reviser, max_attempts, 1, checkpoint)
     if human is None:
         return _report(first)
     waiting = first.where(F.col("human_feedback").isNotNull())
@@ -32,13 +32,13 @@ def revise_loop(drafts: DataFrame, critic: Callable[[Column], Column], reviser:
     reworked = waiting.withColumn("draft", reviser(F.col("draft"), F.col("human_feedback"))).withColumn(
         "total_revisions", F.col("total_revisions") + 1
     ).withColumn("attempts", F.lit(0)).withColumn("human_feedback", F.lit(None).cast("string"))
-    second = _rounds(reworked.drop("feedback"), critic, reviser, max_attempts, checkpoint)
+    second = _rounds(reworked.drop("feedback"), critic, reviser, max_attempts, 0, checkpoint)
     return _report(first.where(F.col("human_feedback").isNull()).unionByName(second))
 
 
-def _rounds(state: DataFrame, critic, reviser, max_attempts: int, checkpoint: bool) -> DataFrame:
+def _rounds(state: DataFrame, critic, reviser, max_attempts: int, start: int, checkpoint: bool) -> DataFrame:
     done = []
-    for i in range(max_attempts + 1):
+    for i in range(start, max_attempts + 1):
         judged = state.withColumn("feedback", critic(F.col("draft")))
         if checkpoint and i < max_attempts:
             judged = cut_lineage(judged)
