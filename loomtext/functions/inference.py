@@ -71,6 +71,8 @@ def _bucket(token: str, dims: int) -> int:
 def hashed_encoder(dims: int = DIMENSIONS) -> Callable[[Column], Column]:
     """Stand-in encoder: unit-length bag of words, one bucket per md5 of the token.
 
+    A text without tokens has no vector (NULL) and is never retrieved.
+
     Runs as an iterator `pandas_udf`, the same shape a real model takes (load once per
     worker, then one Arrow batch at a time).
     """
@@ -91,7 +93,7 @@ def hashed_encoder(dims: int = DIMENSIONS) -> Callable[[Column], Column]:
                         b = known[tok] = _bucket(tok, dims)
                     vec[b] += n
                 norm = math.sqrt(sum(v * v for v in vec))
-                out.append([v / norm for v in vec] if norm else vec)
+                out.append([v / norm for v in vec] if norm else None)
             yield pd.Series(out)
 
     return encode

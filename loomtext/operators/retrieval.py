@@ -143,7 +143,8 @@ def _block_search(q: DataFrame, c: DataFrame, schema: T.StructType, qid: str, ci
             df.join(sizes, "code")
             .withColumn(own, F.pmod(F.xxhash64(key), F.col(own_n)).cast("int"))
             .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_n) - 1)))
-            .select("code", "bq", "bc", key, vec)
+            # fresh attributes: both sides may come from the same table
+            .select(*[F.col(x).alias(x) for x in ("code", "bq", "bc", key, vec)])
         )
 
     left = side(q, qid, "bq", "nq", "bc", "nc").groupBy("code", "bq", "bc")
