@@ -22,13 +22,15 @@ PLANTED_SQL = """SELECT conv_id AS thread_id, turn, role, text || CASE (conv_id
 FROM conversations LEFT JOIN labels ON conv_id = doc_id"""
 
 
-def planted(spark, sf):
-    kind = (F.col("conv_id") + F.col("turn")) % 7
+def plant(messages):
+    """Planted texts, tool names and approvals: a projection, for tables and streams."""
+    tid = F.col("thread_id")
+    kind = (tid + F.col("turn")) % 7
     extra = (
         F.when(kind == 1, " mail bob.s@evil-site.com now").when(kind == 2, " call 555-123-4567 today")
         .when(kind == 3, " how to HACK it").when(kind == 4, " x@y.org or 555.123.4567").otherwise("")
     )
-    t = (F.col("conv_id") * 3 + F.col("turn")) % 5
+    t = (tid * 3 + F.col("turn")) % 5
 
     def names(*n):
         return F.array(*[F.lit(x) for x in n])
@@ -37,15 +39,18 @@ def planted(spark, sf):
         F.when(t == 0, names("send_email")).when(t == 1, names("calculator"))
         .when(t == 2, names("calculator", "delete_user")).otherwise(F.array().cast("array<string>"))
     )
-    rest = F.col("conv_id") % 3
+    return messages.withColumn("text", F.concat("text", extra)).withColumn("tool_names", tools).withColumn(
+        "approved", F.when(tid % 3 == 0, True).when(tid % 3 == 1, False)
+    )
+
+
+def planted(spark, sf):
     verdict = F.when(F.col("toxic") == 1, "Rating: unsafe").when(F.col("toxic") == 0, "SAFE")
     # a thread id meets one label, and a thread's rows are spread by its turns
-    labels = table(spark, sf, "labels").select(F.col("doc_id").alias("conv_id"), "toxic")
-    c = joins.skewed_lookup(table(spark, sf, "conversations"), labels, "conv_id", "turn")
-    return c.select(
-        F.col("conv_id").alias("thread_id"), "turn", "role", F.concat("text", extra).alias("text"),
-        tools.alias("tool_names"), F.when(rest == 0, True).when(rest == 1, False).alias("approved"), verdict.alias("verdict"),
-    )
+    labels = table(spark, sf, "labels").select(F.col("doc_id").alias("thread_id"), "toxic")
+    c = table(spark, sf, "conversations").withColumnRenamed("conv_id", "thread_id")
+    c = joins.skewed_lookup(c, labels, "thread_id", "turn")
+    return plant(c).withColumn("verdict", verdict).drop("toxic")
 
 
 #: Tool calls out of the event log; every `view` asks for a tool that is not registered.

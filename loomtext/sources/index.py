@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,23 +28,21 @@ def open_collection(spark: SparkSession, path: str, collection: str, backend: st
     return spark.read.format(backend).load(path).where(F.col("collection") == collection)
 
 
-def add_documents(chunks: DataFrame, path: str, key: str = "chunk_id", backend: str = "parquet") -> DataFrame:
-    """Append the chunks that are not indexed yet; adding the same chunks again adds nothing."""
-    spark = chunks.sparkSession
-    fresh = chunks.dropDuplicates([key])
-    existing = existing_keys(spark, path, key, backend)
-    if existing is not None:
-        fresh = joins.add_new(fresh, existing, key)
-    write_collection(fresh, path, backend, mode="append")
-    return spark.read.format(backend).load(path)
+def add_documents(chunks: DataFrame, path: str, key: str = "chunk_id", backend: str = "parquet",
+                  finish: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Append the chunks that are not indexed yet; adding the same chunks again adds nothing.
+
+    `finish` (say, the encoder) runs on the new chunks only.
+    """
+    fresh = joins.add_new(chunks.dropDuplicates([key]), existing_keys(chunks, path, key, backend), key)
+    write_collection(finish(fresh) if finish else fresh, path, backend, mode="append")
+    return chunks.sparkSession.read.format(backend).load(path)
 
 
-def existing_keys(spark: SparkSession, path: str, key: str, backend: str = "parquet") -> DataFrame | None:
-    """Key column of the index, or None while nothing has been written."""
-    try:
-        return spark.read.format(backend).load(path).select(key)
-    except AnalysisException:
-        return None
+def existing_keys(chunks: DataFrame, path: str, key: str, backend: str = "parquet") -> DataFrame:
+    """Key column of the index; an index that does not exist yet is created empty."""
+    chunks.limit(0).write.format(backend).mode("ignore").partitionBy("collection").save(path)
+    return chunks.sparkSession.read.format(backend).schema(chunks.select(key).schema).load(path)
 
 
 def content_id(df: DataFrame, *cols: str) -> DataFrame:
