@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import hashlib
-import math
-import re
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +21,7 @@ from loomtext.functions import text as X
 Scorer = Callable[..., Column]
 
 DIMENSIONS = 64
-_CACHE_LIMIT = 1_000_000
+TOKEN_BREAK = r"[ \t\n\r\f\v]+"
 
 
 def vocabulary(c: Column) -> Column:
@@ -65,36 +64,30 @@ def topic_router(topics: list[str]) -> Scorer:
 
 
 def _bucket(token: str, dims: int) -> int:
-    return int(hashlib.md5(token.encode("utf-8")).hexdigest()[:6], 16) % dims
+    return int(hashlib.md5(token.encode("utf-8")).hexdigest()[:6], 16) % dims if token else -1
 
 
 def hashed_encoder(dims: int = DIMENSIONS) -> Callable[[Column], Column]:
     """Stand-in encoder: unit-length bag of words, one bucket per md5 of the token.
 
-    A text without tokens has no vector (NULL) and is never retrieved.
-
-    Runs as an iterator `pandas_udf`, the same shape a real model takes (load once per
-    worker, then one Arrow batch at a time).
+    A text without tokens has no vector (NULL) and is never retrieved. Tokens are split, counted
+    and normalised per Arrow batch; only a batch's distinct tokens are hashed one by one. A real
+    model takes the same place as an Arrow or pandas iterator UDF.
     """
-    token = re.compile(r"[^ \t\n\r\f\v]+")
-
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known: dict[str, int] = {}
-        for batch in batches:
-            out = []
-            for text in batch:
-                vec = [0.0] * dims
-                for tok, n in Counter(token.findall((text or "").lower())).items():
-                    b = known.get(tok)
-                    if b is None:
-                        if len(known) >= _CACHE_LIMIT:
-                            known.clear()
-                        b = known[tok] = _bucket(tok, dims)
-                    vec[b] += n
-                norm = math.sqrt(sum(v * v for v in vec))
-                out.append([v / norm for v in vec] if norm else None)
-            yield pd.Series(out)
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def encode(texts: pa.Array) -> pa.Array:
+        tokens = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts, "")), pattern=TOKEN_BREAK)
+        row = pc.list_parent_indices(tokens).to_numpy(zero_copy_only=False)
+        coded = pc.list_flatten(tokens).dictionary_encode()
+        known = np.array([_bucket(t, dims) for t in coded.dictionary.to_pylist()], dtype=np.int64)
+        bucket = known[coded.indices.to_numpy(zero_copy_only=False)] if len(known) else np.zeros(0, np.int64)
+        cell = (row * dims + bucket)[bucket >= 0]
+        counts = np.bincount(cell, minlength=len(texts) * dims).reshape(len(texts), dims).astype(np.float64)
+        norm = np.sqrt((counts * counts).sum(axis=1))
+        unit = counts / np.where(norm > 0, norm, 1.0)[:, None]
+        offsets = pa.array(np.arange(0, (len(texts) + 1) * dims, dims, dtype=np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.array(unit.ravel()), mask=pa.array(norm == 0))
 
     return encode
 

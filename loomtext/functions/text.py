@@ -115,8 +115,14 @@ def sentences(c: Column) -> Column:
 
 
 def first_sentences(c: Column, n: int = 3) -> Column:
-    """The first `n` sentences, joined as they stand."""
-    return strip_ws(F.array_join(F.slice(sentences(c), 1, n), ""))
+    """The first `n` sentences, joined as they stand, without reading on behind them."""
+    head = F.regexp_extract(c, r"^(?:[.]*[^.]+[.]){1,%d}" % n, 0)
+    return strip_ws(F.regexp_replace(F.regexp_replace(head, "[.]+", "."), "^[.]", ""))
+
+
+def first_sentence(c: Column) -> Column:
+    """The first sentence as it stands; empty if there is none."""
+    return F.regexp_extract(c, r"^[.]*([^.]+[.])", 1)
 
 
 def distinct_prefix(c: Column, n: int = 3) -> Column:

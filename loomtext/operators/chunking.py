@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,9 +85,10 @@ def recursive_chunks(df: DataFrame, size: int = 512, overlap: int = 50, text: st
     """One row per chunk of the recursive splitter: `chunk_idx`, `chunk`."""
     lang = F.lit("text") if language is None else F.coalesce(language, F.lit("text"))
 
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def split(texts: pd.Series, langs: pd.Series) -> pd.Series:
-        return pd.Series([split_text(t, g, size, overlap) for t, g in zip(texts, langs)], dtype=object)
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def split(texts: pa.Array, langs: pa.Array) -> pa.Array:
+        both = zip(texts.to_pylist(), langs.to_pylist())
+        return pa.array([split_text(t, g, size, overlap) for t, g in both], pa.list_(pa.string()))
 
     arr = df.select(*[c for c in df.columns if c != text], split(F.col(text), lang).alias("_chunks"))
     out = arr.select(*[c for c in arr.columns if c != "_chunks"],

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ast
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,9 +29,9 @@ def import_edges(files: DataFrame, path: str = "source", text: str = "text") ->
 
     `dst_file` resolves the module to the file whose path is the module's, if there is one.
     """
-    @F.pandas_udf(T.ArrayType(T.StringType()))
-    def modules(texts: pd.Series) -> pd.Series:
-        return pd.Series([imported_modules(t) for t in texts], dtype=object)
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def modules(texts: pa.Array) -> pa.Array:
+        return pa.array([imported_modules(t) for t in texts.to_pylist()], pa.list_(pa.string()))
 
     found = files.select(F.col(path).alias("src"), F.explode_outer(modules(F.col(text))).alias("dst"))
     edges = found.distinct()

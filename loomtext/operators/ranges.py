@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import bisect
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,9 +37,9 @@ def split_points(df: DataFrame, key: Column, n_blocks: int = N_BLOCKS) -> list[s
 def range_block(key: Column, bounds: list[str]) -> Column:
     """Number of split points at or below the key; grows with the key."""
 
-    @F.pandas_udf("long")
-    def place(keys: pd.Series) -> pd.Series:
-        return pd.Series([bisect.bisect_right(bounds, k) for k in keys], dtype="int64")
+    @F.arrow_udf("long")
+    def place(keys: pa.Array) -> pa.Array:
+        return pa.array([bisect.bisect_right(bounds, k) for k in keys.to_pylist()], pa.int64())
 
     return place(key)
 

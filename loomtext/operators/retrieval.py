@@ -18,7 +18,6 @@ import itertools
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -198,12 +197,11 @@ def hash_code(vec: Column, bits: int, dims: int) -> Column:
     planes = plane_signs(bits, dims)
     weights = 1 << np.arange(bits)
 
-    @F.pandas_udf("int")
-    def code(vectors: pd.Series) -> pd.Series:
+    @F.arrow_udf("int")
+    def code(vectors: pa.Array) -> pa.Array:
         if not len(vectors):
-            return pd.Series([], dtype="int32")
-        m = np.stack(vectors.to_numpy()).astype(np.float64)
-        return pd.Series(((m @ planes.T >= 0) * weights).sum(axis=1).astype("int32"))
+            return pa.array([], pa.int32())
+        return pa.array(((_matrix(vectors) @ planes.T >= 0) * weights).sum(axis=1).astype(np.int32))
 
     return code(vec)
 

@@ -7,6 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loomtext.session import spread
+
 Builder = Callable[[SparkSession, str], DataFrame]
 
 _BUILDERS: dict[str, Builder] = {}
@@ -42,5 +44,7 @@ def sql_texts() -> dict[str, str]:
     return dict(_SQL)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, heavy: bool = False) -> DataFrame:
+    """A table; `heavy` marks work per row that is worth spreading a small input for."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if heavy else df

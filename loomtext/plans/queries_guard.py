@@ -122,7 +122,7 @@ def redact_messages(spark, sf):
 @query("c02_redact_documents", f"SELECT doc_id, {_KIND_SQL} AS kind, md5({_SAFE_SQL}) AS safe_md5 FROM documents")
 def redact_documents(spark, sf):
     t = F.col("text")
-    return table(spark, sf, "documents").select("doc_id", G.pii_kind(t).alias("kind"), F.md5(G.redact(t)).alias("safe_md5"))
+    return table(spark, sf, "documents", heavy=True).select("doc_id", G.pii_kind(t).alias("kind"), F.md5(G.redact(t)).alias("safe_md5"))
 
 
 @query("c03_rate_limit", f"""

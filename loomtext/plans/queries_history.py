@@ -244,7 +244,7 @@ SELECT source, page, count(*) AS n_items, string_agg(t, chr(10) || chr(10) ORDER
 def summary_concat(spark, sf):
     d = table(spark, sf, "documents").select(
         "source", ranges.sort_key(F.col("source"), ranges.padded(F.col("doc_id"))).alias("key"),
-        F.get(X.sentences(F.col("text")), F.lit(0)).alias("summary"))
+        F.nullif(X.first_sentence(F.col("text")), F.lit("")).alias("summary"))
     return ranges.paged_concat(d, ["source"], "key", "summary", page_size=16)
 
 
@@ -252,7 +252,7 @@ _CHUNK_KEY_SQL = f"SELECT lang, source, doc_id, chunk_idx, md5(source || chr(1)
 
 
 def _keyed_chunks(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
+    d = table(spark, sf, "documents", heavy=True).select("doc_id", "lang", "source", "text")
     c = chunking.window_chunks(d, 512, 50)
     key = F.concat_ws("\u0001", "source", F.col("doc_id").cast("string"), F.col("chunk_idx").cast("string"), "chunk")
     return c.withColumn("chunk_id", F.md5(key))

@@ -65,14 +65,14 @@ def questions(spark, sf):
 
 
 def chunk_corpus(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "source", "text")
+    d = table(spark, sf, "documents", heavy=True).select("doc_id", "source", "text")
     c = chunking.window_chunks(d, 512, 50)
     return c.select((F.col("doc_id") * 1000000 + F.col("chunk_idx")).alias("chunk_id"), F.col("chunk").alias("text"), "source")
 
 
 def page_corpus(spark, sf):
     from loomtext.functions import text as X
-    return table(spark, sf, "pages").select(
+    return table(spark, sf, "pages", heavy=True).select(
         F.col("page_id").alias("chunk_id"), X.clean_markup(F.col("html")).alias("text"), F.lit(None).cast("string").alias("source"))
 
 
@@ -85,7 +85,7 @@ def hits(spark, sf, k=8):
 
 @query("e01_embed_documents", f"WITH {vec_sql('d', 'documents', 'doc_id', 'text')} SELECT id AS doc_id, b AS bucket, round(w, 6) AS weight FROM d_vec")
 def embed_documents(spark, sf):
-    e = rag.embed(table(spark, sf, "documents").select("doc_id", "text"), "text")
+    e = rag.embed(table(spark, sf, "documents", heavy=True).select("doc_id", "text"), "text")
     v = e.select("doc_id", F.posexplode("embedding").alias("bucket", "w")).where("w <> 0")
     return v.select("doc_id", "bucket", F.round("w", 6).alias("weight"))
 
@@ -244,7 +244,7 @@ def open_collection(spark, sf):
 
 
 def _index(spark, sf) -> str:
-    d = table(spark, sf, "documents").select("doc_id", F.col("lang").alias("collection"), "source", "text")
+    d = table(spark, sf, "documents", heavy=True).select("doc_id", F.col("lang").alias("collection"), "source", "text")
     c = chunking.window_chunks(d, 512, 50)
     c = c.select((F.col("doc_id") * 1000000 + F.col("chunk_idx")).alias("chunk_id"), "collection", "source", F.col("chunk").alias("text"))
     path = scratch_path(spark, "index")

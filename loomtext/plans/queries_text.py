@@ -29,7 +29,8 @@ def path_metadata(spark, sf):
                     X.file_name(u).alias("filename"), X.file_type(u).alias("filetype"))
 
 
-_HREFS = F.regexp_extract_all("html", F.lit(r'href="([^"]+)"'), F.lit(1))
+def _hrefs():
+    return F.regexp_extract_all("html", F.lit(r'href="([^"]+)"'), F.lit(1))
 
 
 @query("a05_summary_map", """
@@ -37,7 +38,7 @@ SELECT page_id, h AS file, CASE WHEN length(h) % 3 = 0 THEN NULL ELSE 'About ' |
 FROM (SELECT page_id, unnest(list_distinct(regexp_extract_all(html, 'href="([^"]+)"', 1))) AS h FROM pages)""")
 def summary_map(spark, sf):
     p = table(spark, sf, "pages")
-    files = F.array_distinct(_HREFS)
+    files = F.array_distinct(_hrefs())
     entry = F.transform(files, lambda h: F.struct(
         F.when(F.length(h) % 3 != 0, F.concat(F.lit("About "), h)).alias("summary")))
     payload = p.select("page_id", F.to_json(F.map_from_arrays(files, entry)).alias("payload"))
@@ -58,7 +59,7 @@ def summary_tree(spark, sf):
     path = F.concat(pid, F.lit("/"), F.regexp_extract("url", r"^https?://[^/]+/([^/]+)", 1))
     rest = F.col("page_id") % 4
     summary = F.when(rest == 0, "").when(rest != 1, F.concat(F.lit("Folder "), pid))
-    folders = p.select(path.alias("path"), summary.alias("summary"), _HREFS.alias("hs")).select(
+    folders = p.select(path.alias("path"), summary.alias("summary"), _hrefs().alias("hs")).select(
         "path", "summary",
         F.transform("hs", lambda h: F.struct(
             F.concat("path", h).alias("path"),
@@ -69,7 +70,7 @@ def summary_tree(spark, sf):
 
 
 def _submissions(spark, sf):
-    d = table(spark, sf, "documents")
+    d = table(spark, sf, "documents", heavy=True)
     reviews = F.transform(X.sentences(F.col("text")), lambda s: F.struct(
         F.md5(s).alias("summary"), (F.length(s) % 10 + 1).cast("double").alias("rating"),
         (F.length(s) % 5 + 1).cast("double").alias("confidence")))
@@ -393,24 +394,24 @@ def _split_list(size, language):
 
 @query("d01_recursive_coverage", _coverage_sql("text"))
 def recursive_coverage(spark, sf):
-    return _coverage(table(spark, sf, "documents").select("doc_id", "text"), 512, None)
+    return _coverage(table(spark, sf, "documents", heavy=True).select("doc_id", "text"), 512, None)
 
 
 @query("d02_code_coverage", _coverage_sql("replace(text, '. ', chr(10) || 'def ')"))
 def code_coverage(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", F.replace("text", F.lit(". "), F.lit("\ndef ")).alias("text"))
+    d = table(spark, sf, "documents", heavy=True).select("doc_id", F.replace("text", F.lit(". "), F.lit("\ndef ")).alias("text"))
     return _coverage(d, 1024, "python")
 
 
 @query("d01_recursive_chunks")
 def recursive_chunks(spark, sf):
-    c = chunking.recursive_chunks(table(spark, sf, "documents").select("doc_id", "lang", "text"), 512, 50)
+    c = chunking.recursive_chunks(table(spark, sf, "documents", heavy=True).select("doc_id", "lang", "text"), 512, 50)
     return chunking.with_word_count(c)
 
 
 @query("d02_code_chunks")
 def code_chunks(spark, sf):
-    d = table(spark, sf, "documents").select("doc_id", "text", X.language_tag(_code_path()).alias("language"))
+    d = table(spark, sf, "documents", heavy=True).select("doc_id", "text", X.language_tag(_code_path()).alias("language"))
     return chunking.recursive_chunks(d.where(F.col("language").isNotNull()), 1024, 128, language=F.col("language"))
 
 
@@ -422,7 +423,7 @@ SELECT lang AS language, grouping(lang)::INT AS overall, count(*) AS n_chunks, r
        min(n) AS min_words, max(n) AS max_words
 FROM (SELECT lang, len(regexp_extract_all(chunk, '\S+')) AS n FROM ({WINDOWS_512})) GROUP BY ROLLUP (lang)""")
 def chunk_statistics(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", F.col("lang").alias("language"), "text")
+    docs = table(spark, sf, "documents", heavy=True).select("doc_id", F.col("lang").alias("language"), "text")
     return stats.chunk_statistics(chunking.with_word_count(chunking.window_chunks(docs, 512, 50)))
 
 
@@ -441,7 +442,7 @@ def corpus_union(spark, sf):
 SELECT doc_id, s AS summary FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN NULL ELSE regexp_extract(text, '[^.]+[.]') END AS s FROM documents)
 WHERE length(s) > 0""")
 def present_summaries(spark, sf):
-    s = F.when(F.col("doc_id") % 5 != 0, F.get(X.sentences(F.col("text")), F.lit(0)))
+    s = F.when(F.col("doc_id") % 5 != 0, X.first_sentence(F.col("text")))
     d = table(spark, sf, "documents").select("doc_id", s.alias("summary"))
     return d.where(X.present(F.col("summary")))
 

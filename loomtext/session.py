@@ -55,3 +55,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of any executor."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use the cores on an input with far fewer splits than cores, for work that is heavy per row.
+
+    Inputs with enough splits, which is every large one, are returned as they are: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from loomtext.functions import inference as I
 from loomtext.functions import text as X
 from loomtext.operators import chunking, guarding, scan
+from loomtext.session import spread
 from loomtext.sources import index
 
 COMPACT_EVERY = 32
@@ -163,7 +164,7 @@ def index_stream(documents: DataFrame, index_path: str, checkpoint: str, size: i
     encode = encoder or I.hashed_encoder()
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        chunks = chunking.recursive_chunks(batch, size, overlap)
+        chunks = chunking.recursive_chunks(spread(batch), size, overlap)
         chunks = index.content_id(chunks, "source", "chunk_idx", "chunk")
         index.add_documents(chunks, index_path, finish=lambda d: d.withColumn("embedding", encode(F.col("chunk"))))
 
