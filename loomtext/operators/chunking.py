@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomtext.functions import text as X
-from loomtext.operators import ranges
+from loomtext.operators import ranges, skew
 
 # Separators tried in order, by language.
 SEPARATORS = {
@@ -109,7 +109,7 @@ def register_splitter(spark, name: str = "split_chunks", size: int = 512, overla
 
 
 def global_chunk_ids(chunks: DataFrame, language: str, source: str, doc_key: str,
-                     n_blocks: int = ranges.N_BLOCKS) -> DataFrame:
+                     n_blocks: int = ranges.N_BLOCKS, hot_rows: int = skew.HOT_ROWS) -> DataFrame:
     """`chunk_id = {source}_{i}`, where `i` runs over the whole language.
 
     Documents are ordered by (source, document), chunks by `chunk_idx`. Only per-document
@@ -118,7 +118,7 @@ def global_chunk_ids(chunks: DataFrame, language: str, source: str, doc_key: str
     counts = chunks.groupBy(language, source, doc_key).agg(F.count(F.lit(1)).alias("n"))
     keyed = counts.withColumn("_key", ranges.sort_key(F.col(source), ranges.padded(F.col(doc_key))))
     offsets = ranges.running_sum(keyed, [language], "_key", F.col("n"), "_offset",
-                                 inclusive=False, n_blocks=n_blocks)
+                                 inclusive=False, n_blocks=n_blocks, hot_rows=hot_rows)
     joined = chunks.join(offsets.select(language, doc_key, "_offset"), [language, doc_key])
     i = F.coalesce(F.col("_offset"), F.lit(0)) + F.col("chunk_idx")
     return joined.withColumn("chunk_id", F.concat_ws("_", F.col(source), i.cast("string"))).drop("_offset")

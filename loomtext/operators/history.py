@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomtext.functions import text as X
-from loomtext.operators import ranges, scan
+from loomtext.operators import ranges, scan, skew
 
 
 def call_ranks(messages: DataFrame, key: str, pos: str, limit: int) -> DataFrame:
@@ -17,42 +17,60 @@ def call_ranks(messages: DataFrame, key: str, pos: str, limit: int) -> DataFrame
 
 
 def trim(messages: DataFrame, key: str, budget: int, *, pos: str = "turn", role: str = "role",
-         tokens: Column | None = None, text: str = "text", block_bits: int = scan.BLOCK_BITS) -> DataFrame:
+         tokens: Column | None = None, text: str = "text", bits: int = scan.BLOCK_BITS,
+         hot_rows: int = skew.HOT_ROWS) -> DataFrame:
     """Newest whole messages that fit the budget, starting on a user row, plus the system row.
 
-    The system row is the first message only; its cost is taken off the budget. Blocks whose
-    later messages already exceed the budget are dropped before any message is shuffled.
+    The system row is the first message only; its cost is taken off the budget, and it stays
+    even if nothing else fits. Ordinary threads take one shuffle and windows over it. Blocks of
+    hot threads get the tokens of later blocks and the thread's system row from the block
+    summaries.
     """
     tokens = X.word_count(F.col(text)) if tokens is None else tokens
-    rows = messages.withColumn("_tok", tokens.cast("long")).withColumn(scan._BLK, scan.block_id(F.col(pos), block_bits))
-    is_system = F.col(role) == "system"
-    head = rows.groupBy(key).agg(F.min_by(F.struct(pos, role, "_tok"), F.col(pos)).alias("_first"))
-    head = head.select(
-        key,
-        F.when(F.col("_first")[role] == "system", F.col("_first")[pos]).alias("_sys_pos"),
-        F.when(F.col("_first")[role] == "system", F.col("_first")["_tok"]).otherwise(0).alias("_sys_tok"),
+    is_sys_role = F.col(role) == "system"
+    aggs: scan.Aggs = {
+        "_first": ("min", F.col(pos)), "_sys_pos": ("min", F.when(is_sys_role, F.col(pos))), "_sum": ("sum", F.col("_tok")),
+    }
+    rows = messages.withColumn("_tok", tokens.cast("long")).withColumn("_own", scan.block_id(F.col(pos), bits))
+    hot = skew.hot_keys(messages, [key], hot_rows)
+
+    def sys_cost(role_pos: Column) -> Column:
+        return F.min_by("_tok", role_pos)
+
+    sys_pos = F.when(is_sys_role, F.col(pos))
+    blocks = rows.join(hot, key, "left_semi").withColumnRenamed("_own", scan._BLK)
+    blocks = blocks.groupBy(key, scan._BLK).agg(
+        *[scan.fold(k, e).alias(n) for n, (k, e) in aggs.items()], sys_cost(sys_pos).alias("_sys_tok")
     )
-    carry = scan.carry_in(rows, [key], {"_later": ("sum", F.col("_tok"))}, bits=block_bits, reverse=True)
-    room = carry.join(head, key).withColumn("_room", F.lit(budget) - F.col("_sys_tok") - F.coalesce("_later", F.lit(0)))
-    first_pos = F.shiftleft(F.col(scan._BLK), block_bits)
-    has_sys = F.coalesce(F.col("_sys_pos").between(first_pos, first_pos + (1 << block_bits) - 1), F.lit(False))
-    live = room.where((F.col("_room") >= 0) | has_sys).select(key, scan._BLK, "_room", "_sys_pos")
-    w = Window.partitionBy(key, scan._BLK).orderBy(F.col(pos).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    cost = F.when(F.col(pos) == F.coalesce("_sys_pos", F.col(pos) - 1), 0).otherwise(F.col("_tok"))
-    fit = (
-        rows.join(live, [key, scan._BLK])
-        .withColumn("_used", F.sum(cost).over(w))
-        .withColumn("_is_sys", F.coalesce(F.col(pos) == F.col("_sys_pos"), F.lit(False)))
-        .withColumn("_fits", ~F.col("_is_sys") & (F.col("_used") <= F.col("_room")))
-        .where(F.col("_fits") | F.col("_is_sys"))
+    later = Window.partitionBy(key).orderBy(F.col(scan._BLK).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(key)
+    carry = blocks.select(
+        key, scan._BLK, F.lit(True).alias("_is_hot"), F.coalesce(F.sum("_sum").over(later), F.lit(0)).alias("_c_later"),
+        F.min("_first").over(whole).alias("_c_first"), F.min("_sys_pos").over(whole).alias("_c_sys_pos"),
+        F.min_by("_sys_tok", "_sys_pos").over(whole).alias("_c_sys_tok"),
     )
+    part = Window.partitionBy(key, scan._BLK)
+    down = part.orderBy(F.col(pos).desc()).rowsBetween(Window.unboundedPreceding, 0)
+    everything = part.orderBy(F.col(pos).desc()).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    seen = scan.split_blocks(rows, [key], hot).join(carry, [key, scan._BLK], "left").select(
+        *messages.columns, "_tok", scan._BLK, "_is_hot",
+        F.coalesce("_c_later", F.lit(0)).alias("_later"),
+        F.sum("_tok").over(down).alias("_here"),
+        F.when(F.col("_is_hot"), F.col("_c_first")).otherwise(F.min(pos).over(everything)).alias("_first"),
+        F.when(F.col("_is_hot"), F.col("_c_sys_pos")).otherwise(F.min(sys_pos).over(everything)).alias("_sys_pos"),
+        F.when(F.col("_is_hot"), F.col("_c_sys_tok")).otherwise(sys_cost(sys_pos).over(everything)).alias("_sys_tok"),
+    )
+    has_sys = F.coalesce(F.col("_sys_pos") == F.col("_first"), F.lit(False))
+    # the system row is the oldest, so it never counts into what is newer than another row
+    used = F.col("_later") + F.col("_here") + F.when(has_sys, F.col("_sys_tok")).otherwise(0)
+    fit = seen.withColumn("_is_sys", has_sys & (F.col(pos) == F.col("_sys_pos"))).withColumn("_fits", ~F.col("_is_sys") & (used <= budget))
+    fit = fit.where(F.col("_fits") | F.col("_is_sys"))
     user_pos = F.when(F.col("_fits") & (F.col(role) == "user"), F.col(pos))
-    per_block = fit.groupBy(key, scan._BLK).agg(F.min(user_pos).alias("_user_pos"))
-    start = per_block.groupBy(key).agg(F.min("_user_pos").alias("_start"))
-    per_block = per_block.select(key, scan._BLK).join(start, key)
-    kept = fit.join(per_block, [key, scan._BLK]).where(
-        F.col("_is_sys") | F.coalesce(F.col(pos) >= F.col("_start"), F.lit(False))
+    hot_start = fit.where("_is_hot").groupBy(key).agg(F.min(user_pos).alias("_hot_start"))
+    started = fit.join(F.broadcast(hot_start), key, "left").withColumn(
+        "_start", F.when(F.col("_is_hot"), F.col("_hot_start")).otherwise(F.min(user_pos).over(part))
     )
+    kept = started.where(F.col("_is_sys") | F.coalesce(F.col(pos) >= F.col("_start"), F.lit(False)))
     return kept.select(*messages.columns, F.col("_tok").alias("n_tokens"))
 
 

@@ -6,36 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomtext.functions.inference import TOOLS, Tool
-
-MAX_HOT_KEYS = 1000
-ROWS_PER_SPLIT = 5_000_000
-
-
-def hot_keys(df: DataFrame, key: str, rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
-    """The most frequent keys with more than one split's worth of rows: at most 1000 rows."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_split)
-    splits = F.ceil(F.col("_n") / rows_per_split).cast("int").alias("_splits")
-    return counts.orderBy(F.desc("_n"), key).limit(MAX_HOT_KEYS).select(key, splits)
-
-
-def skewed_lookup(rows: DataFrame, lookup: DataFrame, key: str, spread: str, how: str = "left",
-                  rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
-    """Equi join where one key may hold a large part of `rows`; `lookup` has unique keys.
-
-    Hot keys (a list of bounded length, hence broadcast) are salted: their rows are spread by
-    the hash of `spread`, and only their lookup rows are repeated.
-    """
-    hot = F.broadcast(hot_keys(rows, key, rows_per_split))
-    n = F.coalesce(F.col("_splits"), F.lit(1))
-    left = rows.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(spread), n).cast("int")).drop("_splits")
-    right = lookup.join(hot, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), n - 1))).drop("_splits")
-    return left.join(right, [key, "_salt"], how).drop("_salt")
-
+from loomtext.operators import skew
 
 def enrich(docs: DataFrame, summaries: DataFrame, key: str, spread: str,
-           rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+           hot_rows: int = skew.HOT_ROWS) -> DataFrame:
     """Left join with one summary per key; documents without a summary keep NULLs."""
-    return skewed_lookup(docs, summaries, key, spread, "left", rows_per_split)
+    return skew.skewed_lookup(docs, summaries, key, spread, "left", hot_rows)
 
 
 def dispatch_tools(calls: DataFrame, tools: dict[str, Tool] | None = None, *, name: str = "name",

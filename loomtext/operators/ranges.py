@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.operators import scan
+from loomtext.operators import scan, skew
 
 N_BLOCKS = 2048
 
@@ -27,11 +27,10 @@ def padded(c: Column) -> Column:
     return F.lpad(c.cast("string"), 19, "0")
 
 
-def split_points(df: DataFrame, key: Column, n_blocks: int = N_BLOCKS) -> list[str]:
+def split_points(df: DataFrame, key: str, n_blocks: int = N_BLOCKS) -> list[str]:
     """Sorted sample of keys: the rows with the smallest hashes (distributed top-n)."""
-    k = df.select(key.alias("k"))
-    sample = k.orderBy(F.xxhash64("k"), "k").limit(n_blocks - 1)
-    return sorted({r.k for r in sample.collect()})
+    sample = df.select(key).orderBy(F.xxhash64(key), key).limit(n_blocks - 1)
+    return sorted({r[0] for r in sample.collect()})
 
 
 def range_block(key: Column, bounds: list[str]) -> Column:
@@ -45,29 +44,33 @@ def range_block(key: Column, bounds: list[str]) -> Column:
 
 
 def running_sum(df: DataFrame, keys: list[str], order_key: str, value: Column, name: str, *,
-                inclusive: bool = True, n_blocks: int = N_BLOCKS) -> DataFrame:
-    """Running sum per group in the order of a unique string key."""
-    bounds = split_points(df, F.col(order_key), n_blocks)
-    return scan.running(
-        df, keys, [order_key], {name: ("sum", value)},
-        block=range_block(F.col(order_key), bounds), inclusive=inclusive, bits=6,
-    )
+                inclusive: bool = True, n_blocks: int = N_BLOCKS, hot_rows: int = skew.HOT_ROWS) -> DataFrame:
+    """Running sum per group in the order of a unique string key.
+
+    Only hot groups are sampled and cut; without any, no block is computed.
+    """
+    in_hot = df.join(skew.hot_keys(df, keys, hot_rows), keys, "left_semi")
+    bounds = split_points(in_hot, order_key, n_blocks)
+    block = range_block(F.col(order_key), bounds) if bounds else F.lit(0).cast("long")
+    return scan.running(df, keys, order_key, {name: ("sum", value)}, block=block, inclusive=inclusive, hot_rows=hot_rows)
 
 
 def rank(df: DataFrame, keys: list[str], order_key: str, name: str = "rank",
-         n_blocks: int = N_BLOCKS) -> DataFrame:
+         n_blocks: int = N_BLOCKS, hot_rows: int = skew.HOT_ROWS) -> DataFrame:
     """1-based position of each row in its group."""
-    return running_sum(df, keys, order_key, F.lit(1).cast("long"), name, n_blocks=n_blocks)
+    one = F.lit(1).cast("long")
+    return running_sum(df, keys, order_key, one, name, n_blocks=n_blocks, hot_rows=hot_rows)
 
 
 def paged_concat(df: DataFrame, keys: list[str], order_key: str, text: str, *,
-                 page_size: int = 64, sep: str = "\n\n", n_blocks: int = N_BLOCKS) -> DataFrame:
+                 page_size: int = 64, sep: str = "\n\n", n_blocks: int = N_BLOCKS,
+                 hot_rows: int = skew.HOT_ROWS) -> DataFrame:
     """Ordered concatenation in pages of at most `page_size` items; NULL texts are dropped.
 
     Joining the pages of a group in page order with `sep` gives the group's whole text, but no
     row or task ever holds more than one page.
     """
-    ranked = rank(df.where(F.col(text).isNotNull()), keys, order_key, "_rank", n_blocks)
+    ranked = rank(df.where(F.col(text).isNotNull()), keys, order_key, "_rank", n_blocks, hot_rows)
     paged = ranked.withColumn("page", F.floor((F.col("_rank") - 1) / page_size).cast("long"))
     items = F.array_sort(F.collect_list(F.struct("_rank", F.col(text).alias("t"))))
     return paged.groupBy(*keys, "page").agg(

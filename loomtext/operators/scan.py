@@ -1,10 +1,11 @@
-"""Skew-safe running aggregates.
-
-A plain window over a thread sorts the whole thread in one task. Here each group is cut into
-blocks of consecutive positions: (1) blocks are summarised with a map-side combine, (2) the
-block summaries are scanned, itself in blocks of blocks, (3) each row combines the carry of its
-block with a window inside the block. No task ever sees more than one block of a group, and
-rows are shuffled once, on (group, block).
+"""Running and whole-group aggregates that do not put a hot group into one task.
+
+A window over a thread sorts the whole thread in one task. That is right for ordinary threads
+and wrong for one that holds a third of all rows. So hot groups (see `skew`), and only those,
+are cut into blocks of consecutive positions: (1) the blocks of hot groups are summarised with a
+map-side combine, (2) a window over the short block summaries gives each block its carry,
+(3) every row combines its block's carry with a window inside (group, block). Ordinary groups
+are one block without a carry. Rows are shuffled once, on (group, block).
 """
 
 from __future__ import annotations
@@ -12,8 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_BITS = 12  # 4096 positions per block
-_BLK, _UP = "_blk", "_up"
+from loomtext.operators import skew
+
+BLOCK_BITS = 16  # 65536 positions per block: a group of 10^11 rows has 1.5 million blocks
+_BLK = "_blk"
 
 #: name -> (kind, expression); kind is "sum", "min" or "max".
 Aggs = dict[str, tuple[str, Column]]
@@ -24,88 +27,75 @@ def block_id(pos: Column, bits: int = BLOCK_BITS) -> Column:
     return F.shiftright(pos.cast("long"), bits)
 
 
-def _fold(kind: str, c: Column) -> Column:
+def fold(kind: str, c: Column) -> Column:
     return {"sum": F.sum, "min": F.min, "max": F.max}[kind](c)
 
 
-def _combine(kind: str, a: Column, b: Column) -> Column:
+def combine(kind: str, a: Column, b: Column) -> Column:
     if kind == "sum":
         return F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0))
     pick = F.least if kind == "min" else F.greatest
     return F.when(a.isNull(), b).when(b.isNull(), a).otherwise(pick(a, b))
 
 
-def _exclusive(blocks: DataFrame, keys: list[str], kinds: dict[str, str], bits: int,
-               levels: int, reverse: bool) -> DataFrame:
-    order = F.col(_BLK).desc() if reverse else F.col(_BLK).asc()
-
-    def before(*part: str):
-        return Window.partitionBy(*part).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-
-    if levels == 0:
-        w = before(*keys)
-        return blocks.select(*keys, _BLK, *[_fold(k, F.col(n)).over(w).alias(n) for n, k in kinds.items()])
-    up = blocks.withColumn(_UP, block_id(F.col(_BLK), bits))
-    totals = up.groupBy(*keys, _UP).agg(*[_fold(k, F.col(n)).alias(n) for n, k in kinds.items()])
-    upper = _exclusive(totals.withColumnRenamed(_UP, _BLK), keys, kinds, bits, levels - 1, reverse)
-    upper = upper.select(*keys, F.col(_BLK).alias(_UP), *[F.col(n).alias(f"_u_{n}") for n in kinds])
-    w = before(*keys, _UP)
-    inner = up.select(*keys, _UP, _BLK, *[_fold(k, F.col(n)).over(w).alias(n) for n, k in kinds.items()])
-    return inner.join(upper, [*keys, _UP], "left").select(
-        *keys, _BLK,
-        *[_combine(k, F.col(n), F.col(f"_u_{n}")).alias(n) for n, k in kinds.items()],
-    )
+def _with_args(df: DataFrame, aggs: Aggs, block: Column) -> tuple[DataFrame, Aggs]:
+    """Rows with the argument expressions as columns, evaluated once before any split."""
+    rows = df.select("*", block.alias("_own"), *[e.alias(f"_a_{n}") for n, (_, e) in aggs.items()])
+    return rows, {n: (k, F.col(f"_a_{n}")) for n, (k, _) in aggs.items()}
 
 
-def block_summaries(df: DataFrame, keys: list[str], aggs: Aggs) -> DataFrame:
-    return df.groupBy(*keys, _BLK).agg(*[_fold(k, e).alias(n) for n, (k, e) in aggs.items()])
+def split_blocks(rows: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
+    """`_blk` is the row's own block in a hot group and 0 in every other group."""
+    own = F.when(F.col("_splits").isNotNull(), F.col("_own")).otherwise(F.lit(0).cast("long"))
+    return rows.join(hot, keys, "left").withColumn(_BLK, own).drop("_splits", "_own")
 
 
-def carry_in(df: DataFrame, keys: list[str], aggs: Aggs, bits: int = BLOCK_BITS,
-             levels: int = 1, reverse: bool = False) -> DataFrame:
-    """Aggregate over all earlier (or later) blocks of each group; `df` has a `_blk` column."""
-    kinds = {n: k for n, (k, _) in aggs.items()}
-    return _exclusive(block_summaries(df, keys, aggs), keys, kinds, bits, levels, reverse)
+def hot_blocks(rows: DataFrame, keys: list[str], hot: DataFrame, aggs: Aggs) -> DataFrame:
+    """One summary row per block of a hot group."""
+    only = rows.join(hot, keys, "left_semi").withColumnRenamed("_own", _BLK)
+    return only.groupBy(*keys, _BLK).agg(*[fold(k, e).alias(n) for n, (k, e) in aggs.items()])
 
 
-def running(df: DataFrame, keys: list[str], pos: str | list[str], aggs: Aggs, *,
-            block: Column | None = None, inclusive: bool = True, reverse: bool = False,
-            bits: int = BLOCK_BITS) -> DataFrame:
+def running(df: DataFrame, keys: list[str], pos: str, aggs: Aggs, *, block: Column | None = None,
+            inclusive: bool = True, reverse: bool = False, bits: int = BLOCK_BITS,
+            hot_rows: int = skew.HOT_ROWS) -> DataFrame:
     """Add running aggregates per group in the order of `pos`.
 
-    `pos` is an integer position, or a list of order columns together with an explicit
-    monotone `block` column (see `ranges.range_block`).
+    `pos` is an integer position, or any order column together with an explicit `block` column
+    that grows with it (see `ranges`).
     """
-    order_cols = [pos] if isinstance(pos, str) else list(pos)
-    block = block_id(F.col(order_cols[0]), bits) if block is None else block
-    # the argument expressions are computed once, before the block split
-    args = {n: (k, F.col(f"_a_{n}")) for n, (k, _) in aggs.items()}
-    rows = df.select("*", block.alias(_BLK), *[e.alias(f"_a_{n}") for n, (_, e) in aggs.items()])
-    carry = carry_in(rows, keys, args, bits=bits, reverse=reverse)
-    carry = carry.select(*keys, _BLK, *[F.col(n).alias(f"_c_{n}") for n in aggs])
-    order = [F.col(c).desc() if reverse else F.col(c).asc() for c in order_cols]
-    w = Window.partitionBy(*keys, _BLK).orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, 0 if inclusive else -1
+    rows, args = _with_args(df, aggs, block_id(F.col(pos), bits) if block is None else block)
+    hot = skew.hot_keys(df, keys, hot_rows)
+    order = F.col(_BLK).desc() if reverse else F.col(_BLK).asc()
+    before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    carry = hot_blocks(rows, keys, hot, args).select(
+        *keys, _BLK, *[fold(k, F.col(n)).over(before).alias(f"_c_{n}") for n, (k, _) in aggs.items()]
     )
-    joined = rows.join(carry, [*keys, _BLK], "left")
-    out = joined.select(
+    inside = Window.partitionBy(*keys, _BLK).orderBy(F.col(pos).desc() if reverse else F.col(pos).asc())
+    inside = inside.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    joined = split_blocks(rows, keys, hot).join(carry, [*keys, _BLK], "left")
+    return joined.select(
         *df.columns,
-        *[_combine(k, _fold(k, F.col(f"_a_{n}")).over(w), F.col(f"_c_{n}")).alias(n)
-          for n, (k, _) in aggs.items()],
+        *[combine(k, fold(k, e).over(inside), F.col(f"_c_{n}")).alias(n) for n, (k, e) in args.items()],
     )
-    return out
 
 
 def group_totals(df: DataFrame, keys: list[str], block: Column, aggs: Aggs,
-                 bits: int = BLOCK_BITS) -> DataFrame:
-    """Add whole-group aggregates to every row without one task per group.
+                 hot_rows: int = skew.HOT_ROWS) -> DataFrame:
+    """Add whole-group aggregates to every row.
 
-    The total is spread from groups to blocks on the small summary table, and rows meet it on
-    (group, block), so a hot group is spread over its blocks.
+    Ordinary groups use a window; a hot group's total is aggregated with a map-side combine and
+    broadcast (at most one row per hot key) to its rows, which stay spread over their blocks.
     """
-    args = {n: (k, F.col(f"_a_{n}")) for n, (k, _) in aggs.items()}
-    rows = df.select("*", block.alias(_BLK), *[e.alias(f"_a_{n}") for n, (_, e) in aggs.items()])
-    blocks = block_summaries(rows, keys, args)
-    total = blocks.groupBy(*keys).agg(*[_fold(k, F.col(n)).alias(n) for n, (k, _) in aggs.items()])
-    per_block = blocks.select(*keys, _BLK).join(total, keys, "inner")
-    return rows.join(per_block, [*keys, _BLK], "inner").select(*df.columns, *aggs)
+    rows, args = _with_args(df, aggs, block)
+    hot = skew.hot_keys(df, keys, hot_rows)
+    totals = rows.join(hot, keys, "left_semi").groupBy(*keys).agg(
+        *[fold(k, e).alias(f"_t_{n}") for n, (k, e) in args.items()], F.lit(True).alias("_is_hot")
+    )
+    group = Window.partitionBy(*keys, _BLK)
+    joined = split_blocks(rows, keys, hot).join(F.broadcast(totals), keys, "left")
+    return joined.select(
+        *df.columns,
+        *[F.when(F.col("_is_hot"), F.col(f"_t_{n}")).otherwise(fold(k, e).over(group)).alias(n)
+          for n, (k, e) in args.items()],
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomtext.functions import guards as G
-from loomtext.operators import guarding, history, joins, stats
+from loomtext.operators import guarding, history, joins, skew, stats
 from loomtext.plans.catalog import query, table
 
 # ---------------------------------------------------------------- derived inputs
@@ -49,7 +49,7 @@ def planted(spark, sf):
     # a thread id meets one label, and a thread's rows are spread by its turns
     labels = table(spark, sf, "labels").select(F.col("doc_id").alias("thread_id"), "toxic")
     c = table(spark, sf, "conversations").withColumnRenamed("conv_id", "thread_id")
-    c = joins.skewed_lookup(c, labels, "thread_id", "turn")
+    c = skew.skewed_lookup(c, labels, "thread_id", "turn")
     return plant(c).withColumn("verdict", verdict).drop("toxic")
 
 

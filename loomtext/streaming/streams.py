@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from loomtext.functions import inference as I
 from loomtext.functions import text as X
-from loomtext.operators import chunking, guarding, scan
+from loomtext.operators import chunking, guarding, scan, skew
 from loomtext.session import spread
 from loomtext.sources import index
 
@@ -65,12 +65,9 @@ def prior_counts(batch: DataFrame, path: str, key: str, batch_id: int) -> DataFr
 def number_rows(batch: DataFrame, batch_id: int, path: str, key: str, pos: str) -> DataFrame:
     """Add `n_prior`, the number of earlier rows of the thread over all batches."""
     out = scan.running(batch, [key], pos, {"n_prior": ("sum", F.lit(1).cast("long"))}, inclusive=False)
-    # the earlier counts meet the batch on (thread, block), like every carry
-    blk = scan.block_id(F.col(pos))
     seen = prior_counts(batch, path, key, batch_id).withColumnRenamed("n", "_seen")
-    carry = batch.select(key, blk.alias("_b")).distinct().join(seen, key)
-    out = out.withColumn("_b", blk).join(carry, [key, "_b"], "left")
-    return out.withColumn("n_prior", F.col("n_prior") + F.coalesce("_seen", F.lit(0))).drop("_b", "_seen")
+    out = skew.skewed_lookup(out, seen, key, pos)
+    return out.withColumn("n_prior", F.col("n_prior") + F.coalesce("_seen", F.lit(0))).drop("_seen")
 
 
 def _commit_counts(batch: DataFrame, batch_id: int, path: str, key: str) -> None:

@@ -56,8 +56,8 @@ def test_global_ids_run_over_the_language(spark):
     docs = [(i, "hot.py" if i % 2 else f"s{i % 7}.py", "python" if i % 3 else "rust") for i in range(60)]
     rows = [(d, s, g, c) for d, s, g in docs for c in range(1 + d % 4)]
     df = spark.createDataFrame(rows, "doc_id long, source string, language string, chunk_idx long").repartition(5)
-    for n_blocks in (2, 9, 2000):
-        got = chunking.global_chunk_ids(df, "language", "source", "doc_id", n_blocks=n_blocks)
+    for n_blocks, hot_rows in ((2, 1), (9, 1), (2000, 10**6)):
+        got = chunking.global_chunk_ids(df, "language", "source", "doc_id", n_blocks=n_blocks, hot_rows=hot_rows)
         got = {(r.doc_id, r.chunk_idx): r.chunk_id for r in got.collect()}
         for lang in ("python", "rust"):
             order = sorted((r for r in rows if r[2] == lang), key=lambda r: (r[1], r[0], r[3]))

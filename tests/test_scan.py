@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from loomtext.operators import history, joins, ranges, scan
+from loomtext.operators import history, ranges, scan, skew
 
 
 def _rows(seed=1, n=400):
@@ -34,11 +34,11 @@ def _brute(rows, inclusive, reverse):
 def test_running_matches_brute_force(spark):
     rows = _rows()
     df = spark.createDataFrame(rows, "k int, p long, v long, t string").repartition(5)
-    for bits in (1, 3, 12):
+    for bits, hot_rows in ((1, 1), (3, 30), (16, 10**6)):
         for inclusive in (True, False):
             for reverse in (True, False):
                 aggs = {"s": ("sum", F.col("v")), "m": ("max", F.when(F.col("t").isNotNull(), F.col("p"))), "lo": ("min", F.col("v"))}
-                got = scan.running(df, ["k"], "p", aggs, inclusive=inclusive, reverse=reverse, bits=bits)
+                got = scan.running(df, ["k"], "p", aggs, inclusive=inclusive, reverse=reverse, bits=bits, hot_rows=hot_rows)
                 got = {(r.k, r.p): (r.s, r.m, r.lo) for r in got.collect()}
                 assert got == _brute(rows, inclusive, reverse), (bits, inclusive, reverse)
 
@@ -46,24 +46,25 @@ def test_running_matches_brute_force(spark):
 def test_group_totals(spark):
     rows = _rows(2)
     df = spark.createDataFrame(rows, "k int, p long, v long, t string")
-    got = scan.group_totals(df, ["k"], scan.block_id(F.col("p"), 2), {"hi": ("max", F.col("p")), "n": ("sum", F.lit(1))})
-    got = got.collect()
-    assert len(got) == len(rows)
-    for r in got:
-        same = [x for x in rows if x[0] == r.k]
-        assert (r.hi, r.n) == (max(x[1] for x in same), len(same))
+    for hot_rows in (1, 50, 10**6):
+        aggs = {"hi": ("max", F.col("p")), "n": ("sum", F.lit(1))}
+        got = scan.group_totals(df, ["k"], scan.block_id(F.col("p"), 2), aggs, hot_rows=hot_rows).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            same = [x for x in rows if x[0] == r.k]
+            assert (r.hi, r.n) == (max(x[1] for x in same), len(same))
 
 
 def test_rank_and_pages_with_few_split_points(spark):
     rnd = random.Random(3)
     items = [("hot" if i % 3 else f"g{i % 5}", f"{rnd.randrange(10**6):06d}-{i}", None if i % 11 == 0 else f"t{i}") for i in range(300)]
     df = spark.createDataFrame(items, "g string, k string, t string").repartition(4)
-    for n_blocks in (1, 2, 7, 1000):
-        got = {(r.g, r.k): r["rank"] for r in ranges.rank(df, ["g"], "k", n_blocks=n_blocks).collect()}
+    for n_blocks, hot_rows in ((1, 1), (7, 1), (1000, 30), (5, 10**6)):
+        got = {(r.g, r.k): r["rank"] for r in ranges.rank(df, ["g"], "k", n_blocks=n_blocks, hot_rows=hot_rows).collect()}
         for g in {i[0] for i in items}:
             keys = sorted(i[1] for i in items if i[0] == g)
             assert [got[g, k] for k in keys] == list(range(1, len(keys) + 1))
-    pages = ranges.paged_concat(df, ["g"], "k", "t", page_size=8, sep="|").orderBy("g", "page").collect()
+    pages = ranges.paged_concat(df, ["g"], "k", "t", page_size=8, sep="|", hot_rows=20).orderBy("g", "page").collect()
     for g in {i[0] for i in items}:
         whole = "|".join(p.text for p in pages if p.g == g)
         assert whole == "|".join(i[2] for i in sorted((i for i in items if i[0] == g), key=lambda i: i[1]) if i[2])
@@ -73,10 +74,10 @@ def test_rank_and_pages_with_few_split_points(spark):
 def test_salted_lookup_keeps_every_row(spark):
     rows = spark.range(1000).select(F.col("id"), F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50).alias("k"))
     lookup = spark.range(40).select(F.col("id").alias("k"), F.concat(F.lit("v"), "id").alias("v"))
-    got = joins.skewed_lookup(rows, lookup, "k", "id", rows_per_split=30)
+    got = skew.skewed_lookup(rows, lookup, "k", "id", hot_rows=30)
     assert {(r.id, r.k, r.v) for r in got.collect()} == {(r.id, r.k, r.v) for r in rows.join(lookup, "k", "left").collect()}
     assert got.count() == 1000
-    assert joins.hot_keys(rows, "k", 30).collect()[0]["_splits"] > 5
+    assert skew.hot_keys(rows, ["k"], 30).collect()[0]["_splits"] > 5
 
 
 def _brute_trim(msgs, budget):
@@ -106,8 +107,8 @@ def test_trim_matches_brute_force(spark):
             msgs.append((key, t, role, rnd.randrange(0, 9)))
     df = spark.createDataFrame(msgs, "thread_id int, turn long, role string, n long")
     for budget in (0, 3, 17, 40, 10_000):
-        for bits in (1, 3, 12):
-            got = history.trim(df, "thread_id", budget, tokens=F.col("n"), block_bits=bits)
+        for bits, hot_rows in ((1, 1), (3, 50), (16, 10**6)):
+            got = history.trim(df, "thread_id", budget, tokens=F.col("n"), bits=bits, hot_rows=hot_rows)
             assert {(r.thread_id, r.turn) for r in got.collect()} == _brute_trim(msgs, budget), (budget, bits)
 
 
