@@ -89,7 +89,9 @@ def hashed_encoder(dims: int = DIMENSIONS) -> Callable[[Column], Column]:
         offsets = pa.array(np.arange(0, (len(texts) + 1) * dims, dims, dtype=np.int32))
         return pa.ListArray.from_arrays(offsets, pa.array(unit.ravel()), mask=pa.array(norm == 0))
 
-    return encode
+    # inference must not be repeated per row, as it would be when a filter on its result is
+    # pushed below its projection
+    return encode.asNondeterministic()
 
 
 @dataclass(frozen=True)

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from loomtext.functions import text as X
 from loomtext.operators import ranges, skew
+from loomtext.session import cut_lineage
 
 # Separators tried in order, by language.
 SEPARATORS = {
@@ -113,9 +114,10 @@ def global_chunk_ids(chunks: DataFrame, language: str, source: str, doc_key: str
     """`chunk_id = {source}_{i}`, where `i` runs over the whole language.
 
     Documents are ordered by (source, document), chunks by `chunk_idx`. Only per-document
-    counts are scanned; chunk text takes part in one join on (language, document).
+    counts are scanned; chunk text takes part in one join on (language, document). The counts
+    are checkpointed, so the texts are not chunked again for each use of them.
     """
-    counts = chunks.groupBy(language, source, doc_key).agg(F.count(F.lit(1)).alias("n"))
+    counts = cut_lineage(chunks.groupBy(language, source, doc_key).agg(F.count(F.lit(1)).alias("n")))
     keyed = counts.withColumn("_key", ranges.sort_key(F.col(source), ranges.padded(F.col(doc_key))))
     offsets = ranges.running_sum(keyed, [language], "_key", F.col("n"), "_offset",
                                  inclusive=False, n_blocks=n_blocks, hot_rows=hot_rows)

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomtext.operators import ranges
+from loomtext.operators import ranges, skew
+from loomtext.session import cut_lineage
 
 HREF = r'href="([^"]+)"'
 
@@ -34,9 +35,9 @@ def import_edges(files: DataFrame, path: str = "source", text: str = "text") ->
         return pa.array([imported_modules(t) for t in texts.to_pylist()], pa.list_(pa.string()))
 
     found = files.select(F.col(path).alias("src"), F.explode_outer(modules(F.col(text))).alias("dst"))
-    edges = found.distinct()
-    own = files.select(F.col(path).alias("dst_file")).distinct().withColumn("dst", module_name(F.col("dst_file")))
-    return edges.join(own, "dst", "left").select("src", "dst", "dst_file")
+    own = files.groupBy(module_name(F.col(path)).alias("dst")).agg(F.min(path).alias("dst_file"))
+    # a module that a large part of all files imports is a hot key of this join
+    return skew.skewed_lookup(found.distinct(), own, "dst", "src").select("src", "dst", "dst_file")
 
 
 def module_name(path: Column) -> Column:
@@ -60,7 +61,8 @@ def neighbours(edges: DataFrame) -> DataFrame:
 
 def neighbour_pages(edges: DataFrame, page_size: int = 64) -> DataFrame:
     """Sorted neighbour names per file in pages: (file, page, text)."""
-    n = neighbours(edges).withColumn("_key", ranges.sort_key(F.col("node"), F.col("neighbour")))
+    # used for the counts, the split points and the pages: computed once
+    n = cut_lineage(neighbours(edges)).withColumn("_key", ranges.sort_key(F.col("node"), F.col("neighbour")))
     paged = ranges.paged_concat(n, ["node"], "_key", "neighbour", page_size=page_size, sep=", ")
     return paged.select(F.col("node").alias("file"), "page", "text")
 

@@ -52,22 +52,25 @@ def trim(messages: DataFrame, key: str, budget: int, *, pos: str = "turn", role:
     part = Window.partitionBy(key, scan._BLK)
     down = part.orderBy(F.col(pos).desc()).rowsBetween(Window.unboundedPreceding, 0)
     everything = part.orderBy(F.col(pos).desc()).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    seen = scan.split_blocks(rows, [key], hot).join(carry, [key, scan._BLK], "left").select(
-        *messages.columns, "_tok", scan._BLK, "_is_hot",
-        F.coalesce("_c_later", F.lit(0)).alias("_later"),
-        F.sum("_tok").over(down).alias("_here"),
-        F.when(F.col("_is_hot"), F.col("_c_first")).otherwise(F.min(pos).over(everything)).alias("_first"),
-        F.when(F.col("_is_hot"), F.col("_c_sys_pos")).otherwise(F.min(sys_pos).over(everything)).alias("_sys_pos"),
-        F.when(F.col("_is_hot"), F.col("_c_sys_tok")).otherwise(sys_cost(sys_pos).over(everything)).alias("_sys_tok"),
-    )
-    has_sys = F.coalesce(F.col("_sys_pos") == F.col("_first"), F.lit(False))
-    # the system row is the oldest, so it never counts into what is newer than another row
-    used = F.col("_later") + F.col("_here") + F.when(has_sys, F.col("_sys_tok")).otherwise(0)
-    fit = seen.withColumn("_is_sys", has_sys & (F.col(pos) == F.col("_sys_pos"))).withColumn("_fits", ~F.col("_is_sys") & (used <= budget))
-    fit = fit.where(F.col("_fits") | F.col("_is_sys"))
+
+    def fitting(some: DataFrame) -> DataFrame:
+        seen = scan.split_blocks(some, [key], hot).join(carry, [key, scan._BLK], "left").select(
+            *messages.columns, "_tok", scan._BLK, "_is_hot",
+            F.coalesce("_c_later", F.lit(0)).alias("_later"),
+            F.sum("_tok").over(down).alias("_here"),
+            F.when(F.col("_is_hot"), F.col("_c_first")).otherwise(F.min(pos).over(everything)).alias("_first"),
+            F.when(F.col("_is_hot"), F.col("_c_sys_pos")).otherwise(F.min(sys_pos).over(everything)).alias("_sys_pos"),
+            F.when(F.col("_is_hot"), F.col("_c_sys_tok")).otherwise(sys_cost(sys_pos).over(everything)).alias("_sys_tok"),
+        )
+        has_sys = F.coalesce(F.col("_sys_pos") == F.col("_first"), F.lit(False))
+        # the system row is the oldest, so it never counts into what is newer than another row
+        used = F.col("_later") + F.col("_here") + F.when(has_sys, F.col("_sys_tok")).otherwise(0)
+        marked = seen.withColumn("_is_sys", has_sys & (F.col(pos) == F.col("_sys_pos")))
+        return marked.withColumn("_fits", ~F.col("_is_sys") & (used <= budget)).where(F.col("_fits") | F.col("_is_sys"))
+
     user_pos = F.when(F.col("_fits") & (F.col(role) == "user"), F.col(pos))
-    hot_start = fit.where("_is_hot").groupBy(key).agg(F.min(user_pos).alias("_hot_start"))
-    started = fit.join(F.broadcast(hot_start), key, "left").withColumn(
+    hot_start = fitting(rows.join(hot, key, "left_semi")).groupBy(key).agg(F.min(user_pos).alias("_hot_start"))
+    started = fitting(rows).join(F.broadcast(hot_start), key, "left").withColumn(
         "_start", F.when(F.col("_is_hot"), F.col("_hot_start")).otherwise(F.min(user_pos).over(part))
     )
     kept = started.where(F.col("_is_sys") | F.coalesce(F.col(pos) >= F.col("_start"), F.lit(False)))
@@ -120,7 +123,7 @@ def merge_messages(updates: DataFrame, key: str, msg_id: str, seq: str, text: st
         F.min(seq).alias("first_seq"), F.max_by(text, seq).alias(text), F.count(F.lit(1)).alias("n_versions"),
     )
     one = F.lit(1).cast("long")
-    return scan.running(merged, [key], "first_seq", {"position": ("sum", one)})
+    return scan.running(merged, [key], "first_seq", {"position": ("sum", one)}, counted=updates)
 
 
 def fold_state(updates: DataFrame, key: str, step: str, overwrite: list[str], summed: list[str] = (),

@@ -44,22 +44,25 @@ def range_block(key: Column, bounds: list[str]) -> Column:
 
 
 def running_sum(df: DataFrame, keys: list[str], order_key: str, value: Column, name: str, *,
-                inclusive: bool = True, n_blocks: int = N_BLOCKS, hot_rows: int = skew.HOT_ROWS) -> DataFrame:
+                inclusive: bool = True, n_blocks: int = N_BLOCKS, hot_rows: int = skew.HOT_ROWS,
+                counted: DataFrame | None = None) -> DataFrame:
     """Running sum per group in the order of a unique string key.
 
     Only hot groups are sampled and cut; without any, no block is computed.
     """
-    in_hot = df.join(skew.hot_keys(df, keys, hot_rows), keys, "left_semi")
+    counted = df if counted is None else counted
+    in_hot = df.join(skew.hot_keys(counted, keys, hot_rows), keys, "left_semi")
     bounds = split_points(in_hot, order_key, n_blocks)
     block = range_block(F.col(order_key), bounds) if bounds else F.lit(0).cast("long")
-    return scan.running(df, keys, order_key, {name: ("sum", value)}, block=block, inclusive=inclusive, hot_rows=hot_rows)
+    return scan.running(df, keys, order_key, {name: ("sum", value)}, block=block, inclusive=inclusive,
+                        hot_rows=hot_rows, counted=counted)
 
 
 def rank(df: DataFrame, keys: list[str], order_key: str, name: str = "rank",
-         n_blocks: int = N_BLOCKS, hot_rows: int = skew.HOT_ROWS) -> DataFrame:
+         n_blocks: int = N_BLOCKS, hot_rows: int = skew.HOT_ROWS, counted: DataFrame | None = None) -> DataFrame:
     """1-based position of each row in its group."""
     one = F.lit(1).cast("long")
-    return running_sum(df, keys, order_key, one, name, n_blocks=n_blocks, hot_rows=hot_rows)
+    return running_sum(df, keys, order_key, one, name, n_blocks=n_blocks, hot_rows=hot_rows, counted=counted)
 
 
 def paged_concat(df: DataFrame, keys: list[str], order_key: str, text: str, *,
@@ -70,7 +73,7 @@ def paged_concat(df: DataFrame, keys: list[str], order_key: str, text: str, *,
     Joining the pages of a group in page order with `sep` gives the group's whole text, but no
     row or task ever holds more than one page.
     """
-    ranked = rank(df.where(F.col(text).isNotNull()), keys, order_key, "_rank", n_blocks, hot_rows)
+    ranked = rank(df.where(F.col(text).isNotNull()), keys, order_key, "_rank", n_blocks, hot_rows, counted=df)
     paged = ranked.withColumn("page", F.floor((F.col("_rank") - 1) / page_size).cast("long"))
     items = F.array_sort(F.collect_list(F.struct("_rank", F.col(text).alias("t"))))
     return paged.groupBy(*keys, "page").agg(

@@ -23,7 +23,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomtext.session import cut_lineage
+
 MAX_BROADCAST_QUESTIONS = 8192
+MAX_BROADCAST_CELLS = 16_000_000  # numbers in the question matrix, 128 MB
 QUESTION_BLOCK = 4096
 CORPUS_BLOCK = 65536
 _TILE_CELLS = 4_000_000
@@ -124,30 +127,36 @@ def _broadcast_search(head: list, corpus: DataFrame, schema: T.StructType, qid:
 
 def _block_search(q: DataFrame, c: DataFrame, schema: T.StructType, qid: str, cid: str, vec: str,
                   k: int, metric: str, question_block: int, corpus_block: int) -> DataFrame:
-    """Meet questions and corpus block by block inside each `code`.
+    """Meet questions and corpus block by block, inside each `code` if the inputs carry one.
 
-    Each code gets as many blocks per side as its size asks for, so a hot code is spread over a
-    grid of (question block, corpus block) cells of bounded size. The size table has one row
-    per code; codes have few bits, which bounds what is broadcast.
+    Each code (or the whole input) gets as many blocks per side as its size asks for, so a hot
+    code is spread over a grid of (question block, corpus block) cells of bounded size. The
+    table of sizes has one row per code; codes have few bits, which bounds what is broadcast.
     """
-    def blocks(df: DataFrame, size: int, name: str) -> DataFrame:
-        n = df.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
-        return n.select("code", F.ceil(F.col("n") / size).cast("int").alias(name))
+    coded = "code" in q.columns
+    code = ["code"] if coded else []
+
+    def blocks(n: Column, size: int) -> Column:
+        return F.ceil(n / F.lit(size)).cast("int")
 
-    sizes = blocks(q, question_block, "nq").join(blocks(c, corpus_block, "nc"), "code")
-    sizes = F.broadcast(sizes)
+    if coded:
+        per_q = q.groupBy("code").agg(blocks(F.count(F.lit(1)), question_block).alias("nq"))
+        per_c = c.groupBy("code").agg(blocks(F.count(F.lit(1)), corpus_block).alias("nc"))
+        sizes = F.broadcast(per_q.join(per_c, "code"))
+        q, c = q.join(sizes, "code"), c.join(sizes, "code")
+    else:
+        nq, nc = blocks(F.lit(q.count()), question_block), blocks(F.lit(c.count()), corpus_block)
+        q, c = [d.withColumn("nq", nq).withColumn("nc", nc) for d in (q, c)]
 
     def side(df: DataFrame, key: str, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
-        return (
-            df.join(sizes, "code")
-            .withColumn(own, F.pmod(F.xxhash64(key), F.col(own_n)).cast("int"))
-            .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_n) - 1)))
-            # fresh attributes: both sides may come from the same table
-            .select(*[F.col(x).alias(x) for x in ("code", "bq", "bc", key, vec)])
+        cells = df.withColumn(own, F.pmod(F.xxhash64(key), F.col(own_n)).cast("int")).withColumn(
+            other, F.explode(F.sequence(F.lit(0), F.col(other_n) - 1))
         )
+        # fresh attributes: both sides may come from the same table
+        return cells.select(*[F.col(x).alias(x) for x in (*code, "bq", "bc", key, vec)])
 
-    left = side(q, qid, "bq", "nq", "bc", "nc").groupBy("code", "bq", "bc")
-    right = side(c, cid, "bc", "nc", "bq", "nq").groupBy("code", "bq", "bc")
+    left = side(q, qid, "bq", "nq", "bc", "nc").groupBy(*code, "bq", "bc")
+    right = side(c, cid, "bc", "nc", "bq", "nq").groupBy(*code, "bq", "bc")
 
     def meet(a: pa.Table, b: pa.Table) -> pa.Table:
         if not a.num_rows or not b.num_rows:
@@ -167,20 +176,25 @@ def _block_search(q: DataFrame, c: DataFrame, schema: T.StructType, qid: str, ci
 def topk(questions: DataFrame, corpus: DataFrame, k: int = 8, *, qid: str = "query_id",
          cid: str = "chunk_id", vec: str = "embedding", metric: str = "l2",
          max_broadcast: int = MAX_BROADCAST_QUESTIONS, question_block: int = QUESTION_BLOCK,
-         corpus_block: int = CORPUS_BLOCK) -> DataFrame:
-    """Exact `k` nearest corpus rows per question: `qid, cid, rank, distance|similarity`."""
+         corpus_block: int = CORPUS_BLOCK, stored: bool = True) -> DataFrame:
+    """Exact `k` nearest corpus rows per question: `qid, cid, rank, distance|similarity`.
+
+    `stored=False` says that the vectors are still to be computed; ways that read them more than
+    once then write them to the shared folder first.
+    """
     if metric not in ("l2", "cosine"):
         raise ValueError(f"unknown metric: {metric}")
     q = questions.select(qid, vec).where(F.col(vec).isNotNull())
     c = corpus.select(cid, vec).where(F.col(vec).isNotNull())
     schema = _out_schema(q, c, qid, cid)
     head = q.limit(max_broadcast + 1).collect() if max_broadcast else []
-    if max_broadcast and len(head) <= max_broadcast:
+    cells = sum(len(r[1]) for r in head)
+    if max_broadcast and len(head) <= max_broadcast and cells <= MAX_BROADCAST_CELLS:
         cands = _broadcast_search(head, c, schema, qid, cid, vec, k, metric)
     else:
-        code = F.lit(0)
-        cands = _block_search(q.withColumn("code", code), c.withColumn("code", code), schema,
-                              qid, cid, vec, k, metric, question_block, corpus_block)
+        if not stored:
+            q, c = cut_lineage(q), cut_lineage(c)
+        cands = _block_search(q, c, schema, qid, cid, vec, k, metric, question_block, corpus_block)
     return _final(cands, qid, cid, k, metric)
 
 
@@ -215,7 +229,7 @@ def probe_masks(bits: int, radius: int) -> list[int]:
 def topk_approx(questions: DataFrame, corpus: DataFrame, k: int = 8, *, bits: int = 10,
                 radius: int = 2, dims: int = 64, qid: str = "query_id", cid: str = "chunk_id",
                 vec: str = "embedding", metric: str = "l2", question_block: int = QUESTION_BLOCK,
-                corpus_block: int = CORPUS_BLOCK) -> DataFrame:
+                corpus_block: int = CORPUS_BLOCK, stored: bool = True) -> DataFrame:
     """Approximate top-k: a question meets only corpus rows whose code is within `radius` flips.
 
     Candidates are ranked by exact distance. `radius = bits` probes everything and is exact.
@@ -224,6 +238,8 @@ def topk_approx(questions: DataFrame, corpus: DataFrame, k: int = 8, *, bits: in
         raise ValueError("at most 16 bits: the table of code sizes is broadcast")
     q = questions.select(qid, vec).where(F.col(vec).isNotNull())
     c = corpus.select(cid, vec).where(F.col(vec).isNotNull())
+    if not stored:
+        q, c = cut_lineage(q), cut_lineage(c)
     schema = _out_schema(q, c, qid, cid)
     masks = F.array(*[F.lit(m) for m in probe_masks(bits, radius)])
     probes = q.withColumn("own", hash_code(F.col(vec), bits, dims)).withColumn("mask", F.explode(masks))

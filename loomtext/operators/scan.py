@@ -58,14 +58,15 @@ def hot_blocks(rows: DataFrame, keys: list[str], hot: DataFrame, aggs: Aggs) ->
 
 def running(df: DataFrame, keys: list[str], pos: str, aggs: Aggs, *, block: Column | None = None,
             inclusive: bool = True, reverse: bool = False, bits: int = BLOCK_BITS,
-            hot_rows: int = skew.HOT_ROWS) -> DataFrame:
+            hot_rows: int = skew.HOT_ROWS, counted: DataFrame | None = None) -> DataFrame:
     """Add running aggregates per group in the order of `pos`.
 
     `pos` is an integer position, or any order column together with an explicit `block` column
-    that grows with it (see `ranges`).
+    that grows with it (see `ranges`). `counted` names a cheaper frame to count the keys on,
+    one with at least the rows of `df` per key.
     """
     rows, args = _with_args(df, aggs, block_id(F.col(pos), bits) if block is None else block)
-    hot = skew.hot_keys(df, keys, hot_rows)
+    hot = skew.hot_keys(df if counted is None else counted, keys, hot_rows)
     order = F.col(_BLK).desc() if reverse else F.col(_BLK).asc()
     before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     carry = hot_blocks(rows, keys, hot, args).select(

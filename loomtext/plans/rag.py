@@ -30,8 +30,9 @@ def retrieve(questions: DataFrame, corpus: DataFrame, k: int, *, encoder=None, t
     text is joined to the few winners.
     """
     q = embed(questions, "question", encoder).select(QID, "embedding")
-    c = corpus if "embedding" in corpus.columns else embed(corpus, text, encoder)
-    ranked = retrieval.topk(q, c.select(CID, "embedding"), k, qid=QID, cid=CID, metric=metric)
+    stored = "embedding" in corpus.columns
+    c = corpus if stored else embed(corpus, text, encoder)
+    ranked = retrieval.topk(q, c.select(CID, "embedding"), k, qid=QID, cid=CID, metric=metric, stored=stored)
     hits = corpus.select(CID, F.col(text).alias("text"), "source").join(ranked.select(QID, CID, "rank"), CID)
     return hits.join(questions.select(QID, "question"), QID)
 
@@ -67,8 +68,10 @@ def with_fallback(graded: DataFrame, questions: DataFrame, corpus: DataFrame, k:
     """Relevant chunks; questions with any irrelevant chunk also get the fallback document.
 
     The fallback row ranks after all chunks and has no source. Only flagged questions are
-    searched in the second corpus.
+    searched in the second corpus. The graded rows (k per question) are checkpointed: they are
+    used three times, and the search behind them runs once.
     """
+    graded = cut_lineage(graded)
     flagged = stats.irrelevant_flag(graded, QID, F.col("relevant")).where("any_irrelevant").select(QID)
     extra = fallback_documents(questions.join(flagged, QID, "left_semi"), corpus, k, encoder)
     last = graded.groupBy(QID).agg((F.max("rank") + 1).alias("rank"))
@@ -142,7 +145,7 @@ def corrective_answers(questions: DataFrame, corpus: DataFrame, second: DataFram
     routed = route(questions, router)
     vector_q = routed.where("route = 'vectorstore'")
     web_q = routed.where("route = 'websearch'")
-    graded = grade(retrieve(vector_q, corpus, k, encoder=encoder), grader)
+    graded = cut_lineage(grade(retrieve(vector_q, corpus, k, encoder=encoder), grader))
     docs = graded.where("relevant").select(QID, "rank", "text", "source")
     flagged = stats.irrelevant_flag(graded, QID, F.col("relevant")).where("any_irrelevant").select(QID)
     fallback = cut_lineage(fallback_documents(routed.where("route is not null"), second, 3, encoder))
