@@ -21,7 +21,6 @@ from loomtext.functions import text as X
 Scorer = Callable[..., Column]
 
 DIMENSIONS = 64
-TOKEN_BREAK = r"[ \t\n\r\f\v]+"
 
 
 def vocabulary(c: Column) -> Column:
@@ -53,7 +52,7 @@ def topic_router(topics: list[str]) -> Scorer:
     """Fenced verdict: `vectorstore` when the question names a topic, else `websearch`."""
 
     def score(question: Column) -> Column:
-        known = F.arrays_overlap(vocabulary(question), F.array(*[F.lit(t) for t in topics]))
+        known = F.arrays_overlap(X.words(F.lower(question)), F.array(*[F.lit(t) for t in topics]))
         return F.concat(
             F.lit('Routing.\n```json\n{"datasource": "'),
             F.when(known, "vectorstore").otherwise("websearch"),
@@ -77,7 +76,7 @@ def hashed_encoder(dims: int = DIMENSIONS) -> Callable[[Column], Column]:
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def encode(texts: pa.Array) -> pa.Array:
-        tokens = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts, "")), pattern=TOKEN_BREAK)
+        tokens = pc.ascii_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
         row = pc.list_parent_indices(tokens).to_numpy(zero_copy_only=False)
         coded = pc.list_flatten(tokens).dictionary_encode()
         known = np.array([_bucket(t, dims) for t in coded.dictionary.to_pylist()], dtype=np.int64)

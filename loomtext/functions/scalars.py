@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from loomtext.schemas import MEDIA
+from loomtext.schemas import MEDIA, WEATHER
 
 # Allowed arithmetic expression, and the weather report layout.
 EXPRESSION_PATTERN = r"^[0-9+\-*/().\s]+$"
@@ -45,24 +45,23 @@ def expression_allowed(c: Column) -> Column:
     return c.rlike(EXPRESSION_PATTERN)
 
 
-def weather_report(place: Column, payload: Column, units: Column) -> Column:
-    """Report text from a JSON answer, or the error line when its status is not 200."""
+def parse_weather(payload: Column) -> Column:
+    """The answer's JSON as a struct. Keep it as a column of its own: one parse per row."""
+    return F.from_json(payload, WEATHER)
 
-    def at(path: str) -> Column:
-        return F.get_json_object(payload, path)
 
+def weather_report(place: Column, answer: Column, units: Column) -> Column:
+    """Report text from a parsed answer, or the error line when its status is not 200."""
     ok = F.concat(
         F.lit("Weather in "), place,
-        F.lit(":\nCondition: "), at("$.weather[0].description"),
-        F.lit("\nTemperature: "), at("$.main.temp"),
+        F.lit(":\nCondition: "), F.get(answer["weather"], F.lit(0))["description"],
+        F.lit("\nTemperature: "), answer["main"]["temp"],
         F.lit("°"), F.when(units == "metric", "C").otherwise("F"),
-        F.lit("\nHumidity: "), at("$.main.humidity"),
-        F.lit("%\nWind Speed: "), at("$.wind.speed"), F.lit(" m/s"),
+        F.lit("\nHumidity: "), answer["main"]["humidity"],
+        F.lit("%\nWind Speed: "), answer["wind"]["speed"], F.lit(" m/s"),
     )
-    failed = F.concat(
-        F.lit("Error getting weather data: "), F.coalesce(at("$.message"), F.lit("Unknown error"))
-    )
-    return F.when(at("$.status") == "200", ok).otherwise(failed)
+    failed = F.concat(F.lit("Error getting weather data: "), F.coalesce(answer["message"], F.lit("Unknown error")))
+    return F.when(answer["status"] == 200, ok).otherwise(failed)
 
 
 def rational(c: Column) -> Column:
@@ -72,9 +71,13 @@ def rational(c: Column) -> Column:
     return F.try_divide(num, den)
 
 
-def media_record(payload: Column) -> Column:
-    """Normalised struct from a probe's JSON text, with a default for every absent field."""
-    rec = F.from_json(payload, MEDIA)
+def parse_media(payload: Column) -> Column:
+    """A probe's JSON as a struct. Keep it as a column of its own: one parse per row."""
+    return F.from_json(payload, MEDIA)
+
+
+def media_record(rec: Column) -> Column:
+    """Normalised struct from a parsed probe, with a default for every absent field."""
     stream = F.get(rec["streams"], F.lit(0))
     fmt = rec["format"]
 

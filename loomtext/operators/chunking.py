@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -35,44 +36,46 @@ def window_chunks(df: DataFrame, size: int = 512, overlap: int = 50, text: str =
     )
 
 
-def _pieces(text: str, sep: str) -> list[str]:
-    """Cut before each separator, so a piece keeps the separator it starts with."""
+def _piece_lengths(text: str, sep: str) -> list[int]:
+    """Lengths of the pieces; a piece keeps the separator it starts with."""
     if not sep:
-        return list(text)
-    starts = [m.start() for m in re.finditer(re.escape(sep), text)]
-    cuts = sorted({0, len(text), *starts})
-    return [text[a:b] for a, b in zip(cuts, cuts[1:])]
-
-
-def _pack(pieces: list[str], size: int, overlap: int) -> Iterator[str]:
-    """Greedy packing up to `size`, restarting each chunk with a tail of at most `overlap`."""
-    first, total = 0, 0
-    for i, piece in enumerate(pieces):
-        if total + len(piece) > size and i > first:
-            yield "".join(pieces[first:i])
-            while total > overlap or (total and total + len(piece) > size):
-                total -= len(pieces[first])
-                first += 1
-        total += len(piece)
-    if first < len(pieces):
-        yield "".join(pieces[first:])
+        return [1] * len(text)
+    first, *rest = map(len, text.split(sep))
+    return ([first] if first else []) + [len(sep) + n for n in rest]
+
+
+def _pack(text: str, start: int, lengths: list[int], size: int, overlap: int) -> Iterator[str]:
+    """Fill chunks up to `size` with whole neighbouring pieces, each shorter than `size`.
+
+    A chunk after the first starts at the earliest piece that leaves at most `overlap` shared
+    characters and room for one new piece. Piece borders are sorted, so each chunk is found by
+    two binary searches.
+    """
+    borders = list(accumulate(lengths, initial=start))
+    at, last = 0, len(lengths)
+    while at < last:
+        end = bisect_right(borders, borders[at] + size) - 1
+        yield text[borders[at]:borders[end]]
+        if end == last:
+            return
+        at = bisect_left(borders, max(borders[end] - overlap, borders[end + 1] - size), at, end)
 
 
 def _recursive(text: str, seps: list[str], size: int, overlap: int) -> Iterator[str]:
+    """Cut at the coarsest separator present; pieces that are too long go on to finer ones."""
     level = next((i for i, s in enumerate(seps) if not s or s in text), len(seps) - 1)
     finer = seps[level + 1:]
-    fitting: list[str] = []
-    for piece in _pieces(text, seps[level]):
-        if len(piece) < size:
-            fitting.append(piece)
+    start, run = 0, []
+    for n in _piece_lengths(text, seps[level]):
+        if n < size:
+            run.append(n)
             continue
-        yield from _pack(fitting, size, overlap)
-        fitting = []
-        if finer:
-            yield from _recursive(piece, finer, size, overlap)
-        else:
-            yield piece
-    yield from _pack(fitting, size, overlap)
+        yield from _pack(text, start, run, size, overlap)
+        long_from = start + sum(run)
+        piece = text[long_from:long_from + n]
+        yield from _recursive(piece, finer, size, overlap) if finer else [piece]
+        start, run = long_from + n, []
+    yield from _pack(text, start, run, size, overlap)
 
 
 def split_text(text: str | None, language: str | None = None, size: int = 512, overlap: int = 50) -> list[str]:

@@ -283,7 +283,8 @@ def weather_report(spark, sf):
     rows = e.select("event_id", F.concat(F.lit("place "), uid).alias("place"),
                     F.when(F.col("event_type") == "error", bad).otherwise(ok).alias("payload"),
                     F.when(F.col("user_id") % 2 == 0, "metric").otherwise("imperial").alias("units"))
-    return rows.select("event_id", S.weather_report(F.col("place"), F.col("payload"), F.col("units")).alias("report"))
+    parsed = rows.withColumn("answer", S.parse_weather(F.col("payload")))
+    return parsed.select("event_id", S.weather_report(F.col("place"), F.col("answer"), F.col("units")).alias("report"))
 
 
 @query("b16_media_records", """
@@ -301,7 +302,8 @@ def media_records(spark, sf):
         F.lit("bt709").alias("color_space"))
     fmt = F.when(e % 5 != 0, F.struct(F.lit("mp4").alias("format_name"), F.col("value").cast("string").alias("duration")))
     payload = F.to_json(F.struct(F.array(stream).alias("streams"), fmt.alias("format")))
-    out = table(spark, sf, "events").select("event_id", S.media_record(payload).alias("m")).select("event_id", "m.*")
+    parsed = table(spark, sf, "events").select("event_id", S.parse_media(payload).alias("probe"))
+    out = parsed.select("event_id", S.media_record(F.col("probe")).alias("m")).select("event_id", "m.*")
     return out.withColumn("fps", F.round("fps", 6))
 
 

@@ -54,3 +54,7 @@ MEDIA_STREAM = _struct(
     display_aspect_ratio=_S, color_space=_S,
 )
 MEDIA = _struct(streams=T.ArrayType(MEDIA_STREAM), format=_struct(format_name=_S, duration=_S))
+WEATHER = _struct(
+    status=_L, message=_S, weather=T.ArrayType(_struct(description=_S)),
+    main=_struct(temp=_S, humidity=_S), wind=_struct(speed=_S),
+)

@@ -58,9 +58,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use the cores on an input with far fewer splits than cores, for work that is heavy per row.
+    """Use the cores on an input of far fewer files than cores, for work that is heavy per row.
 
-    Inputs with enough splits, which is every large one, are returned as they are: no shuffle.
+    A single Parquet row group is one task whatever its splits say. Inputs with enough files or
+    splits, which is every large one, are returned as they are: no shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 4 <= cores else df
+    splits = df.rdd.getNumPartitions()
+    files = len(df.inputFiles()) or splits
+    return df.repartition(cores) if files * 4 <= cores and splits <= cores * 4 else df

@@ -74,7 +74,7 @@ def test_media_records(spark):
         ('{"streams":[{}],"format":{}}',),
         ('{"streams":[{"r_frame_rate":"0/0"}],"format":{"duration":"x"}}',),
     ]
-    got = spark.createDataFrame(rows, "p string").select(S.media_record(F.col("p")).alias("m")).select("m.*").collect()
+    got = spark.createDataFrame(rows, "p string").select(S.media_record(S.parse_media(F.col("p"))).alias("m")).select("m.*").collect()
     assert (got[0].resolution, round(got[0].fps, 3), got[0].duration, got[0].colorspace) == ("1920x1080", 29.97, 12.5, "N/A")
     assert (got[1].codec, got[1].resolution, got[1].fps, got[1].duration) == ("N/A", "0x0", 0.0, 0.0)
     assert got[2].fps is None and got[2].duration == 0.0
