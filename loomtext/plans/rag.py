@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loomtext.functions import inference as I
 from loomtext.functions import text as X
-from loomtext.operators import context, retrieval, stats
+from loomtext.operators import context, retrieval, skew, stats
 from loomtext.session import cut_lineage
 
 PROMPT = "Answer only from the context.\nQuestion: {question}\nContext: {context}\nAnswer:"
@@ -33,7 +33,11 @@ def retrieve(questions: DataFrame, corpus: DataFrame, k: int, *, encoder=None, t
     stored = "embedding" in corpus.columns
     c = corpus if stored else embed(corpus, text, encoder)
     ranked = retrieval.topk(q, c.select(CID, "embedding"), k, qid=QID, cid=CID, metric=metric, stored=stored)
-    hits = corpus.select(CID, F.col(text).alias("text"), "source").join(ranked.select(QID, CID, "rank"), CID)
+    # k rows per question; computed once, although the join below looks at them twice. One chunk
+    # may win for a large part of all questions, hence the salted join.
+    ranked = cut_lineage(ranked.select(QID, CID, "rank"))
+    texts = corpus.select(CID, F.col(text).alias("text"), "source")
+    hits = skew.skewed_lookup(ranked, texts, CID, QID, "inner")
     return hits.join(questions.select(QID, "question"), QID)
 
 
