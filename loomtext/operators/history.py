@@ -80,7 +80,8 @@ def trim(messages: DataFrame, key: str, budget: int, *, pos: str = "turn", role:
 def last_n(messages: DataFrame, keys: list[str], n: int, pos: str = "turn") -> DataFrame:
     """The newest `n` rows per group; the rank filter trims each partition before the shuffle."""
     w = Window.partitionBy(*keys).orderBy(F.col(pos).desc())
-    return messages.withColumn("from_end", F.row_number().over(w)).where(F.col("from_end") <= n)
+    ranked = messages.withColumn("from_end", F.row_number().over(w)).where(F.col("from_end") <= n)
+    return ranked.withColumn("from_end", F.col("from_end").cast("long"))
 
 
 def transcripts(messages: DataFrame, key: str, pos: str = "turn", text: str = "text", page_bits: int = 6) -> DataFrame:

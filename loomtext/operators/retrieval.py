@@ -84,6 +84,7 @@ def _block_topk(q: np.ndarray, c: np.ndarray, cid: np.ndarray, k: int, metric: s
 def _final(cands: DataFrame, qid: str, cid: str, k: int, metric: str) -> DataFrame:
     w = Window.partitionBy(qid).orderBy("score", cid)
     ranked = cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    ranked = ranked.withColumn("rank", F.col("rank").cast("long"))
     if metric == "cosine":
         return ranked.select(qid, cid, "rank", (-F.col("score")).alias("similarity"))
     return ranked.select(qid, cid, "rank", F.col("score").alias("distance"))

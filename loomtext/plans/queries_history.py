@@ -124,7 +124,7 @@ def _state_updates(spark, sf):
 
 @query("h08_state_fold", f"""
 SELECT thread_id, step, last_value(mood IGNORE NULLS) OVER w AS mood_now, last_value(topic IGNORE NULLS) OVER w AS topic_now,
-       sum(cost) OVER w AS cost_total, count(message) OVER w AS n_appended
+       (sum(cost) OVER w)::BIGINT AS cost_total, count(message) OVER w AS n_appended
 FROM ({_STATE_SQL}) WINDOW w AS (PARTITION BY thread_id ORDER BY step ROWS UNBOUNDED PRECEDING)""")
 def state_fold(spark, sf):
     return history.fold_state(_state_updates(spark, sf), "thread_id", "step", ["mood", "topic"], ["cost"], "message").select(

@@ -113,7 +113,7 @@ regexp_replace(regexp_replace({c}, '(?m)^---[\s\S]+?---', '', 'g'),
 SELECT page_id, md5(t) AS text_md5, length(t) AS n_chars FROM (SELECT page_id, {CLEAN_SQL.format(c='html')} AS t FROM pages)""")
 def clean_markup(spark, sf):
     t = table(spark, sf, "pages").select("page_id", X.clean_markup(F.col("html")).alias("t"))
-    return t.select("page_id", F.md5("t").alias("text_md5"), F.length("t").alias("n_chars"))
+    return t.select("page_id", F.md5("t").alias("text_md5"), F.length("t").cast("long").alias("n_chars"))
 
 
 @query("b02_clean_by_type", f"""
@@ -357,7 +357,7 @@ WINDOWS_512 = _WINDOWS_SQL.format(size=512, step=462)
 SELECT doc_id, chunk_idx::BIGINT AS chunk_idx, length(chunk) AS n_chars, md5(chunk) AS chunk_md5 FROM ({WINDOWS_512})""")
 def window_chunks(spark, sf):
     c = chunking.window_chunks(table(spark, sf, "documents").select("doc_id", "text"), 512, 50)
-    return c.select("doc_id", "chunk_idx", F.length("chunk").alias("n_chars"), F.md5("chunk").alias("chunk_md5"))
+    return c.select("doc_id", "chunk_idx", F.length("chunk").cast("long").alias("n_chars"), F.md5("chunk").alias("chunk_md5"))
 
 
 @query("d04_global_chunk_ids", f"""

@@ -97,3 +97,16 @@ def test_import_graph(spark):
     size = graph.graph_size(edges).first()
     assert (size.n_nodes, size.n_edges) == (7, 4)
     assert {tuple(r) for r in graph.neighbours(edges).where("node = 'a'").collect()} == {("a", "pkg/b.py")}
+
+
+def test_unstored_vectors_take_the_same_ways(spark, data):
+    """Vectors computed by an encoder: small and large question sets agree with stored ones."""
+    from loomtext.functions import inference as I
+    texts = spark.createDataFrame([(i, f"word{i % 7} item{i} common") for i in range(60)] + [(99, "  ")], "chunk_id long, text string")
+    enc = I.hashed_encoder()
+    c = texts.select("chunk_id", enc(F.col("text")).alias("embedding"))
+    q = texts.where("chunk_id < 9").select(F.col("chunk_id").alias("query_id"), enc(F.col("text")).alias("embedding"))
+    want = _got(retrieval.topk(q, c, 3, stored=False))
+    assert len(want) == 27 and {(i, i, 1) for i in range(9)} <= want
+    assert _got(retrieval.topk(q, c, 3, max_broadcast=0, question_block=4, corpus_block=16, stored=False)) == want
+    assert _got(retrieval.topk_approx(q, c, 3, bits=4, radius=4, stored=False)) == want
