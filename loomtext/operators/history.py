@@ -38,24 +38,24 @@ def trim(messages: DataFrame, key: str, budget: int, *, pos: str = "turn", role:
         return F.min_by("_tok", role_pos)
 
     sys_pos = F.when(is_sys_role, F.col(pos))
-    blocks = rows.join(hot, key, "left_semi").withColumnRenamed("_own", scan._BLK)
-    blocks = blocks.groupBy(key, scan._BLK).agg(
+    blocks = rows.join(hot, key, "left_semi").withColumnRenamed("_own", scan.BLK)
+    blocks = blocks.groupBy(key, scan.BLK).agg(
         *[scan.fold(k, e).alias(n) for n, (k, e) in aggs.items()], sys_cost(sys_pos).alias("_sys_tok")
     )
-    later = Window.partitionBy(key).orderBy(F.col(scan._BLK).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(key).orderBy(F.col(scan.BLK).desc()).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(key)
     carry = blocks.select(
-        key, scan._BLK, F.lit(True).alias("_is_hot"), F.coalesce(F.sum("_sum").over(later), F.lit(0)).alias("_c_later"),
+        key, scan.BLK, F.lit(True).alias("_is_hot"), F.coalesce(F.sum("_sum").over(later), F.lit(0)).alias("_c_later"),
         F.min("_first").over(whole).alias("_c_first"), F.min("_sys_pos").over(whole).alias("_c_sys_pos"),
         F.min_by("_sys_tok", "_sys_pos").over(whole).alias("_c_sys_tok"),
     )
-    part = Window.partitionBy(key, scan._BLK)
+    part = Window.partitionBy(key, scan.BLK)
     down = part.orderBy(F.col(pos).desc()).rowsBetween(Window.unboundedPreceding, 0)
     everything = part.orderBy(F.col(pos).desc()).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
     def fitting(some: DataFrame) -> DataFrame:
-        seen = scan.split_blocks(some, [key], hot).join(carry, [key, scan._BLK], "left").select(
-            *messages.columns, "_tok", scan._BLK, "_is_hot",
+        seen = scan.split_blocks(some, [key], hot).join(carry, [key, scan.BLK], "left").select(
+            *messages.columns, "_tok", scan.BLK, "_is_hot",
             F.coalesce("_c_later", F.lit(0)).alias("_later"),
             F.sum("_tok").over(down).alias("_here"),
             F.when(F.col("_is_hot"), F.col("_c_first")).otherwise(F.min(pos).over(everything)).alias("_first"),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from loomtext.operators import skew
 
 BLOCK_BITS = 16  # 65536 positions per block: a group of 10^11 rows has 1.5 million blocks
-_BLK = "_blk"
+BLK = "_blk"
 
 #: name -> (kind, expression); kind is "sum", "min" or "max".
 Aggs = dict[str, tuple[str, Column]]
@@ -47,13 +47,13 @@ def _with_args(df: DataFrame, aggs: Aggs, block: Column) -> tuple[DataFrame, Agg
 def split_blocks(rows: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
     """`_blk` is the row's own block in a hot group and 0 in every other group."""
     own = F.when(F.col("_splits").isNotNull(), F.col("_own")).otherwise(F.lit(0).cast("long"))
-    return rows.join(hot, keys, "left").withColumn(_BLK, own).drop("_splits", "_own")
+    return rows.join(hot, keys, "left").withColumn(BLK, own).drop("_splits", "_own")
 
 
 def hot_blocks(rows: DataFrame, keys: list[str], hot: DataFrame, aggs: Aggs) -> DataFrame:
     """One summary row per block of a hot group."""
-    only = rows.join(hot, keys, "left_semi").withColumnRenamed("_own", _BLK)
-    return only.groupBy(*keys, _BLK).agg(*[fold(k, e).alias(n) for n, (k, e) in aggs.items()])
+    only = rows.join(hot, keys, "left_semi").withColumnRenamed("_own", BLK)
+    return only.groupBy(*keys, BLK).agg(*[fold(k, e).alias(n) for n, (k, e) in aggs.items()])
 
 
 def running(df: DataFrame, keys: list[str], pos: str, aggs: Aggs, *, block: Column | None = None,
@@ -67,14 +67,14 @@ def running(df: DataFrame, keys: list[str], pos: str, aggs: Aggs, *, block: Colu
     """
     rows, args = _with_args(df, aggs, block_id(F.col(pos), bits) if block is None else block)
     hot = skew.hot_keys(df if counted is None else counted, keys, hot_rows)
-    order = F.col(_BLK).desc() if reverse else F.col(_BLK).asc()
+    order = F.col(BLK).desc() if reverse else F.col(BLK).asc()
     before = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     carry = hot_blocks(rows, keys, hot, args).select(
-        *keys, _BLK, *[fold(k, F.col(n)).over(before).alias(f"_c_{n}") for n, (k, _) in aggs.items()]
+        *keys, BLK, *[fold(k, F.col(n)).over(before).alias(f"_c_{n}") for n, (k, _) in aggs.items()]
     )
-    inside = Window.partitionBy(*keys, _BLK).orderBy(F.col(pos).desc() if reverse else F.col(pos).asc())
+    inside = Window.partitionBy(*keys, BLK).orderBy(F.col(pos).desc() if reverse else F.col(pos).asc())
     inside = inside.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    joined = split_blocks(rows, keys, hot).join(carry, [*keys, _BLK], "left")
+    joined = split_blocks(rows, keys, hot).join(carry, [*keys, BLK], "left")
     return joined.select(
         *df.columns,
         *[combine(k, fold(k, e).over(inside), F.col(f"_c_{n}")).alias(n) for n, (k, e) in args.items()],
@@ -93,7 +93,7 @@ def group_totals(df: DataFrame, keys: list[str], block: Column, aggs: Aggs,
     totals = rows.join(hot, keys, "left_semi").groupBy(*keys).agg(
         *[fold(k, e).alias(f"_t_{n}") for n, (k, e) in args.items()], F.lit(True).alias("_is_hot")
     )
-    group = Window.partitionBy(*keys, _BLK)
+    group = Window.partitionBy(*keys, BLK)
     joined = split_blocks(rows, keys, hot).join(F.broadcast(totals), keys, "left")
     return joined.select(
         *df.columns,

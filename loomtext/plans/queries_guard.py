@@ -196,7 +196,8 @@ def thread_risk(spark, sf):
     return stats.thread_risk(guarded(spark, sf), "thread_id")
 
 
-@query("c08_model_input", f"{GUARDED_SQL} SELECT thread_id, turn, safe_text FROM guarded JOIN conversations c ON thread_id = c.conv_id AND guarded.turn = c.turn WHERE c.role <> 'user' OR contains(safe_text, 'REDACTED')".replace("SELECT thread_id, turn, safe_text FROM guarded JOIN", "SELECT thread_id, guarded.turn, safe_text FROM guarded JOIN"))
+@query("c08_model_input", f"""{GUARDED_SQL} SELECT thread_id, g.turn, safe_text
+FROM guarded g JOIN conversations c ON thread_id = c.conv_id AND g.turn = c.turn WHERE c.role <> 'user' OR contains(safe_text, 'REDACTED')""")
 def model_input(spark, sf):
     p = planted(spark, sf)
     safe = F.when(F.col("role") == "user", G.redact(F.col("text"))).otherwise(F.col("text"))

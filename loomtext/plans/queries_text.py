@@ -454,7 +454,8 @@ def first_sources(spark, sf):
     return table(spark, sf, "documents").select("doc_id", "source", "lang").orderBy("source", "doc_id").limit(5)
 
 
-@query("i01_sorted_listing", "SELECT url FROM pages WHERE url NOT LIKE '%venv%' AND url NOT LIKE '%.git%' AND url NOT LIKE '%__pycache__%' ORDER BY url".replace("'%__pycache__%'", r"'%\_\_pycache\_\_%' ESCAPE '\'"))
+@query("i01_sorted_listing", """
+SELECT url FROM pages WHERE NOT contains(url, 'venv') AND NOT contains(url, '.git') AND NOT contains(url, '__pycache__') ORDER BY url""")
 def sorted_listing(spark, sf):
     p = table(spark, sf, "pages").select("url")
-    return p.where(corpus._not_excluded(F.col("url"), corpus.EXCLUDED)).orderBy("url")
+    return p.where(corpus.not_excluded(F.col("url"), corpus.EXCLUDED)).orderBy("url")

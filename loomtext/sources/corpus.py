@@ -18,7 +18,7 @@ def _glob(extensions: list[str]) -> str:
     return "*.{%s}" % ",".join(e.lstrip(".") for e in extensions)
 
 
-def _not_excluded(path: Column, excluded: list[str]) -> Column:
+def not_excluded(path: Column, excluded: list[str]) -> Column:
     keep = F.lit(True)
     for part in excluded:
         keep = keep & ~F.contains(path, F.lit(part))
@@ -53,7 +53,7 @@ def scan_tree(spark: SparkSession, root: str, extensions: list[str], excluded: l
     base = "file:" + root if root.startswith("/") else root
     path = F.regexp_replace(F.col("path"), "^file:/+", "file:/")
     rel = X.relative_path(path, F.lit(base))
-    files = raw.where(_not_excluded(rel, EXCLUDED if excluded is None else excluded))
+    files = raw.where(not_excluded(rel, EXCLUDED if excluded is None else excluded))
     if max_file_bytes:
         too_big = F.raise_error(F.concat(F.lit("file too large: "), F.col("path")))
         files = files.where(F.when(F.col("length") > max_file_bytes, too_big.cast("boolean")).otherwise(True))
@@ -81,7 +81,7 @@ def list_files(spark: SparkSession, root: str, extensions: list[str] | None = No
     path = F.regexp_replace(F.col("path"), "^file:/+", "file:/")
     base = "file:" + root if root.startswith("/") else root
     rel = reader.load(root).select(X.relative_path(path, F.lit(base)).alias("path"))
-    return rel.where(_not_excluded(F.col("path"), EXCLUDED if excluded is None else excluded)).orderBy("path")
+    return rel.where(not_excluded(F.col("path"), EXCLUDED if excluded is None else excluded)).orderBy("path")
 
 
 def load_documents(spark: SparkSession, root: str, extensions: list[str]) -> DataFrame:
