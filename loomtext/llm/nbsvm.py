@@ -1,9 +1,9 @@
 """Quality classifier: naive Bayes features in a linear support vector machine.
 
-Features are indicators of hashed uni- and bigrams of words and punctuation runs. Each is scaled by
-the log ratio of its smoothed shares in the two classes, counted over all training rows. A hinge-loss
-model is fitted to the scaled rows by dual coordinate descent on a bounded sample of the training
-rows; a logistic curve, fitted on training rows outside the sample, turns margins into scores.
+Features are indicators of hashed n-grams of words and of word shapes. Each is scaled by the log
+ratio of its smoothed shares in the two classes, counted over all training rows. A hinge-loss model is
+fitted to the scaled rows by dual coordinate descent on a bounded sample of the training rows; a
+logistic curve, fitted on training rows outside the sample, turns margins into scores.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from loomtext.llm.common import doc_bytes, lookup, mix64, stored
 
 BITS = 18
 ALPHA = 1.0
-COST = 0.1
+COST = 1.0
 EPOCHS = 8
 #: The fit takes at most this many rows, those of the smallest hashes of their ids, and this many features.
 MAX_FIT_ROWS = 20_000
@@ -31,12 +31,25 @@ MAX_FIT_FEATURES = 20_000_000
 CALIBRATION_FOLD, CALIBRATION_FOLDS, BIN = 0, 5, 0.05
 MAX_MARGIN = 20.0
 
-TOKEN = re.compile(rb"[0-9a-z_\x80-\xff]+|[!-/:-@\[-^`{-~]+")
+TOKEN = re.compile(rb"[0-9A-Za-z_\x80-\xff]+|[!-/:-@\[-^`{-~]+")
+LOWER, TITLE, UPPER, DIGITS, MARKS, SAME = range(6)
+
+
+def shape_of(token: bytes) -> int:
+    if not (token[:1].isalnum() or token[0] >= 0x80 or token[0] == 0x5F):
+        return MARKS
+    if token.isdigit():
+        return DIGITS
+    if token.isupper() and len(token) > 1:
+        return UPPER
+    return TITLE if token[:1].isupper() else LOWER
 
 
 class TokenHash(dict):
+    """Token -> hash of its lower-case form, with its shape in the last three bits."""
+
     def __missing__(self, token: bytes) -> int:
-        h = zlib.crc32(token)
+        h = zlib.crc32(token.lower()) << 3 | shape_of(token)
         if len(self) >= 300_000:
             self.clear()
         if len(token) <= 64:
@@ -44,12 +57,30 @@ class TokenHash(dict):
         return h
 
 
+def grams(x: np.ndarray, sizes: range, salt: int) -> list[np.ndarray]:
+    """Hashes of the runs of the given lengths."""
+    out, h = [], np.full(len(x) + 1, salt, np.uint64)
+    for n in range(1, sizes.stop):
+        h = mix64(h[: max(0, len(x) - n + 1)] * np.uint64(0x9E3779B97F4A7C15) + x[n - 1 :]) if n <= len(x) else x[:0]
+        if n in sizes:
+            out.append(h)
+    return out
+
+
 def features(data: bytes, hashes: TokenHash) -> np.ndarray:
-    """Sorted distinct buckets of a text's uni- and bigrams; none for a text without words."""
-    tokens = TOKEN.findall(data.lower())
-    one = np.fromiter(map(hashes.__getitem__, tokens), np.uint64, len(tokens))
-    two = mix64(one[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ (one[1:] + np.uint64(1)))
-    return np.unique((np.concatenate([mix64(one), two]) >> np.uint64(64 - BITS)).astype(np.int32))
+    """Sorted distinct buckets of a text's n-grams; none for a text without words.
+
+    Uni- and bigrams of lower-case words, and uni- to trigrams of shapes: how a word is capitalised,
+    whether it repeats the one before it, and runs of marks as they are.
+    """
+    tokens = TOKEN.findall(data)
+    both = np.fromiter(map(hashes.__getitem__, tokens), np.uint64, len(tokens))
+    word, shape = both >> np.uint64(3), both & np.uint64(7)
+    again = np.zeros(len(word), bool)
+    again[1:] = word[1:] == word[:-1]
+    shape = np.where(shape == MARKS, both, np.where(again, np.uint64(SAME), shape))
+    all_grams = grams(word, range(1, 3), 1) + grams(shape, range(1, 4), 2)
+    return np.unique((np.concatenate(all_grams) >> np.uint64(64 - BITS)).astype(np.int32))
 
 
 @dataclass
