@@ -7,13 +7,14 @@ Bit sampling then reads a few steps of the embedding of every item-sized window;
 that agree on one of the samples are candidates, and a candidate counts only if its exact edit
 distance is within the bound.
 
-Before walking, a window start is set aside if a match can be ruled out: a window within k edits of
-an item has at most k words that are in no item. This loses nothing.
+Before walking, a window start is set aside if a match can be ruled out: an edit breaks at most two
+pairs of neighbouring words, so of an item's pairs all but 2k are left within k edits. This loses nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ MAX_EDITS = 0.1
 #: Items of one pass over the documents; more items take more passes.
 BLOCK_WORDS = 4_000_000
 #: Random walks and, for each, samples of its steps.
-WALKS, SAMPLES, STEPS_PER_SAMPLE = 4, 6, 5
+WALKS, SAMPLES, STEPS_PER_SAMPLE = 6, 6, 4
 SEED = 20240601
 
 HITS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("n_words", pa.int64()), ("edits", pa.int64())])
@@ -38,31 +39,32 @@ def edits_allowed(n: int, share: float = MAX_EDITS) -> int:
     return int(n * share)
 
 
-def embed(h: np.ndarray, starts: np.ndarray, ends: np.ndarray, walk: int, n_steps: int) -> np.ndarray:
-    """[steps, starts] words written by one walk from each start; past the end of a window it writes 0."""
-    rng = np.random.default_rng([SEED, walk])
-    keys = rng.integers(0, 2**63, n_steps, np.int64).astype(np.uint64)
-    out = np.zeros((n_steps, len(starts)), np.uint64)
-    at = starts.copy()
-    for t in range(n_steps):
-        inside = at < ends
-        word = np.where(inside, h[np.minimum(at, len(h) - 1)], 0)
-        out[t] = word
-        at += (mix64(word ^ keys[t]) & np.uint64(1)).astype(at.dtype) * inside
-    return out
+def samples_of(walk: int, n_steps: int) -> tuple[np.ndarray, np.ndarray]:
+    """[samples, steps per sample] steps that are read of a walk, and a random multiplier for each."""
+    rng = np.random.default_rng([SEED, walk, n_steps])
+    steps = np.stack([rng.choice(n_steps, min(STEPS_PER_SAMPLE, n_steps), replace=False) for _ in range(SAMPLES)])
+    return steps, rng.integers(0, 2**63, steps.shape, np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+
 
+def sampled(h: np.ndarray, starts: np.ndarray, ends: np.ndarray, walk: int, n_steps: int) -> np.ndarray:
+    """[samples, starts] one key per bit sample of the embeddings by one walk from each start.
 
-def sampled(walked: np.ndarray, walk: int, n_steps: int) -> list[np.ndarray]:
-    """One key per sample of the walk's steps."""
-    rng = np.random.default_rng([SEED, walk, 1])
-    keys = []
-    for s in range(SAMPLES):
-        steps = np.sort(rng.choice(n_steps, min(STEPS_PER_SAMPLE, n_steps), replace=False))
-        key = np.full(walked.shape[1], (walk * SAMPLES + s + 1) * 0x9E3779B97F4A7C15 % 2**64, np.uint64)
-        for t in steps:
-            key = mix64(key ^ walked[t])
-        keys.append(key)
-    return keys
+    Bit t of a word's hash for the walk says whether step t moves on from it; past the end of its
+    window a walk writes nothing. Only the steps that a sample reads are written at all.
+    """
+    steps, factors = samples_of(walk, n_steps)
+    keys = np.full((SAMPLES, len(starts)), walk + 1, np.uint64)
+    at, last = starts.copy(), len(h) - 1
+    bits = np.zeros(0, np.uint64)
+    for t in range(int(steps.max()) + 1):
+        if t % 64 == 0:
+            bits = mix64(h ^ np.uint64((walk * 64 + t // 64 + 1) * 0xA24BAED4963EE407 % 2**64))
+        here = np.minimum(at, last)
+        inside = at < ends
+        for s, j in zip(*np.nonzero(steps == t)):
+            keys[s] += h[here] * inside * factors[s, j]
+        at += ((bits[here] >> np.uint64(t % 64)) & np.uint64(1)).astype(at.dtype) * inside
+    return keys + np.arange(SAMPLES, dtype=np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15)
 
 
 def best_alignment(item: list, text: list, bound: int) -> tuple[int, int, int] | None:
@@ -84,15 +86,18 @@ def best_alignment(item: list, text: list, bound: int) -> tuple[int, int, int] |
 
 
 class Items:
-    """The items of one pass: their words, the lengths to scan for, and the samples of their walks."""
+    """The items of one pass: their words, the lengths to scan for, and the samples of their walks.
+
+    Words are numbered from 1; all words that are in no item share the number 0.
+    """
 
     def __init__(self, items: list[tuple[int, bytes]], share: float):
         self.share = share
         self.ids = [i for i, _ in items]
         self.words = [words(t) for _, t in items]
-        vocab = {w for ws in self.words for w in ws}
-        self.hashes = WordHash(limit=2_000_000, seed=SEED)
-        self.vocab = np.sort(self.hashes.of(sorted(vocab))) if vocab else np.zeros(0, np.uint64)
+        vocab = sorted({w for ws in self.words for w in ws})
+        self.number = {w: i for i, w in enumerate(vocab, 1)}
+        self.hash = np.concatenate([[1], WordHash(limit=len(vocab) + 1, seed=SEED).of(vocab)]).astype(np.uint64)
         lengths = sorted({len(ws) for ws in self.words})
         self.classes = []  # (shortest length, most edits, longest length, walk steps, keys, items of the keys)
         while lengths:
@@ -100,6 +105,22 @@ class Items:
             group = [n for n in lengths if n <= low + max(2, low // 4)]
             lengths = lengths[len(group):]
             self.classes.append(self.of_class(group))
+        self.pairs, self.pair_classes = self.known_pairs()
+
+    def numbers(self, tokens: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.number.get, tokens, repeat(0)), np.int64, len(tokens))
+
+    def pair_of(self, numbers: np.ndarray) -> np.ndarray:
+        return numbers[:-1] * len(self.hash) + numbers[1:]
+
+    def known_pairs(self) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Sorted word pairs of the items, and for each class which of them it has."""
+        by_class = []
+        for low, _, high, *_ in self.classes:
+            own = [self.pair_of(self.numbers(ws)) for ws in self.words if low <= len(ws) <= high]
+            by_class.append(np.unique(np.concatenate(own)))
+        pairs = np.unique(np.concatenate([*by_class, [0]]))
+        return pairs, [np.isin(pairs, own) for own in by_class]
 
     def of_class(self, group: list[int]) -> tuple:
         low, high = group[0], group[-1]
@@ -107,55 +128,66 @@ class Items:
         n_steps = max(1, 2 * (low - edits_allowed(low, self.share)))
         keys, owner = [], []
         for i in members:
-            h = self.hashes.of(self.words[i])
+            h = self.hash[self.numbers(self.words[i])]
             for walk in range(WALKS):
-                w = embed(h, np.zeros(1, np.int64), np.full(1, len(h)), walk, n_steps)
-                for k in sampled(w, walk, n_steps):
-                    keys.append(int(k[0]))
-                    owner.append(i)
-        keys, owner = np.array(keys, np.uint64), np.array(owner)
+                got = sampled(h, np.zeros(1, np.int64), np.full(1, len(h)), walk, n_steps)[:, 0]
+                keys.append(got)
+                owner.append(np.full(len(got), i))
+        keys, owner = np.concatenate(keys), np.concatenate(owner)
         order = np.argsort(keys, kind="stable")
         return low, edits_allowed(high, self.share), high, n_steps, keys[order], owner[order]
 
-    def candidates(self, h: np.ndarray) -> Iterator[tuple[int, int]]:
+    def candidates(self, tokens: list[bytes]) -> Iterator[tuple[int, int]]:
         """(item, start) whose sampled embeddings agree."""
-        n = len(h)
-        at = np.minimum(np.searchsorted(self.vocab, h), len(self.vocab) - 1)
-        known = np.concatenate([[0], np.cumsum(self.vocab[at] == h)])
-        for low, k, high, n_steps, keys, owner in self.classes:
+        n, numbers = len(tokens), self.numbers(tokens)
+        pair = self.pair_of(numbers)
+        at = np.zeros(len(pair), np.int64)  # place among the known pairs; the first place is no pair
+        inside = np.flatnonzero((numbers[:-1] > 0) & (numbers[1:] > 0))
+        place = np.minimum(np.searchsorted(self.pairs, pair[inside]), len(self.pairs) - 1)
+        at[inside] = np.where(self.pairs[place] == pair[inside], place, 0)
+        some, h = np.flatnonzero(at), None
+        for c, (low, k, high, n_steps, keys, owner) in enumerate(self.classes):
+            if low - 1 - 2 * k > len(some):
+                continue
+            known = np.concatenate([[0], np.cumsum(self.pair_classes[c][at])])
             starts = np.arange(max(0, n - low + k + 1))
-            held = known[np.minimum(starts + low, n)] - known[starts]
-            starts = starts[held >= low - k]
+            held = known[np.minimum(starts + low - 1, len(pair))] - known[np.minimum(starts, len(pair))]
+            starts = starts[held >= low - 1 - 2 * k]
+            if len(starts) and h is None:
+                h = self.hash[numbers]
             for part in range(0, len(starts), 65_536):
                 s = starts[part : part + 65_536]
                 ends = np.minimum(s + high, n)
                 for walk in range(WALKS):
-                    walked = embed(h, s, ends, walk, n_steps)
-                    for key in sampled(walked, walk, n_steps):
-                        a, b = np.searchsorted(keys, key), np.searchsorted(keys, key, "right")
-                        for j in np.flatnonzero(b > a):
-                            for o in range(a[j], b[j]):
+                    for key in sampled(h, s, ends, walk, n_steps):
+                        a = np.searchsorted(keys, key)
+                        hit = np.flatnonzero(keys[np.minimum(a, len(keys) - 1)] == key)
+                        b = np.searchsorted(keys, key[hit], "right")
+                        for j, end in zip(hit, b):
+                            for o in range(a[j], end):
                                 yield int(owner[o]), int(s[j])
 
     def hits(self, tokens: list[bytes]) -> list[tuple[int, int, int, int]]:
         """(item id, start, words, edits) of every item found, at its best place."""
-        if not tokens or not len(self.vocab):
+        if not tokens or not self.classes:
             return []
-        best: dict[int, tuple[int, int, int]] = {}
-        seen = set()
-        for i, s in self.candidates(self.hashes.of(tokens)):
+        out = []
+        proposed: dict[int, set[int]] = {}
+        for i, s in self.candidates(tokens):
+            proposed.setdefault(i, set()).add(s)
+        for i, starts in sorted(proposed.items()):
             item = self.words[i]
             k = edits_allowed(len(item), self.share)
-            if (i, s) in seen:
-                continue
-            seen.add((i, s))
-            low = max(0, s - k)
-            got = best_alignment(item, tokens[low : s + len(item) + k], k)
-            if got:
-                edits, start, end = got
-                found = (edits, low + start, end - start)
-                best[i] = min(best.get(i, found), found)
-        return [(self.ids[i], start, n, edits) for i, (edits, start, n) in best.items()]
+            found = next(((0, s, len(item)) for s in sorted(starts) if tokens[s : s + len(item)] == item), None)
+            for s in sorted(starts) if found is None else ():
+                low = max(0, s - k)
+                got = best_alignment(item, tokens[low : s + len(item) + k], k)
+                if got:
+                    place = (got[0], low + got[1], got[2] - got[1])
+                    found = min(found or place, place)
+            if found:
+                out.append((self.ids[i], found[1], found[2], found[0]))
+        return out
 
 
 def item_blocks(items: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[int, bytes]]]:

@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 from loomtext.llm.common import attempt, batches, doc_bytes, filesystem, stored
 
 #: Documents that one reading task takes at most.
-READ_DOCS = 50_000
+READ_DOCS = 10_000
+MAX_READERS = 10_000
 
 # How the word vocabulary cuts a normalised text, here for ASCII and Latin letters.
 PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ɏ]+|[0-9]|[!-/:-@\[-`{-~]+")
@@ -194,7 +195,8 @@ def load(path: str, dtype: str, first: int, count: int) -> np.ndarray:
 def read_token_files(spark: SparkSession, manifest: DataFrame, dtype: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, read from the files alone."""
     first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_docs") - 1, F.lit(READ_DOCS).cast("long")))
-    pieces = manifest.select("path", "base", "n_docs", "n_null", first.alias("first")).repartition("path", "first")
+    pieces = manifest.select("path", "base", "n_docs", "n_null", first.alias("first"))
+    pieces = pieces.repartition(min(MAX_READERS, max(1, pieces.count())), "path", "first")  # a few bytes each: never merged
 
     def read(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:

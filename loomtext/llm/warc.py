@@ -25,6 +25,7 @@ MAGIC = b"\x1f\x8b\x08"
 
 RANGE_BYTES = 8 << 20  # what a reading task looks for record starts in
 FILE_BYTES = 256 << 20  # a writing task begins a new file beyond this
+MAX_READERS = 10_000
 CHUNK = 1 << 16
 PROBE = 512
 
@@ -214,7 +215,8 @@ def read_warc(spark: SparkSession, files: DataFrame, range_bytes: int = RANGE_BY
     files, or empty ones, give no records.
     """
     at = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_bytes") - 1, F.lit(range_bytes).cast("long")))
-    ranges = files.where("n_bytes > 0").select("path", "n_bytes", at.alias("start")).repartition("path", "start")
+    ranges = files.where("n_bytes > 0").select("path", "n_bytes", at.alias("start"))
+    ranges = ranges.repartition(min(MAX_READERS, max(1, ranges.count())), "path", "start")  # a few bytes each: never merged
 
     def read(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
