@@ -14,6 +14,7 @@ pairs of neighbouring words, so of an item's pairs all but 2k are left within k
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 from itertools import repeat
 
 import numpy as np
@@ -28,7 +29,7 @@ MAX_EDITS = 0.1
 #: Items of one pass over the documents; more items take more passes.
 BLOCK_WORDS = 4_000_000
 #: Random walks and, for each, samples of its steps.
-WALKS, SAMPLES, STEPS_PER_SAMPLE = 6, 6, 4
+WALKS, SAMPLES, STEPS_PER_SAMPLE = 4, 6, 4
 SEED = 20240601
 
 HITS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("n_words", pa.int64()), ("edits", pa.int64())])
@@ -39,6 +40,7 @@ def edits_allowed(n: int, share: float = MAX_EDITS) -> int:
     return int(n * share)
 
 
+@cache
 def samples_of(walk: int, n_steps: int) -> tuple[np.ndarray, np.ndarray]:
     """[samples, steps per sample] steps that are read of a walk, and a random multiplier for each."""
     rng = np.random.default_rng([SEED, walk, n_steps])
