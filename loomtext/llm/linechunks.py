@@ -55,7 +55,7 @@ def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     t = F.coalesce(F.col(text), F.lit(""))
     key = F.struct(F.col(doc_id).alias("id"), F.md5(t).alias("sum")).alias("key")
-    rows = docs.select(key, F.col(text).alias("text"), chunks_of(t).alias("chunks"))
+    rows = stored(docs.select(key, F.col(text).isNull().alias("none"), chunks_of(t).alias("chunks")), "line-chunks")
     parts = rows.select("key", F.posexplode("chunks").alias("no", "chunk")).where(n_lines(F.col("chunk")) >= min_lines)
     parts = parts.withColumn("digest", F.md5("chunk"))
     place = F.struct("key", "no")
@@ -69,12 +69,14 @@ def remove_repeated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     if removed.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
         per_doc = F.broadcast(per_doc)
     gone = F.coalesce(F.col("gone"), F.array().cast("array<int>"))
-    out = rows.join(per_doc, "key", "left").select("key", "text", "chunks", gone.alias("gone"))
+    out = rows.join(per_doc, "key", "left").select("key", "none", "chunks", gone.alias("gone"))
     keep = F.array_except(F.sequence(F.lit(0), F.size("chunks") - 1), "gone")
     out = out.withColumn("left", F.transform(keep, lambda i: F.col("chunks")[i]))
-    clean = F.when(F.col("text").isNotNull(), F.array_join("left", "\n"))
-    lines = F.when(F.col("text").isNull(), 0).otherwise(n_lines(F.col("text")))
-    stays = F.when(F.size("left") == 0, 0).when(F.col("text").isNull(), 0).otherwise(n_lines(F.array_join("left", "\n")))
+    out = out.withColumn("clean", F.array_join("left", "\n"))
+    clean = F.when(~F.col("none"), F.col("clean"))
+    count = F.aggregate("chunks", F.lit(0), lambda n, c: n + n_lines(c))
+    lines = F.when(F.col("none"), 0).otherwise(count)
+    stays = F.when(F.col("none") | (F.size("left") == 0), 0).otherwise(n_lines(F.col("clean")))
     return out.select(F.col("key.id").alias("doc_id"), clean.alias("text"), lines.alias("n_lines"),
                       (lines - stays).alias("n_removed"), F.size("chunks").alias("n_chunks"), F.size("gone").alias("removed_chunks"))
 
