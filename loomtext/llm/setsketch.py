@@ -34,7 +34,9 @@ BASE, RATE, TOP = 1.2, 20.0, 255
 MISS = 1e-6
 #: Standard deviations that the estimate may lie below the threshold before a pair is ruled out.
 DEVIATIONS = 5.0
-BLOCK = 256
+#: Members and bytes of full sets in a block: one task compares two blocks.
+BLOCK_ROWS, BLOCK_BYTES = 2048, 16 << 20
+PAIRS = 4096  # compared at a time
 
 _rng = np.random.default_rng(90210)
 MULTIPLIERS = _rng.integers(0, 2**63, REGISTERS, np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -182,33 +184,46 @@ def block_links(p: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
     label = p["label"].to_numpy()
     t = num / den
     least = t - DEVIATIONS * np.sqrt(t * (1 - t) / REGISTERS)
+    left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
+    likely, ones, others = [], [], []
+    for at in range(0, len(left), PAIRS // max(1, len(right)) + 1):
+        x, y = (g.ravel() for g in np.meshgrid(left[at : at + PAIRS // max(1, len(right)) + 1], right, indexing="ij"))
+        ok = (label[x] != label[y]) & ((x < y) if i == j else True) & (np.minimum(n[x], n[y]) >= t * np.maximum(n[x], n[y]))
+        x, y = x[ok], y[ok]
+        if len(x):
+            e = estimate((regs[x] > regs[y]).sum(1), (regs[x] < regs[y]).sum(1), n[x], n[y])
+            likely.append(e[e >= least])
+            ones.append(x[e >= least])
+            others.append(y[e >= least])
     out = []
-    for a in np.flatnonzero(side == i):
-        others = np.flatnonzero((side == j) & ((np.arange(len(p)) > a) if i == j else True) & (label != label[a]))
-        others = others[np.minimum(n[others], n[a]) >= t * np.maximum(n[others], n[a])]
-        if not len(others):
-            continue
-        more, less = (regs[a] > regs[others]).sum(1), (regs[a] < regs[others]).sum(1)
-        likely = estimate(more, less, np.full(len(others), n[a]), n[others])
-        order = np.argsort(-likely, kind="stable")
-        for o in others[order][likely[order] >= least]:
-            x, y = find(label[a]), find(label[o])
-            if x != y and linked(sets[a], sets[o], num, den):
+    if likely:
+        likely, ones, others = np.concatenate(likely), np.concatenate(ones), np.concatenate(others)
+        for k in np.argsort(-likely, kind="stable"):
+            x, y = find(label[ones[k]]), find(label[others[k]])
+            if x != y and linked(sets[ones[k]], sets[others[k]], num, den):
                 root[max(x, y)] = min(x, y)
-                out.append((node[a], node[o]))
+                out.append((node[ones[k]], node[others[k]]))
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
 def rest_links(buckets: DataFrame, members: DataFrame, reps: DataFrame, sets: DataFrame, found: DataFrame,
                num: int, den: int) -> DataFrame:
-    """Links between members of a bucket that the stars left in different components."""
+    """Links between members of a bucket that the stars left in different components.
+
+    Pairs with the centre are decided, so the centre is left out; buckets with the same members are
+    worked on once.
+    """
     comp = stored(components(found), "comp")
-    named = members.join(buckets.select("key", "size"), "key").join(comp, "node", "left").withColumn(
+    named = members.drop("n").join(buckets, "key").where("node != centre and size > 2").join(comp, "node", "left").withColumn(
         "label", F.coalesce("label", "node"))
     named = stored(named, "named")
-    open_ = named.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("key")
+    alike = ["x", "y", "n", "lo", "hi"]  # of the same members with all but certainty
+    open_ = named.groupBy("key").agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("n"),
+        F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit("y"), "node")).alias("y"))
+    open_ = open_.where("lo != hi").groupBy(*alike).agg(F.min("key").alias("key")).select("key")
     rest = named.join(open_, "key")
-    n_blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    n_blocks = F.ceil(F.greatest(F.col("size") / BLOCK_ROWS, F.col("elements") * 8 / BLOCK_BYTES)).cast("int")
     rest = rest.withColumn("own", F.pmod(F.xxhash64("node"), n_blocks).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
     rest = rest.select("key", "node", "label", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
@@ -234,9 +249,10 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, doc_id: str
         F.count(F.lit(1)).alias("copies")), "reps")
     r = band_rows(num / den)
     band = F.explode(F.sequence(F.lit(0), F.lit(REGISTERS // r - 1))).alias("band")
-    members = reps.select("node", "regs", band)
-    members = members.select(F.xxhash64("band", F.substring("regs", F.col("band") * r + 1, F.lit(r))).alias("key"), "node")
-    buckets = members.groupBy("key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("size")).where("size > 1")
+    members = reps.select("node", "n", "regs", band)
+    members = members.select(F.xxhash64("band", F.substring("regs", F.col("band") * r + 1, F.lit(r))).alias("key"), "node", "n")
+    buckets = members.groupBy("key").agg(
+        F.min("node").alias("centre"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("elements")).where("size > 1")
     buckets = stored(buckets, "buckets")
     links, sets = star_links(buckets, members, rows, num, den)
     more = rest_links(buckets, members, reps, sets, links, num, den)
