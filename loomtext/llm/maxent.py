@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.llm.common import batches, doc_bytes, stored, words
+from loomtext.llm.common import doc_bytes, stored, words
 
 HEAD_CLASSES, MEMBERS, TAIL_CLASSES = 32, 32, 32
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
@@ -314,7 +314,7 @@ def train(rows: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> tuple[np.
     return tables
 
 
-SCORED_DDL = "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, tail array<struct<word:binary,k:int>>"
+SCORED_DDL = "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, tail array<binary>"
 
 
 def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -345,27 +345,32 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
             lp = log_probs(v, weights.value, y, ctx) / ln10
             starts = np.cumsum([0] + [len(s) for _, _, s, _, _ in held][:-1])
             totals = np.add.reduceat(lp, starts)
-            out = []
-            for (ident, h, s, places, tail), lp_sum in zip(held, totals):
+            base, score, known = [], [], []
+            for (ident, h, s, places, _), lp_sum in zip(held, totals):
                 inside = places >= 0
                 logs = np.where(inside, log_count[np.where(inside, places, 0)], 0.0)
                 own = s[:-1]
                 rare = own >= HEAD
-                score = lp_sum + logs[rare].sum() - tail_log[own[rare] - HEAD].sum()
+                total = lp_sum + logs[rare].sum() - tail_log[own[rare] - HEAD].sum()
                 if s[-1] >= HEAD:
-                    score += np.log10(v.end_count + 0.5) - tail_log[s[-1] - HEAD]
-                base = logs.sum() + np.log10(v.end_count + 0.5) - len(s) * base_total
-                out.append({"doc_id": ident, "held_out": h, "n_tokens": len(s), "known": int(inside.sum()) + (v.end_count > 0),
-                            "base": float(base), "score": float(score), "tail": tail})
-            yield from batches(out, SCHEMA, 2048)
+                    total += np.log10(v.end_count + 0.5) - tail_log[s[-1] - HEAD]
+                score.append(total)
+                base.append(logs.sum() + np.log10(v.end_count + 0.5) - len(s) * base_total)
+                known.append(int(inside.sum()) + (v.end_count > 0))
+            tails = [w for *_, tail in held for w in tail]
+            ends = np.cumsum([0] + [len(tail) for *_, tail in held], dtype=np.int32)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([x[0] for x in held], pa.int64()), pa.array([x[1] for x in held], pa.bool_()),
+                pa.array([len(x[2]) for x in held], pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
+                pa.array(score, pa.float64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(tails, pa.binary())),
+            ], ["doc_id", "held_out", "n_tokens", "known", "base", "score", "tail"])
 
         held, size = [], 0
         for batch in it:
             for ident, data, h in zip(*[batch.column(c) for c in ("id", "data", "held")]):
                 tokens = words(data.as_py())
                 places = reader.places(tokens)
-                tail = Counter(key_of(tokens[i]) for i in np.flatnonzero(places < 0))
-                tail = [{"word": w, "k": k} for w, k in tail.items()]
+                tail = [key_of(tokens[i]) for i in np.flatnonzero(places < 0).tolist()]
                 held.append((ident.as_py(), h.as_py(), reader.symbols(places), places, tail))
                 size += len(tokens) + 1
                 if size >= 16 * BATCH:
@@ -376,10 +381,10 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
 
     got = rows.mapInArrow(apply, SCORED_DDL).withColumn("row", F.monotonically_increasing_id())
     got = stored(got, "maxent-scored")
-    rare = got.select("row", F.explode("tail").alias("t")).select("row", F.col("t.word").alias("word"), F.col("t.k").alias("k"))
+    rare = got.select("row", F.explode("tail").alias("word"))
     c = F.coalesce(F.col("n"), F.lit(0))
     extra = rare.join(counts, "word", "left").groupBy("row").agg(
-        F.sum(F.col("k") * F.log10(c + 0.5)).alias("more"), F.sum(F.when(c > 0, F.col("k")).otherwise(0)).alias("more_known"))
+        F.sum(F.log10(c + 0.5)).alias("more"), F.sum(F.when(c > 0, 1).otherwise(0)).alias("more_known"))
     more = F.coalesce(F.col("more"), F.lit(0.0))
     return got.drop("tail").join(extra, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce(F.col("more_known"), F.lit(0))).alias("n_known"),
@@ -387,8 +392,3 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
         (F.col("score") + more).alias("score"),
     )
 
-
-SCHEMA = pa.schema([
-    ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()),
-    ("score", pa.float64()), ("tail", pa.list_(pa.struct([("word", pa.binary()), ("k", pa.int32())]))),
-])
