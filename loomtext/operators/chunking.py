@@ -117,14 +117,16 @@ def global_chunk_ids(chunks: DataFrame, language: str, source: str, doc_key: str
     """`chunk_id = {source}_{i}`, where `i` runs over the whole language.
 
     Documents are ordered by (source, document), chunks by `chunk_idx`. Only per-document
-    counts are scanned; chunk text takes part in one join on (language, document). The counts
+    counts are scanned; chunk text takes part in one join on (language, source, document). The counts
     are checkpointed, so the texts are not chunked again for each use of them.
     """
-    counts = cut_lineage(chunks.groupBy(language, source, doc_key).agg(F.count(F.lit(1)).alias("n")))
-    keyed = counts.withColumn("_key", ranges.sort_key(F.col(source), ranges.padded(F.col(doc_key))))
-    offsets = ranges.running_sum(keyed, [language], "_key", F.col("n"), "_offset",
+    rows = chunks.withColumn("_lang", F.struct(language)).withColumn("_doc", F.struct(source, doc_key))  # null is a value here
+    counts = cut_lineage(rows.groupBy("_lang", "_doc").agg(F.count(F.lit(1)).alias("n")))
+    part = lambda name, c: F.coalesce(c(F.col("_doc")[name]), F.lit(""))
+    keyed = counts.withColumn("_key", ranges.sort_key(part(source, lambda c: c), part(doc_key, ranges.padded)))
+    offsets = ranges.running_sum(keyed, ["_lang"], "_key", F.col("n"), "_offset",
                                  inclusive=False, n_blocks=n_blocks, hot_rows=hot_rows)
-    joined = chunks.join(offsets.select(language, doc_key, "_offset"), [language, doc_key])
+    joined = rows.join(offsets.select("_lang", "_doc", "_offset"), ["_lang", "_doc"]).drop("_lang", "_doc")
     i = F.coalesce(F.col("_offset"), F.lit(0)) + F.col("chunk_idx")
     return joined.withColumn("chunk_id", F.concat_ws("_", F.col(source), i.cast("string"))).drop("_offset")
 

@@ -55,8 +55,8 @@ def source_report(ranked: DataFrame, keys: list[str], *, rank: str = "rank", sou
 
 
 def prompts(contexts: DataFrame, questions: DataFrame, qid: str, question: str, template: str) -> DataFrame:
-    """Fill the template's `{question}` and `{context}` for every question."""
-    both = questions.join(contexts, qid)
+    """Fill the template's `{question}` and `{context}` for every question; without hits the context is empty."""
+    both = questions.join(contexts, qid, "left").withColumn("context", F.coalesce("context", F.lit("")))
     return both.withColumn("prompt", X.render(template, question=F.col(question), context=F.col("context")))
 
 

@@ -19,7 +19,7 @@ def imported_modules(source: str | None) -> list[str]:
     """Distinct module names a Python text imports; nothing when it does not parse."""
     try:
         nodes = list(ast.walk(ast.parse(source or "")))
-    except (SyntaxError, ValueError):
+    except (SyntaxError, ValueError, MemoryError, RecursionError):  # deep nesting ends the parser
         return []
     plain = {a.name for n in nodes if isinstance(n, ast.Import) for a in n.names}
     return sorted(plain | {n.module for n in nodes if isinstance(n, ast.ImportFrom) and n.module})

@@ -30,7 +30,7 @@ MAX_BROADCAST_CELLS = 16_000_000  # numbers in the question matrix, 128 MB
 QUESTION_BLOCK = 4096
 CORPUS_BLOCK = 65536
 _TILE_CELLS = 4_000_000
-DECIMALS = 9
+DIGITS = 10  # significant digits of a distance that decide ranks; closer ones are ties
 
 
 def _matrix(col: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -40,18 +40,27 @@ def _matrix(col: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return flat.reshape(len(col), -1) if len(col) else flat.reshape(0, 1)
 
 
-def _scores(q: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
-    """Smaller is nearer: squared distance, or negated cosine."""
+def _scores(q: np.ndarray, c: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """(score, error bound) of all pairs by one product; smaller is nearer: squared distance, or negated cosine."""
     dot = q @ c.T
+    qq, cc = (q * q).sum(1), (c * c).sum(1)
     if metric == "cosine":
-        qn = np.linalg.norm(q, axis=1)
-        cn = np.linalg.norm(c, axis=1)
-        scale = np.outer(np.where(qn > 0, qn, 1.0), np.where(cn > 0, cn, 1.0))
-        out = -dot / scale
-    else:
-        out = (q * q).sum(1)[:, None] + (c * c).sum(1)[None, :] - 2.0 * dot
-        np.maximum(out, 0.0, out=out)
-    return np.round(out, DECIMALS) + 0.0
+        scale = np.sqrt(np.outer(np.where(qq > 0, qq, 1.0), np.where(cc > 0, cc, 1.0)))
+        return -dot / scale, np.full(len(q), 1e-9)
+    return qq[:, None] + cc[None, :] - 2.0 * dot, 1e-12 * (qq + (cc.max() if len(cc) else 0.0))
+
+
+def _exact(q: np.ndarray, c: np.ndarray, metric: str) -> np.ndarray:
+    """Scores of matching rows from their own differences: right for short and for long vectors."""
+    if metric == "cosine":
+        scale = np.linalg.norm(q, axis=1) * np.linalg.norm(c, axis=1)
+        return np.round(-np.einsum("ij,ij->i", q, c) / np.where(scale > 0, scale, 1.0), DIGITS - 1) + 0.0
+    gap = q - c
+    d = np.einsum("ij,ij->i", gap, gap)
+    noise = 1e-28 * (np.einsum("ij,ij->i", q, q) + np.einsum("ij,ij->i", c, c))  # rounding of equal vectors
+    d = np.where(d <= noise, 0.0, d)
+    unit = 10.0 ** (np.floor(np.log10(np.where(d > 0, d, 1.0))) - (DIGITS - 1))
+    return np.round(d / unit) * unit
 
 
 def _smallest(row: np.ndarray, score: np.ndarray, cid: np.ndarray, k: int):
@@ -68,13 +77,13 @@ def _block_topk(q: np.ndarray, c: np.ndarray, cid: np.ndarray, k: int, metric: s
     tile = max(1, _TILE_CELLS // max(1, len(c)))
     rows, scores, ids = [], [], []
     for a in range(0, len(q), tile):
-        d = _scores(q[a:a + tile], c, metric)
+        d, error = _scores(q[a:a + tile], c, metric)
         if d.shape[1] > k:
-            bound = np.partition(d, k - 1, axis=1)[:, k - 1:k]
+            bound = np.partition(d, k - 1, axis=1)[:, k - 1:k] + 2 * error[:, None]
             r, col = np.nonzero(d <= bound)
         else:
             r, col = np.indices(d.shape).reshape(2, -1)
-        r, s, i = _smallest(r, d[r, col], cid[col], k)
+        r, s, i = _smallest(r, _exact(q[a:a + tile][r], c[col], metric), cid[col], k)
         rows.append(r + a)
         scores.append(s)
         ids.append(i)

@@ -1,8 +1,7 @@
 """Hot keys: found by a count of the key column alone, and split.
 
-A key is hot when it holds more rows than one task should take. The list of hot keys has a
-fixed maximum length, so it may be broadcast whatever the size of the data; keys beyond the
-maximum are each smaller than 1/MAX_HOT_KEYS of all rows.
+A key is hot when it holds more rows than one task should take. So there are at most as many hot keys
+as the rows make such tasks, one in five million of the rows, and their list may be broadcast.
 """
 
 from __future__ import annotations
@@ -10,15 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 100_000
 HOT_ROWS = 5_000_000
 
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
     """(keys, `_splits`): how many tasks' worth of rows each hot key has."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    top = counts.orderBy(F.desc("_n"), *keys).limit(MAX_HOT_KEYS)
-    return F.broadcast(top.select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_splits")))
+    return F.broadcast(counts.select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_splits")))
 
 
 def skewed_lookup(rows: DataFrame, lookup: DataFrame, key: str, spread: str, how: str = "left",
@@ -26,8 +23,17 @@ def skewed_lookup(rows: DataFrame, lookup: DataFrame, key: str, spread: str, how
     """Equi join where one key may hold a large part of `rows`; `lookup` has unique keys.
 
     The rows of hot keys are salted by the hash of `spread`, and only their lookup rows are
-    repeated.
+    repeated. Rows without a key find nothing: in a left join they pass by the join instead of
+    meeting in one task.
     """
+    if how != "left":
+        return salted_join(rows, lookup, key, spread, how, hot_rows)
+    found = salted_join(rows.where(F.col(key).isNotNull()), lookup, key, spread, how, hot_rows)
+    extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in found.schema if f.name not in rows.columns]
+    return found.unionByName(rows.where(F.col(key).isNull()).select("*", *extra))
+
+
+def salted_join(rows: DataFrame, lookup: DataFrame, key: str, spread: str, how: str, hot_rows: int) -> DataFrame:
     hot = hot_keys(rows, [key], hot_rows)
     n = F.coalesce(F.col("_splits"), F.lit(1))
     left = rows.join(hot, key, "left").withColumn("_salt", F.pmod(F.xxhash64(spread), n).cast("int")).drop("_splits")

@@ -28,8 +28,8 @@ def build_session(app: str = "loomtext", master: str | None = None, **conf: str)
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by `spark.checkpoint.dir`.
 
-    Only a local session without that setting gets a fresh folder of its own; on a cluster
-    the setting is required, because a machine-local folder dies with its executor.
+    Only a session in one process without that setting gets a fresh folder of its own; everywhere
+    else the setting is required, because a machine-local folder dies with its executor.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
@@ -40,7 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     return sc.getCheckpointDir().rstrip("/")

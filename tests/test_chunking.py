@@ -70,3 +70,12 @@ def test_sql_face(spark):
     assert [tuple(r) for r in got] == [(0, "aa bb"), (1, "cc")]
     got = spark.sql("SELECT id, chunk FROM VALUES (1, 'aa bb cc') t(id, x), LATERAL split_chunks(x, 'text') ORDER BY chunk").collect()
     assert [tuple(r) for r in got] == [(1, "aa bb"), (1, "cc")]
+
+
+def test_chunk_ids_keep_null_languages_and_sources_apart(spark):
+    rows = [(None, "s", 1, 0), ("en", "s", 1, 0), ("en", "t", 1, 0), ("en", "t", 1, 1), ("en", None, 2, 0)]
+    df = spark.createDataFrame(rows, "language string, source string, doc_id long, chunk_idx long")
+    got = {tuple(r) for r in chunking.global_chunk_ids(df, "language", "source", "doc_id").select(
+        "language", "source", "doc_id", "chunk_idx", "chunk_id").collect()}
+    assert got == {(None, "s", 1, 0, "s_0"), ("en", None, 2, 0, "0"), ("en", "s", 1, 0, "s_1"),
+                   ("en", "t", 1, 0, "t_2"), ("en", "t", 1, 1, "t_3")}

@@ -110,3 +110,21 @@ def test_unstored_vectors_take_the_same_ways(spark, data):
     assert len(want) == 27 and {(i, i, 1) for i in range(9)} <= want
     assert _got(retrieval.topk(q, c, 3, max_broadcast=0, question_block=4, corpus_block=16, stored=False)) == want
     assert _got(retrieval.topk_approx(q, c, 3, bits=4, radius=4, stored=False)) == want
+
+
+@pytest.mark.parametrize("scale", [1e-6, 1.0, 1e6])
+def test_ranks_do_not_depend_on_length(spark, scale):
+    q = spark.createDataFrame([(0, [1.0 * scale, 0.0])], "query_id long, embedding array<double>")
+    c = spark.createDataFrame([(1, [5.0 * scale, 0.0]), (2, [2.0 * scale, 0.0]), (3, [1.1 * scale, 0.0]), (4, [1.1 * scale, 0.0])],
+                              "chunk_id long, embedding array<double>")
+    rows = retrieval.topk(q, c, 4).orderBy("rank").collect()
+    assert [r.chunk_id for r in rows] == [3, 4, 2, 1]
+
+
+def test_question_without_hits_has_a_prompt(spark):
+    from loomtext.operators import context
+
+    asked = spark.createDataFrame([(1, "a"), (2, "b")], "question_id long, question string")
+    ctx = spark.createDataFrame([(1, "text")], "question_id long, context string")
+    got = context.prompts(ctx, asked, "question_id", "question", "{question}|{context}")
+    assert {r.question_id: r.prompt for r in got.collect()} == {1: "a|text", 2: "b|"}
