@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.llm.common import WordHash, batches, doc_bytes, lookup, mix64, stored, words
+from loomtext.llm.common import WordHash, doc_bytes, lookup, mix64, stored, words
 from loomtext.llm.components import components
 
 SHINGLE = 5
