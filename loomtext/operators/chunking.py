@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import accumulate
 
 import pyarrow as pa
@@ -24,35 +24,41 @@ SEPARATORS = {
 }
 
 
+#: Windows cut from one stretch of a text. Finding a character counts from the start of a string, so a
+#: long text is cut to stretches first and each window is looked for in its own.
+WINDOWS_PER_STRETCH = 256
+
+
 def window_chunks(df: DataFrame, size: int = 512, overlap: int = 50, text: str = "text") -> DataFrame:
     """One row per fixed window: columns `chunk_idx` and `chunk` next to the input columns."""
-    step = size - overlap
+    step, per = size - overlap, WINDOWS_PER_STRETCH
+    others = [F.col(f"`{c}`") for c in df.columns if c != text]
     last = F.greatest(F.lit(0), F.ceil((F.length(text) - size) / F.lit(float(step))).cast("int"))
-    idx = F.explode(F.sequence(F.lit(0), last))
-    return df.select("*", idx.alias("chunk_idx")).select(
-        *[c for c in df.columns if c != text],
+    first = F.explode(F.sequence(F.lit(0), last, F.lit(per))).alias("_first")
+    stretch = F.col(text).substr(F.col("_first") * step + 1, F.lit(per * step + overlap))
+    cut = df.select("*", last.alias("_last"), first).select(*others, "_first", "_last", stretch.alias("_stretch"))
+    idx = F.explode(F.sequence("_first", F.least(F.col("_last"), F.col("_first") + per - 1)))
+    return cut.select("*", idx.alias("chunk_idx")).select(
+        *others,
         F.col("chunk_idx").cast("long").alias("chunk_idx"),
-        F.col(text).substr(F.col("chunk_idx") * step + 1, F.lit(size)).alias("chunk"),
+        F.col("_stretch").substr((F.col("chunk_idx") - F.col("_first")) * step + 1, F.lit(size)).alias("chunk"),
     )
 
 
 def _piece_lengths(text: str, sep: str) -> list[int]:
     """Lengths of the pieces; a piece keeps the separator it starts with."""
-    if not sep:
-        return [1] * len(text)
     first, *rest = map(len, text.split(sep))
     return ([first] if first else []) + [len(sep) + n for n in rest]
 
 
-def _pack(text: str, start: int, lengths: list[int], size: int, overlap: int) -> Iterator[str]:
-    """Fill chunks up to `size` with whole neighbouring pieces, each shorter than `size`.
+def _pack(text: str, borders: Sequence[int], size: int, overlap: int) -> Iterator[str]:
+    """Fill chunks up to `size` with the whole pieces between neighbouring borders, none longer than `size`.
 
     A chunk after the first starts at the earliest piece that leaves at most `overlap` shared
     characters and room for one new piece. Piece borders are sorted, so each chunk is found by
     two binary searches.
     """
-    borders = list(accumulate(lengths, initial=start))
-    at, last = 0, len(lengths)
+    at, last = 0, len(borders) - 1
     while at < last:
         end = bisect_right(borders, borders[at] + size) - 1
         yield text[borders[at]:borders[end]]
@@ -65,17 +71,20 @@ def _recursive(text: str, seps: list[str], size: int, overlap: int) -> Iterator[
     """Cut at the coarsest separator present; pieces that are too long go on to finer ones."""
     level = next((i for i, s in enumerate(seps) if not s or s in text), len(seps) - 1)
     finer = seps[level + 1:]
+    if not seps[level]:  # every character is a piece: borders by arithmetic
+        yield from _pack(text, range(len(text) + 1), size, overlap)
+        return
     start, run = 0, []
     for n in _piece_lengths(text, seps[level]):
         if n < size:
             run.append(n)
             continue
-        yield from _pack(text, start, run, size, overlap)
+        yield from _pack(text, list(accumulate(run, initial=start)), size, overlap)
         long_from = start + sum(run)
         piece = text[long_from:long_from + n]
         yield from _recursive(piece, finer, size, overlap) if finer else [piece]
         start, run = long_from + n, []
-    yield from _pack(text, start, run, size, overlap)
+    yield from _pack(text, list(accumulate(run, initial=start)), size, overlap)
 
 
 def split_text(text: str | None, language: str | None = None, size: int = 512, overlap: int = 50) -> list[str]:

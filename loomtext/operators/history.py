@@ -97,6 +97,19 @@ def transcripts(messages: DataFrame, key: str, pos: str = "turn", text: str = "t
     return paged.withColumn("transcript", F.array_join(F.collect_list(text).over(w), "\n"))
 
 
+def transcript_at(messages: DataFrame, points: DataFrame, key: str, at: str = "at", pos: str = "turn", text: str = "text",
+                  page_bits: int = 6) -> DataFrame:
+    """Whole transcripts at the given turns: (key, at, page, transcript), one row per page.
+
+    `points` holds the distinct (key, at) asked for. The pages of a point in order, joined by newlines,
+    are all texts of the thread up to that turn; a page has at most 2^page_bits positions.
+    """
+    rows = messages.select(key, pos, text).join(points.select(key, at), key).where(F.col(pos) <= F.col(at))
+    items = F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), F.col(text).alias("t"))))
+    paged = rows.groupBy(key, at, scan.block_id(F.col(pos), page_bits).alias("page")).agg(items.alias("_items"))
+    return paged.select(key, at, "page", F.array_join(F.transform("_items", lambda x: x["t"]), "\n").alias("transcript"))
+
+
 def latest_user_text(messages: DataFrame, key: str, pos: str = "turn", role: str = "role", text: str = "text",
                      default: str = "No user message found") -> DataFrame:
     """Text of the newest user row at or before each turn."""

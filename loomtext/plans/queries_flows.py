@@ -23,7 +23,7 @@ def question_router(spark, sf):
 
 @query("k01_document_router", f"SELECT doc_id AS question_id, {_ROUTE_SQL} AS route FROM (SELECT doc_id, text AS question FROM documents)")
 def document_router(spark, sf):
-    d = table(spark, sf, "documents", heavy=True).select(F.col("doc_id").alias("question_id"), F.col("text").alias("question"))
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("question_id"), F.col("text").alias("question"))
     return rag.route(d, I.topic_router(TOPICS)).select("question_id", "route")
 
 
@@ -134,7 +134,7 @@ UNION ALL SELECT doc_id, md5(draft), attempts, revisions, feedback IS NULL FROM
 def revise_loop(spark, sf):
     rest = F.col("doc_id") % 3
     human = F.when(rest == 0, "approved").when(rest == 1, "drop a")
-    d = table(spark, sf, "documents", heavy=True).select("doc_id", F.col("text").alias("draft"), human.alias("review"))
+    d = table(spark, sf, "documents").select("doc_id", F.col("text").alias("draft"), human.alias("review"))
     out = revise.revise_loop(d, _critic, _reviser, human="review")
     return out.select("doc_id", F.md5("draft").alias("draft_md5"), "attempts", "total_revisions", "satisfied")
 
@@ -142,11 +142,26 @@ def revise_loop(spark, sf):
 # ---------------------------------------------------------------- ingest (K8)
 
 
+@query("k08_ingest_coverage", r"""
+SELECT lang AS collection, doc_id, md5(regexp_replace(text, '\s', '', 'g')) AS solid_md5,
+       (SELECT count(*) FROM documents) AS documents_seen, true AS all_written FROM documents""")
+def ingest_coverage(spark, sf):
+    """Chunks without overlap, read back from the index, rebuild every text."""
+    path = scratch_path(spark, "ingest")
+    d = table(spark, sf, "documents").select("doc_id", F.col("doc_id").cast("string").alias("source"), "text", F.col("lang").alias("collection"))
+    counts = ingest.ingest(d, path, overlap=0)
+    made = spark.read.parquet(path)
+    parts = F.array_sort(F.collect_list(F.struct("chunk_idx", F.regexp_replace("chunk", r"\s", "").alias("t"))))
+    solid = F.md5(F.array_join(F.transform(parts, lambda p: p["t"]), ""))
+    return made.groupBy("collection", "doc_id").agg(solid.alias("solid_md5")).select(
+        "*", F.lit(counts["documents"]).alias("documents_seen"), F.lit(counts["chunks"] == made.count()).alias("all_written"))
+
+
 @query("k08_corpus_ingest")
 def corpus_ingest(spark, sf):
     """Chunks per collection, next to the counts observed while writing."""
     path = scratch_path(spark, "ingest")
-    d = table(spark, sf, "documents", heavy=True).select("source", "text", F.col("lang").alias("collection"))
+    d = table(spark, sf, "documents").select("source", "text", F.col("lang").alias("collection"))
     counts = ingest.ingest(d, path)
     out = spark.read.parquet(path).groupBy("collection").agg(F.count(F.lit(1)).alias("n_chunks"), F.max(F.length("chunk")).alias("max_chars"))
     return out.withColumn("documents_seen", F.lit(counts["documents"])).withColumn("chunks_seen", F.lit(counts["chunks"]))

@@ -57,6 +57,25 @@ def full_transcripts(spark, sf):
     return t.select("thread_id", "turn", "page", F.md5("transcript").alias("transcript_md5"))
 
 
+#: Sixteen conversations one after another are one thread.
+LONG_SQL = "SELECT conv_id // 16 AS thread_id, (conv_id % 16) * 32 + turn AS turn, text FROM conversations"
+
+
+@query("h03_transcript_at", f"""
+WITH c AS ({LONG_SQL}), p AS (SELECT thread_id, max(turn) AS upto FROM c GROUP BY thread_id)
+SELECT thread_id, upto, md5(string_agg(text, chr(10) ORDER BY turn)) AS transcript_md5, max(turn // 64) - min(turn // 64) AS pages_spanned
+FROM c JOIN p USING (thread_id) GROUP BY ALL""")
+def transcript_at(spark, sf):
+    """Pages of the whole transcript at each thread's last turn, put together here to compare them."""
+    c = table(spark, sf, "conversations")
+    long = c.select(F.floor(F.col("conv_id") / 16).alias("thread_id"), (F.col("conv_id") % 16 * 32 + F.col("turn")).alias("turn"), "text")
+    points = long.groupBy("thread_id").agg(F.max("turn").alias("upto"))
+    pages = history.transcript_at(long, points, "thread_id", "upto")
+    parts = F.array_sort(F.collect_list(F.struct("page", "transcript")))
+    whole = F.array_join(F.transform(parts, lambda x: x["transcript"]), "\n")
+    return pages.groupBy("thread_id", "upto").agg(F.md5(whole).alias("transcript_md5"), (F.max("page") - F.min("page")).alias("pages_spanned"))
+
+
 @query("h04_call_rank", """
 SELECT conv_id AS thread_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS prior_calls,
        row_number() OVER (PARTITION BY conv_id ORDER BY turn) > 5 AS rate_limited FROM conversations""")
@@ -252,7 +271,7 @@ _CHUNK_KEY_SQL = f"SELECT lang, source, doc_id, chunk_idx, md5(source || chr(1)
 
 
 def _keyed_chunks(spark, sf):
-    d = table(spark, sf, "documents", heavy=True).select("doc_id", "lang", "source", "text")
+    d = table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
     c = chunking.window_chunks(d, 512, 50)
     key = F.concat_ws("\u0001", "source", F.col("doc_id").cast("string"), F.col("chunk_idx").cast("string"), "chunk")
     return c.withColumn("chunk_id", F.md5(key))

@@ -45,6 +45,9 @@ BASE_SQL = f"""WITH corpus AS (SELECT doc_id * 1000000 + chunk_idx AS chunk_id,
 questions AS (SELECT item_id AS question_id, text AS question FROM benchmark),
 {vec_sql('c', 'corpus', 'chunk_id', 'text')}, {vec_sql('q', 'questions', 'question_id', 'question')}"""
 
+#: The same with the chunks of one language only.
+FRENCH_SQL = BASE_SQL.replace(f"FROM ({WINDOWS_512})", f"FROM ({WINDOWS_512}) WHERE lang = 'fr'")
+
 #: The second corpus: cleaned pages; `fb(question_id, fallback_text)` holds the top 3 per question.
 FALLBACK_SQL = f"""
 pg AS (SELECT page_id, {CLEAN_SQL.format(c='html')} AS text FROM pages), {vec_sql('p', 'pg', 'page_id', 'text')},
@@ -65,14 +68,14 @@ def questions(spark, sf):
 
 
 def chunk_corpus(spark, sf):
-    d = table(spark, sf, "documents", heavy=True).select("doc_id", "source", "text")
+    d = table(spark, sf, "documents").select("doc_id", "source", "text")
     c = chunking.window_chunks(d, 512, 50)
     return c.select((F.col("doc_id") * 1000000 + F.col("chunk_idx")).alias("chunk_id"), F.col("chunk").alias("text"), "source")
 
 
 def page_corpus(spark, sf):
     from loomtext.functions import text as X
-    return table(spark, sf, "pages", heavy=True).select(
+    return table(spark, sf, "pages").select(
         F.col("page_id").alias("chunk_id"), X.clean_markup(F.col("html")).alias("text"), F.lit(None).cast("string").alias("source"))
 
 
@@ -85,7 +88,7 @@ def hits(spark, sf, k=8):
 
 @query("e01_embed_documents", f"WITH {vec_sql('d', 'documents', 'doc_id', 'text')} SELECT id AS doc_id, b AS bucket, round(w, 6) AS weight FROM d_vec")
 def embed_documents(spark, sf):
-    e = rag.embed(table(spark, sf, "documents", heavy=True).select("doc_id", "text"), "text")
+    e = rag.embed(table(spark, sf, "documents").select("doc_id", "text"), "text")
     v = e.select("doc_id", F.posexplode("embedding").alias("bucket", "w")).where("w <> 0")
     return v.select("doc_id", "bucket", F.round("w", 6).alias("weight"))
 
@@ -243,8 +246,16 @@ def open_collection(spark, sf):
     return _read_index(spark, _index(spark, sf), "fr")
 
 
+@query("a10_search_collection", f"""{FRENCH_SQL}, {hits_sql(8)}
+SELECT question_id, count(*) AS n_docs, md5(string_agg(text, chr(10) || chr(10) ORDER BY rank)) AS context_md5 FROM hits GROUP BY question_id""")
+def search_collection(spark, sf):
+    """Write, open, search: only the stored vectors and texts of one collection are read."""
+    found = rag.retrieve(questions(spark, sf), index.open_collection(spark, _index(spark, sf), "fr"), 8)
+    return context.assemble(found, ["question_id"]).select("question_id", "n_docs", F.md5("context").alias("context_md5"))
+
+
 def _index(spark, sf) -> str:
-    d = table(spark, sf, "documents", heavy=True).select("doc_id", F.col("lang").alias("collection"), "source", "text")
+    d = table(spark, sf, "documents").select("doc_id", F.col("lang").alias("collection"), "source", "text")
     c = chunking.window_chunks(d, 512, 50)
     c = c.select((F.col("doc_id") * 1000000 + F.col("chunk_idx")).alias("chunk_id"), "collection", "source", F.col("chunk").alias("text"))
     path = scratch_path(spark, "index")

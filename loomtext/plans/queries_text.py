@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from loomtext.functions import scalars as S
@@ -70,7 +69,7 @@ def summary_tree(spark, sf):
 
 
 def _submissions(spark, sf):
-    d = table(spark, sf, "documents", heavy=True)
+    d = table(spark, sf, "documents")
     reviews = F.transform(X.sentences(F.col("text")), lambda s: F.struct(
         F.md5(s).alias("summary"), (F.length(s) % 10 + 1).cast("double").alias("rating"),
         (F.length(s) % 5 + 1).cast("double").alias("confidence")))
@@ -377,43 +376,39 @@ SELECT doc_id, md5(regexp_replace(text, '\s', '', 'g')) AS solid_md5, 0::BIGINT
 
 
 def _coverage(docs, size, language):
-    """Per document: the chunks without white space put together, size and substring checks."""
-    split = F.pandas_udf(_split_list(size, language), "array<string>")
-    d = docs.select("doc_id", "text", split("text").alias("chunks"))
+    """Per document: the operator's chunks without white space put together, size and substring checks."""
+    made = chunking.recursive_chunks(docs, size, 0, language=F.lit(language))
+    parts = F.array_sort(F.collect_list(F.struct("chunk_idx", "chunk")))  # the chunks of one text
+    listed = made.groupBy("doc_id").agg(F.transform(parts, lambda p: p["chunk"]).alias("chunks"))
+    d = docs.join(listed, "doc_id", "left").withColumn("chunks", F.coalesce("chunks", F.array().cast("array<string>")))
     solid = F.regexp_replace(F.array_join("chunks", ""), r"\s", "")
     return d.select(
         "doc_id", F.md5(solid).alias("solid_md5"),
         F.size(F.filter("chunks", lambda c: F.length(c) > size)).cast("long").alias("n_too_long"),
-        F.forall("chunks", lambda c: F.contains(F.col("text"), c)).alias("all_found"))
-
-
-def _split_list(size, language):
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([chunking.split_text(t, language, size, 0) for t in texts], dtype=object)
-
-    return run
+        F.forall("chunks", lambda c: F.contains(F.col("text"), c)).alias("all_found"),
+    )
 
 
 @query("d01_recursive_coverage", _coverage_sql("text"))
 def recursive_coverage(spark, sf):
-    return _coverage(table(spark, sf, "documents", heavy=True).select("doc_id", "text"), 512, None)
+    return _coverage(table(spark, sf, "documents").select("doc_id", "text"), 512, None)
 
 
 @query("d02_code_coverage", _coverage_sql("replace(text, '. ', chr(10) || 'def ')"))
 def code_coverage(spark, sf):
-    d = table(spark, sf, "documents", heavy=True).select("doc_id", F.replace("text", F.lit(". "), F.lit("\ndef ")).alias("text"))
+    d = table(spark, sf, "documents").select("doc_id", F.replace("text", F.lit(". "), F.lit("\ndef ")).alias("text"))
     return _coverage(d, 1024, "python")
 
 
 @query("d01_recursive_chunks")
 def recursive_chunks(spark, sf):
-    c = chunking.recursive_chunks(table(spark, sf, "documents", heavy=True).select("doc_id", "lang", "text"), 512, 50)
+    c = chunking.recursive_chunks(table(spark, sf, "documents").select("doc_id", "lang", "text"), 512, 50)
     return chunking.with_word_count(c)
 
 
 @query("d02_code_chunks")
 def code_chunks(spark, sf):
-    d = table(spark, sf, "documents", heavy=True).select("doc_id", "text", X.language_tag(_code_path()).alias("language"))
+    d = table(spark, sf, "documents").select("doc_id", "text", X.language_tag(_code_path()).alias("language"))
     return chunking.recursive_chunks(d.where(F.col("language").isNotNull()), 1024, 128, language=F.col("language"))
 
 
@@ -425,7 +420,7 @@ SELECT lang AS language, grouping(lang)::INT AS overall, count(*) AS n_chunks, r
        min(n) AS min_words, max(n) AS max_words
 FROM (SELECT lang, len(regexp_extract_all(chunk, '\S+')) AS n FROM ({WINDOWS_512})) GROUP BY ROLLUP (lang)""")
 def chunk_statistics(spark, sf):
-    docs = table(spark, sf, "documents", heavy=True).select("doc_id", F.col("lang").alias("language"), "text")
+    docs = table(spark, sf, "documents").select("doc_id", F.col("lang").alias("language"), "text")
     return stats.chunk_statistics(chunking.with_word_count(chunking.window_chunks(docs, 512, 50)))
 
 

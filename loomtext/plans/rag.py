@@ -14,6 +14,8 @@ from loomtext.session import cut_lineage
 
 PROMPT = "Answer only from the context.\nQuestion: {question}\nContext: {context}\nAnswer:"
 MAX_ATTEMPTS = 3
+#: Winners (ids and a rank each) that may be broadcast, by count.
+MAX_BROADCAST_WINNERS = 500_000
 QID, CID = "question_id", "chunk_id"
 
 
@@ -33,11 +35,14 @@ def retrieve(questions: DataFrame, corpus: DataFrame, k: int, *, encoder=None, t
     stored = "embedding" in corpus.columns
     c = corpus if stored else embed(corpus, text, encoder)
     ranked = retrieval.topk(q, c.select(CID, "embedding"), k, qid=QID, cid=CID, metric=metric, stored=stored)
-    # k rows per question; computed once, although the join below looks at them twice. One chunk
-    # may win for a large part of all questions, hence the salted join.
+    # k rows per question, computed once. Counted winners go to the texts, which then stay where they
+    # are; more of them meet the texts in a join, salted as one chunk may win for most questions.
     ranked = cut_lineage(ranked.select(QID, CID, "rank"))
     texts = corpus.select(CID, F.col(text).alias("text"), "source")
-    hits = skew.skewed_lookup(ranked, texts, CID, QID, "inner")
+    if ranked.limit(MAX_BROADCAST_WINNERS + 1).count() <= MAX_BROADCAST_WINNERS:
+        hits = texts.join(F.broadcast(ranked), CID)
+    else:
+        hits = skew.skewed_lookup(ranked, texts, CID, QID, "inner")
     return hits.join(questions.select(QID, "question"), QID)
 
 

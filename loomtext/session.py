@@ -55,15 +55,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of any executor."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use the cores on an input of far fewer files than cores, for work that is heavy per row.
-
-    A single Parquet row group is one task whatever its splits say. Inputs with enough files or
-    splits, which is every large one, are returned as they are: no shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    files = len(df.inputFiles()) or splits
-    return df.repartition(cores) if files * 4 <= cores and splits <= cores * 4 else df

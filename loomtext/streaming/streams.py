@@ -1,27 +1,27 @@
 """Streaming faces of the batch operators.
 
-Guards are stateless projections. Operators that number the rows of a thread run per
-micro-batch with the same block scan as in batch, on top of a table of per-thread counts; a hot
-thread is therefore spread over tasks in streams too, which one state-store key per thread
-could not do. Every batch writes to its own partition, so a repeated batch replaces itself.
+Guards are stateless projections. Operators that number the rows of a thread keep its count in
+Spark's state store, so a step reads and writes the counts of its own threads only, and the
+checkpoint commits rows and counts together. The rows that one thread has in one step meet in one
+task: the source's step size (`maxFilesPerTrigger` and the like) bounds what a hot thread brings.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
+from urllib.parse import quote
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from loomtext.functions import inference as I
 from loomtext.functions import text as X
-from loomtext.operators import chunking, guarding, scan, skew
-from loomtext.session import spread
-from loomtext.sources import index
-
-COMPACT_EVERY = 32
+from loomtext.operators import chunking, guarding
+from loomtext.sources import corpus, index
 
 
 # ---------------------------------------------------------------- stateless guards
@@ -44,81 +44,42 @@ def write_table(stream: DataFrame, path: str, checkpoint: str, **trigger) -> Str
 # ---------------------------------------------------------------- per-thread counts
 
 
-def _counts_table(batch: DataFrame, path: str, key: str, part: str) -> DataFrame:
-    """Count rows (key, n, part); the table is created empty on first use."""
-    schema = T.StructType([batch.schema[key], T.StructField("n", T.LongType()), T.StructField(part, T.LongType())])
-    spark = batch.sparkSession
-    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(part).parquet(path)
-    return spark.read.schema(schema).parquet(path)
-
-
-def prior_counts(batch: DataFrame, path: str, key: str, batch_id: int) -> DataFrame:
-    """Rows per thread seen before this batch: the newest compacted table plus later deltas."""
-    bases = _counts_table(batch, f"{path}/bases", key, "upto")
-    upto = bases.where(F.col("upto") < batch_id).agg(F.coalesce(F.max("upto"), F.lit(-1))).first()[0]
-    deltas = _counts_table(batch, f"{path}/deltas", key, "batch")
-    later = deltas.where((F.col("batch") > upto) & (F.col("batch") < batch_id)).drop("batch")
-    both = bases.where(F.col("upto") == upto).drop("upto").unionByName(later)
-    return both.groupBy(key).agg(F.sum("n").alias("n"))
-
-
-def number_rows(batch: DataFrame, batch_id: int, path: str, key: str, pos: str) -> DataFrame:
-    """Add `n_prior`, the number of earlier rows of the thread over all batches."""
-    out = scan.running(batch, [key], pos, {"n_prior": ("sum", F.lit(1).cast("long"))}, inclusive=False)
-    seen = prior_counts(batch, path, key, batch_id).withColumnRenamed("n", "_seen")
-    out = skew.skewed_lookup(out, seen, key, pos)
-    return out.withColumn("n_prior", F.col("n_prior") + F.coalesce("_seen", F.lit(0))).drop("_seen")
+def number_rows(stream: DataFrame, key: str, pos: str) -> DataFrame:
+    """Add `n_prior`, the number of earlier rows of the thread over all steps.
 
+    The state of a thread is its count. Rows of one step are numbered in the order of `pos`, ties as
+    they arrive; rows without a thread are one thread. Whole numbers beyond 2^53 in a column that
+    also holds nulls lose digits on the way through pandas: pass such a column as text.
+    """
+    schema = T.StructType([*stream.schema.fields, T.StructField("n_prior", T.LongType())])
 
-def _commit_counts(batch: DataFrame, batch_id: int, path: str, key: str) -> None:
-    delta = batch.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    delta.write.mode("overwrite").parquet(f"{path}/deltas/batch={batch_id}")
-    if (batch_id + 1) % COMPACT_EVERY == 0:
-        total = prior_counts(batch, path, key, batch_id + 1)
-        total.write.mode("overwrite").parquet(f"{path}/bases/upto={batch_id}")
-
+    def number(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        seen = state.get[0] if state.exists else 0
+        rows = pd.concat(list(frames)).sort_values(pos, kind="stable", ignore_index=True)
+        rows["n_prior"] = rows.index + seen
+        state.update((seen + len(rows),))
+        yield rows
 
-def numbered_sink(stream: DataFrame, path: str, checkpoint: str, key: str, pos: str,
-                  finish: Callable[[DataFrame], DataFrame], **trigger) -> StreamingQuery:
-    """Write `finish(numbered rows)` to `{path}/rows`, one partition per batch."""
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            numbered = number_rows(batch, batch_id, path, key, pos)
-            finish(numbered).write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
-            _commit_counts(batch, batch_id, path, key)
-        finally:
-            batch.unpersist()
-
-    return (
-        stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True})).start()
-    )
+    return stream.groupBy(key).applyInPandasWithState(number, schema, "n long", "append", GroupStateTimeout.NoTimeout)
 
 
 def session_history(stream: DataFrame, path: str, checkpoint: str, key: str = "thread_id", pos: str = "turn",
                     **trigger) -> StreamingQuery:
-    """Append arriving messages to their session; `seq` is the place in the session."""
-    return numbered_sink(
-        stream, path, checkpoint, key, pos,
-        lambda d: d.withColumn("seq", F.col("n_prior") + 1).drop("n_prior"), **trigger,
-    )
+    """Append arriving messages to their session below `path`/rows; `seq` is the place in the session."""
+    rows = number_rows(stream, key, pos).withColumn("seq", F.col("n_prior") + 1).drop("n_prior")
+    return write_table(rows, f"{path}/rows", checkpoint, **trigger)
 
 
 def rate_limiter(stream: DataFrame, path: str, checkpoint: str, limit: int, key: str = "thread_id",
                  pos: str = "turn", **trigger) -> StreamingQuery:
-    """Verdict per arriving call: blocked from the `limit`-th earlier call on."""
-    return numbered_sink(
-        stream, path, checkpoint, key, pos,
-        lambda d: d.withColumnRenamed("n_prior", "prior_calls").withColumn("rate_limited", F.col("prior_calls") >= limit),
-        **trigger,
-    )
+    """Verdict per arriving call below `path`/rows: blocked from the `limit`-th earlier call on."""
+    rows = number_rows(stream, key, pos).withColumnRenamed("n_prior", "prior_calls")
+    return write_table(rows.withColumn("rate_limited", F.col("prior_calls") >= limit), f"{path}/rows", checkpoint, **trigger)
 
 
 def read_history(spark: SparkSession, path: str, key: str, session) -> DataFrame:
     """Messages of one session so far."""
-    return spark.read.parquet(f"{path}/rows").where(F.col(key) == session).drop("batch").orderBy("seq")
+    return spark.read.parquet(f"{path}/rows").where(F.col(key) == session).orderBy("seq")
 
 
 # ---------------------------------------------------------------- state feeds
@@ -161,7 +122,7 @@ def index_stream(documents: DataFrame, index_path: str, checkpoint: str, size: i
     encode = encoder or I.hashed_encoder()
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        chunks = chunking.recursive_chunks(spread(batch), size, overlap)
+        chunks = chunking.recursive_chunks(batch, size, overlap)
         chunks = index.content_id(chunks, "source", "chunk_idx", "chunk")
         index.add_documents(chunks, index_path, finish=lambda d: d.withColumn("embedding", encode(F.col("chunk"))))
 
@@ -172,11 +133,22 @@ def index_stream(documents: DataFrame, index_path: str, checkpoint: str, size: i
 
 
 def watch_files(spark: SparkSession, root: str, pattern: str = "*.{py,md,mdx}", files_per_step: int = 1000) -> DataFrame:
-    """Stream of new files below a folder: (source, text, collection); unreadable text is dropped."""
+    """Stream of new files below a folder: (source, text, collection).
+
+    Unreadable text is dropped, and so are the paths that a scan excludes (looked for below the root).
+    """
     raw = (
         spark.readStream.format("text").option("wholetext", True).option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern).option("maxFilesPerTrigger", files_per_step).load(root)
     )
     path = F.col("_metadata.file_path")
     text = F.try_validate_utf8("value")
-    return raw.select(path.alias("source"), text.alias("text"), X.file_type(path).alias("collection")).where(F.col("text").isNotNull())
+    below = X.relative_path(F.regexp_replace(path, "^file:/+", "file:/"), F.lit(_uri(root)))
+    kind = F.when(path.endswith(".py"), "py").otherwise(X.file_type(path))
+    seen = raw.where(corpus.not_excluded(below, corpus.EXCLUDED))
+    return seen.select(path.alias("source"), text.alias("text"), kind.alias("collection")).where(F.col("text").isNotNull())
+
+
+def _uri(root: str) -> str:
+    """A local path as it starts the file paths that Spark reports; other stores' paths stay as they are."""
+    return "file:" + quote(root, safe="/@+=:,!$&'()*;~") if root.startswith("/") else root

@@ -43,10 +43,21 @@ def test_split_cases():
     assert split_text(code, "python", 30, 0) == ["import os", "def a():\n    return 1", "def b():\n    return 2"]
 
 
+def test_long_run_without_a_blank():
+    text = "é7" * 2_000_000
+    for overlap in (0, 50):
+        chunks = split_text(text, None, 512, overlap)
+        assert chunks[0] + "".join(c[overlap:] for c in chunks[1:]) == text
+    assert split_text("abc", None, 1, 0) == ["a", "b", "c"]
+
+
 def test_window_chunks_cover(spark):
-    rows = [(i, "x" * n) for i, n in enumerate([0, 1, 511, 512, 513, 974, 975, 5000])]
+    stretch = 256 * 462
+    lengths = [0, 1, 511, 512, 513, 974, 975, 5000, stretch, stretch + 49, stretch + 50, stretch + 51, stretch + 512, 3 * stretch + 7]
+    rows = [(i, ("aé7" * n)[:n]) for i, n in enumerate(lengths)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = chunking.window_chunks(df, 512, 50)
+    assert got.where(F.length("chunk") > 512).count() == 0
     for i, text in rows:
         part = [r.chunk for r in got.where(F.col("doc_id") == i).orderBy("chunk_idx").collect()]
         assert part[0] + "".join(p[50:] for p in part[1:]) == text

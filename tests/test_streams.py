@@ -38,28 +38,24 @@ def test_sessions_are_isolated_and_numbered(spark, folder):
     assert three == [(1, "what is my name?"), (2, "I do not know")]
 
 
-def test_rate_limit_with_compaction(spark, folder, monkeypatch):
-    monkeypatch.setattr(streams, "COMPACT_EVERY", 2)
+def test_rate_limit_counts_over_steps(spark, folder):
     for i in range(5):
-        s = _feed(spark, folder, [("t", 2 * i, "user", "a"), ("t", 2 * i + 1, "user", "b"), (f"o{i}", 0, "user", "c")], i)
+        s = _feed(spark, folder, [("t", 2 * i, "user", "a"), ("t", 2 * i + 1, "user", "b"), (f"o{i}", 0, "user", "c"), (None, i, None, None)], i)
         streams.rate_limiter(s, f"{folder}/out", f"{folder}/cp", 5).awaitTermination()
-    assert sorted(d for d in os.listdir(f"{folder}/out/bases") if d.startswith("upto")) == ["upto=1", "upto=3"]
-    got = spark.read.parquet(f"{folder}/out/rows").where("thread_id = 't'").orderBy("turn").collect()
+    rows = spark.read.parquet(f"{folder}/out/rows")
+    got = rows.where("thread_id = 't'").orderBy("turn").collect()
     assert [(r.turn, r.prior_calls, r.rate_limited) for r in got] == [(i, i, i >= 5) for i in range(10)]
+    assert [r.prior_calls for r in rows.where("thread_id is null").orderBy("turn").collect()] == list(range(5))
+    assert rows.where("thread_id like 'o%' and prior_calls = 0").count() == 5
 
 
-def test_resume_after_failure_repeats_the_batch_once(spark, folder):
-    rows = [("t", i, "user", "x") for i in range(4)]
-    s = _feed(spark, folder, rows, 0)
-
-    def crash(d):
-        # rows are written, then the step fails before the counts are committed
-        d.write.mode("overwrite").parquet(f"{folder}/out/rows/batch=0")
-        raise RuntimeError("lost")
-
-    q = streams.numbered_sink(s, f"{folder}/out", f"{folder}/cp", "thread_id", "turn", crash)
+def test_resume_after_failure_repeats_the_step_once(spark, folder):
+    s = _feed(spark, folder, [("t", i, "user", "x") for i in range(4)], 0)
+    # rows leave the state operator, then the step fails before anything is committed
+    lost = streams.number_rows(s, "thread_id", "turn").withColumn("seq", F.col("n_prior") + 1).drop("n_prior")
+    lost = lost.withColumn("text", F.when(F.col("seq") > 3, F.raise_error(F.lit("lost"))).otherwise(F.col("text")))
     with pytest.raises(Exception, match="lost"):
-        q.awaitTermination()
+        streams.write_table(lost, f"{folder}/out/rows", f"{folder}/cp").awaitTermination()
     streams.session_history(s, f"{folder}/out", f"{folder}/cp").awaitTermination()
     s = _feed(spark, folder, [("t", 4, "user", "y")], 1)
     streams.session_history(s, f"{folder}/out", f"{folder}/cp").awaitTermination()
@@ -78,7 +74,7 @@ def test_state_feeds(spark, folder):
 
 
 def test_new_files_reach_the_index_once(spark, folder):
-    os.makedirs(f"{folder}/src")
+    os.makedirs(f"{folder}/src/venv")
 
     def put(name, data):
         with open(f"{folder}/src/{name}", "wb") as f:
@@ -91,10 +87,13 @@ def test_new_files_reach_the_index_once(spark, folder):
 
     put("a.md", b"alpha beta gamma. " * 5)
     put("bad.md", b"\xff\xfe")
+    put("venv/lib.py", b"import os")
     first = run("cp").count()
     assert first >= 2
     put("b.mdx", b"delta")
+    put("c.py", b"import sys")
     out = run("cp")
-    assert out.count() == first + 1 and out.where("collection = 'mdx'").count() == 1
-    assert run("fresh").count() == first + 1  # a full rescan adds nothing
+    assert out.count() == first + 2 and out.where("collection = 'mdx'").count() == 1
+    assert out.where("collection = 'py'").count() == 1 and out.where("source like '%venv%'").count() == 0
+    assert run("fresh").count() == first + 2  # a full rescan adds nothing
     assert out.where(F.col("embedding").isNull()).count() == 0
