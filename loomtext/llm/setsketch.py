@@ -7,11 +7,12 @@ Bands of registers propose pairs. Documents with equal sets are one class, and t
 one representative each.
 
 In a bucket of a band, every member is first compared with one centre, which takes as many pairs as
-members. Members of a bucket that are then still in different components are compared in blocks: the
-joint likelihood of both sketches estimates the similarity of all pairs across components, pairs
-that may reach the threshold are checked on their full sets inside the task, and only links are
-returned. So no pair list of a bucket is ever written, and every candidate pair is decided: by a
-check, or because its two documents are connected already.
+members. Members of a bucket that are then still in different components are compared in blocks, all
+pairs across components. Either way the joint likelihood of both sketches estimates the similarity
+first; only members of pairs that may reach the threshold bring their full sets, on which those pairs
+are checked inside the task, and only links are returned. So no pair list of a bucket is ever
+written, and every candidate pair is decided: by its estimate, by a check, or because its two
+documents are connected already.
 """
 
 from __future__ import annotations
@@ -150,10 +151,31 @@ def sets_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return stored(chosen.mapInArrow(make, "node long, s binary"), "sets")
 
 
-def star_links(buckets: DataFrame, members: DataFrame, rows: DataFrame, num: int, den: int) -> tuple[DataFrame, DataFrame]:
-    """Links between members of a bucket and its centre, and the full sets of all members of shared buckets."""
+def may_link(x: np.ndarray, y: np.ndarray, n1: np.ndarray, n2: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """(may reach num / den, estimate) of pairs of sketches [pairs, registers] with set sizes."""
+    t = num / den
+    least = t - DEVIATIONS * np.sqrt(t * (1 - t) / REGISTERS)
+    ok = np.minimum(n1, n2) >= t * np.maximum(n1, n2) * (1 - 1e-12)
+    e = np.zeros(len(ok))
+    if ok.any():
+        e[ok] = estimate((x[ok] > y[ok]).sum(1), (x[ok] < y[ok]).sum(1), n1[ok], n2[ok])
+    return ok & (e >= least), e
+
+
+def star_links(buckets: DataFrame, members: DataFrame, reps: DataFrame, rows: DataFrame, num: int, den: int) -> DataFrame:
+    """Links between members of a bucket and its centre."""
     pairs = members.join(buckets.select("key", "centre"), "key").where("node != centre")
-    pairs = stored(pairs.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+    pairs = pairs.select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    sketch = lambda node, n, regs: reps.select(F.col("node").alias(node), F.col("n").alias(n), F.col("regs").alias(regs))
+
+    def likely(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, REGISTERS) for c in ("ra", "rb"))
+            n1, n2 = (batch.column(c).to_numpy().astype(float) for c in ("na", "nb"))
+            yield batch.select(["a", "b"]).filter(pa.array(may_link(x, y, n1, n2, num, den)[0], pa.bool_()))
+
+    sketched = pairs.join(sketch("a", "na", "ra"), "a").join(sketch("b", "nb", "rb"), "b").select("a", "b", "na", "nb", "ra", "rb")
+    pairs = stored(sketched.mapInArrow(likely, "a long, b long"), "pairs")
     nodes = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node"))).distinct()
     sets = sets_of(rows, nodes)
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("x")), "a").join(
@@ -165,14 +187,35 @@ def star_links(buckets: DataFrame, members: DataFrame, rows: DataFrame, num: int
                     for x, y in zip(batch.column("x"), batch.column("y"))]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return stored(both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long"), "links"), sets
+    return stored(both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long"), "links")
 
 
-def block_links(p: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
-    """Links across components among the members of one block, or between those of two blocks."""
+def block_pairs(p: pd.DataFrame, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(estimate, place, place) of the pairs across components that may be links, in one block or between two."""
     i, j = int(p["i"].iat[0]), int(p["j"].iat[0])
     regs = np.frombuffer(b"".join(p["regs"]), np.uint8).reshape(len(p), -1)
-    n, node, side = p["n"].to_numpy(float), p["node"].to_numpy(), p["own"].to_numpy()
+    n, side, label = p["n"].to_numpy(float), p["own"].to_numpy(), p["label"].to_numpy()
+    left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
+    step = PAIRS // max(1, len(right)) + 1
+    found = [(np.zeros(0), left[:0], left[:0])]
+    for at in range(0, len(left), step):
+        x, y = (g.ravel() for g in np.meshgrid(left[at : at + step], right, indexing="ij"))
+        ok = (label[x] != label[y]) & ((x < y) if i == j else True)
+        x, y = x[ok], y[ok]
+        ok, e = may_link(regs[x], regs[y], n[x], n[y], num, den)
+        found.append((e[ok], x[ok], y[ok]))
+    return tuple(np.concatenate(c) for c in zip(*found))
+
+
+def block_members(p: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
+    """The rows of a pair of blocks that are in any pair that may be a link."""
+    _, x, y = block_pairs(p, num, den)
+    return p.iloc[np.union1d(x, y)][["key", "node", "label", "own", "i", "j"]]
+
+
+def block_links(p: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
+    """Links across components among the members of one block, or between those of two blocks."""
+    node, label = p["node"].to_numpy(), p["label"].to_numpy()
     sets = [np.frombuffer(x, np.uint64) for x in p["s"]]
     root = {}
 
@@ -181,32 +224,17 @@ def block_links(p: pd.DataFrame, num: int, den: int) -> pd.DataFrame:
             x = root[x]
         return x
 
-    label = p["label"].to_numpy()
-    t = num / den
-    least = t - DEVIATIONS * np.sqrt(t * (1 - t) / REGISTERS)
-    left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
-    likely, ones, others = [], [], []
-    for at in range(0, len(left), PAIRS // max(1, len(right)) + 1):
-        x, y = (g.ravel() for g in np.meshgrid(left[at : at + PAIRS // max(1, len(right)) + 1], right, indexing="ij"))
-        ok = (label[x] != label[y]) & ((x < y) if i == j else True) & (np.minimum(n[x], n[y]) >= t * np.maximum(n[x], n[y]))
-        x, y = x[ok], y[ok]
-        if len(x):
-            e = estimate((regs[x] > regs[y]).sum(1), (regs[x] < regs[y]).sum(1), n[x], n[y])
-            likely.append(e[e >= least])
-            ones.append(x[e >= least])
-            others.append(y[e >= least])
     out = []
-    if likely:
-        likely, ones, others = np.concatenate(likely), np.concatenate(ones), np.concatenate(others)
-        for k in np.argsort(-likely, kind="stable"):
-            x, y = find(label[ones[k]]), find(label[others[k]])
-            if x != y and linked(sets[ones[k]], sets[others[k]], num, den):
-                root[max(x, y)] = min(x, y)
-                out.append((node[ones[k]], node[others[k]]))
+    likely, ones, others = block_pairs(p, num, den)
+    for k in np.argsort(-likely, kind="stable"):
+        x, y = find(label[ones[k]]), find(label[others[k]])
+        if x != y and linked(sets[ones[k]], sets[others[k]], num, den):
+            root[max(x, y)] = min(x, y)
+            out.append((node[ones[k]], node[others[k]]))
     return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
 
-def rest_links(buckets: DataFrame, members: DataFrame, reps: DataFrame, sets: DataFrame, found: DataFrame,
+def rest_links(buckets: DataFrame, members: DataFrame, reps: DataFrame, rows: DataFrame, found: DataFrame,
                num: int, den: int) -> DataFrame:
     """Links between members of a bucket that the stars left in different components.
 
@@ -227,7 +255,10 @@ def rest_links(buckets: DataFrame, members: DataFrame, reps: DataFrame, sets: Da
     rest = rest.withColumn("own", F.pmod(F.xxhash64("node"), n_blocks).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), n_blocks - 1)))
     rest = rest.select("key", "node", "label", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    full = rest.join(reps.select("node", "n", "regs"), "node").join(sets, "node")
+    sketches = reps.select("node", "n", "regs")
+    cells = rest.join(sketches, "node").groupBy("key", "i", "j")
+    rest = stored(cells.applyInPandas(lambda p: block_members(p, num, den), "key long, node long, label long, own int, i int, j int"), "rest")
+    full = rest.join(sketches, "node").join(sets_of(rows, rest.select("node").distinct()), "node")
     return full.groupBy("key", "i", "j").applyInPandas(lambda p: block_links(p, num, den), "a long, b long")
 
 
@@ -254,8 +285,8 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, doc_id: str
     buckets = members.groupBy("key").agg(
         F.min("node").alias("centre"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("elements")).where("size > 1")
     buckets = stored(buckets, "buckets")
-    links, sets = star_links(buckets, members, rows, num, den)
-    more = rest_links(buckets, members, reps, sets, links, num, den)
+    links = star_links(buckets, members, reps, rows, num, den)
+    more = rest_links(buckets, members, reps, rows, links, num, den)
     comp = stored(components(links.unionAll(more)), "comp")
     ids = reps.where("copies > 1").select("node", "whole", "least").unionAll(
         reps.where("copies = 1").select("node", "whole", "least").join(comp.select("node"), "node"))
