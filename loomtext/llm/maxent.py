@@ -35,6 +35,9 @@ KEY_BYTES = 64
 FLUSH_WORDS = 400_000
 ROUNDS, STEP, BATCH, FIRST_SQUARE = 3, 0.15, 8192, 1.0
 BLOCK_ROWS = 256
+#: Gradients of a row beyond so many are summed on their own.
+LONG_RUN = 12
+GATHER = 1024
 END = b"\n"  # not a word of any text
 
 
@@ -184,18 +187,39 @@ def member_rows(rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
     return (scramble(rows[[0, 1, 3]] * np.int32(CLASSES) + classes) % np.uint32(BUCKETS)).astype(np.int32)
 
 
-def softmax(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(probabilities, log of the sum of exponentials)."""
-    top = z.max(axis=1, keepdims=True)
-    e = np.exp(z - top)
-    s = e.sum(axis=1, keepdims=True)
-    return e / s, (top + np.log(s))[:, 0]
+def exponentials(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(shifted exponentials, their sums by row, shift by row); only rows that leave the range of floats are shifted."""
+    ones, shift = np.ones(z.shape[1], z.dtype), np.zeros(len(z), z.dtype)
+    with np.errstate(over="ignore"):
+        e = np.exp(z)
+        s = e @ ones
+    odd = np.flatnonzero(~((s > 1e-20) & (s < 1e30)))
+    if len(odd):
+        shift[odd] = z[odd].max(axis=1)
+        e[odd] = np.exp(z[odd] - shift[odd, None])
+        s[odd] = e[odd] @ ones
+    return e, s, shift
+
+
+def softmax(z: np.ndarray) -> np.ndarray:
+    e, s, _ = exponentials(z)
+    e /= s[:, None]
+    return e
+
+
+def log_sum(z: np.ndarray) -> np.ndarray:
+    _, s, shift = exponentials(z)
+    return shift + np.log(s)
 
 
 def gathered(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    z = table[rows[0]]
-    for r in rows[1:]:
-        z += table[r]
+    z = np.empty((rows.shape[1], table.shape[1]), table.dtype)
+    part = np.empty((min(GATHER, len(z)), table.shape[1]), table.dtype)
+    for i in range(0, len(z), GATHER):  # parts that stay in the cache
+        sums = z[i : i + GATHER]
+        np.take(table, rows[0, i : i + GATHER], axis=0, out=sums, mode="clip")
+        for r in rows[1:, i : i + GATHER]:
+            sums += np.take(table, r, axis=0, out=part[: len(sums)], mode="clip")
     return z
 
 
@@ -206,26 +230,42 @@ def log_probs(vocab: Vocabulary, tables: tuple[np.ndarray, np.ndarray], y: np.nd
         ys, rs = y[i : i + BATCH], rows[:, i : i + BATCH]
         cls = np.where(ys < HEAD, ys // MEMBERS, ys - HEAD + HEAD_CLASSES)
         z = gathered(tables[0], rs) + vocab.class_prior
-        got = z[np.arange(len(ys)), cls] - softmax(z)[1]
+        got = z[np.arange(len(ys)), cls] - log_sum(z)
         head = np.flatnonzero(ys < HEAD)
         c = cls[head]
         z = gathered(tables[1], member_rows(rs[:, head], c)) + vocab.member_prior[c]
-        got[head] += z[np.arange(len(head)), ys[head] % MEMBERS] - softmax(z)[1]
+        got[head] += z[np.arange(len(head)), ys[head] % MEMBERS] - log_sum(z)
         out[i : i + BATCH] = got
     return out
 
 
+def summed(x: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of runs of `n` rows from `first` on: the k-th rows of all runs together, then the rest of each long run."""
+    out = x.take(first, axis=0)
+    for k in range(1, min(int(n.max()), LONG_RUN)):
+        some = np.flatnonzero(n > k)
+        out[some] += x.take(first[some] + k, axis=0)
+    for i in np.flatnonzero(n > LONG_RUN):
+        out[i] += x[first[i] + LONG_RUN : first[i] + n[i]].sum(axis=0)
+    return out
+
+
 def update(table: np.ndarray, squares: np.ndarray, seen: np.ndarray, rows: np.ndarray, grad: np.ndarray) -> None:
     """One adaptive step for every feature's row; the gradients of a row are summed first."""
     for r in rows:
         order = np.argsort(r, kind="stable")
         at = r[order]
         first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        g = np.add.reduceat(grad[order], first, axis=0)
-        at = at[first]
-        squares[at] += g * g
-        table[at] -= STEP * g / np.sqrt(squares[at])
-        seen[at] += np.diff(np.concatenate([first, [len(r)]]))
+        n = np.diff(first, append=len(r))
+        g = summed(grad.take(order, axis=0), first, n)
+        at = at[first].astype(np.intp)
+        square = squares.take(at, axis=0)
+        square += g * g
+        squares[at] = square
+        g /= np.sqrt(square, out=square)
+        g *= STEP
+        table[at] -= g
+        seen[at] += n
 
 
 class Learner:
@@ -241,14 +281,14 @@ class Learner:
         for i in range(0, len(y), BATCH):
             ys, rs = y[i : i + BATCH], rows[:, i : i + BATCH].astype(np.int16)
             cls = np.where(ys < HEAD, ys // MEMBERS, ys - HEAD + HEAD_CLASSES)
-            p, _ = softmax(gathered(self.tables[0], rs) + self.vocab.class_prior)
+            p = softmax(gathered(self.tables[0], rs) + self.vocab.class_prior)
             p[np.arange(len(ys)), cls] -= 1
             update(self.tables[0], self.squares[0], self.seen[0], rs, p)
             head = np.flatnonzero(ys < HEAD)
             if len(head):
                 c = cls[head]
                 ms = member_rows(rs[:, head].astype(np.int32), c).astype(np.int16)
-                p, _ = softmax(gathered(self.tables[1], ms) + self.vocab.member_prior[c])
+                p = softmax(gathered(self.tables[1], ms) + self.vocab.member_prior[c])
                 p[np.arange(len(head)), ys[head] % MEMBERS] -= 1
                 update(self.tables[1], self.squares[1], self.seen[1], ms, p)
 
@@ -341,28 +381,25 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
         tail_log = np.log10(v.tail_total)
 
         def scored(held: list) -> Iterator[pa.RecordBatch]:
-            y, ctx = contexts([s for _, _, s, _, _ in held])
+            symbols = [s for _, _, s, _, _ in held]
+            y, ctx = contexts(symbols)
+            lengths = np.array([len(s) for s in symbols])
+            starts = np.cumsum(lengths) - lengths
             lp = log_probs(v, weights.value, y, ctx) / ln10
-            starts = np.cumsum([0] + [len(s) for _, _, s, _, _ in held][:-1])
-            totals = np.add.reduceat(lp, starts)
-            base, score, known = [], [], []
-            for (ident, h, s, places, _), lp_sum in zip(held, totals):
-                inside = places >= 0
-                logs = np.where(inside, log_count[np.where(inside, places, 0)], 0.0)
-                own = s[:-1]
-                rare = own >= HEAD
-                total = lp_sum + logs[rare].sum() - tail_log[own[rare] - HEAD].sum()
-                if s[-1] >= HEAD:
-                    total += np.log10(v.end_count + 0.5) - tail_log[s[-1] - HEAD]
-                score.append(total)
-                base.append(logs.sum() + np.log10(v.end_count + 0.5) - len(s) * base_total)
-                known.append(int(inside.sum()) + (v.end_count > 0))
+            place = np.concatenate([np.append(p, -1) for *_, p, _ in held])
+            inside = place >= 0
+            logs = np.where(inside, log_count[np.maximum(place, 0)], 0.0)
+            logs[starts + lengths - 1] = np.log10(v.end_count + 0.5)
+            rare = y >= HEAD
+            lp[rare] += logs[rare] - tail_log[y[rare] - HEAD]
+            total = lambda x: np.add.reduceat(x, starts)
             tails = [w for *_, tail in held for w in tail]
             ends = np.cumsum([0] + [len(tail) for *_, tail in held], dtype=np.int32)
             yield pa.RecordBatch.from_arrays([
                 pa.array([x[0] for x in held], pa.int64()), pa.array([x[1] for x in held], pa.bool_()),
-                pa.array([len(x[2]) for x in held], pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-                pa.array(score, pa.float64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(tails, pa.binary())),
+                pa.array(lengths, pa.int64()), pa.array(total(inside.astype(np.int64)) + (v.end_count > 0), pa.int64()),
+                pa.array(total(logs) - lengths * base_total, pa.float64()), pa.array(total(lp), pa.float64()),
+                pa.ListArray.from_arrays(pa.array(ends), pa.array(tails, pa.binary())),
             ], ["doc_id", "held_out", "n_tokens", "known", "base", "score", "tail"])
 
         held, size = [], 0
