@@ -1,8 +1,8 @@
 """Tool calls of conversations: linked with their results, ordered, checked and written as canonical JSON.
 
 Only DataFrame functions are used. Calls and results meet in a hash join on (conversation, call id).
-The order among calls that use each other's results comes from rounds over the dependency edges: a
-call's level is one more than the highest level among the calls it depends on. Arguments are parsed
+The order among calls that use each other's results comes from rounds over the dependency edges, in
+which chains are halved: a call's level is one more than the highest among the calls it depends on. Arguments are parsed
 to variants, whose objects keep their keys sorted, checked against the fields of the tool's schema,
 and written without blanks.
 """
@@ -31,24 +31,59 @@ def kind_of(v: Column) -> Column:
 def levels(calls: DataFrame) -> DataFrame:
     """(conv_id, call_id, level) of all calls with dependencies that are no part of a cycle and depend on none.
 
-    As many rounds as the longest chain has calls; each round reads only the edges that are left.
+    Calls with one dependency form trees, whose steps are doubled in each round until they end at a
+    call with none or several. Only the latter take rounds one by one, as many as their longest chain.
     """
+    node, to = F.struct(*ID).alias("node"), F.struct("conv_id", F.col("need").alias("call_id")).alias("to")
     known = calls.select(*ID)
     need = F.explode("depends_on").alias("need")
     edges = calls.select(*ID, need).where("need is not null").distinct()
-    edges = stored(edges.join(known.withColumnRenamed("call_id", "need"), ["conv_id", "need"], "left_semi"), "call-edges")
-    waiting = edges.select(*ID).distinct()
-    ready = stored(known.join(waiting, ID, "left_anti"), "call-level")
-    out, level = None, 0
+    edges = stored(edges.join(known.withColumnRenamed("call_id", "need"), ["conv_id", "need"], "left_semi").select(node, to), "call-edges")
+    roots = stored(known.select(node).join(edges, "node", "left_anti").withColumn("level", F.lit(0).cast("long")), "call-level")
+    degree = stored(edges.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("to").alias("to")), "call-degree")
+    steps = chains(degree.where("n = 1").select("node", "to"))
+    several = joined_levels(edges.join(degree.where("n > 1").select("node"), "node", "left_semi"), steps, roots)
+    ends = stored(roots.unionAll(several).withColumnRenamed("node", "to"), "call-level")
+    single = lookup(steps.where("not open"), ends, "to", "node").where("level is not null")
+    out = several.unionAll(single.select("node", F.col("level") + F.col("d")))
+    return out.select("node.conv_id", "node.call_id", F.col("level").cast("int").alias("level"))
+
+
+def chains(single: DataFrame) -> DataFrame:
+    """(node, to, d, open): the end `to` of each chain of calls with one dependency, `d` steps away.
+
+    Each round doubles the steps of the open ones. What is open after a round that closed nothing
+    leads into a cycle, and stays open.
+    """
+    single = stored(single, "call-steps")
+    marks = single.select(F.col("node").alias("to"), F.lit(True).alias("mark"))
+    steps = stored(lookup(single, marks, "to", "node").select(
+        "node", "to", F.lit(1).cast("long").alias("d"), F.coalesce("mark", F.lit(False)).alias("open")), "call-steps")
+    n_open, before = steps.where("open").count(), -1
+    while n_open and n_open != before:
+        hop = steps.select(F.col("node").alias("to"), F.col("to").alias("far"), F.col("d").alias("more"), F.col("open").alias("far_open"))
+        moved = lookup(steps.where("open").drop("open"), hop, "to", "node")
+        moved = moved.select("node", F.col("far").alias("to"), F.col("d") + F.col("more"), "far_open")
+        steps = stored(moved.unionAll(steps.where("not open")).toDF("node", "to", "d", "open"), "call-steps")
+        n_open, before = steps.where("open").count(), n_open
+    return steps
+
+
+def joined_levels(edges: DataFrame, steps: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node, level) of calls with several dependencies, given as `edges`; chains in between are one step."""
+    ends = steps.select(F.col("node").alias("to"), F.col("to").alias("end"), "d")
+    edges = lookup(stored(edges.select("node", "to"), "call-edges"), ends, "to", "node").select(
+        "node", F.coalesce("end", "to").alias("to"), (F.coalesce("d", F.lit(0)) + 1).alias("d"), F.lit(None).cast("long").alias("have"))
+    ready, out = roots, roots.limit(0)
     while True:
-        left = stored(edges.join(ready.withColumnRenamed("call_id", "need"), ["conv_id", "need"], "left_anti"), "call-edges")
-        ready = stored(edges.select(*ID).distinct().join(left.select(*ID).distinct(), ID, "left_anti"), "call-level")
+        found = lookup(edges, ready.withColumnRenamed("node", "to"), "to", "node")
+        marked = stored(found.select("node", "to", "d", F.coalesce("have", F.col("level") + F.col("d")).alias("have")), "call-edges")
+        full = marked.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.count("have").alias("n_have"), F.max("have").alias("level"))
+        ready = stored(full.where("n = n_have").select("node", "level"), "call-level")
         if not ready.limit(1).count():
-            return out if out is not None else ready.withColumn("level", F.lit(0))
-        level += 1
-        step = ready.withColumn("level", F.lit(level))
-        out = step if out is None else out.unionAll(step)
-        edges = left
+            return out
+        out = out.unionAll(ready)
+        edges = marked.join(ready.select("node"), "node", "left_anti")
 
 
 def argument_errors(args: Column, fields: Column) -> Column:

@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and foreign columns."""
 
+import random
 import zlib
 
 import numpy as np
@@ -201,6 +202,26 @@ def test_tool_calls(spark):
     assert toolcalls.link(calls.limit(0), results.limit(0), schemas).collect() == []
 
 
+def test_levels_of_chains_joins_and_cycles(spark):
+    rng = random.Random(4)
+    needs = {0: {f"c{i}": [f"c{i - 1}"] if i else [] for i in range(37)}}  # a chain
+    needs[1] = {f"c{i}": [f"c{j}" for j in rng.sample(range(i), min(i, rng.choice([0, 1, 1, 1, 2, 3])))] for i in range(60)}
+    needs[2] = {"a": ["c"], "b": ["a"], "c": ["b"], "d": ["a"], "e": ["d", "f"], "f": [], "g": ["f", "f", None, "none"], "h": ["h"], "i": ["f", "g"]}
+    needs[3] = {f"s{i}": ["hub"] for i in range(9)} | {"hub": []}  # a star
+
+    def level(conv, call, above=()):
+        if call in above:
+            return None
+        below = [level(conv, n, (*above, call)) for n in needs[conv][call] if n in needs[conv]]
+        return None if None in below else 1 + max(below, default=-1)
+
+    rows = [(conv, call, need) for conv in needs for call, need in needs[conv].items()]
+    calls = spark.createDataFrame(rows, "conv_id long, call_id string, depends_on array<string>")
+    got = {(r.conv_id, r.call_id): r.level for r in toolcalls.levels(calls).collect()}
+    want = {(c, k): level(c, k) for c in needs for k in needs[c] if any(n in needs[c] for n in needs[c][k])}
+    assert got == {k: v for k, v in want.items() if v is not None}
+
+
 def test_crc_folds(spark):
     got = spark.createDataFrame([(7,), (None,)], "doc_id long").select(fold(F.col("doc_id"), 5)).collect()
     assert [r[0] for r in got] == [zlib.crc32(b"7") % 5, 0]
