@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,22 @@ PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ɏ]+|[0-9]|[!-/:-
 PLAIN = re.compile(r"[!-~ßà-öø-ÿ]+\Z")
 
 
+class Remembered(dict):
+    """Short word -> what `make` gives for it, for a bounded number of words."""
+
+    def __init__(self, make: Callable[[bytes], bytes], limit: int):
+        super().__init__()
+        self.make, self.limit = make, limit
+
+    def __missing__(self, word: bytes) -> bytes:
+        got = self.make(word)
+        if len(word) <= 64:
+            if len(self) >= self.limit:
+                self.clear()
+            self[word] = got
+        return got
+
+
 class Encoder:
     """Encodes texts word by word with a `tokenizers` model, remembering what it has met.
 
@@ -46,9 +62,10 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.dtype = id_type(self.tok)
         self.by_word = cuts_at_white_space(self.tok)
-        self.words: dict[bytes, bytes] = {}
+        self.words = Remembered(self.word, self.WORDS)
         self.pieces: dict[str, bytes] = {}
         self.marks = [t.content.lower() for t in self.tok.get_added_tokens_decoder().values()]
+        self.plain_letters = not any(m.isascii() and m.isalpha() for m in self.marks)
         self.byte_char = byte_chars()
 
     def ids(self, ids: list[int]) -> bytes:
@@ -66,25 +83,20 @@ class Encoder:
         return got
 
     def word(self, w: bytes) -> bytes:
+        if self.plain_letters and len(w) <= 1000 and w.isalpha():  # one piece
+            return self.piece(w.lower().decode())
         text = w.decode("utf-8", "replace")
         low = text.lower()
         if len(w) <= 1000 and PLAIN.match(low) and not any(m in low for m in self.marks):
             got = b"".join(map(self.piece, PIECE.findall(low)))
         else:
             got = self.ids(self.tok.encode(text, add_special_tokens=False).ids)
-        if len(self.words) >= self.WORDS:
-            self.words.clear()
-        if len(w) <= 64:
-            self.words[w] = got
         return got
 
     def __call__(self, data: bytes) -> bytes:
         if not self.by_word:
             return self.ids(self.tok.encode(data.decode("utf-8", "replace"), add_special_tokens=False).ids)
-        known, out = self.words.get, []
-        for w in data.split():
-            out.append(known(w) or self.word(w))
-        return b"".join(out)
+        return b"".join(map(self.words.__getitem__, data.split()))
 
 
 def id_type(tok) -> str:
