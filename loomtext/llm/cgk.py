@@ -1,20 +1,18 @@
-"""Benchmark decontamination by the CGK embedding.
+"""Benchmark decontamination: intact pieces propose, the exact edit distance decides.
 
-The embedding walks along a sequence of words: at each step it writes the word it stands on, and a
-random bit of that word and step says whether it moves on. Two sequences at a small edit distance
-fall into step again after each edit with good probability, so their embeddings differ in few places.
-Bit sampling then reads a few steps of the embedding of every item-sized window; windows and items
-that agree on one of the samples are candidates, and a candidate counts only if its exact edit
-distance is within the bound.
+An item that may have k edited words is cut into k + 1 pieces. An edit touches one piece at most, so
+wherever the item occurs within k edits, one of its pieces stands there word by word, at most k words
+from its usual place. Windows of the document that equal a piece are candidates, and a candidate
+counts only if its exact edit distance is within the bound. So every occurrence is found, whatever
+the length of the item and the kind of its edits.
 
-Before walking, a window start is set aside if a match can be ruled out: an edit breaks at most two
-pairs of neighbouring words, so of an item's pairs all but 2k are left within k edits. This loses nothing.
+Before windows are looked up, those are set aside that hold a pair of neighbouring words which no
+item has. This loses nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
 from itertools import repeat
 
 import numpy as np
@@ -22,15 +20,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.llm.common import WordHash, batches, doc_bytes, mix64, words
+from loomtext.llm.common import WordHash, batches, doc_bytes, words
 
 #: Share of an item's words that may be edited.
 MAX_EDITS = 0.1
 #: Items of one pass over the documents; more items take more passes.
 BLOCK_WORDS = 4_000_000
-#: Random walks and, for each, samples of its steps.
-WALKS, SAMPLES, STEPS_PER_SAMPLE = 4, 6, 4
 SEED = 20240601
+#: Base of the rolling hash, modulo 2^64, and its inverse.
+BASE = 0xA24BAED4963EE407
+INVERSE = pow(BASE, -1, 2**64)
 
 HITS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int64()), ("n_words", pa.int64()), ("edits", pa.int64())])
 HITS_DDL = "doc_id long, item_id long, start long, n_words long, edits long"
@@ -40,33 +39,22 @@ def edits_allowed(n: int, share: float = MAX_EDITS) -> int:
     return int(n * share)
 
 
-@cache
-def samples_of(walk: int, n_steps: int) -> tuple[np.ndarray, np.ndarray]:
-    """[samples, steps per sample] steps that are read of a walk, and a random multiplier for each."""
-    rng = np.random.default_rng([SEED, walk, n_steps])
-    steps = np.stack([rng.choice(n_steps, min(STEPS_PER_SAMPLE, n_steps), replace=False) for _ in range(SAMPLES)])
-    return steps, rng.integers(0, 2**63, steps.shape, np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+def powers(base: int, n: int) -> np.ndarray:
+    """base^0 to base^(n-1) modulo 2^64."""
+    factors = np.full(n, base, np.uint64)
+    factors[:1] = 1
+    return np.cumprod(factors, dtype=np.uint64)
 
 
-def sampled(h: np.ndarray, starts: np.ndarray, ends: np.ndarray, walk: int, n_steps: int) -> np.ndarray:
-    """[samples, starts] one key per bit sample of the embeddings by one walk from each start.
+class Rolling:
+    """Hashes of the windows of a sequence: equal windows have equal hashes, wherever they stand."""
 
-    Bit t of a word's hash for the walk says whether step t moves on from it; past the end of its
-    window a walk writes nothing. Only the steps that a sample reads are written at all.
-    """
-    steps, factors = samples_of(walk, n_steps)
-    keys = np.full((SAMPLES, len(starts)), walk + 1, np.uint64)
-    at, last = starts.copy(), len(h) - 1
-    bits = np.zeros(0, np.uint64)
-    for t in range(int(steps.max()) + 1):
-        if t % 64 == 0:
-            bits = mix64(h ^ np.uint64((walk * 64 + t // 64 + 1) * 0xA24BAED4963EE407 % 2**64))
-        here = np.minimum(at, last)
-        inside = at < ends
-        for s, j in zip(*np.nonzero(steps == t)):
-            keys[s] += h[here] * inside * factors[s, j]
-        at += ((bits[here] >> np.uint64(t % 64)) & np.uint64(1)).astype(at.dtype) * inside
-    return keys + np.arange(SAMPLES, dtype=np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15)
+    def __init__(self, h: np.ndarray):
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * powers(BASE, len(h)), dtype=np.uint64)])
+        self.back = powers(INVERSE, len(h))
+
+    def of(self, starts: np.ndarray, size: int) -> np.ndarray:
+        return (self.sums[starts + size] - self.sums[starts]) * self.back[starts]
 
 
 def best_alignment(item: list, text: list, bound: int) -> tuple[int, int, int] | None:
@@ -74,21 +62,23 @@ def best_alignment(item: list, text: list, bound: int) -> tuple[int, int, int] |
 
     Of equally near pieces the one that starts first and then ends first.
     """
-    prev = [(0, j) for j in range(len(text) + 1)]
-    for i, a in enumerate(item, 1):
-        row = [(i, 0)]
-        for j, b in enumerate(text, 1):
-            row.append(min((prev[j - 1][0] + (a != b), prev[j - 1][1]), (prev[j][0] + 1, prev[j][1]),
-                           (row[j - 1][0] + 1, row[j - 1][1])))
-        prev = row
-        if min(prev)[0] > bound:
+    number = {w: i for i, w in enumerate(dict.fromkeys(item), 1)}
+    there = np.fromiter(map(number.get, text, repeat(0)), np.int64, len(text))
+    one = len(text) + 1  # a cell is edits * one + start, so the smallest is the one wanted
+    prev = np.arange(one)
+    edge = np.arange(one) * one
+    for a in item:
+        cell = prev + one
+        cell[1:] = np.minimum(cell[1:], prev[:-1] + (there != number[a]) * one)
+        prev = np.minimum.accumulate(cell - edge) + edge
+        if prev.min() >= (bound + 1) * one:
             return None
-    (edits, start), end = min((v, j) for j, v in enumerate(prev))
-    return (edits, start, end) if edits <= bound else None
+    end = int(prev.argmin())
+    return int(prev[end]) // one, int(prev[end]) % one, end
 
 
 class Items:
-    """The items of one pass: their words, the lengths to scan for, and the samples of their walks.
+    """The items of one pass: their words, the word pairs they have, and their pieces by length.
 
     Words are numbered from 1; all words that are in no item share the number 0.
     """
@@ -99,15 +89,11 @@ class Items:
         self.words = [words(t) for _, t in items]
         vocab = sorted({w for ws in self.words for w in ws})
         self.number = {w: i for i, w in enumerate(vocab, 1)}
-        self.hash = np.concatenate([[1], WordHash(limit=len(vocab) + 1, seed=SEED).of(vocab)]).astype(np.uint64)
-        lengths = sorted({len(ws) for ws in self.words})
-        self.classes = []  # (shortest length, most edits, longest length, walk steps, keys, items of the keys)
-        while lengths:
-            low = lengths[0]
-            group = [n for n in lengths if n <= low + max(2, low // 4)]
-            lengths = lengths[len(group):]
-            self.classes.append(self.of_class(group))
-        self.pairs, self.pair_classes = self.known_pairs()
+        self.hash = np.concatenate([np.ones(1, np.uint64), WordHash(limit=len(vocab) + 1, seed=SEED).of(vocab)])
+        self.pairs = np.unique(np.concatenate([[0], *(self.pair_of(self.numbers(ws)) for ws in self.words)]))
+        self.edits = [edits_allowed(len(ws), share) for ws in self.words]
+        self.anywhere = [i for i, ws in enumerate(self.words) if ws and self.edits[i] >= len(ws)]
+        self.pieces = self.by_length()
 
     def numbers(self, tokens: list[bytes]) -> np.ndarray:
         return np.fromiter(map(self.number.get, tokens, repeat(0)), np.int64, len(tokens))
@@ -115,75 +101,68 @@ class Items:
     def pair_of(self, numbers: np.ndarray) -> np.ndarray:
         return numbers[:-1] * len(self.hash) + numbers[1:]
 
-    def known_pairs(self) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Sorted word pairs of the items, and for each class which of them it has."""
-        by_class = []
-        for low, _, high, *_ in self.classes:
-            own = [self.pair_of(self.numbers(ws)) for ws in self.words if low <= len(ws) <= high]
-            by_class.append(np.unique(np.concatenate(own)))
-        pairs = np.unique(np.concatenate([*by_class, [0]]))
-        return pairs, [np.isin(pairs, own) for own in by_class]
-
-    def of_class(self, group: list[int]) -> tuple:
-        low, high = group[0], group[-1]
-        members = [i for i, ws in enumerate(self.words) if low <= len(ws) <= high]
-        n_steps = max(1, 2 * (low - edits_allowed(low, self.share)))
-        keys, owner = [], []
-        for i in members:
-            h = self.hash[self.numbers(self.words[i])]
-            for walk in range(WALKS):
-                got = sampled(h, np.zeros(1, np.int64), np.full(1, len(h)), walk, n_steps)[:, 0]
-                keys.append(got)
-                owner.append(np.full(len(got), i))
-        keys, owner = np.concatenate(keys), np.concatenate(owner)
-        order = np.argsort(keys, kind="stable")
-        return low, edits_allowed(high, self.share), high, n_steps, keys[order], owner[order]
+    def by_length(self) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(words, sorted hashes, items, offsets) of the pieces, a length at a time; k + 1 pieces of an item share no word."""
+        found: dict[int, list] = {}
+        for i, ws in enumerate(self.words):
+            k, n = self.edits[i], len(ws)
+            if n > k:
+                offsets = np.arange(k + 1) * n // (k + 1)
+                size = n // (k + 1)
+                keys = Rolling(self.hash[self.numbers(ws)]).of(offsets, size)
+                found.setdefault(size, []).append((keys, np.full(k + 1, i), offsets))
+        out = []
+        for size, parts in sorted(found.items()):
+            keys, owner, offsets = (np.concatenate(c) for c in zip(*parts))
+            order = np.argsort(keys, kind="stable")
+            out.append((size, keys[order], owner[order], offsets[order]))
+        return out
 
     def candidates(self, tokens: list[bytes]) -> Iterator[tuple[int, int]]:
-        """(item, start) whose sampled embeddings agree."""
+        """(item, start) where a piece of the item stands in its place; the start may be before the text."""
         n, numbers = len(tokens), self.numbers(tokens)
         pair = self.pair_of(numbers)
-        at = np.zeros(len(pair), np.int64)  # place among the known pairs; the first place is no pair
+        strange = np.ones(len(pair), bool)
         inside = np.flatnonzero((numbers[:-1] > 0) & (numbers[1:] > 0))
         place = np.minimum(np.searchsorted(self.pairs, pair[inside]), len(self.pairs) - 1)
-        at[inside] = np.where(self.pairs[place] == pair[inside], place, 0)
-        some, h = np.flatnonzero(at), None
-        for c, (low, k, high, n_steps, keys, owner) in enumerate(self.classes):
-            if low - 1 - 2 * k > len(some):
-                continue
-            known = np.concatenate([[0], np.cumsum(self.pair_classes[c][at])])
-            starts = np.arange(max(0, n - low + k + 1))
-            held = known[np.minimum(starts + low - 1, len(pair))] - known[np.minimum(starts, len(pair))]
-            starts = starts[held >= low - 1 - 2 * k]
-            if len(starts) and h is None:
-                h = self.hash[numbers]
-            for part in range(0, len(starts), 65_536):
-                s = starts[part : part + 65_536]
-                ends = np.minimum(s + high, n)
-                for walk in range(WALKS):
-                    for key in sampled(h, s, ends, walk, n_steps):
-                        a = np.searchsorted(keys, key)
-                        hit = np.flatnonzero(keys[np.minimum(a, len(keys) - 1)] == key)
-                        b = np.searchsorted(keys, key[hit], "right")
-                        for j, end in zip(hit, b):
-                            for o in range(a[j], end):
-                                yield int(owner[o]), int(s[j])
+        strange[inside] = self.pairs[place] != pair[inside]
+        ends = np.concatenate([[-1], np.flatnonzero(strange), [len(pair)]])
+        run = np.diff(ends)  # words that only known pairs join
+        longest = int(run.max())
+        until = np.repeat(ends[1:], run)  # first strange pair from each word on
+        rolling = None
+        for size, keys, owner, offsets in self.pieces:
+            if size > longest:
+                break
+            starts = np.flatnonzero(until - np.arange(n) >= size - 1)
+            rolling = rolling or Rolling(self.hash[numbers])
+            key = rolling.of(starts, size)
+            a = np.searchsorted(keys, key)
+            hit = np.flatnonzero(keys[np.minimum(a, len(keys) - 1)] == key)
+            b = np.searchsorted(keys, key[hit], "right")
+            for j, end in zip(hit, b):
+                for o in range(a[j], end):
+                    yield int(owner[o]), int(starts[j] - offsets[o])
+        for i in self.anywhere:
+            yield from ((i, s) for s in range(n))
 
     def hits(self, tokens: list[bytes]) -> list[tuple[int, int, int, int]]:
         """(item id, start, words, edits) of every item found, at its best place."""
-        if not tokens or not self.classes:
+        if not tokens or not self.words:
             return []
         out = []
         proposed: dict[int, set[int]] = {}
         for i, s in self.candidates(tokens):
             proposed.setdefault(i, set()).add(s)
         for i, starts in sorted(proposed.items()):
-            item = self.words[i]
-            k = edits_allowed(len(item), self.share)
-            found = next(((0, s, len(item)) for s in sorted(starts) if tokens[s : s + len(item)] == item), None)
-            for s in sorted(starts) if found is None else ():
-                low = max(0, s - k)
-                got = best_alignment(item, tokens[low : s + len(item) + k], k)
+            item, k = self.words[i], self.edits[i]
+            found = next(((0, s, len(item)) for s in sorted(starts) if s >= 0 and tokens[s : s + len(item)] == item), None)
+            for low, high in stretches(starts, len(item), k) if found is None else ():
+                there = tokens[low:high]
+                held = set(there)
+                if sum(w not in held for w in item) > k:
+                    continue
+                got = best_alignment(item, there, k)
                 if got:
                     place = (got[0], low + got[1], got[2] - got[1])
                     found = min(found or place, place)
@@ -192,6 +171,20 @@ class Items:
         return out
 
 
+def stretches(starts: set[int], n: int, k: int) -> Iterator[tuple[int, int]]:
+    """The parts of the text within k words of n words from any of the starts; what overlaps is one part."""
+    low = high = None
+    for s in sorted(starts):
+        if high is not None and s - k <= high:
+            high = s + n + k
+            continue
+        if high is not None:
+            yield low, high
+        low, high = max(0, s - k), s + n + k
+    if high is not None:
+        yield low, high
+
+
 def item_blocks(items: DataFrame, item_id: str, text: str) -> Iterator[list[tuple[int, bytes]]]:
     """The items in blocks of bounded size, each sent to the driver by itself."""
     rows = items.select(F.col(item_id).cast("long").alias("id"), doc_bytes(F.col(text)).alias("t")).orderBy("id", "t")

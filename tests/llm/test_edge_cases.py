@@ -114,6 +114,50 @@ def test_edited_items_are_found():
     assert found >= 58
 
 
+def edited(rng, item: list, kind: str) -> list:
+    w = list(item)
+    for _ in range(cgk.edits_allowed(len(item))):
+        what = ("change", "delete", "insert")[int(rng.integers(3))] if kind == "mixed" else kind
+        at = int(rng.integers(len(w)))
+        w[at : at + (what != "insert")] = [] if what == "delete" else [b"edit%d" % rng.integers(1000)]
+    return w
+
+
+@pytest.mark.parametrize("kind", ["change", "delete", "insert", "mixed"])
+def test_long_items_with_all_allowed_edits_are_found(kind):
+    rng = np.random.default_rng(11)
+    items = [(i, " ".join(f"w{x}" for x in rng.integers(0, 400, n)).encode()) for i, n in enumerate([100, 150, 200, 250, 300] * 6)]
+    index = cgk.Items(items, 0.1)
+    for i, ws in enumerate(index.words):
+        text = [b"before"] * 20 + edited(rng, ws, kind) + [b"after"] * 20
+        assert i in {h[0] for h in index.hits(text)}
+
+
+def nearest(item: list, text: list, bound: int) -> tuple[int, int, int] | None:
+    prev = [(0, j) for j in range(len(text) + 1)]
+    for i, a in enumerate(item, 1):
+        row = [(i, 0)]
+        for j, b in enumerate(text, 1):
+            row.append(min((prev[j - 1][0] + (a != b), prev[j - 1][1]), (prev[j][0] + 1, prev[j][1]), (row[-1][0] + 1, row[-1][1])))
+        prev = row
+    (edits, start), end = min((v, j) for j, v in enumerate(prev))
+    return (edits, start, end) if edits <= bound else None
+
+
+def test_every_occurrence_is_found_at_its_best_place():
+    rng = np.random.default_rng(3)
+    for share in (0.0, 0.1, 0.3, 1.0):
+        for v in (2, 4, 30):
+            items = [(i, " ".join(f"w{x}" for x in rng.integers(0, v, rng.integers(1, 32))).encode()) for i in range(12)]
+            index = cgk.Items(items, share)
+            for _ in range(8):
+                text = [b"w%d" % x for x in rng.integers(0, v + 1, rng.integers(1, 60))]
+                at = int(rng.integers(len(text)))
+                text[at:at] = edited(rng, index.words[int(rng.integers(12))], "mixed")
+                best = [(i, nearest(ws, text, cgk.edits_allowed(len(ws), share))) for i, ws in enumerate(index.words)]
+                assert index.hits(text) == [(i, b[1], b[2] - b[1], b[0]) for i, b in best if b]
+
+
 def test_warc(spark, none):
     pages = spark.createDataFrame([(1, "u", "same"), (2, None, "same"), (2, "v", "same"), (None, "w", "same"), (3, "line\nbreak", None),
                                    (4, "x", ""), (5, "y", "\x1f\x8b\x08 not a member " + LONG)], "page_id long, url string, html string").coalesce(1)
