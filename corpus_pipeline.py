@@ -20,27 +20,32 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col("score") >= queries.MIN_SCORE).select("_row.*")
 
 
-def dropped_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """`docs` without the rows whose `monotonically_increasing_id` is in `gone` (row)."""
-    rows = docs.select(F.monotonically_increasing_id().alias("_at"), F.struct(*named(docs)).alias("_doc"))
+def numbered_rows(docs: DataFrame) -> DataFrame:
+    """(_at, _doc): the rows and a number for each, written once: a later scan may be split otherwise and number anew."""
+    return stored(docs.select(F.monotonically_increasing_id().alias("_at"), F.struct(*named(docs)).alias("_doc")), "numbered")
+
+
+def dropped_rows(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents of `numbered_rows` whose number is not in `gone` (row)."""
     marked = lookup(rows, stored(gone.select(F.col("row").alias("_at"), F.lit(True).alias("_gone")), "gone"), "_at", "_at")
     return marked.where(F.col("_gone").isNull()).select("_doc.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similarity 0.8 or more: that of the smallest id, of equal ids the first read."""
-    near = stored(setsketch.near_duplicates(docs, 80, 100), "near")
+    rows = numbered_rows(docs)
+    near = stored(setsketch.near_duplicates(rows.select("_at", "_doc.doc_id", "_doc.text"), 80, 100, row="_at"), "near")
     grouped = near.where("n_shingles > 0 and component_id is not null")
     stays = grouped.where("kept").groupBy("component_id").agg(F.min("row").alias("stays"))
     gone = lookup(grouped.select("component_id", "row"), stored(stays, "stays"), "component_id", "row").where("row != stays")
-    return dropped_rows(docs, gone)
+    return dropped_rows(rows, gone)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), "text")
-    hits = cgk.find_items(rows, table(spark, sf_dir, "benchmark"), doc_id="row")
-    return dropped_rows(docs, hits.select(F.col("doc_id").alias("row")).distinct())
+    rows = numbered_rows(docs)
+    hits = cgk.find_items(rows.select("_at", "_doc.text"), table(spark, sf_dir, "benchmark"), doc_id="_at")
+    return dropped_rows(rows, hits.select(F.col("doc_id").alias("row")).distinct())
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -112,8 +112,8 @@ def linked(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
     return den * both >= num * (len(x) + len(y) - both)
 
 
-def sketch_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(row, id, n, whole, regs): `row` numbers the rows, `whole` is a 128-bit hash of the full set."""
+def sketch_table(rows: DataFrame) -> DataFrame:
+    """(row, id, n, whole, regs): `whole` is a 128-bit hash of the full set."""
     def sketch(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
@@ -129,12 +129,14 @@ def sketch_table(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 [batch.column("row"), batch.column("id"), pa.array(n, pa.int64()), pa.array(whole, pa.binary()), pa.array(regs, pa.binary())],
                 ["row", "id", "n", "whole", "regs"])
 
-    return stored(numbered(docs, doc_id, text).mapInArrow(sketch, "row long, id long, n long, whole binary, regs binary"), "sketches")
+    return stored(rows.mapInArrow(sketch, "row long, id long, n long, whole binary, regs binary"), "sketches")
 
 
-def numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).cast("long").alias("id"),
-                       doc_bytes(F.col(text)).alias("data"))
+def numbered(docs: DataFrame, doc_id: str, text: str, row: str | None = None) -> DataFrame:
+    """(row, id, data): numbered and written once, as a later scan may be split otherwise, or by the stored numbers `row`."""
+    number = F.monotonically_increasing_id() if row is None else F.col(row)
+    rows = docs.select(number.alias("row"), F.col(doc_id).cast("long").alias("id"), doc_bytes(F.col(text)).alias("data"))
+    return stored(rows, "numbered") if row is None else rows
 
 
 def sets_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -262,7 +264,8 @@ def rest_links(buckets: DataFrame, members: DataFrame, reps: DataFrame, rows: Da
     return full.groupBy("key", "i", "j").applyInPandas(lambda p: block_links(p, num, den), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, doc_id: str = "doc_id", text: str = "text",
+                    row: str | None = None) -> DataFrame:
     """(row, id, n_shingles, component_id, kept) for every row; documents are linked if their sets'
     Jaccard similarity is at least num / den, checked on full sets.
 
@@ -270,11 +273,11 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, doc_id: str
     nothing. Repeated rows are copies of each other. `component_id` is the smallest id of the
     component; `kept` says whether the row's id is that one. Null ids are no candidates for it; in a
     component without any id it is null, and its rows are kept. Texts of any length are taken whole;
-    an empty table gives no rows. `row` is the row's `monotonically_increasing_id`: `docs` has to be a
-    table or another frame that gives the same rows in the same order whenever it is read.
+    an empty table gives no rows. `docs` is read once and its rows are numbered then; with `row`, the
+    name of a column of stored numbers, one for each row, it is read again and these are used.
     """
-    rows = numbered(docs, doc_id, text)
-    table = sketch_table(docs, doc_id, text)
+    rows = numbered(docs, doc_id, text, row)
+    table = sketch_table(rows)
     reps = stored(table.where("n > 0").groupBy("whole").agg(
         F.min("row").alias("node"), F.min("id").alias("least"), F.max("n").alias("n"), F.max("regs").alias("regs"),
         F.count(F.lit(1)).alias("copies")), "reps")

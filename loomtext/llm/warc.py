@@ -14,7 +14,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomtext.llm.common import attempt, batches, doc_bytes, filesystem, lookup, stored
@@ -68,10 +68,9 @@ def member(record_id: str, uri: str | None, payload: bytes, refers_to: str | Non
     return z.compress(header(fields)) + z.compress(block) + z.compress(b"\r\n\r\n") + z.flush()
 
 
-def response_of(pages: DataFrame, page_id: str, body: Column, min_bytes: int = 0) -> DataFrame:
+def response_of(rows: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Payloads that occur more than once: `_digest`, and `_id` and `_row` of the record that holds the payload."""
-    keys = pages.select(F.sha1(body).alias("_digest"), F.col(page_id).alias("_id"), F.length(body).alias("_n"),
-                        F.monotonically_increasing_id().alias("_row"))
+    keys = rows.select("_digest", "_id", "_n", "_row")
     best = F.max(F.struct("_id", "_row")).alias("_best")
     many = keys.where(F.col("_n") >= min_bytes).groupBy("_digest").agg(best, F.count(F.lit(1)).alias("_m"))
     return many.where("_m > 1").select("_digest", F.col("_best._id").alias("_first"), F.col("_best._row").alias("_first_row"))
@@ -84,17 +83,17 @@ def write_warc(pages: DataFrame, folder: str, page_id: str = "page_id", uri: str
     Of records with equal payloads of at least `min_bytes` bytes the one with the largest id holds
     the payload and the others are revisits of it. A null payload is empty. A null id is smaller than
     any other and written as `null`; of rows that share id and payload the last one read is the
-    response. `pages` has to be a table or another frame that gives the same rows in the same order
-    whenever it is read. Other columns are not read.
+    response. `pages` is read once: its rows are numbered and written, as a later scan may be split
+    otherwise. Other columns are not read.
     """
     body = doc_bytes(F.col(payload))
-    repeated = stored(response_of(pages, page_id, body, min_bytes), "warc-repeated")
-    rows = pages.select(
-        F.col(page_id).alias("_id"), F.col(uri).cast("string").alias("_uri"), body.alias("_body"),
+    rows = stored(pages.select(
+        F.col(page_id).alias("_id"), F.col(uri).cast("string").alias("_uri"), body.alias("_body"), F.length(body).alias("_n"),
         F.sha1(body).alias("_digest"), F.monotonically_increasing_id().alias("_row"),
-    )
+    ), "warc-rows")
+    repeated = stored(response_of(rows, min_bytes), "warc-repeated")
     found = lookup(rows, repeated, "_digest", "_row")
-    other = F.col("_first_row").isNotNull() & (F.length("_body") >= min_bytes) & (F.col("_first_row") != F.col("_row"))
+    other = F.col("_first_row").isNotNull() & (F.col("_n") >= min_bytes) & (F.col("_first_row") != F.col("_row"))
     text_id = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
     records = found.select(text_id("_id").alias("id"), F.col("_uri").alias("uri"), F.col("_body").alias("body"),
                            F.when(other, text_id("_first")).alias("refers_to"))

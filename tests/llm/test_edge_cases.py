@@ -174,6 +174,68 @@ def test_warc(spark, none):
                                                  session.scratch_path(spark, "warc"))).collect() == []
 
 
+@pytest.fixture()
+def resplit(spark, monkeypatch, tmp_path):
+    """Runs work on a table of ten files whose scans are split otherwise after the first job, as when executors join."""
+    import corpus_pipeline
+    from loomtext.llm import common
+
+    key = "spark.sql.files.minPartitionNum"
+
+    def moved(df, name):
+        out = common.stored(df, name)
+        spark.conf.set(key, "64")
+        return out
+
+    def run(rows: list, ddl: str, work):
+        for i in range(10):
+            spark.createDataFrame(rows[i::10], ddl).coalesce(1).write.mode("append").parquet(str(tmp_path / "t"))
+        spark.conf.set(key, "1")
+        got = work(spark.read.schema(ddl).parquet(str(tmp_path / "t"))).collect()
+        assert spark.conf.get(key) == "64"
+        return got
+
+    for module in (setsketch, warc, corpus_pipeline):
+        monkeypatch.setattr(module, "stored", moved)
+    yield run
+    spark.conf.unset(key)
+
+
+def texts_of(n: int) -> list[str]:
+    return [" ".join(f"t{i}w{j}" for j in range(30)) for i in range(n)]
+
+
+def test_near_dedup_when_scans_are_split_otherwise(spark, resplit):
+    import corpus_pipeline
+
+    rows = [(i, t) for i, t in enumerate(texts_of(40))] + [(100 + i, t + " more") for i, t in enumerate(texts_of(20))]
+    got = resplit(rows, "doc_id long, text string", lambda d: corpus_pipeline.near_dedup(spark, d, ""))
+    assert sorted(r.doc_id for r in got) == list(range(40))
+
+
+def test_near_duplicates_when_scans_are_split_otherwise(resplit):
+    rows = [(i, t) for i, t in enumerate(texts_of(40))] + [(100 + i, t + " more") for i, t in enumerate(texts_of(20))]
+    got = resplit(rows, "doc_id long, text string", setsketch.near_duplicates)
+    assert {r.id: r.component_id for r in got} == {i: i % 100 for i, _ in rows}
+
+
+def test_decontamination_when_scans_are_split_otherwise(spark, resplit, tmp_path):
+    import corpus_pipeline
+
+    texts = texts_of(60)
+    spark.createDataFrame(list(enumerate(texts[:20])), "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = resplit(list(enumerate(texts)), "doc_id long, text string", lambda d: corpus_pipeline.decontaminate(spark, d, str(tmp_path)))
+    assert sorted(r.doc_id for r in got) == list(range(20, 60))
+
+
+def test_warc_when_scans_are_split_otherwise(spark, resplit):
+    rows = [(i, "u", f"body {i % 20}") for i in range(60)]
+    got = resplit(rows, "page_id long, url string, html string",
+                  lambda p: warc.read_warc(spark, warc.write_warc(p, session.scratch_path(spark, "warc"))))
+    assert {int(r.record_id): r.refers_to and int(r.refers_to) for r in got} == {i: 40 + i % 20 if i < 40 else None for i in range(60)}
+    assert sorted(bytes(r.payload) for r in got if r.record_type == "response") == sorted(f"body {i}".encode() for i in range(20))
+
+
 def test_quality(spark, docs, none):
     labels = spark.createDataFrame([(1, 1), (1, 0), (3, 0), (5, 0), (None, 1), (7, None)], "doc_id long, quality int")
     model = nbsvm.fit(docs, labels)
