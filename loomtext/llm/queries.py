@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomtext import session
-from loomtext.llm import cgk, linechunks, maxent, mixing, nbsvm, setsketch, tokenfile, toolcalls, vamana, warc
+from loomtext.llm import bestpos, cgk, linechunks, maxent, mixing, nbsvm, ppm, runs, setsketch, tokenfile, toolcalls, vamana, warc
 from loomtext.llm.common import fold, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -98,6 +99,39 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cgk.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_best_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestpos.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
+def periodic(words: list[bytes], doc_id: int | None) -> list[bytes]:
+    """The words of the query's contract: those of every tenth document (by hash) repeat from some word on."""
+    h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+    n, g = len(words), h // 10
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * -(-(n - a) // p))[: n - a]
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(table(spark, sf_dir, "documents"), ["doc_id"], rewrite=periodic, rewrite_by="doc_id")
+    line = lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string"))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    best = F.col("strongest")
+    return found.select(
+        "_row.doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op13_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    guessed = ppm.predict(docs, ppm.fit(docs.where(~held_out)), ["doc_id"])
+    return guessed.select("_row.doc_id", (fold(F.col("_row.doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -107,7 +141,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_lm_scoring, op2_warc, op3_quality_classifier, op4_chat_tool_linking, op5_minhash_near_dedup, op6_token_files,
-        op7_ann_search, op8_line_chunk_dedup, op9_source_mixing, op10_decontamination, pipeline)
+        op7_ann_search, op8_line_chunk_dedup, op9_source_mixing, op10_decontamination,
+        op11_best_positions, op12_periodic_runs, op13_ppm_language, pipeline)
 }
 
 WARC_SQL = """
@@ -177,7 +212,29 @@ SELECT conv_id, call_id, turn, NULL, 'orphan_result', NULL, []::VARCHAR[], 1,
 FROM results r WHERE NOT EXISTS (SELECT 1 FROM calls c WHERE c.conv_id = r.conv_id AND c.call_id = r.call_id)
 """
 
+TERMS_SQL = r"unnest(regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{{80}}-\x{{10FFFF}}]+'))"
+
+RANK_SQL = f"""
+WITH tf AS (
+  SELECT row_id, doc_id, term, count(*)::BIGINT AS tf FROM (
+    SELECT row_id, doc_id, {TERMS_SQL.format("text")} AS term FROM (SELECT row_number() OVER () AS row_id, doc_id, text FROM documents))
+  GROUP BY ALL
+), lengths AS (SELECT row_id, sum(tf)::BIGINT AS n FROM tf GROUP BY row_id),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM lengths),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, total GROUP BY term
+), asked AS (
+  SELECT item_id, term, count(*)::BIGINT AS times FROM (SELECT item_id, {TERMS_SQL.format("text")} AS term FROM benchmark) GROUP BY ALL
+), scores AS (
+  SELECT item_id, row_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN lengths USING (row_id), total GROUP BY ALL
+)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 10
+"""
+
 SQL: dict[str, str] = {
     "op2_warc": WARC_SQL, "op4_chat_tool_linking": CALLS_SQL, "op8_line_chunk_dedup": linechunks.reference_sql(),
-    "op9_source_mixing": MIX_SQL,
+    "op9_source_mixing": MIX_SQL, "op11_best_positions": RANK_SQL,
 }
