@@ -5,7 +5,8 @@ candidates per question and batch of the corpus, so neither all pairs nor a whol
 ever materialised. Three ways, chosen by the data:
 
 * few questions (size checked): they are broadcast, the corpus is scanned in place;
-* many questions: both sides are cut into blocks and met block by block through a shuffle;
+* many questions: the corpus is written by cells of near vectors, and a question meets the blocks of
+  those cells that its k-th distance so far does not rule out (`cells`);
 * approximate: both sides carry a hash code, and blocks meet only within probed codes.
 
 Ranks follow (rounded distance, corpus id), so equal vectors rank by id.
@@ -23,17 +24,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomtext.session import cut_lineage
+from loomtext.session import cut_lineage, scratch_path
 
 MAX_BROADCAST_QUESTIONS = 8192
 MAX_BROADCAST_CELLS = 16_000_000  # numbers in the question matrix, 128 MB
-QUESTION_BLOCK = 4096
+QUESTION_BLOCK = 16384
 CORPUS_BLOCK = 65536
 _TILE_CELLS = 4_000_000
 DIGITS = 10  # significant digits of a distance that decide ranks; closer ones are ties
 
 
-def _matrix(col: pa.Array | pa.ChunkedArray) -> np.ndarray:
+def matrix(col: pa.Array | pa.ChunkedArray) -> np.ndarray:
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
     flat = col.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
@@ -90,7 +91,7 @@ def _block_topk(q: np.ndarray, c: np.ndarray, cid: np.ndarray, k: int, metric: s
     return np.concatenate(rows), np.concatenate(scores), np.concatenate(ids)
 
 
-def _final(cands: DataFrame, qid: str, cid: str, k: int, metric: str) -> DataFrame:
+def final(cands: DataFrame, qid: str, cid: str, k: int, metric: str) -> DataFrame:
     w = Window.partitionBy(qid).orderBy("score", cid)
     ranked = cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     ranked = ranked.withColumn("rank", F.col("rank").cast("long"))
@@ -99,7 +100,7 @@ def _final(cands: DataFrame, qid: str, cid: str, k: int, metric: str) -> DataFra
     return ranked.select(qid, cid, "rank", F.col("score").alias("distance"))
 
 
-def _out_schema(q: DataFrame, c: DataFrame, qid: str, cid: str) -> T.StructType:
+def out_schema(q: DataFrame, c: DataFrame, qid: str, cid: str) -> T.StructType:
     return T.StructType([
         T.StructField(qid, q.schema[qid].dataType),
         T.StructField(cid, c.schema[cid].dataType),
@@ -122,7 +123,7 @@ def _broadcast_search(head: list, corpus: DataFrame, schema: T.StructType, qid:
             c_ids = b.column(cid).to_numpy(zero_copy_only=False)
             if c_ids.dtype == object:
                 c_ids = c_ids.astype(str)
-            got = _block_topk(q, _matrix(b.column(vec)), c_ids, k, metric)
+            got = _block_topk(q, matrix(b.column(vec)), c_ids, k, metric)
             if best is not None:
                 got = _smallest(*[np.concatenate(p) for p in zip(best, got)], k)
             best = got
@@ -135,38 +136,32 @@ def _broadcast_search(head: list, corpus: DataFrame, schema: T.StructType, qid:
     return corpus.select(cid, vec).where(F.col(vec).isNotNull()).mapInArrow(search, schema)
 
 
-def _block_search(q: DataFrame, c: DataFrame, schema: T.StructType, qid: str, cid: str, vec: str,
-                  k: int, metric: str, question_block: int, corpus_block: int) -> DataFrame:
-    """Meet questions and corpus block by block, inside each `code` if the inputs carry one.
+def block_search(q: DataFrame, c: DataFrame, schema: T.StructType, qid: str, cid: str, vec: str,
+                 k: int, metric: str, question_block: int = QUESTION_BLOCK, corpus_block: int = CORPUS_BLOCK) -> DataFrame:
+    """Meet questions and corpus block by block inside each `code`.
 
-    Each code (or the whole input) gets as many blocks per side as its size asks for, so a hot
-    code is spread over a grid of (question block, corpus block) cells of bounded size. The
-    table of sizes has one row per code; codes have few bits, which bounds what is broadcast.
+    Each code gets as many blocks per side as its size asks for, so a hot code is spread over a
+    grid of (question block, corpus block) cells of bounded size. The table of sizes has one row
+    per code; codes are few, which bounds what is broadcast.
     """
-    coded = "code" in q.columns
-    code = ["code"] if coded else []
 
     def blocks(n: Column, size: int) -> Column:
         return F.ceil(n / F.lit(size)).cast("int")
 
-    if coded:
-        per_q = q.groupBy("code").agg(blocks(F.count(F.lit(1)), question_block).alias("nq"))
-        per_c = c.groupBy("code").agg(blocks(F.count(F.lit(1)), corpus_block).alias("nc"))
-        sizes = F.broadcast(per_q.join(per_c, "code"))
-        q, c = q.join(sizes, "code"), c.join(sizes, "code")
-    else:
-        nq, nc = blocks(F.lit(q.count()), question_block), blocks(F.lit(c.count()), corpus_block)
-        q, c = [d.withColumn("nq", nq).withColumn("nc", nc) for d in (q, c)]
+    per_q = q.groupBy("code").agg(blocks(F.count(F.lit(1)), question_block).alias("nq"))
+    per_c = c.groupBy("code").agg(blocks(F.count(F.lit(1)), corpus_block).alias("nc"))
+    sizes = F.broadcast(per_q.join(per_c, "code"))
+    q, c = q.join(sizes, "code"), c.join(sizes, "code")
 
     def side(df: DataFrame, key: str, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
         cells = df.withColumn(own, F.pmod(F.xxhash64(key), F.col(own_n)).cast("int")).withColumn(
             other, F.explode(F.sequence(F.lit(0), F.col(other_n) - 1))
         )
         # fresh attributes: both sides may come from the same table
-        return cells.select(*[F.col(x).alias(x) for x in (*code, "bq", "bc", key, vec)])
+        return cells.select(*[F.col(x).alias(x) for x in ("code", "bq", "bc", key, vec)])
 
-    left = side(q, qid, "bq", "nq", "bc", "nc").groupBy(*code, "bq", "bc")
-    right = side(c, cid, "bc", "nc", "bq", "nq").groupBy(*code, "bq", "bc")
+    left = side(q, qid, "bq", "nq", "bc", "nc").groupBy("code", "bq", "bc")
+    right = side(c, cid, "bc", "nc", "bq", "nq").groupBy("code", "bq", "bc")
 
     def meet(a: pa.Table, b: pa.Table) -> pa.Table:
         if not a.num_rows or not b.num_rows:
@@ -177,7 +172,7 @@ def _block_search(q: DataFrame, c: DataFrame, schema: T.StructType, qid: str, ci
         c_ids = b.column(cid).to_numpy()
         if c_ids.dtype == object:
             c_ids = c_ids.astype(str)
-        row, score, ids = _block_topk(_matrix(a.column(vec)), _matrix(b.column(vec)), c_ids, k, metric)
+        row, score, ids = _block_topk(matrix(a.column(vec)), matrix(b.column(vec)), c_ids, k, metric)
         return pa.table({qid: pa.array(qids[row]), cid: pa.array(ids), "score": pa.array(score)})
 
     return left.cogroup(right).applyInArrow(meet, schema)
@@ -196,16 +191,19 @@ def topk(questions: DataFrame, corpus: DataFrame, k: int = 8, *, qid: str = "que
         raise ValueError(f"unknown metric: {metric}")
     q = questions.select(qid, vec).where(F.col(vec).isNotNull())
     c = corpus.select(cid, vec).where(F.col(vec).isNotNull())
-    schema = _out_schema(q, c, qid, cid)
-    head = q.limit(max_broadcast + 1).collect() if max_broadcast else []
-    cells = sum(len(r[1]) for r in head)
-    if max_broadcast and len(head) <= max_broadcast and cells <= MAX_BROADCAST_CELLS:
-        cands = _broadcast_search(head, c, schema, qid, cid, vec, k, metric)
-    else:
-        if not stored:
-            q, c = cut_lineage(q), cut_lineage(c)
-        cands = _block_search(q, c, schema, qid, cid, vec, k, metric, question_block, corpus_block)
-    return _final(cands, qid, cid, k, metric)
+    if not stored:
+        q = cut_lineage(q)  # measured first, then read again; the corpus is scanned once if the questions are few
+    size = q.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size(vec)), F.lit(0)).alias("cells")).first()
+    if size["n"] <= max_broadcast and size["cells"] <= MAX_BROADCAST_CELLS:
+        cands = _broadcast_search(q.collect(), c, out_schema(q, c, qid, cid), qid, cid, vec, k, metric)
+        return final(cands, qid, cid, k, metric)
+    from loomtext.operators import cells  # which is built on this module
+
+    if not stored:
+        c = cut_lineage(c)
+    index = cells.build(c, scratch_path(c.sparkSession, "cells"), key=cid, vec=vec, metric=metric,
+                        cells=max(1, -(-c.count() // corpus_block)), calibrate=False)
+    return cells.search(q, index, k, qid=qid, cid=cid, vec=vec, question_block=question_block, corpus_block=corpus_block)
 
 
 def plane_signs(bits: int, dims: int) -> np.ndarray:
@@ -225,7 +223,7 @@ def hash_code(vec: Column, bits: int, dims: int) -> Column:
     def code(vectors: pa.Array) -> pa.Array:
         if not len(vectors):
             return pa.array([], pa.int32())
-        return pa.array(((_matrix(vectors) @ planes.T >= 0) * weights).sum(axis=1).astype(np.int32))
+        return pa.array(((matrix(vectors) @ planes.T >= 0) * weights).sum(axis=1).astype(np.int32))
 
     return code(vec)
 
@@ -250,13 +248,13 @@ def topk_approx(questions: DataFrame, corpus: DataFrame, k: int = 8, *, bits: in
     c = corpus.select(cid, vec).where(F.col(vec).isNotNull())
     if not stored:
         q, c = cut_lineage(q), cut_lineage(c)
-    schema = _out_schema(q, c, qid, cid)
+    schema = out_schema(q, c, qid, cid)
     masks = F.array(*[F.lit(m) for m in probe_masks(bits, radius)])
     probes = q.withColumn("own", hash_code(F.col(vec), bits, dims)).withColumn("mask", F.explode(masks))
     probes = probes.select(qid, vec, F.col("own").bitwiseXOR(F.col("mask")).alias("code"))
     coded = c.withColumn("code", hash_code(F.col(vec), bits, dims))
-    cands = _block_search(probes, coded, schema, qid, cid, vec, k, metric, question_block, corpus_block)
-    return _final(cands, qid, cid, k, metric)
+    cands = block_search(probes, coded, schema, qid, cid, vec, k, metric, question_block, corpus_block)
+    return final(cands, qid, cid, k, metric)
 
 
 def recall(found: DataFrame, truth: DataFrame, qid: str = "query_id", cid: str = "chunk_id") -> DataFrame:
