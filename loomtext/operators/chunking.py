@@ -122,7 +122,7 @@ def register_splitter(spark, name: str = "split_chunks", size: int = 512, overla
 
 
 def global_chunk_ids(chunks: DataFrame, language: str, source: str, doc_key: str,
-                     n_blocks: int = ranges.N_BLOCKS, hot_rows: int = skew.HOT_ROWS) -> DataFrame:
+                     n_blocks: int | None = None, hot_rows: int = skew.HOT_ROWS) -> DataFrame:
     """`chunk_id = {source}_{i}`, where `i` runs over the whole language.
 
     Documents are ordered by (source, document), chunks by `chunk_idx`. Only per-document

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomtext.functions import guards as G
-from loomtext.operators import history
+from loomtext.operators import history, skew
 
 
 def guard_columns(role: Column, text: Column, *, prior_calls: Column | None = None,
@@ -49,8 +49,8 @@ def guard_columns(role: Column, text: Column, *, prior_calls: Column | None = No
 
 
 def guard_messages(messages: DataFrame, key: str, pos: str = "turn", role: str = "role", text: str = "text",
-                   **inputs: Column) -> DataFrame:
+                   hot: skew.HotKeys | None = None, **inputs: Column) -> DataFrame:
     """Guard a message table; the rate limit counts earlier rows of the thread."""
-    ranked = history.call_ranks(messages, key, pos, G.CALL_LIMIT).drop("rate_limited")
+    ranked = history.call_ranks(messages, key, pos, G.CALL_LIMIT, hot).drop("rate_limited")
     cols = guard_columns(F.col(role), F.col(text), prior_calls=F.col("prior_calls"), **inputs)
     return ranked.select("*", *[c.alias(n) for n, c in cols.items()])

@@ -1,4 +1,4 @@
-"""Thread history. Every running computation is cut into blocks (see `scan`)."""
+"""Thread history. Hot threads are cut into blocks (see `scan`); pass `hot` where they are known."""
 
 from __future__ import annotations
 
@@ -6,62 +6,47 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomtext.functions import text as X
-from loomtext.operators import ranges, scan, skew
+from loomtext.operators import scan, skew
+from loomtext.session import cut_lineage
 
 
-def call_ranks(messages: DataFrame, key: str, pos: str, limit: int) -> DataFrame:
+def call_ranks(messages: DataFrame, key: str, pos: str, limit: int, hot: skew.HotKeys | None = None) -> DataFrame:
     """Number of earlier calls in the thread and the rate-limit verdict."""
     one = F.lit(1).cast("long")
-    out = scan.running(messages, [key], pos, {"prior_calls": ("sum", one)}, inclusive=False)
+    out = scan.running(messages, [key], pos, {"prior_calls": ("sum", one)}, inclusive=False, hot=hot)
     return out.withColumn("rate_limited", F.col("prior_calls") >= limit)
 
 
 def trim(messages: DataFrame, key: str, budget: int, *, pos: str = "turn", role: str = "role",
          tokens: Column | None = None, text: str = "text", bits: int = scan.BLOCK_BITS,
-         hot_rows: int = skew.HOT_ROWS) -> DataFrame:
+         hot_rows: int = skew.HOT_ROWS, hot: skew.HotKeys | None = None) -> DataFrame:
     """Newest whole messages that fit the budget, starting on a user row, plus the system row.
 
     The system row is the first message only; its cost is taken off the budget, and it stays
-    even if nothing else fits. Ordinary threads take one shuffle and windows over it. Blocks of
-    hot threads get the tokens of later blocks and the thread's system row from the block
+    even if nothing else fits. Threads take one shuffle and windows over it. Blocks of hot
+    threads get the tokens of later blocks and the thread's system row from the block
     summaries.
     """
+    hot = skew.find(messages, [key], hot_rows) if hot is None else hot
     tokens = X.word_count(F.col(text)) if tokens is None else tokens
-    is_sys_role = F.col(role) == "system"
-    aggs: scan.Aggs = {
-        "_first": ("min", F.col(pos)), "_sys_pos": ("min", F.when(is_sys_role, F.col(pos))), "_sum": ("sum", F.col("_tok")),
-    }
-    rows = messages.withColumn("_tok", tokens.cast("long")).withColumn("_own", scan.block_id(F.col(pos), bits))
-    hot = skew.hot_keys(messages, [key], hot_rows)
-
-    def sys_cost(role_pos: Column) -> Column:
-        return F.min_by("_tok", role_pos)
-
-    sys_pos = F.when(is_sys_role, F.col(pos))
-    blocks = rows.join(hot, key, "left_semi").withColumnRenamed("_own", scan.BLK)
-    blocks = blocks.groupBy(key, scan.BLK).agg(
-        *[scan.fold(k, e).alias(n) for n, (k, e) in aggs.items()], sys_cost(sys_pos).alias("_sys_tok")
-    )
-    later = Window.partitionBy(key).orderBy(F.col(scan.BLK).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(key)
-    carry = blocks.select(
-        key, scan.BLK, F.lit(True).alias("_is_hot"), F.coalesce(F.sum("_sum").over(later), F.lit(0)).alias("_c_later"),
-        F.min("_first").over(whole).alias("_c_first"), F.min("_sys_pos").over(whole).alias("_c_sys_pos"),
-        F.min_by("_sys_tok", "_sys_pos").over(whole).alias("_c_sys_tok"),
-    )
-    part = Window.partitionBy(key, scan.BLK)
+    sys_pos = F.when(F.col(role) == "system", F.col(pos))
+    rows = messages.withColumn("_tok", tokens.cast("long"))
+    rows = scan.place(rows, [key], pos, hot, bits) if hot else rows
+    part = Window.partitionBy(key, *([scan.BLK] if hot else []))
     down = part.orderBy(F.col(pos).desc()).rowsBetween(Window.unboundedPreceding, 0)
     everything = part.orderBy(F.col(pos).desc()).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    facts = {
+        "_later": F.lit(0).cast("long"), "_first": F.min(pos).over(everything), "_sys_pos": F.min(sys_pos).over(everything),
+        "_sys_tok": F.min_by("_tok", sys_pos).over(everything),
+    }
+    if hot:
+        carry = F.broadcast(_later_blocks(rows.where(F.col("_hot").isNotNull()), pos, sys_pos))
+        facts = {n: F.when(F.col("_hot").isNotNull(), F.col(f"_c{n}")).otherwise(c) for n, c in facts.items()}
 
     def fitting(some: DataFrame) -> DataFrame:
-        seen = scan.split_blocks(some, [key], hot).join(carry, [key, scan.BLK], "left").select(
-            *messages.columns, "_tok", scan.BLK, "_is_hot",
-            F.coalesce("_c_later", F.lit(0)).alias("_later"),
-            F.sum("_tok").over(down).alias("_here"),
-            F.when(F.col("_is_hot"), F.col("_c_first")).otherwise(F.min(pos).over(everything)).alias("_first"),
-            F.when(F.col("_is_hot"), F.col("_c_sys_pos")).otherwise(F.min(sys_pos).over(everything)).alias("_sys_pos"),
-            F.when(F.col("_is_hot"), F.col("_c_sys_tok")).otherwise(sys_cost(sys_pos).over(everything)).alias("_sys_tok"),
-        )
+        some = some.join(carry, ["_hot", scan.BLK], "left") if hot else some
+        extra = ["_hot", scan.BLK] if hot else []
+        seen = some.select(*messages.columns, "_tok", *extra, F.sum("_tok").over(down).alias("_here"), *[c.alias(n) for n, c in facts.items()])
         has_sys = F.coalesce(F.col("_sys_pos") == F.col("_first"), F.lit(False))
         # the system row is the oldest, so it never counts into what is newer than another row
         used = F.col("_later") + F.col("_here") + F.when(has_sys, F.col("_sys_tok")).otherwise(0)
@@ -69,14 +54,26 @@ def trim(messages: DataFrame, key: str, budget: int, *, pos: str = "turn", role:
         return marked.withColumn("_fits", ~F.col("_is_sys") & (used <= budget)).where(F.col("_fits") | F.col("_is_sys"))
 
     user_pos = F.when(F.col("_fits") & (F.col(role) == "user"), F.col(pos))
-    hot_start = fitting(rows.join(hot, key, "left_semi")).groupBy(key).agg(F.min(user_pos).alias("_hot_start"))
-    started = fitting(rows).join(F.broadcast(hot_start), key, "left").withColumn(
-        "_start", F.when(F.col("_is_hot"), F.col("_hot_start")).otherwise(F.min(user_pos).over(part))
-    )
-    kept = started.where(F.col("_is_sys") | F.coalesce(F.col(pos) >= F.col("_start"), F.lit(False)))
+    kept, start = fitting(rows), F.min(user_pos).over(part)
+    if hot:
+        of_hot = fitting(rows.where(F.col("_hot").isNotNull())).groupBy("_hot").agg(F.min(user_pos).alias("_hot_start"))
+        kept = kept.join(F.broadcast(of_hot), "_hot", "left")
+        start = F.when(F.col("_hot").isNotNull(), F.col("_hot_start")).otherwise(start)
+    kept = kept.withColumn("_start", start).where(F.col("_is_sys") | F.coalesce(F.col(pos) >= F.col("_start"), F.lit(False)))
     return kept.select(*messages.columns, F.col("_tok").alias("n_tokens"))
 
 
+def _later_blocks(rows: DataFrame, pos: str, sys_pos: Column) -> DataFrame:
+    """For each block of a hot thread the tokens of later blocks, and the thread's first row and system row."""
+    blocks = rows.groupBy("_hot", scan.BLK).agg(
+        F.sum("_tok").alias("_sum"), F.min(pos).alias("_first"), F.min(sys_pos).alias("_sys_pos"), F.min_by("_tok", sys_pos).alias("_sys_tok"))
+    later = Window.partitionBy("_hot").orderBy(F.col(scan.BLK).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("_hot")
+    return blocks.select(
+        "_hot", scan.BLK, F.coalesce(F.sum("_sum").over(later), F.lit(0)).alias("_c_later"), F.min("_first").over(whole).alias("_c_first"),
+        F.min("_sys_pos").over(whole).alias("_c_sys_pos"), F.min_by("_sys_tok", "_sys_pos").over(whole).alias("_c_sys_tok"))
+
+
 def last_n(messages: DataFrame, keys: list[str], n: int, pos: str = "turn") -> DataFrame:
     """The newest `n` rows per group; the rank filter trims each partition before the shuffle."""
     w = Window.partitionBy(*keys).orderBy(F.col(pos).desc())
@@ -111,17 +108,17 @@ def transcript_at(messages: DataFrame, points: DataFrame, key: str, at: str = "a
 
 
 def latest_user_text(messages: DataFrame, key: str, pos: str = "turn", role: str = "role", text: str = "text",
-                     default: str = "No user message found") -> DataFrame:
+                     default: str = "No user message found", hot: skew.HotKeys | None = None) -> DataFrame:
     """Text of the newest user row at or before each turn."""
     seen = F.when(F.col(role) == "user", F.struct(F.col(pos).alias("p"), F.col(text).alias("t")))
-    out = scan.running(messages, [key], pos, {"_seen": ("max", seen)})
+    out = scan.running(messages, [key], pos, {"_seen": ("max", seen)}, hot=hot)
     return out.withColumn("last_user_text", F.coalesce(F.col("_seen")["t"], F.lit(default))).drop("_seen")
 
 
-def checkpoint_history(checkpoints: DataFrame, key: str, step: str = "step") -> DataFrame:
+def checkpoint_history(checkpoints: DataFrame, key: str, step: str = "step", hot: skew.HotKeys | None = None) -> DataFrame:
     """Index of each checkpoint counted from the newest (0)."""
     one = F.lit(1).cast("long")
-    return scan.running(checkpoints, [key], step, {"step_index": ("sum", one)}, inclusive=False, reverse=True)
+    return scan.running(checkpoints, [key], step, {"step_index": ("sum", one)}, inclusive=False, reverse=True, hot=hot)
 
 
 def checkpoint_at(checkpoints: DataFrame, key: str, index: int, step: str = "step") -> DataFrame:
@@ -131,17 +128,21 @@ def checkpoint_at(checkpoints: DataFrame, key: str, index: int, step: str = "ste
     return ranked.where(F.col("_i") == index + 1).drop("_i")
 
 
-def merge_messages(updates: DataFrame, key: str, msg_id: str, seq: str, text: str) -> DataFrame:
-    """Append, or replace the text of an id that exists while keeping its first place."""
+def merge_messages(updates: DataFrame, key: str, msg_id: str, seq: str, text: str, hot: skew.HotKeys | None = None) -> DataFrame:
+    """Append, or replace the text of an id that exists while keeping its first place.
+
+    With hot threads the merged rows are used several times and therefore written once.
+    """
+    hot = skew.find(updates, [key]) if hot is None else hot
     merged = updates.groupBy(key, msg_id).agg(
         F.min(seq).alias("first_seq"), F.max_by(text, seq).alias(text), F.count(F.lit(1)).alias("n_versions"),
     )
     one = F.lit(1).cast("long")
-    return scan.running(merged, [key], "first_seq", {"position": ("sum", one)}, counted=updates)
+    return scan.running(cut_lineage(merged) if hot else merged, [key], "first_seq", {"position": ("sum", one)}, hot=hot)
 
 
 def fold_state(updates: DataFrame, key: str, step: str, overwrite: list[str], summed: list[str] = (),
-               counted: str | None = None) -> DataFrame:
+               counted: str | None = None, hot: skew.HotKeys | None = None) -> DataFrame:
     """State at each step: last written value per overwrite field, running sums, append count."""
     aggs: scan.Aggs = {}
     for f in overwrite:
@@ -151,7 +152,7 @@ def fold_state(updates: DataFrame, key: str, step: str, overwrite: list[str], su
         aggs[f"{f}_total"] = ("sum", F.col(f))
     if counted:
         aggs["n_appended"] = ("sum", F.col(counted).isNotNull().cast("long"))
-    out = scan.running(updates, [key], step, aggs)
+    out = scan.running(updates, [key], step, aggs, hot=hot)
     for f in overwrite:
         out = out.withColumn(f"{f}_now", F.col(f"_f_{f}")["v"]).drop(f"_f_{f}")
     return out
@@ -201,7 +202,8 @@ def ends_in_tool_call(messages: DataFrame, key: str, pos: str, n_calls: Column)
     )
 
 
-def clamp_slice(items: DataFrame, key: str, unique_pos: str, at: Column, start: int, end: int) -> DataFrame:
+def clamp_slice(items: DataFrame, key: str, unique_pos: str, at: Column, start: int, end: int,
+                hot: skew.HotKeys | None = None) -> DataFrame:
     """Rows of each item at offsets in [start, min(end, duration)]; items ending by `start` are skipped.
 
     `at` is the row's place in the item; offsets count from the item's first row and its
@@ -210,12 +212,8 @@ def clamp_slice(items: DataFrame, key: str, unique_pos: str, at: Column, start:
     """
     rows = items.withColumn("_at", at)
     aggs: scan.Aggs = {"_first": ("min", F.col("_at")), "_last": ("max", F.col("_at"))}
-    total = scan.group_totals(rows, [key], scan.block_id(F.col(unique_pos)), aggs)
+    total = scan.group_totals(rows, [key], scan.block_id(F.col(unique_pos)), aggs, hot=hot)
     placed = total.select(
         *items.columns, (F.col("_at") - F.col("_first")).alias("offset"), (F.col("_last") - F.col("_first")).alias("duration")
     )
     return placed.where((F.col("duration") > start) & F.col("offset").between(F.lit(start), F.least(F.lit(end), F.col("duration"))))
-
-
-def pages_of_history(messages: DataFrame, key: str, order_key: str, text: str, page_size: int = 64) -> DataFrame:
-    return ranges.paged_concat(messages, [key], order_key, text, page_size=page_size, sep="\n")

@@ -9,9 +9,9 @@ from loomtext.functions.inference import TOOLS, Tool
 from loomtext.operators import skew
 
 def enrich(docs: DataFrame, summaries: DataFrame, key: str, spread: str,
-           hot_rows: int = skew.HOT_ROWS) -> DataFrame:
+           hot_rows: int = skew.HOT_ROWS, hot: skew.HotKeys | None = None) -> DataFrame:
     """Left join with one summary per key; documents without a summary keep NULLs."""
-    return skew.skewed_lookup(docs, summaries, key, spread, "left", hot_rows)
+    return skew.skewed_lookup(docs, summaries, key, spread, "left", hot_rows, hot)
 
 
 def dispatch_tools(calls: DataFrame, tools: dict[str, Tool] | None = None, *, name: str = "name",

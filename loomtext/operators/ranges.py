@@ -1,79 +1,51 @@
-"""Global order without a single sorting task.
-
-Rows are put in range blocks by comparing a sort key with a bounded sample of keys. The sample
-(at most `n_blocks - 1` strings) only sets the balance; results do not depend on it.
-"""
+"""Global order without a single sorting task: running sums, ranks and pages over string keys."""
 
 from __future__ import annotations
 
-import bisect
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomtext.operators import scan, skew
 
-N_BLOCKS = 2048
-
 
 def sort_key(*cols: Column) -> Column:
-    """One string that sorts like the columns: numbers are zero-padded, parts NUL-separated."""
+    """One string that sorts like the columns: numbers are padded, parts NUL-separated."""
     return F.concat_ws("\u0000", *cols)
 
 
 def padded(c: Column) -> Column:
-    """Non-negative integer as a string that sorts like the number."""
-    return F.lpad(c.cast("string"), 19, "0")
-
-
-def split_points(df: DataFrame, key: str, n_blocks: int = N_BLOCKS) -> list[str]:
-    """Sorted sample of keys: the rows with the smallest hashes (distributed top-n)."""
-    sample = df.select(key).orderBy(F.xxhash64(key), key).limit(n_blocks - 1)
-    return sorted({r[0] for r in sample.collect()})
-
-
-def range_block(key: Column, bounds: list[str]) -> Column:
-    """Number of split points at or below the key; grows with the key."""
-
-    @F.arrow_udf("long")
-    def place(keys: pa.Array) -> pa.Array:
-        return pa.array([bisect.bisect_right(bounds, k) for k in keys.to_pylist()], pa.int64())
-
-    return place(key)
+    """Integer as a string that sorts like the number, negative ones first."""
+    return F.lpad((c.cast("decimal(20,0)") + F.lit(1 << 62) + F.lit(1 << 62)).cast("decimal(20,0)").cast("string"), 20, "0")
 
 
 def running_sum(df: DataFrame, keys: list[str], order_key: str, value: Column, name: str, *,
-                inclusive: bool = True, n_blocks: int = N_BLOCKS, hot_rows: int = skew.HOT_ROWS,
-                counted: DataFrame | None = None) -> DataFrame:
-    """Running sum per group in the order of a unique string key.
+                inclusive: bool = True, n_blocks: int | None = None, hot_rows: int = skew.HOT_ROWS,
+                counted: DataFrame | None = None, hot: skew.HotKeys | None = None, bits: int = scan.BLOCK_BITS) -> DataFrame:
+    """Running sum per group in the order of a unique string key. Only hot groups are sampled and cut.
 
-    Only hot groups are sampled and cut; without any, no block is computed.
+    `n_blocks` bounds the blocks of each hot group.
     """
-    counted = df if counted is None else counted
-    in_hot = df.join(skew.hot_keys(counted, keys, hot_rows), keys, "left_semi")
-    bounds = split_points(in_hot, order_key, n_blocks)
-    block = range_block(F.col(order_key), bounds) if bounds else F.lit(0).cast("long")
-    return scan.running(df, keys, order_key, {name: ("sum", value)}, block=block, inclusive=inclusive,
-                        hot_rows=hot_rows, counted=counted)
+    bits = bits if n_blocks is None else 0
+    return scan.running(df, keys, order_key, {name: ("sum", value)}, inclusive=inclusive, bits=bits, n_blocks=n_blocks,
+                        hot_rows=hot_rows, counted=counted, hot=hot)
 
 
-def rank(df: DataFrame, keys: list[str], order_key: str, name: str = "rank",
-         n_blocks: int = N_BLOCKS, hot_rows: int = skew.HOT_ROWS, counted: DataFrame | None = None) -> DataFrame:
+def rank(df: DataFrame, keys: list[str], order_key: str, name: str = "rank", n_blocks: int | None = None,
+         hot_rows: int = skew.HOT_ROWS, counted: DataFrame | None = None, hot: skew.HotKeys | None = None) -> DataFrame:
     """1-based position of each row in its group."""
     one = F.lit(1).cast("long")
-    return running_sum(df, keys, order_key, one, name, n_blocks=n_blocks, hot_rows=hot_rows, counted=counted)
+    return running_sum(df, keys, order_key, one, name, n_blocks=n_blocks, hot_rows=hot_rows, counted=counted, hot=hot)
 
 
 def paged_concat(df: DataFrame, keys: list[str], order_key: str, text: str, *,
-                 page_size: int = 64, sep: str = "\n\n", n_blocks: int = N_BLOCKS,
-                 hot_rows: int = skew.HOT_ROWS) -> DataFrame:
+                 page_size: int = 64, sep: str = "\n\n", n_blocks: int | None = None,
+                 hot_rows: int = skew.HOT_ROWS, hot: skew.HotKeys | None = None) -> DataFrame:
     """Ordered concatenation in pages of at most `page_size` items; NULL texts are dropped.
 
     Joining the pages of a group in page order with `sep` gives the group's whole text, but no
     row or task ever holds more than one page.
     """
-    ranked = rank(df.where(F.col(text).isNotNull()), keys, order_key, "_rank", n_blocks, hot_rows, counted=df)
+    ranked = rank(df.where(F.col(text).isNotNull()), keys, order_key, "_rank", n_blocks, hot_rows, counted=df, hot=hot)
     paged = ranked.withColumn("page", F.floor((F.col("_rank") - 1) / page_size).cast("long"))
     items = F.array_sort(F.collect_list(F.struct("_rank", F.col(text).alias("t"))))
     return paged.groupBy(*keys, "page").agg(

@@ -44,12 +44,17 @@ def plant(messages):
     )
 
 
-def planted(spark, sf):
+def hot_threads(spark, sf) -> skew.HotKeys:
+    """Found once for the table, for every operator on its threads."""
+    return skew.find(table(spark, sf, "conversations").withColumnRenamed("conv_id", "thread_id"), ["thread_id"])
+
+
+def planted(spark, sf, hot: skew.HotKeys | None = None):
     verdict = F.when(F.col("toxic") == 1, "Rating: unsafe").when(F.col("toxic") == 0, "SAFE")
     # a thread id meets one label, and a thread's rows are spread by its turns
     labels = table(spark, sf, "labels").select(F.col("doc_id").alias("thread_id"), "toxic")
     c = table(spark, sf, "conversations").withColumnRenamed("conv_id", "thread_id")
-    c = skew.skewed_lookup(c, labels, "thread_id", "turn")
+    c = skew.skewed_lookup(c, labels, "thread_id", "turn", hot=hot_threads(spark, sf) if hot is None else hot)
     return plant(c).withColumn("verdict", verdict).drop("toxic")
 
 
@@ -174,8 +179,9 @@ guarded AS (SELECT thread_id, turn, kw AS keyword_blocked, pii, safe_text, limit
 
 
 def guarded(spark, sf):
+    hot = hot_threads(spark, sf)
     out = guarding.guard_messages(
-        planted(spark, sf), "thread_id", tool_names=F.col("tool_names"), approved=F.col("approved"), verdict=F.col("verdict"))
+        planted(spark, sf, hot), "thread_id", hot=hot, tool_names=F.col("tool_names"), approved=F.col("approved"), verdict=F.col("verdict"))
     return out.select("thread_id", "turn", "keyword_blocked", "pii", "safe_text", "rate_limited", "needs_approval", "unsafe",
                       "risk", "n_blocks", "route")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from loomtext.functions import text as X
 from loomtext.operators import chunking, graph, history, joins, ranges, stats
 from loomtext.plans.catalog import query, table
+from loomtext.plans.queries_guard import hot_threads
 from loomtext.plans.queries_text import WINDOWS_512
 from loomtext.session import scratch_path
 from loomtext.sources import checkpoints as log
@@ -95,15 +96,16 @@ CHECKPOINTS_SQL = """SELECT conv_id AS thread_id, turn AS step, row_number() OVE
   role AS last_role FROM conversations"""
 
 
-def checkpoints(spark, sf):
-    ranked = history.call_ranks(_threads(spark, sf), "thread_id", "turn", 0)
+def checkpoints(spark, sf, hot=None):
+    ranked = history.call_ranks(_threads(spark, sf), "thread_id", "turn", 0, hot_threads(spark, sf) if hot is None else hot)
     return ranked.select("thread_id", F.col("turn").alias("step"), (F.col("prior_calls") + 1).alias("n_messages"), F.col("role").alias("last_role"))
 
 
 @query("h06_checkpoint_history", f"""
 SELECT thread_id, step, n_messages, row_number() OVER (PARTITION BY thread_id ORDER BY step DESC) - 1 AS step_index FROM ({CHECKPOINTS_SQL})""")
 def checkpoint_history(spark, sf):
-    return history.checkpoint_history(checkpoints(spark, sf), "thread_id").select("thread_id", "step", "n_messages", "step_index")
+    hot = hot_threads(spark, sf)
+    return history.checkpoint_history(checkpoints(spark, sf, hot), "thread_id", hot=hot).select("thread_id", "step", "n_messages", "step_index")
 
 
 @query("h06_checkpoint_at", f"""
@@ -124,7 +126,7 @@ def merge_messages(spark, sf):
     t = _threads(spark, sf).withColumn("msg_id", F.concat(F.lit("m"), F.col("turn").cast("string")))
     first = t.select("thread_id", "msg_id", F.col("turn").alias("seq"), "text")
     again = t.where(F.col("turn") % 3 == 0).select("thread_id", "msg_id", (F.col("turn") + 1000).alias("seq"), F.concat(F.lit("edited: "), "text").alias("text"))
-    return history.merge_messages(first.unionByName(again), "thread_id", "msg_id", "seq", "text")
+    return history.merge_messages(first.unionByName(again), "thread_id", "msg_id", "seq", "text", hot_threads(spark, sf))
 
 
 _STATE_SQL = """SELECT conv_id AS thread_id, turn AS step, CASE WHEN turn % 3 = 0 THEN role || '-' || turn END AS mood,
