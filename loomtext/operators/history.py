@@ -158,24 +158,51 @@ def fold_state(updates: DataFrame, key: str, step: str, overwrite: list[str], su
     return out
 
 
-def fork(checkpoints: DataFrame, overrides: DataFrame, key: str, step: str, at: int, fields: list[str],
+def fork(checkpoints: DataFrame, overrides: DataFrame, key: str, step: str, at: int | None, fields: list[str],
          next_step: DataFrame | None = None) -> DataFrame:
     """All checkpoints plus one child per overridden thread.
 
-    The child copies the state at step `at`, takes the override's non-NULL fields, gets the next
-    free step and points at its parent.
+    The child copies the state at step `at` (with None, at the step in the override's own column `at`), takes
+    the override's non-NULL fields, gets the next free step and points at its parent. A table
+    that was forked before keeps its parent links.
     """
     newest = checkpoints.groupBy(key).agg(F.max(step).alias("_last")) if next_step is None else next_step
-    base = checkpoints.where(F.col(step) == at)
-    o = overrides.select(key, *[F.col(f).alias(f"_o_{f}") for f in fields])
-    child = base.join(o, key).join(newest, key).select(
+    o = overrides.select(key, (F.lit(at) if at is not None else F.col("at")).alias("_at"), *[F.col(f).alias(f"_o_{f}") for f in fields])
+    base = checkpoints if at is None else checkpoints.where(F.col(step) == at)
+    child = base.join(o, key).where(F.col(step) == F.col("_at")).join(newest, key).select(
         key, (F.col("_last") + 1).alias(step), F.col(step).alias("parent_step"),
         *[F.coalesce(F.col(f"_o_{f}"), F.col(f)).alias(f) for f in fields],
     )
-    own = checkpoints.select(
-        key, step, F.when(F.col(step) > 0, F.col(step) - 1).alias("parent_step"), *fields
-    )
-    return own.unionByName(child)
+    linked = "parent_step" in checkpoints.columns
+    parent = F.col("parent_step") if linked else F.when(F.col(step) > 0, F.col(step) - 1)
+    return checkpoints.select(key, step, parent.alias("parent_step"), *fields).unionByName(child)
+
+
+def ancestry(checkpoints: DataFrame, heads: DataFrame, key: str, step: str = "step", parent: str = "parent_step") -> DataFrame:
+    """The whole history of checkpoints by parent links: (key, head, step, back), `back` 0 at the head itself.
+
+    `heads` has distinct (key, head). Pointer doubling: each round doubles how far back both the links
+    and the paths found so far reach, so a path of n checkpoints takes about log2(n) rounds. Joins are on
+    (key, step), so a long thread is spread. A parent that does not exist ends the path; links that
+    run in a circle are an error.
+    """
+    link = checkpoints.select(key, F.col(step).alias("_from"), F.col(parent).alias("_to"))
+    own = checkpoints.select(key, F.col(step).alias("_to"))
+    links = cut_lineage(link.where("_to is not null").join(own, [key, "_to"], "left_semi"))
+    found = heads.select(key, "head").join(checkpoints.select(key, F.col(step).alias("head")), [key, "head"], "left_semi")
+    found = cut_lineage(found.select(key, "head", F.col("head").alias(step), F.lit(0).cast("long").alias("back")))
+    reach, most = 1, checkpoints.count()
+    while not links.isEmpty():
+        if reach > most:
+            raise ValueError("parent links run in a circle")
+        step_on = links.select(F.col(key).alias("_k"), "_from", "_to")
+        further = found.join(step_on, (F.col(key) == F.col("_k")) & (F.col(step) == F.col("_from"))).select(
+            key, "head", F.col("_to").alias(step), (F.col("back") + reach).alias("back"))
+        found = cut_lineage(found.unionByName(further))
+        then = links.select(F.col(key).alias("_k"), F.col("_from").alias("_via"), F.col("_to").alias("_end"))
+        links = cut_lineage(links.join(then, (F.col(key) == F.col("_k")) & (F.col("_to") == F.col("_via"))).select(key, "_from", F.col("_end").alias("_to")))
+        reach *= 2
+    return found
 
 
 def with_system_prompt(messages: DataFrame, key: str, template: str | None, *, pos: str = "turn",

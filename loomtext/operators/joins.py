@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomtext.functions.inference import TOOLS, Tool
-from loomtext.operators import skew
+from loomtext.operators import scan, skew
 
 def enrich(docs: DataFrame, summaries: DataFrame, key: str, spread: str,
            hot_rows: int = skew.HOT_ROWS, hot: skew.HotKeys | None = None) -> DataFrame:
@@ -69,3 +69,24 @@ def state_as_of(checkpoints: DataFrame, key: str, step: str, at: int, state: lis
     """Latest state per thread at or before step `at`: an aggregation, no sort."""
     best = F.max_by(F.struct(step, *state), F.col(step)).alias("_s")
     return checkpoints.where(F.col(step) <= at).groupBy(key).agg(best).select(key, "_s.*")
+
+
+def state_as_of_points(checkpoints: DataFrame, points: DataFrame, key: str, step: str, at: str, state: list[str],
+                       hot: skew.HotKeys | None = None, bits: int = scan.BLOCK_BITS) -> DataFrame:
+    """Each row of `points` with the newest checkpoint of its thread at or before its own `at`.
+
+    Both tables are put into one order of places, a checkpoint before the points of the same step, and
+    every point takes the last checkpoint so far: one shuffle, and a hot thread is cut into blocks.
+    A point before the first checkpoint has a null step and state, and so has one without a place. Steps are
+    integers below 2^62. `points` keeps all its columns and repeated rows. Of checkpoints that share a
+    thread and step the one with the greatest state counts.
+    """
+    seen = checkpoints.where(F.col(step).isNotNull()).select(
+        F.col(key).alias("_key"), (F.col(step).cast("long") * 2).alias("_pos"), F.struct(F.col(step).alias("s"), F.struct(*state).alias("v")).alias("_seen"))
+    asked = points.select(F.col(key).alias("_key"), (F.col(at).cast("long") * 2 + 1).alias("_pos"), F.struct(*points.columns).alias("_point"))
+    both = seen.unionByName(asked, allowMissingColumns=True)
+    if hot is not None:
+        hot = skew.HotKeys(tuple(both.schema["_key"] for _ in hot.fields), hot.rows, hot.hot_rows)
+    out = scan.running(both, ["_key"], "_pos", {"_last": ("max", F.col("_seen"))}, hot=hot, bits=bits).where(F.col("_point").isNotNull())
+    known = F.when(F.col("_pos").isNotNull(), F.col("_last"))
+    return out.select("_point.*", known["s"].alias(step), *[known["v"][c].alias(c) for c in state])

@@ -9,7 +9,7 @@ from loomtext.operators import chunking, graph, history, joins, ranges, stats
 from loomtext.plans.catalog import query, table
 from loomtext.plans.queries_guard import hot_threads
 from loomtext.plans.queries_text import WINDOWS_512
-from loomtext.session import scratch_path
+from loomtext.session import cut_lineage, scratch_path
 from loomtext.sources import checkpoints as log
 from loomtext.sources import index
 
@@ -168,6 +168,39 @@ def fork_with_override(spark, sf):
     return history.fork(c, over, "thread_id", "step", 1, ["mood", "topic"])
 
 
+@query("h09_fork_history", f"""
+WITH RECURSIVE c AS ({_FOLDED_SQL}), n AS (SELECT thread_id, max(step) AS last FROM c GROUP BY thread_id),
+all_rows AS (
+  SELECT thread_id, step, CASE WHEN step > 0 THEN step - 1 END AS parent_step, mood, topic FROM c
+  UNION ALL SELECT thread_id, last + 1, step, 'excited', topic FROM c JOIN n USING (thread_id) WHERE step = 1 AND thread_id % 3 = 0
+  UNION ALL SELECT thread_id, last + 2, last + 1, 'calm', topic FROM c JOIN n USING (thread_id) WHERE step = 1 AND thread_id % 6 = 0
+), path AS (
+  SELECT thread_id, max(step) AS head, max(step) AS step, 0::BIGINT AS back FROM all_rows GROUP BY thread_id
+  UNION ALL SELECT p.thread_id, head, a.parent_step, back + 1 FROM path p JOIN all_rows a USING (thread_id, step) WHERE a.parent_step IS NOT NULL
+)
+SELECT thread_id, head, step, back, mood, topic FROM path JOIN all_rows USING (thread_id, step)""")
+def fork_history(spark, sf):
+    """Forks, and forks of forks: the states behind the newest checkpoint of every thread, in order."""
+    forked = fork_with_override(spark, sf)
+    ids = table(spark, sf, "conversations").select(F.col("conv_id").alias("thread_id")).where("thread_id % 6 = 0").distinct()
+    newest = forked.groupBy("thread_id").agg(F.max("step").alias("at"))
+    over = ids.join(newest, "thread_id").select("thread_id", "at", F.lit("calm").alias("mood"), F.lit(None).cast("string").alias("topic"))
+    twice = cut_lineage(history.fork(forked, over, "thread_id", "step", None, ["mood", "topic"]))
+    heads = twice.groupBy("thread_id").agg(F.max("step").alias("head"))
+    path = history.ancestry(twice, heads, "thread_id")
+    return path.join(twice.drop("parent_step"), ["thread_id", "step"]).select("thread_id", "head", "step", "back", "mood", "topic")
+
+
+@query("f08_state_as_of_points", f"""
+WITH p AS (SELECT conv_id AS thread_id, turn AS point, (turn * 7) % 11 - 2 AS asked FROM conversations)
+SELECT p.thread_id, point, asked, step, n_messages, last_role FROM p ASOF LEFT JOIN ({CHECKPOINTS_SQL}) c ON p.thread_id = c.thread_id AND p.asked >= c.step""")
+def state_as_of_points(spark, sf):
+    """Points in time of every thread, some before its first checkpoint."""
+    hot = hot_threads(spark, sf)
+    points = _threads(spark, sf).select("thread_id", F.col("turn").alias("point"), (F.col("turn") * 7 % 11 - 2).alias("asked"))
+    return joins.state_as_of_points(checkpoints(spark, sf, hot), points, "thread_id", "step", "asked", ["n_messages", "last_role"], hot)
+
+
 @query("f08_state_as_of", f"""
 SELECT thread_id, max(step) AS step, arg_max(n_messages, step) AS n_messages, arg_max(last_role, step) AS last_role
 FROM ({CHECKPOINTS_SQL}) WHERE step <= 3 GROUP BY thread_id""")
