@@ -139,3 +139,80 @@ def test_union_of_shapes(spark):
     a = spark.createDataFrame([(1, "x")], "id int, t string")
     b = spark.createDataFrame([(2, 5.0)], "id int, v double")
     assert sorted(tuple(r) for r in corpus.union_sources(a, b).collect()) == [(1, "x", None), (2, None, 5.0)]
+
+
+def _bytes_read(spark, folder, act):
+    """Key bytes that an add may read: sizes of the data files its plan lists after pruning."""
+    return sum(os.path.getsize(f.replace("file://", "")) for f in act.inputFiles())
+
+
+def test_small_add_hardly_reads_the_index(spark, folder):
+    path = f"{folder}/index"
+    big = index.content_id(spark.range(60_000).selectExpr("id", "if(id % 3 = 0, 'x', 'y') as collection"), "id")
+    index.write_collection(big, path)
+    all_keys = index.existing_keys(big, path, "chunk_id")
+    # ten new rows: the filter knows (nearly) none of them, so no file of the index is read
+    ten = index.with_shard(index.content_id(spark.range(100_000, 100_010).selectExpr("id", "'y' as collection"), "id"), "chunk_id")
+    maybe = index.possible_keys(ten, path, "chunk_id")
+    assert maybe.count() <= 1
+    found = index.present_keys(ten, path, "chunk_id")
+    assert _bytes_read(spark, path, found) < 0.1 * _bytes_read(spark, path, all_keys)
+    # ten old rows: a pushed-down list on their shards; all are found
+    old = index.with_shard(big.limit(10), "chunk_id")
+    present = index.present_keys(old, path, "chunk_id")
+    assert present.count() == 10
+    plan = present._jdf.queryExecution().executedPlan().toString()
+    assert "shard" in plan.split("PartitionFilters")[1].split("PushedFilters")[0] and "In(chunk_id" in plan
+    # no key that was written is ever unknown to the filter
+    assert index.possible_keys(index.with_shard(big, "chunk_id").select("shard", "chunk_id"), path, "chunk_id").count() == 60_000
+    out = index.add_documents(big.unionByName(ten.drop("shard")), path)
+    assert out.count() == 60_010 and out.select("chunk_id").distinct().count() == 60_010
+
+
+def test_large_add_prunes_shards_at_run_time(spark, folder):
+    path = f"{folder}/index"
+    big = index.content_id(spark.range(20_000).selectExpr("id", "'x' as collection"), "id")
+    index.write_collection(big, path)
+    few_shards = index.with_shard(big, "chunk_id").where("shard in (2, 5)")
+    assert few_shards.count() > index.MAX_PUSHED
+    present = index.present_keys(few_shards, path, "chunk_id")
+    assert present.count() == few_shards.count()
+    assert "dynamicpruning" in present._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_writes_make_few_files(spark, folder):
+    path = f"{folder}/index"
+    many = index.content_id(spark.range(5000).repartition(64).selectExpr("id", "concat('c', id % 3) as collection"), "id")
+    index.write_collection(many, path)
+    files = [f for f in index.existing_keys(many, path, "chunk_id").inputFiles()]
+    assert len(files) <= 3 * index.SHARDS
+    log = checkpoints.from_messages(spark.range(2000).repartition(40).selectExpr("id as thread_id", "0L as step", "1L as n_messages", "'user' as last_role"))
+    checkpoints.append(log, f"{folder}/log")
+    assert len(spark.read.parquet(f"{folder}/log").inputFiles()) <= checkpoints.N_BUCKETS
+    assert checkpoints.read(spark, f"{folder}/log").count() == 2000
+
+
+def test_rebuilt_collection_loses_old_shards_and_filter_follows(spark, folder):
+    path = f"{folder}/index"
+    old = index.content_id(spark.range(300).selectExpr("id", "if(id < 200, 'a b/c', 'y') as collection"), "id")
+    index.write_collection(old, path)
+    index.write_collection(index.content_id(spark.range(1000, 1003).selectExpr("id", "'a b/c' as collection"), "id"), path)
+    assert {(r.collection, r.n) for r in spark.read.parquet(path).groupBy("collection").agg(F.count("*").alias("n")).collect()} == {("a b/c", 3), ("y", 100)}
+    # the three new keys are known, and keys that went may be added again
+    assert index.add_documents(index.content_id(spark.range(998, 1004).selectExpr("id", "'y' as collection"), "id"), path).count() == 106
+    assert index.add_documents(old, path).count() == 306
+
+
+def test_interrupted_write_never_duplicates(spark, folder, monkeypatch):
+    path = f"{folder}/index"
+    rows = index.content_id(spark.range(50).selectExpr("id", "'x' as collection"), "id")
+    monkeypatch.setattr(index, "_write_filter", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        index.write_collection(rows, path)
+    monkeypatch.undo()
+    assert index.add_documents(rows, path).count() == 50
+    monkeypatch.setattr(index, "_write_rows", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        index.add_documents(index.content_id(spark.range(60).selectExpr("id", "'x' as collection"), "id"), path)
+    monkeypatch.undo()
+    assert index.add_documents(index.content_id(spark.range(60).selectExpr("id", "'x' as collection"), "id"), path).count() == 60
