@@ -67,16 +67,32 @@ def questions(spark, sf):
     return table(spark, sf, "benchmark").select(F.col("item_id").alias("question_id"), F.col("text").alias("question"))
 
 
+#: Stored corpora of this session: (application, data, name) -> path. The given tables do not change.
+_STORES: dict[tuple[str, str, str], str] = {}
+
+
+def stored_corpus(spark, sf, name, corpus):
+    """A corpus with its vectors, written once in a session and then searched by every query."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _STORES:
+        path = scratch_path(spark, f"corpus-{name}")
+        rag.embed(corpus, "text").write.parquet(path)
+        _STORES[key] = path
+    return spark.read.parquet(_STORES[key])
+
+
 def chunk_corpus(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "source", "text")
     c = chunking.window_chunks(d, 512, 50)
-    return c.select((F.col("doc_id") * 1000000 + F.col("chunk_idx")).alias("chunk_id"), F.col("chunk").alias("text"), "source")
+    c = c.select((F.col("doc_id") * 1000000 + F.col("chunk_idx")).alias("chunk_id"), F.col("chunk").alias("text"), "source")
+    return stored_corpus(spark, sf, "chunks", c)
 
 
 def page_corpus(spark, sf):
     from loomtext.functions import text as X
-    return table(spark, sf, "pages").select(
+    p = table(spark, sf, "pages").select(
         F.col("page_id").alias("chunk_id"), X.clean_markup(F.col("html")).alias("text"), F.lit(None).cast("string").alias("source"))
+    return stored_corpus(spark, sf, "pages", p)
 
 
 def hits(spark, sf, k=8):

@@ -150,7 +150,10 @@ def loop_state(questions: DataFrame, docs: DataFrame, fallback: DataFrame) -> Da
 
 def corrective_answers(questions: DataFrame, corpus: DataFrame, second: DataFrame, *, router: I.Scorer,
                        grader: I.Scorer, grounded: I.Scorer, useful: I.Scorer, k: int = 8, encoder=None) -> DataFrame:
-    """Route, retrieve, grade, fall back, then the bounded answer loop, for all questions."""
+    """Route, retrieve, grade, fall back, then the bounded answer loop, for all questions.
+
+    A question whose route is unknown is reported with the outcome `no route`, no attempt and no answer.
+    """
     routed = route(questions, router)
     vector_q = routed.where("route = 'vectorstore'")
     web_q = routed.where("route = 'websearch'")
@@ -165,4 +168,6 @@ def corrective_answers(questions: DataFrame, corpus: DataFrame, second: DataFram
     )
     state = loop_state(routed.where("route is not null").select(QID, "question", "route"),
                        docs.unionByName(appended), fallback)
-    return answer_loop(state, grounded, useful)
+    out = answer_loop(state, grounded, useful)
+    left = routed.where("route is null").select(QID, "question", "route", F.lit("no route").alias("outcome"), F.lit(0).alias("attempts"))
+    return out.unionByName(left, allowMissingColumns=True)

@@ -86,3 +86,18 @@ def test_revise_loop_counts(spark):
         5: ("hxxa", 3, 6, False),                # 2 revisions, 1 by the reviewer, 3 more
         6: ("", 2, 1, True),
     }
+
+
+def test_question_without_a_route_is_reported(spark):
+    from loomtext.functions import inference as I
+    from loomtext.plans import rag
+
+    q = spark.createDataFrame([(1, "the cat sat"), (2, "unknown words")], "question_id long, question string")
+    c = spark.createDataFrame([(7, "The cat sat down.", "a")], "chunk_id long, text string, source string")
+
+    def router(question):
+        return F.when(question.startswith("the"), '```json\n{"datasource": "vectorstore"}\n```').otherwise('```json\n{"datasource": "nowhere"}\n```')
+
+    out = rag.corrective_answers(q, c, c, router=router, grader=I.overlap_scorer(0.1), grounded=I.overlap_scorer(0.1), useful=I.overlap_scorer(0.1), k=1)
+    got = {r.question_id: (r.route, r.outcome, r.attempts, r.generation) for r in out.collect()}
+    assert got[2] == (None, "no route", 0, None) and got[1][0] == "vectorstore" and got[1][2] >= 1
