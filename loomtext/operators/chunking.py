@@ -121,6 +121,28 @@ def register_splitter(spark, name: str = "split_chunks", size: int = 512, overla
     spark.udtf.register(name, Splitter)
 
 
+def register_table_splitter(spark, name: str = "split_table", key: str = "bigint", size: int = 512, overlap: int = 50) -> None:
+    """SQL face for whole tables, by Arrow batches: `name(TABLE(SELECT key, text, language ...))` -> key, chunk_idx, chunk.
+
+    Spark does not take Arrow functions in a LATERAL join, so the key travels along. `key` is its type.
+    A null text has no chunks. Rows stay in their tasks.
+    """
+
+    @F.arrow_udtf(returnType=f"key {key}, chunk_idx bigint, chunk string")
+    class Splitter:
+        def eval(self, batch: pa.RecordBatch):
+            owner, place, chunks = [], [], []
+            for i, (t, g) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())):
+                parts = split_text(t, g, size, overlap)
+                owner.extend([i] * len(parts))
+                place.extend(range(len(parts)))
+                chunks.extend(parts)
+            yield pa.table({"key": batch.column(0).take(pa.array(owner, pa.int64())), "chunk_idx": pa.array(place, pa.int64()),
+                            "chunk": pa.array(chunks, pa.string())})
+
+    spark.udtf.register(name, Splitter)
+
+
 def global_chunk_ids(chunks: DataFrame, language: str, source: str, doc_key: str,
                      n_blocks: int | None = None, hot_rows: int = skew.HOT_ROWS) -> DataFrame:
     """`chunk_id = {source}_{i}`, where `i` runs over the whole language.

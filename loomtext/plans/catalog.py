@@ -12,7 +12,7 @@ Builder = Callable[[SparkSession, str], DataFrame]
 _BUILDERS: dict[str, Builder] = {}
 _SQL: dict[str, str] = {}
 
-MODULES = ["queries_text", "queries_guard", "queries_retrieval", "queries_history", "queries_flows", "queries_streams"]
+MODULES = ["queries_text", "queries_guard", "queries_retrieval", "queries_history", "queries_flows", "queries_streams", "queries_sources"]
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Builder], Builder]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from loomtext.plans.catalog import query, table
@@ -78,6 +79,33 @@ def state_updates(spark, sf):
     return spark.read.parquet(out).select("thread_id", "step", "last_role", F.md5("last_text").alias("text_md5"))
 
 
+@query("l06_resume_after_failure", """
+SELECT conv_id AS thread_id, count(*) AS n_messages, max(turn) AS step, md5(arg_max(text, turn)) AS text_md5, hi AS batch, true AS failed_once
+FROM (SELECT c.*, s.hi FROM conversations c, (VALUES (0, 2), (1, 4), (2, 1000000)) s(hi, below) WHERE c.turn < s.below)
+GROUP BY conv_id, hi HAVING max(turn) >= CASE hi WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 4 END""")
+def resume_after_failure(spark, sf):
+    """Every step fails once between its write and its commit, and is then resumed from the checkpoint."""
+    out, cp = _paths(spark)
+    failed = set()
+
+    def fail_once(batch_id):
+        if batch_id not in failed:
+            failed.add(batch_id)
+            raise RuntimeError("lost after the write")
+
+    def start(stream):
+        first = streams.feed_sink(streams.state_values(stream), out, cp, fail_once)
+        try:
+            first.awaitTermination()
+        except StreamingQueryException:
+            pass  # what this query is about
+        return streams.feed_sink(streams.state_values(stream), out, cp, fail_once)
+
+    _steps(spark, sf, start)
+    return spark.read.parquet(out).select("thread_id", "n_messages", "step", F.md5("last_text").alias("text_md5"), "batch",
+                                          F.lit(failed == {0, 1, 2}).alias("failed_once"))
+
+
 @query("l05_stream_ingest", r"""
 SELECT lang AS collection, doc_id, md5(regexp_replace(text, '\s', '', 'g')) AS solid_md5 FROM documents""")
 def stream_ingest(spark, sf):

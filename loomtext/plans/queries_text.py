@@ -377,7 +377,10 @@ SELECT doc_id, md5(regexp_replace(text, '\s', '', 'g')) AS solid_md5, 0::BIGINT
 
 def _coverage(docs, size, language):
     """Per document: the operator's chunks without white space put together, size and substring checks."""
-    made = chunking.recursive_chunks(docs, size, 0, language=F.lit(language))
+    return _covered(docs, chunking.recursive_chunks(docs, size, 0, language=F.lit(language)), size)
+
+
+def _covered(docs, made, size):
     parts = F.array_sort(F.collect_list(F.struct("chunk_idx", "chunk")))  # the chunks of one text
     listed = made.groupBy("doc_id").agg(F.transform(parts, lambda p: p["chunk"]).alias("chunks"))
     d = docs.join(listed, "doc_id", "left").withColumn("chunks", F.coalesce("chunks", F.array().cast("array<string>")))
@@ -400,6 +403,16 @@ def code_coverage(spark, sf):
     return _coverage(d, 1024, "python")
 
 
+@query("m04_splitter_function", _coverage_sql("text"))
+def splitter_function(spark, sf):
+    """The splitter called from SQL on a whole table; its chunks rebuild every text."""
+    chunking.register_table_splitter(spark, "split_table", size=512, overlap=0)
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs.createOrReplaceTempView("splitter_documents")
+    made = spark.sql("SELECT key AS doc_id, chunk_idx, chunk FROM split_table(TABLE(SELECT doc_id, text, 'text' AS language FROM splitter_documents))")
+    return _covered(docs, made, 512)
+
+
 @query("d01_recursive_chunks")
 def recursive_chunks(spark, sf):
     c = chunking.recursive_chunks(table(spark, sf, "documents").select("doc_id", "lang", "text"), 512, 50)

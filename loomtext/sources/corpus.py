@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,12 +39,21 @@ def with_path_metadata(df: DataFrame, path: str, root: str = "") -> DataFrame:
     return out.withColumn("metadata", F.create_map(*[x for k in keys for x in (F.lit(k), F.col(k))]))
 
 
+def below_root(root: str) -> Column:
+    """Path of a row's file below the root, from the files' own columns: conditions on it prune the list of files.
+
+    Both sides are written as in a URI; the fragments looked for have no characters that this changes.
+    """
+    base = "file:" + quote(root, safe="/@+=:,!$&'()*;~") if root.startswith("/") else root
+    return X.relative_path(F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "file:/"), F.lit(base))
+
+
 def scan_tree(spark: SparkSession, root: str, extensions: list[str], excluded: list[str] | None = None,
               max_file_bytes: int | None = None) -> DataFrame:
     """One row per file below `root`, whole text; a file that is not UTF-8 is skipped.
 
-    Paths containing an excluded fragment (looked for below the root) are pruned before the
-    content is decoded. Files larger than a task's memory cannot be one row; `max_file_bytes`
+    Paths containing an excluded fragment (looked for below the root) are pruned when the files are
+    listed, so excluded files are not opened. Files larger than a task's memory cannot be one row; `max_file_bytes`
     makes such a file an error up front instead of a lost executor.
     """
     raw = (
@@ -52,8 +62,7 @@ def scan_tree(spark: SparkSession, root: str, extensions: list[str], excluded: l
     )
     base = "file:" + root if root.startswith("/") else root
     path = F.regexp_replace(F.col("path"), "^file:/+", "file:/")
-    rel = X.relative_path(path, F.lit(base))
-    files = raw.where(not_excluded(rel, EXCLUDED if excluded is None else excluded))
+    files = raw.where(not_excluded(below_root(root), EXCLUDED if excluded is None else excluded))
     if max_file_bytes:
         too_big = F.raise_error(F.concat(F.lit("file too large: "), F.col("path")))
         files = files.where(F.when(F.col("length") > max_file_bytes, too_big.cast("boolean")).otherwise(True))

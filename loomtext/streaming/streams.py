@@ -8,7 +8,7 @@ task: the source's step size (`maxFilesPerTrigger` and the like) bounds what a h
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import quote
 
 import pandas as pd
@@ -101,11 +101,17 @@ def state_updates(stream: DataFrame, key: str = "thread_id", pos: str = "turn",
     return stream.select(key, F.col(pos).alias("step"), F.col(role).alias("last_role"), F.col(text).alias("last_text"))
 
 
-def feed_sink(values: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Persist an update-mode feed, one partition per step."""
+def feed_sink(values: DataFrame, path: str, checkpoint: str, written: Callable[[int], None] | None = None, **trigger) -> StreamingQuery:
+    """Persist an update-mode feed, one partition per step.
+
+    A step that fails after its write and before its commit is run again and replaces what it wrote.
+    `written` is called between the two with the number of the step.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        if written:
+            written(batch_id)
 
     return (
         values.writeStream.foreachBatch(run).outputMode("update").option("checkpointLocation", checkpoint)
