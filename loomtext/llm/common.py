@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +46,19 @@ def words(data: bytes) -> list[bytes]:
     return data.lower().split()
 
 
+def tidy(rows: Iterator) -> Iterator:
+    """Pass rows on; at the end of a task give back the memory that a reused worker process would keep."""
+    try:
+        yield from rows
+    finally:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):
+            pass  # another C library
+
+
 class WordHash(dict):
     """Word -> 64-bit hash, remembered up to a fixed number of words."""
 

@@ -2,8 +2,9 @@
 
 Features are indicators of hashed n-grams of words and of word shapes. Each is scaled by the log
 ratio of its smoothed shares in the two classes, counted over all training rows. A hinge-loss model is
-fitted to the scaled rows by dual coordinate descent on a bounded sample of the training rows; a
-logistic curve, fitted on training rows outside the sample, turns margins into scores.
+fitted to the scaled rows by dual coordinate descent on a bounded sample of the training rows. A logistic
+curve turns margins into scores; it is fitted on all training rows in folds, each scored by a model that
+has not seen the fold, at every size of the data.
 """
 
 from __future__ import annotations
@@ -17,8 +18,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from loomtext.llm.common import doc_bytes, lookup, mix64, stored
+from loomtext.llm.common import doc_bytes, lookup, mix64, stored, tidy
 
 BITS = 18
 ALPHA = 1.0
@@ -27,8 +29,8 @@ EPOCHS = 8
 #: The fit takes at most this many rows, those of the smallest hashes of their ids, and this many features.
 MAX_FIT_ROWS = 20_000
 MAX_FIT_FEATURES = 20_000_000
-#: Rows for the logistic curve, by bins of their margins.
-CALIBRATION_FOLD, CALIBRATION_FOLDS, BIN = 0, 5, 0.05
+#: Folds for the logistic curve, and the bins of their margins.
+FOLDS, BIN = 5, 0.05
 MAX_MARGIN = 20.0
 
 TOKEN = re.compile(rb"[0-9A-Za-z_\x80-\xff]+|[!-/:-@\[-^`{-~]+")
@@ -90,13 +92,17 @@ class Model:
     slope: float = 1.0
     shift: float = 0.0
 
-    def margin(self, f: np.ndarray) -> float:
-        """Scaled rows have unit length, so long texts do not weigh more than short ones."""
-        return self.bias + (float(self.weights[f].sum()) / np.sqrt(len(f)) if len(f) else 0.0)
-
     def score(self, f: np.ndarray) -> float:
-        z = np.clip(self.slope * self.margin(f) + self.shift, -35, 35)
-        return float(1 / (1 + np.exp(-z)))
+        return float(squashed(self.slope * margin(f, self.weights, self.bias) + self.shift))
+
+
+def margin(f: np.ndarray, weights: np.ndarray, bias: float) -> float:
+    """Scaled rows have unit length, so long texts do not weigh more than short ones."""
+    return bias + (float(weights[f].sum()) / np.sqrt(len(f)) if len(f) else 0.0)
+
+
+def squashed(z: np.ndarray | float) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(z, -35, 35)))
 
 
 def dual_coordinate_descent(rows: list[np.ndarray], labels: np.ndarray, ratio: np.ndarray, cost: float = COST,
@@ -180,9 +186,10 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     """Model of label 1 against label 0.
 
     Class ratios and the logistic curve take all training rows; the coordinate descent takes at most
-    `max_rows` rows outside the curve's fold, in the order of the hash of their ids, and stops before
-    `max_features` features. With one class only, or no labelled row, every score is the share of
-    label 1 (0.5 without labels).
+    `max_rows` rows, in the order of the hash of their ids, and stops before the first that exceeds
+    `max_features` features. The curve's margins come from `FOLDS` further models, each fitted without a fold of
+    the same rows and asked for that fold of all rows. With one class only, or no labelled row, every
+    score is the share of label 1 (0.5 without labels).
     """
     def featurise(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = TokenHash()
@@ -191,45 +198,44 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("y"), pa.array(f, pa.binary())], ["id", "y", "f"])
 
     rows = training_rows(docs, labels, doc_id, text, label)
-    train = stored(rows.mapInArrow(featurise, "id long, y int, f binary"), "nbsvm-train")
+    train = stored(rows.mapInArrow(lambda it: tidy(featurise(it)), "id long, y int, f binary"), "nbsvm-train")
     classes = {r["y"]: r["n"] for r in train.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(classes) < 2:
         share = 0.5 if not classes else (classes.get(1, 0) + 1) / (sum(classes.values()) + 2)
         return Model(np.zeros(1 << BITS), 0.0, 0.0, float(np.log(share / (1 - share))))
     ratio = log_ratio(*count_features(train))
     key = F.xxhash64(F.lit("fit"), "id")
-    held = F.pmod(F.xxhash64(F.lit("curve"), "id"), F.lit(CALIBRATION_FOLDS)) == CALIBRATION_FOLD
-    few = sum(classes.values()) < 500  # too few rows to keep a fold apart
+    train = train.withColumn("fold", F.pmod(F.xxhash64(F.lit("curve"), "id"), F.lit(FOLDS)).cast("int"))
     kept = min(1.0, 1.3 * max_rows / sum(classes.values()))  # of the hashes: so that few rows are sorted
     near = train.where(key.cast("double") <= (kept - 0.5) * 2.0**64)
-    sample = (near if few else near.where(~held)).orderBy(key, "id", "y", F.xxhash64("f")).limit(max_rows)
-
-    def descend(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        xs, ys, total = [], [], 0
-        for batch in it:
-            for f, y in zip(batch.column("f"), batch.column("y")):
-                x = np.frombuffer(f.as_py(), np.int32)
-                if total + len(x) <= max_features:
-                    xs.append(x)
-                    ys.append(y.as_py())
-                    total += len(x)
-        w, bias = dual_coordinate_descent(xs, np.array(ys) * 2.0 - 1, ratio)
-        yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()], pa.binary()), pa.array([bias])], ["w", "bias"])
-
-    one = sample.coalesce(1).mapInArrow(descend, "w binary, bias double").first()
-    model = Model(ratio * np.frombuffer(one["w"]), one["bias"])
-    sent = train.sparkSession.sparkContext.broadcast(model)
+    sample = near.withColumns({"key": key, "tie": F.xxhash64("f")}).orderBy("key", "id", "y", "tie").limit(max_rows)
+
+    def descend(t: pa.Table) -> pa.Table:
+        order = np.lexsort([t.column(c).to_numpy() for c in ("tie", "y", "key")])
+        xs = [np.frombuffer(t.column("f")[int(i)].as_py(), np.int32) for i in order]
+        fit_in = int(np.searchsorted(np.cumsum([len(x) for x in xs]), max_features, "right"))
+        y = t.column("y").to_numpy()[order][:fit_in]
+        w, bias = dual_coordinate_descent(xs[:fit_in], y * 2.0 - 1, ratio)
+        return pa.table({"without": t.column("without").slice(0, 1), "w": pa.array([w.tobytes()], pa.binary()), "bias": pa.array([bias])})
+
+    # one fit without each fold, and one (number FOLDS) with all: each a task of its own
+    dealt = sample.withColumn("without", F.explode(F.sequence(F.lit(0), F.lit(FOLDS)))).where("fold != without")
+    fits = {r["without"]: (np.frombuffer(r["w"]) * ratio, r["bias"]) for r in dealt.groupBy("without").applyInArrow(
+        descend, "without int, w binary, bias double").collect()}
+    weights, bias = fits.pop(FOLDS)
+    sent = train.sparkSession.sparkContext.broadcast(fits)
 
     def margins(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            m = [sent.value.margin(np.frombuffer(f.as_py(), np.int32)) for f in batch.column("f")]
-            bins = np.rint(np.clip(m, -MAX_MARGIN, MAX_MARGIN) / BIN).astype(np.int64)
+            known = [margin(np.frombuffer(f.as_py(), np.int32), *sent.value[k]) for k, f in zip(batch.column("fold").to_pylist(), batch.column("f"))]
+            bins = np.rint(np.clip(known, -MAX_MARGIN, MAX_MARGIN) / BIN).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(bins), batch.column("y")], ["bin", "y"])
 
-    curve = (train if few else train.where(held)).mapInArrow(margins, "bin long, y int").groupBy("bin").agg(
+    asked = train.where(F.col("fold").isin(list(fits)))  # a fold is left out if no row lies outside of it
+    curve = asked.mapInArrow(margins, "bin long, y int").groupBy("bin").agg(
         F.sum("y").alias("good"), F.sum(1 - F.col("y")).alias("bad")).toArrow().to_pandas()  # 801 bins at most
-    model.slope, model.shift = logistic(curve["bin"].to_numpy(float) * BIN, curve["good"].to_numpy(float), curve["bad"].to_numpy(float))
-    return model
+    slope, shift = logistic(curve["bin"].to_numpy(float) * BIN, curve["good"].to_numpy(float), curve["bad"].to_numpy(float))
+    return Model(weights, bias, slope, shift)
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score") -> DataFrame:
@@ -238,15 +244,16 @@ def score(docs: DataFrame, model: Model, text: str = "text", into: str = "score"
     A null text is empty; a text without words has the score of the bias alone. The rows keep all
     their columns, whatever their names.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias, model.slope, model.shift))
+    at = docs.columns.index(text)
 
     def apply(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = TokenHash()
+        hashes, (weights, bias, slope, shift) = TokenHash(), sent.value
         for batch in it:
-            s = [sent.value.score(features(x.as_py(), hashes)) for x in batch.column("_data")]
-            yield pa.RecordBatch.from_arrays([batch.column("_row"), pa.array(s, pa.float64())], ["_row", into])
+            texts = batch.column(0).field(at).cast(pa.binary())
+            m = np.array([margin(features(x.as_py() or b"", hashes), weights, bias) for x in texts], float)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(squashed(slope * m + shift), pa.float64())], ["_row", into])
 
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    out = docs.select(row, doc_bytes(F.col(text)).alias("_data"))
-    schema = out.select("_row").schema.add(into, "double")
-    return out.mapInArrow(apply, schema)
+    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+    schema = T.StructType([*out.schema, T.StructField(into, T.DoubleType())])
+    return out.mapInArrow(lambda it: tidy(apply(it)), schema)

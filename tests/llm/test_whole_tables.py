@@ -168,3 +168,37 @@ def test_pipeline(spark, docs):
     assert Counter(r.doc_id for r in out) == Counter(mixed[2])
     ends = sorted((r.start, r.start + r.n_tokens) for r in out)
     assert ends[0][0] == 0 and all(a[1] == b[0] for a, b in zip(ends, ends[1:]))
+
+
+def test_descent_solves_the_dual():
+    """Against projected gradient steps on the same dual problem."""
+    from loomtext.llm import nbsvm
+
+    rng = np.random.default_rng(3)
+    rows = [np.unique(rng.integers(0, 40, 12)).astype(np.int32) for _ in range(60)]
+    y = np.where(rng.random(60) < 0.4, 1.0, -1.0)
+    ratio = rng.normal(size=40)
+    w, bias = nbsvm.dual_coordinate_descent(rows, y, ratio, epochs=400)
+    x = np.zeros((60, 41))
+    for i, f in enumerate(rows):
+        x[i, f], x[i, 40] = ratio[f] / np.sqrt(len(f)), 1.0
+    share = np.array([(y < 0).sum(), (y > 0).sum()])
+    upper = 60 / 2 / share[(y > 0).astype(int)]
+    q, a = (x @ x.T) * np.outer(y, y), np.zeros(60)
+    for _ in range(60_000):
+        a = np.clip(a - (q @ a - 1) / np.linalg.norm(q, 2), 0, upper)
+    want = (a * y) @ x
+    objective = lambda v: 0.5 * v @ v + (upper * np.maximum(0, 1 - y * (x @ v))).sum()
+    assert objective(np.append(w, bias)) == pytest.approx(objective(want), rel=1e-3)
+
+
+def test_classifier_on_many_rows_and_small_bounds(spark):
+    """More labels than the bounds take: the fit stops, and every row still has a score."""
+    from loomtext.llm import nbsvm
+
+    rows = spark.range(900).selectExpr("id as doc_id", "if(id % 2 = 0, concat('good fine words ', id), concat('bad!!! JUNK ### ', id)) as text", "cast(id % 2 = 0 as int) as quality")
+    for bounds in ({}, {"max_rows": 60}, {"max_features": 300}):
+        model = nbsvm.fit(rows, rows.select("doc_id", "quality"), **bounds)
+        got = nbsvm.score(rows, model).select("_row.quality", "score").collect()
+        assert len(got) == 900 and np.mean([(r.score > 0.5) == (r.quality == 1) for r in got]) > 0.97
+    assert model.slope > 0
