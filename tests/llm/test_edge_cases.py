@@ -158,6 +158,46 @@ def test_every_occurrence_is_found_at_its_best_place():
                 assert index.hits(text) == [(i, b[1], b[2] - b[1], b[0]) for i, b in best if b]
 
 
+def test_walks_find_what_the_lossless_lookup_finds():
+    """Edited copies of all lengths and kinds between foreign words: the recall asked for, against intact pieces."""
+    from tests.llm.pieces import PieceItems
+
+    rng = np.random.default_rng(8)
+    items = [(i, " ".join(f"w{x}" for x in rng.integers(0, 500, n)).encode()) for i, n in enumerate(list(range(3, 60)) + [100, 200, 300])]
+    walks, pieces = cgk.Items(items, 0.1), PieceItems(items, 0.1)
+    found = 0
+    for kind in ("change", "delete", "insert", "mixed"):
+        for ws in walks.words:
+            text = [b"w%d" % x for x in rng.integers(0, 500, 60)] + edited(rng, ws, kind) + [b"w%d" % x for x in rng.integers(0, 500, 60)]
+            want, got = pieces.hits(text), walks.hits(text)
+            assert want and set(got) <= set(want)
+            found += got == want
+    assert found >= 0.99 * 4 * len(items)
+
+
+def test_walks_grow_with_the_edits():
+    needed = [cgk.walks_needed(n, cgk.walk_steps(n, 0.1)) for n in (9, 20, 100, 300)]
+    assert needed[0] == 1 and needed[1] < needed[3] and needed[2] < needed[3] < 60
+    assert cgk.walks_needed(40, cgk.walk_steps(40, 0.3), 0.3) == 0
+    # the share of copies whose sampled keys agree is what the simulation says, on other copies than it saw
+    items, copies, sizes = cgk.edited_copies(100, 10, seed=99)
+    agreed = np.zeros(len(items), bool)
+    for walk in range(needed[2]):
+        for row in range(len(items)):
+            a = cgk.sampled(items[row], np.zeros(1, np.int64), np.full(1, 100), walk, 180)
+            b = cgk.sampled(copies[row][: sizes[row]], np.zeros(1, np.int64), np.full(1, sizes[row]), walk, 180)
+            agreed[row] |= (a == b).any()
+    assert agreed.mean() >= 0.985
+
+
+def test_repeated_rows_are_reported_each(spark, monkeypatch):
+    monkeypatch.setattr(cgk, "BLOCK_WORDS", 4)  # several passes
+    rows = spark.createDataFrame([(1, "a b c d", "x"), (1, "a b c d", "x"), (2, "e f g", "y")], "doc_id long, text string, edits string")
+    items = spark.createDataFrame([(7, "b c"), (7, "b c"), (8, "f g"), (9, "q")], "item_id long, text string")
+    got = sorted(tuple(r) for r in cgk.find_items(rows, items).collect())
+    assert got == [(1, 7, 1, 2, 0)] * 4 + [(2, 8, 1, 2, 0)]
+
+
 def test_warc(spark, none):
     pages = spark.createDataFrame([(1, "u", "same"), (2, None, "same"), (2, "v", "same"), (None, "w", "same"), (3, "line\nbreak", None),
                                    (4, "x", ""), (5, "y", "\x1f\x8b\x08 not a member " + LONG)], "page_id long, url string, html string").coalesce(1)
