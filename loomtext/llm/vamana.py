@@ -1,10 +1,12 @@
 """Approximate nearest neighbours by inner product over robust-pruned directed graphs.
 
-Vectors are dealt over shards of bounded size by a hash. Each shard is one graph: greedy searches
-from the entry point propose neighbours for a batch of new nodes, pruning keeps a neighbour only if
-no kept one is closer to it by the factor ALPHA, and edges back are pruned the same way. Searches walk
-a beam through every shard for whole blocks of queries at once. Inner products become distances by
-one more coordinate that gives all vectors the same length.
+Vectors are dealt into bands of nearly equal length (up to the factor BAND), and those over shards of bounded
+size by a hash. Each shard is one graph over the directions of its vectors: greedy searches from the entry point
+propose neighbours for a batch of new nodes, pruning keeps a neighbour only if no kept one is closer to it by
+the factor ALPHA, and edges back are pruned the same way. Searches walk a beam through every shard for whole blocks
+of queries at once; what the beams find is ranked by exact products. Data and queries lie on the same sphere, and in a
+band the order by direction is nearly that by product, so walks are as good for vectors of unequal
+lengths as for unit vectors.
 """
 
 from __future__ import annotations
@@ -19,16 +21,20 @@ from loomtext.llm.common import stored
 
 SHARD_ROWS = 16_384
 SHARD_BYTES = 64 << 20
-DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 24, 64, 96, 1.2
+DEGREE, BUILD_BEAM, SEARCH_BEAM, ALPHA = 32, 64, 128, 1.2
+#: Longest by shortest vector of a band. Doubles have some ten thousand bands.
+BAND = 1.15
+#: Tasks that build shards at most; fewer shards have a task each.
+BUILDERS = 10_000
 BATCH = 512
 QUERY_BLOCK = 512  # queries that walk in step
 QUERY_ROWS = 16_384  # queries that one task holds
 
 
-def unit_length(x: np.ndarray, longest: float) -> np.ndarray:
-    """Vectors with a coordinate added so that all have the length `longest`: nearest is then largest product."""
-    rest = np.sqrt(np.maximum(longest**2 - np.einsum("ij,ij->i", x, x), 0))
-    return np.concatenate([x, rest[:, None]], axis=1).astype(np.float32)
+def directions(x: np.ndarray) -> np.ndarray:
+    """Vectors of length one; none of the given ones is zero."""
+    x = x / np.abs(x).max(axis=1, keepdims=True)
+    return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
 
 
 def beam_search(x: np.ndarray, graph: np.ndarray, entry: int, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
@@ -161,20 +167,24 @@ def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
 
 
 def build_index(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """(shard, dim, data): one stored row per shard, every usable vector in exactly one of them.
+    """(dim, band, shard, data): one stored row per shard, every usable vector in exactly one of them.
 
-    Vectors of different lengths are indexed apart: their product is not defined. Rows that repeat
+    Vectors of different dimensions are indexed apart: their product is not defined. Rows that repeat
     both id and vector count once.
     """
     rows = usable(vectors, vec_id, embedding).withColumn("dim", F.size("v"))
-    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + c * c))
-    dims = rows.groupBy("dim").agg(F.count(F.lit(1)).alias("n"), F.max(length).alias("longest"))
-    dims = stored(dims, "ann-dims")  # a row per vector length
+    largest = F.array_max(F.transform("v", F.abs))
+    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + (c / largest) * (c / largest)))
+    band = F.floor((F.log(largest) + F.log(length)) / F.lit(float(np.log(BAND))) + 0.5).cast("int")
+    rows = rows.withColumn("band", band)
     per = F.greatest(F.lit(256), F.least(F.lit(shard_rows), F.floor(F.lit(SHARD_BYTES) / (F.col("dim") * 8))))
-    rows = rows.join(F.broadcast(dims.select("dim", "longest", F.ceil(F.col("n") / per).alias("shards"))), "dim")
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("id", "v"), "shards"))
+    groups = rows.groupBy("dim", "band").agg(F.count(F.lit(1)).alias("n"))
+    groups = stored(groups.select("dim", "band", F.ceil(F.col("n") / per).alias("shards")), "ann-bands")  # a row per dimension and band
+    rows = rows.join(F.broadcast(groups), ["dim", "band"]).withColumn("shard", F.pmod(F.xxhash64("id", "v"), "shards"))
+    builders = max(1, min(BUILDERS, groups.agg(F.sum("shards")).first()[0] or 0))
+    keys = ["dim", "band", "shard"]
 
-    def build(key, p: pd.DataFrame) -> pd.DataFrame:
+    def build(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
         v = np.stack(p["v"].to_numpy()).astype(np.float64)
         ids = p["id"].to_numpy(np.int64)
         order = np.lexsort((ids,))
@@ -187,11 +197,13 @@ def build_index(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "em
         grouped = ids[by_node]
         keep[1:] = (grouped[1:] != grouped[:-1]) | (node_of[by_node][1:] != node_of[by_node][:-1])
         starts = np.concatenate([[0], np.cumsum(keep)])[starts]
-        graph, entry = build_graph(unit_length(nodes, float(p["longest"].iat[0])))
-        data = pack(nodes=nodes, ids=grouped[keep], starts=starts, graph=graph, entry=np.array(entry), longest=np.array(p["longest"].iat[0]))
-        return pd.DataFrame({"dim": [key[0]], "shard": [key[1]], "data": [data]})
+        graph, entry = build_graph(directions(nodes))
+        data = pack(nodes=nodes, ids=grouped[keep], starts=starts, graph=graph, entry=np.array(entry))
+        return pd.DataFrame({"dim": [key[0]], "band": [key[1]], "shard": [key[2]], "data": [data]})
 
-    return stored(rows.groupBy("dim", "shard").applyInPandas(build, "dim int, shard long, data binary"), "ann-index")
+    # a number of partitions of one's own, which adaptive execution doesn't merge: each shard is long work
+    dealt = rows.select(*keys, "id", "v").repartition(builders, *keys)
+    return stored(dealt.groupBy(*keys).applyInPandas(build, "dim int, band int, shard long, data binary"), "ann-index")
 
 
 def search(index: DataFrame, queries: DataFrame, k: int = 20, beam: int = SEARCH_BEAM, query_id: str = "vec_id",
@@ -203,27 +215,26 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20, beam: int = SEARCH
     Repeated queries with one id and vector count once.
     """
     asked = usable(queries, query_id, embedding).dropDuplicates(["id", "v"]).withColumn("dim", F.size("v"))
-    blocks = max(1, -(-asked.count() // QUERY_ROWS))
-    dims = index.groupBy("dim").agg((F.max("shard") + 1).alias("shards"))  # a row per vector length
-    asked = asked.join(F.broadcast(dims), "dim").withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
-    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)))
+    blocks = max(1, -(-asked.count() // QUERY_ROWS))  # a shard goes once to each block: some seconds of walks for its bytes
     shards = index.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    fresh = index.select(F.col("dim").alias("dim"), F.col("band").alias("band"), "shard")  # the index is on both sides
+    bands = fresh.groupBy("dim", "band").agg((F.max("shard") + 1).alias("shards"))  # a row per dimension and band
+    asked = asked.join(F.broadcast(bands), "dim").withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)))
+    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)))
 
     def walk(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = [pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})]
         if len(left) and len(right):
             s = unpack(right["data"].iat[0])
-            x = unit_length(s["nodes"], float(s["longest"]))
+            x = directions(s["nodes"])
             for at in range(0, len(left), QUERY_BLOCK):
                 part = left.iloc[at : at + QUERY_BLOCK]
                 q = np.stack(part["v"].to_numpy()).astype(np.float64)
-                scale = float(s["longest"]) / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-300)
-                flat = np.concatenate([q * scale, np.zeros((len(q), 1))], axis=1).astype(np.float32)
-                nodes, _ = beam_search(x, s["graph"], int(s["entry"]), flat, max(beam, k + 1))
+                nodes, _ = beam_search(x, s["graph"], int(s["entry"]), directions(q), max(beam, k + 1))
                 out.append(best_of(s, part["id"].to_numpy(np.int64), q, nodes, k))
         return pd.concat(out, ignore_index=True)
 
-    keys = ["dim", "shard", "block"]
+    keys = ["dim", "band", "shard", "block"]
     found = asked.select(*keys, "id", "v").groupBy(*keys).cogroup(shards.groupBy(*keys)).applyInPandas(walk, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)

@@ -371,3 +371,35 @@ def test_levels_of_chains_joins_and_cycles(spark):
 def test_crc_folds(spark):
     got = spark.createDataFrame([(7,), (None,)], "doc_id long").select(fold(F.col("doc_id"), 5)).collect()
     assert [r[0] for r in got] == [zlib.crc32(b"7") % 5, 0]
+
+
+@pytest.mark.parametrize("kind", ["unit", "gaussian", "unequal"])
+def test_recall_on_full_shards(spark, monkeypatch, kind):
+    """16,384 vectors and a query set of several blocks, against all products."""
+    rng, n, dims, k = np.random.default_rng(4), 16_384, 48, 20
+    x = rng.normal(size=(n, dims)).astype(np.float32)
+    if kind != "gaussian":
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if kind == "unequal":
+        x *= rng.uniform(0.3, 3, (n, 1)).astype(np.float32)
+    monkeypatch.setattr(vamana, "QUERY_ROWS", 64)
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    index = vamana.build_index(vectors)
+    assert index.count() == (1 if kind == "unit" else index.select("band").distinct().count())
+    asked = list(range(0, n, 100))
+    got = {}
+    for r in vamana.search(index, vectors.where("vec_id % 100 = 0"), k).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for i in asked:
+        score = x.astype(np.float64) @ x[i].astype(np.float64)
+        score[i] = -np.inf
+        hits += len(got[i] & set(np.argsort(-score)[:k].tolist()))
+    assert hits / (k * len(asked)) >= 0.93
+
+
+def test_lengths_without_limits(spark):
+    rows = [(1, [1e200, 0.0]), (2, [1e-200, 1e-200]), (3, [1.0, 1.0]), (4, [-1.0, 2.0]), (5, [1e308, 1e308])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = vamana.search(vamana.build_index(vectors), vectors.where("vec_id = 3"), 2).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [5, 1]
