@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +47,32 @@ def words(data: bytes) -> list[bytes]:
     return data.lower().split()
 
 
+def text_blocks(column: pa.Array, n_bytes: int = 8_000_000) -> Iterator[pa.Array]:
+    """Slices of a column of bytes, of about `n_bytes` or one text."""
+    ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(column):
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + n_bytes, "right")))
+        yield column.slice(at, stop - at)
+        at = stop
+
+
+def word_table(texts: pa.Array, lower: bool = True) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """(different words, number of the word at each place, words of each text) of a column of bytes, cut as `words` does."""
+    try:
+        body = texts.cast(pa.large_string())
+    except pa.ArrowInvalid:  # bytes that are no text
+        cut = [t.as_py().lower().split() if lower else t.as_py().split() for t in texts]
+        flat = pa.array([w for c in cut for w in c], pa.large_binary()).dictionary_encode()
+        return flat.dictionary.to_pylist(), flat.indices.to_numpy(), np.array([len(c) for c in cut], np.int64)
+    cut = pc.ascii_split_whitespace(pc.ascii_lower(body) if lower else body)
+    flat, sizes = cut.flatten(), np.diff(cut.offsets.to_numpy())
+    solid = pc.greater(pc.binary_length(flat), 0)
+    owner = np.repeat(np.arange(len(texts)), sizes)[solid.to_numpy(zero_copy_only=False)]
+    coded = flat.filter(solid).dictionary_encode()
+    return coded.dictionary.cast(pa.large_binary()).to_pylist(), coded.indices.to_numpy(), np.bincount(owner, minlength=len(texts)).astype(np.int64)
+
+
 def tidy(rows: Iterator) -> Iterator:
     """Pass rows on; at the end of a task give back the memory that a reused worker process would keep."""
     try:

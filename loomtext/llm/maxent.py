@@ -14,14 +14,15 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.llm.common import doc_bytes, stored, words
+from loomtext.llm.common import doc_bytes, stored, text_blocks, tidy, word_table
+from loomtext.operators import skew
 
 HEAD_CLASSES, MEMBERS, TAIL_CLASSES = 32, 32, 32
 CLASSES = HEAD_CLASSES + TAIL_CLASSES
@@ -35,6 +36,8 @@ KEY_BYTES = 64
 FLUSH_WORDS = 400_000
 ROUNDS, STEP, BATCH, FIRST_SQUARE = 3, 0.15, 8192, 1.0
 BLOCK_ROWS = 256
+#: Bytes of the texts that are learned from or scored together.
+LEARN_BYTES = 4_000_000
 #: Gradients of a row beyond so many are summed on their own.
 LONG_RUN = 12
 GATHER = 1024
@@ -70,9 +73,11 @@ def count_words(rows: DataFrame) -> DataFrame:
             return got
 
         for batch in it:
-            for data in batch.column("data"):
-                total.update(words(data.as_py()))
-                total[END] += 1
+            for part in text_blocks(batch.column("data")):
+                found, index, sizes = word_table(part)
+                for w, n in zip(found, np.bincount(index, minlength=len(found)).tolist()):
+                    total[w] += n
+                total[END] += len(sizes)
                 if len(total) > FLUSH_WORDS:
                     for w in [w for w in total if len(w) > KEY_BYTES]:
                         total[key_of(w)] += total.pop(w)
@@ -99,6 +104,10 @@ class Vocabulary:
     total: int
     distinct: int
 
+    def parts(self) -> tuple:
+        """The fields, to be broadcast: tasks need not know the class to read them."""
+        return tuple(getattr(self, f.name) for f in fields(self))
+
     def index(self) -> dict[bytes, int]:
         return {w: i for i, w in enumerate(self.blob.split(END))} if len(self.counts) else {}
 
@@ -150,15 +159,18 @@ class Reader(dict):
         key = key_of(word)
         return self[key] if key != word and key in self else -1 - tail_class(key)
 
-    def places(self, tokens: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, tokens), np.int64, len(tokens))
+    def block(self, texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+        """(different words, number of the word at each place, words of each text, place of each different word)."""
+        found, index, sizes = word_table(texts)
+        return found, index, sizes, np.fromiter(map(self.__getitem__, found), np.int64, len(found))
 
     def symbols(self, places: np.ndarray) -> np.ndarray:
-        """Symbols of the places and of the end mark after them."""
-        out = np.empty(len(places) + 1, np.int32)
-        out[:-1] = np.where(places >= 0, self.symbol_of[np.maximum(places, 0)], HEAD - 1 - places)
-        out[-1] = self.vocab.end_symbol
-        return out
+        return np.where(places >= 0, self.symbol_of[np.maximum(places, 0)], HEAD - 1 - places).astype(np.int32)
+
+
+def ended(values: np.ndarray, sizes: np.ndarray, end) -> np.ndarray:
+    """Values of all texts with one more for the end mark after each text."""
+    return np.insert(values, np.cumsum(sizes), end)
 
 
 def scramble(x: np.ndarray) -> np.ndarray:
@@ -168,18 +180,16 @@ def scramble(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint32(13))
 
 
-def contexts(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """(symbol of each token of the texts, [4, tokens] rows of the class table)."""
-    y = np.concatenate(texts)
-    lengths = [len(t) for t in texts]
-    into = np.arange(len(y)) - np.repeat(np.cumsum([0, *lengths[:-1]]), lengths)  # places into their own text
+def contexts(y: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """[4, tokens] rows of the class table for the symbols of texts one after another."""
+    into = np.arange(len(y)) - np.repeat(np.cumsum(lengths) - lengths, lengths)  # places into their own text
     back = []
     for k in (1, 2, 3):
         p = np.full(len(y), START, np.int32)
         p[k:] = np.where(into[k:] >= k, y[:-k], START)
         back.append(p)
     pair = scramble(back[0] * np.int32(SYMBOLS) + back[1]) % np.uint32(BUCKETS - 3 * SYMBOLS)
-    return y, np.stack([back[0], back[1] + SYMBOLS, back[2] + 2 * SYMBOLS, pair.astype(np.int32) + 3 * SYMBOLS])
+    return np.stack([back[0], back[1] + SYMBOLS, back[2] + 2 * SYMBOLS, pair.astype(np.int32) + 3 * SYMBOLS])
 
 
 def member_rows(rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -325,27 +335,23 @@ def train(rows: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> tuple[np.
     """Weights after `rounds` rounds; each round takes the texts of one part of the ids, and together all texts once."""
     sc = rows.sparkSession.sparkContext
     tables = (np.zeros((BUCKETS, CLASSES), np.float32), np.zeros((BUCKETS, MEMBERS), np.float32))
-    sent = sc.broadcast(vocab)
+    sent = sc.broadcast(vocab.parts())
     for r in range(rounds):
         now = sc.broadcast(tables)
 
         def learn(it: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
-            learner, reader = Learner(sent.value, now.value), Reader(sent.value)
-            held, size = [], 0
+            v = Vocabulary(*sent.value)
+            learner, reader = Learner(v, now.value), Reader(v)
             for batch in it:
-                for data in batch.column("data"):
-                    held.append(reader.symbols(reader.places(words(data.as_py()))))
-                    size += len(held[-1])
-                    if size >= 8 * BATCH:
-                        learner.learn(*contexts(held))
-                        held, size = [], 0
-            if held:
-                learner.learn(*contexts(held))
+                for part in text_blocks(batch.column("data"), LEARN_BYTES):
+                    _, index, sizes, places = reader.block(part)
+                    y = ended(reader.symbols(places)[index], sizes, v.end_symbol)
+                    learner.learn(y, contexts(y, sizes + 1))
             yield from learner.changes()
 
         part = rows.where(F.pmod(F.xxhash64(F.lit("round"), "id", F.length("data")), F.lit(rounds)) == r).select("data")
         ddl = "t int, b int, n binary, d binary"
-        merged = part.mapInArrow(learn, ddl).repartition("t", "b").mapInArrow(averaged, ddl)
+        merged = part.mapInArrow(lambda it, learn=learn: tidy(learn(it)), ddl).repartition("t", "b").mapInArrow(averaged, ddl)
         tables = tuple(t.copy() for t in tables)
         for x in merged.toLocalIterator():  # two tables of fixed size
             d = np.frombuffer(x["d"], np.float16).reshape(BLOCK_ROWS, -1)
@@ -354,7 +360,17 @@ def train(rows: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> tuple[np.
     return tables
 
 
-SCORED_DDL = "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, tail array<binary>"
+SCORED_DDL = "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, tail array<binary>, times array<long>"
+
+
+def rare_words(found: list[bytes], index: np.ndarray, sizes: np.ndarray, places: np.ndarray) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """(words, times, ends of the texts' lists) of the words outside the dictionary, each once for a text."""
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    outside = places[index] < 0
+    pairs, times = np.unique(owner[outside] * max(len(found), 1) + index[outside], return_counts=True)
+    keys = pa.array([key_of(w) if p < 0 else None for w, p in zip(found, places.tolist())], pa.binary())
+    ends = np.concatenate([[0], np.cumsum(np.bincount(pairs // max(len(found), 1), minlength=len(sizes)))])
+    return keys.take(pa.array(pairs % max(len(found), 1))), pa.array(times, pa.int64()), pa.array(ends, pa.int32())
 
 
 def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -371,59 +387,52 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
     vocab = vocabulary(counts)
     tables = train(training, vocab)
     sc = docs.sparkSession.sparkContext
-    sent, weights = sc.broadcast(vocab), sc.broadcast(tables)
+    sent, weights = sc.broadcast(vocab.parts()), sc.broadcast(tables)
 
     def apply(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, reader = sent.value, Reader(sent.value)
+        v = Vocabulary(*sent.value)
+        reader = Reader(v)
         base_total = np.log10(v.total + 0.5 * (v.distinct + 1))
         ln10 = np.log(10)
         log_count = np.log10(v.counts + 0.5) if len(v.counts) else np.zeros(1)
         tail_log = np.log10(v.tail_total)
 
-        def scored(held: list) -> Iterator[pa.RecordBatch]:
-            symbols = [s for _, _, s, _, _ in held]
-            y, ctx = contexts(symbols)
-            lengths = np.array([len(s) for s in symbols])
+        def scored(batch: pa.RecordBatch, part: pa.Array) -> pa.RecordBatch:
+            found, index, sizes, places = reader.block(part)
+            y = ended(reader.symbols(places)[index], sizes, v.end_symbol)
+            lengths = sizes + 1
             starts = np.cumsum(lengths) - lengths
-            lp = log_probs(v, weights.value, y, ctx) / ln10
-            place = np.concatenate([np.append(p, -1) for *_, p, _ in held])
+            lp = log_probs(v, weights.value, y, contexts(y, lengths)) / ln10
+            place = ended(places[index], sizes, -1)
             inside = place >= 0
             logs = np.where(inside, log_count[np.maximum(place, 0)], 0.0)
-            logs[starts + lengths - 1] = np.log10(v.end_count + 0.5)
+            logs[starts + sizes] = np.log10(v.end_count + 0.5)
             rare = y >= HEAD
             lp[rare] += logs[rare] - tail_log[y[rare] - HEAD]
             total = lambda x: np.add.reduceat(x, starts)
-            tails = [w for *_, tail in held for w in tail]
-            ends = np.cumsum([0] + [len(tail) for *_, tail in held], dtype=np.int32)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([x[0] for x in held], pa.int64()), pa.array([x[1] for x in held], pa.bool_()),
-                pa.array(lengths, pa.int64()), pa.array(total(inside.astype(np.int64)) + (v.end_count > 0), pa.int64()),
+            tail, times, ends = rare_words(found, index, sizes, places)
+            return pa.RecordBatch.from_arrays([
+                batch.column("id"), batch.column("held"), pa.array(lengths, pa.int64()),
+                pa.array(total(inside.astype(np.int64)) + (v.end_count > 0), pa.int64()),
                 pa.array(total(logs) - lengths * base_total, pa.float64()), pa.array(total(lp), pa.float64()),
-                pa.ListArray.from_arrays(pa.array(ends), pa.array(tails, pa.binary())),
-            ], ["doc_id", "held_out", "n_tokens", "known", "base", "score", "tail"])
+                pa.ListArray.from_arrays(ends, tail), pa.ListArray.from_arrays(ends, times),
+            ], ["doc_id", "held_out", "n_tokens", "known", "base", "score", "tail", "times"])
 
-        held, size = [], 0
         for batch in it:
-            for ident, data, h in zip(*[batch.column(c) for c in ("id", "data", "held")]):
-                tokens = words(data.as_py())
-                places = reader.places(tokens)
-                tail = [key_of(tokens[i]) for i in np.flatnonzero(places < 0).tolist()]
-                held.append((ident.as_py(), h.as_py(), reader.symbols(places), places, tail))
-                size += len(tokens) + 1
-                if size >= 16 * BATCH:
-                    yield from scored(held)
-                    held, size = [], 0
-        if held:
-            yield from scored(held)
-
-    got = rows.mapInArrow(apply, SCORED_DDL).withColumn("row", F.monotonically_increasing_id())
+            at = 0
+            for part in text_blocks(batch.column("data"), LEARN_BYTES):
+                yield scored(batch.slice(at, len(part)), part)
+                at += len(part)
+
+    got = rows.mapInArrow(lambda it: tidy(apply(it)), SCORED_DDL).withColumn("row", F.monotonically_increasing_id())
     got = stored(got, "maxent-scored")
-    rare = got.select("row", F.explode("tail").alias("word"))
+    rare = got.select("row", F.explode(F.arrays_zip("tail", "times")).alias("w")).select("row", F.col("w.tail").alias("word"), F.col("w.times").alias("times"))
     c = F.coalesce(F.col("n"), F.lit(0))
-    extra = rare.join(counts, "word", "left").groupBy("row").agg(
-        F.sum(F.log10(c + 0.5)).alias("more"), F.sum(F.when(c > 0, 1).otherwise(0)).alias("more_known"))
+    # once for each text and word; a word that training lacks may still be frequent in the other texts
+    extra = skew.skewed_lookup(rare, counts, "word", "row").groupBy("row").agg(
+        F.sum(F.col("times") * F.log10(c + 0.5)).alias("more"), F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more_known"))
     more = F.coalesce(F.col("more"), F.lit(0.0))
-    return got.drop("tail").join(extra, "row", "left").select(
+    return got.drop("tail", "times").join(extra, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce(F.col("more_known"), F.lit(0))).alias("n_known"),
         F.lit(vocab.total).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"),
         (F.col("score") + more).alias("score"),

@@ -202,3 +202,50 @@ def test_classifier_on_many_rows_and_small_bounds(spark):
         got = nbsvm.score(rows, model).select("_row.quality", "score").collect()
         assert len(got) == 900 and np.mean([(r.score > 0.5) == (r.quality == 1) for r in got]) > 0.97
     assert model.slope > 0
+
+
+def test_probabilities_of_all_words_sum_to_one(spark):
+    """Under a learned model, after any context: head words by their softmax, the words of each tail class by counts."""
+    from pyspark.sql import functions as F
+
+    from loomtext.llm import maxent
+
+    rows = spark.read.parquet(f"{SF}/documents.parquet").selectExpr("doc_id as id", "cast(coalesce(text, '') as binary) as data")
+    counts = maxent.count_words(rows).cache()
+    vocab = maxent.vocabulary(counts)
+    tables = maxent.train(rows, vocab)
+    assert any(t.any() for t in tables)
+    rng = np.random.default_rng(0)
+    for _ in range(20):
+        before = rng.integers(0, maxent.SYMBOLS, 3).astype(np.int32)
+        ctx = maxent.contexts(np.append(before, 0), np.array([4]))[:, 3:].repeat(maxent.START, axis=1)
+        p = np.exp(maxent.log_probs(vocab, tables, np.arange(maxent.START), ctx))
+        assert p.sum() == pytest.approx(1, abs=1e-4)
+    head = counts.orderBy(F.desc("n"), "word").limit(maxent.HEAD)
+    tail = counts.join(head, "word", "left_anti").groupBy(maxent.tail_class_column(F.col("word")).alias("c")).agg(F.sum(F.col("n") + 0.5).alias("mass"))
+    for r in tail.collect():  # the words of a class and one unseen word
+        assert (r.mass + 0.5) / vocab.tail_total[r.c] == pytest.approx(1)
+
+
+def test_scores_are_sums_of_word_scores(spark, docs):
+    """The score of a text, put together word by word from the model's parts."""
+    from loomtext.llm import maxent
+
+    rows = spark.createDataFrame([(i, t) for i, t in list(docs.items())[:40]], "doc_id long, text string")
+    from pyspark.sql import functions as F
+
+    got = {r.doc_id: r for r in maxent.score(rows, F.col("doc_id") % 4 == 0).collect()}
+    training = rows.where("doc_id % 4 != 0").selectExpr("doc_id as id", "cast(text as binary) as data")
+    counts = maxent.count_words(training)
+    vocab, table = maxent.vocabulary(counts), {bytes(r.word): r.n for r in counts.collect()}
+    tables = maxent.train(training, vocab)
+    reader = maxent.Reader(vocab)
+    for i, text in list(docs.items())[:12]:
+        tokens = words(text.encode())
+        places = np.array([reader[w] for w in tokens], np.int64)
+        y = np.append(reader.symbols(places), vocab.end_symbol).astype(np.int32)
+        lp = maxent.log_probs(vocab, tables, y, maxent.contexts(y, np.array([len(y)])))
+        for j, w in enumerate([*tokens, maxent.END]):
+            if y[j] >= maxent.HEAD:
+                lp[j] += math.log((table.get(maxent.key_of(w), 0) + 0.5) / vocab.tail_total[y[j] - maxent.HEAD])
+        assert got[i].score == pytest.approx(lp.sum() / math.log(10), rel=2e-3)
