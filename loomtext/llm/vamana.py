@@ -12,10 +12,13 @@ lengths as for unit vectors.
 from __future__ import annotations
 
 import io
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loomtext.llm.common import stored
 
@@ -37,6 +40,18 @@ def directions(x: np.ndarray) -> np.ndarray:
     return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
 
 
+@F.arrow_udf(T.IntegerType())
+def band_of(vectors: pa.Array) -> pa.Array:
+    """Number of the band that a vector's length lies in; vectors are not empty and not zero."""
+    if not len(vectors):
+        return pa.array([], pa.int32())
+    sizes = np.diff(vectors.offsets.to_numpy())
+    flat, starts = vectors.flatten().to_numpy(zero_copy_only=False), np.cumsum(sizes) - sizes
+    largest = np.maximum.reduceat(np.abs(flat), starts)
+    ratio = np.sqrt(np.add.reduceat((flat / np.repeat(largest, sizes)) ** 2, starts))
+    return pa.array(np.floor((np.log(largest) + np.log(ratio)) / np.log(BAND) + 0.5).astype(np.int32))
+
+
 def beam_search(x: np.ndarray, graph: np.ndarray, entry: int, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
     """(nodes, distances) [queries, beam] nearest found by greedy walks, all queries in step; -1 where fewer."""
     q = len(queries)
@@ -173,10 +188,7 @@ def build_index(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "em
     both id and vector count once.
     """
     rows = usable(vectors, vec_id, embedding).withColumn("dim", F.size("v"))
-    largest = F.array_max(F.transform("v", F.abs))
-    length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, c: a + (c / largest) * (c / largest)))
-    band = F.floor((F.log(largest) + F.log(length)) / F.lit(float(np.log(BAND))) + 0.5).cast("int")
-    rows = rows.withColumn("band", band)
+    rows = rows.withColumn("band", band_of("v"))
     per = F.greatest(F.lit(256), F.least(F.lit(shard_rows), F.floor(F.lit(SHARD_BYTES) / (F.col("dim") * 8))))
     groups = rows.groupBy("dim", "band").agg(F.count(F.lit(1)).alias("n"))
     groups = stored(groups.select("dim", "band", F.ceil(F.col("n") / per).alias("shards")), "ann-bands")  # a row per dimension and band
