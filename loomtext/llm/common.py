@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import threading
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,11 +25,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+class Written(threading.local):
+    """(name, path) of the tables that `stored` has written in this thread and nobody discarded."""
+
+    def __init__(self):
+        self.tables: list[tuple[str, str]] = []
+
+
+_WRITTEN = Written()
+
+
+def written() -> int:
+    """A mark for `discard`."""
+    return len(_WRITTEN.tables)
+
+
+def discard(spark: SparkSession, mark: int, keep: tuple[str, ...] = ()) -> None:
+    """Remove the tables stored since the mark, but for those named in `keep`. No frame may still need them."""
+    for name, path in _WRITTEN.tables[mark:]:
+        if name not in keep:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    _WRITTEN.tables[mark:] = [x for x in _WRITTEN.tables[mark:] if x[0] in keep]
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to a new table in the shared folder and read it back: computed once, survives lost executors."""
     spark = df.sparkSession
     path = session.scratch_path(spark, name)
     df.write.parquet(path)
+    _WRITTEN.tables.append((name, path))
     return spark.read.schema(df.schema).parquet(path)
 
 

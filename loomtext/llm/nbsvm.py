@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomtext.llm.common import doc_bytes, lookup, mix64, stored, tidy
+from loomtext.llm.common import discard, doc_bytes, lookup, mix64, stored, tidy, written
 
 BITS = 18
 ALPHA = 1.0
@@ -197,6 +197,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
             f = [features(x.as_py(), hashes).tobytes() for x in batch.column("data")]
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("y"), pa.array(f, pa.binary())], ["id", "y", "f"])
 
+    mark = written()
     rows = training_rows(docs, labels, doc_id, text, label)
     train = stored(rows.mapInArrow(lambda it: tidy(featurise(it)), "id long, y int, f binary"), "nbsvm-train")
     classes = {r["y"]: r["n"] for r in train.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -234,6 +235,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     asked = train.where(F.col("fold").isin(list(fits)))  # a fold is left out if no row lies outside of it
     curve = asked.mapInArrow(margins, "bin long, y int").groupBy("bin").agg(
         F.sum("y").alias("good"), F.sum(1 - F.col("y")).alias("bad")).toArrow().to_pandas()  # 801 bins at most
+    discard(docs.sparkSession, mark)
     slope, shift = logistic(curve["bin"].to_numpy(float) * BIN, curve["good"].to_numpy(float), curve["bad"].to_numpy(float))
     return Model(weights, bias, slope, shift)
 

@@ -25,12 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.llm.common import WordHash, doc_bytes, lookup, mix64, stored, words
+from loomtext.llm.common import WordHash, discard, doc_bytes, lookup, mix64, stored, tidy, words, written
 from loomtext.llm.components import components
 
 SHINGLE = 5
 REGISTERS = 128
-BASE, RATE, TOP = 1.2, 20.0, 255
+#: Steps of the registers (two bytes each): so fine that unrelated sets of one size agree on a register once in 400
+#: times, so that a bucket holds hardly any of them and candidates don't grow with the square of the documents.
+BASE, RATE, TOP = 1.01, 20.0, 65_535
+REGISTER = np.dtype("<u2")
 #: A pair at the threshold is missed by all bands with at most this probability.
 MISS = 1e-6
 #: Standard deviations that the estimate may lie below the threshold before a pair is ruled out.
@@ -63,15 +66,15 @@ def shingles(data: bytes, hashes: WordHash, size: int = SHINGLE) -> np.ndarray:
 
 
 def registers(s: np.ndarray) -> np.ndarray:
-    """The sketch of a set: one byte per hash function. All zero for the empty set."""
+    """The sketch of a set: one number per hash function. All zero for the empty set."""
     low = np.full(REGISTERS, 2**64 - 1, np.uint64)
     for i in range(0, len(s), 256):
         low = np.minimum(low, (s[i : i + 256, None] * MULTIPLIERS + SHIFTS).min(axis=0))
     if not len(s):
-        return np.zeros(REGISTERS, np.uint8)
+        return np.zeros(REGISTERS, REGISTER)
     u = (low.astype(np.float64) + 1) / 2.0**64
     h = -np.log1p(-np.minimum(u, 1 - 1e-16)) / RATE
-    return np.clip(np.floor(1 - np.log(h) / np.log(BASE)), 0, TOP).astype(np.uint8)
+    return np.clip(np.floor(1 - np.log(h) / np.log(BASE)), 0, TOP).astype(REGISTER)
 
 
 def merge(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -129,7 +132,7 @@ def sketch_table(rows: DataFrame) -> DataFrame:
                 [batch.column("row"), batch.column("id"), pa.array(n, pa.int64()), pa.array(whole, pa.binary()), pa.array(regs, pa.binary())],
                 ["row", "id", "n", "whole", "regs"])
 
-    return stored(rows.mapInArrow(sketch, "row long, id long, n long, whole binary, regs binary"), "sketches")
+    return stored(rows.mapInArrow(lambda it: tidy(sketch(it)), "row long, id long, n long, whole binary, regs binary"), "sketches")
 
 
 def numbered(docs: DataFrame, doc_id: str, text: str, row: str | None = None) -> DataFrame:
@@ -150,7 +153,7 @@ def sets_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(s, pa.binary())], ["node", "s"])
 
     chosen = lookup(rows.select("row", "data"), wanted, "row", "data").where("wanted").select("row", "data")
-    return stored(chosen.mapInArrow(make, "node long, s binary"), "sets")
+    return stored(chosen.mapInArrow(lambda it: tidy(make(it)), "node long, s binary"), "sets")
 
 
 def may_link(x: np.ndarray, y: np.ndarray, n1: np.ndarray, n2: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
@@ -172,7 +175,7 @@ def star_links(buckets: DataFrame, members: DataFrame, reps: DataFrame, rows: Da
 
     def likely(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in it:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, REGISTERS) for c in ("ra", "rb"))
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), REGISTER).reshape(-1, REGISTERS) for c in ("ra", "rb"))
             n1, n2 = (batch.column(c).to_numpy().astype(float) for c in ("na", "nb"))
             yield batch.select(["a", "b"]).filter(pa.array(may_link(x, y, n1, n2, num, den)[0], pa.bool_()))
 
@@ -195,7 +198,7 @@ def star_links(buckets: DataFrame, members: DataFrame, reps: DataFrame, rows: Da
 def block_pairs(p: pd.DataFrame, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(estimate, place, place) of the pairs across components that may be links, in one block or between two."""
     i, j = int(p["i"].iat[0]), int(p["j"].iat[0])
-    regs = np.frombuffer(b"".join(p["regs"]), np.uint8).reshape(len(p), -1)
+    regs = np.frombuffer(b"".join(p["regs"]), REGISTER).reshape(len(p), -1)
     n, side, label = p["n"].to_numpy(float), p["own"].to_numpy(), p["label"].to_numpy()
     left, right = np.flatnonzero(side == i), np.flatnonzero(side == j)
     step = PAIRS // max(1, len(right)) + 1
@@ -277,6 +280,7 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, doc_id: str
     name of a column of stored numbers, one for each row, it is read again and these are used.
     """
     rows = numbered(docs, doc_id, text, row)
+    mark = written()
     table = sketch_table(rows)
     reps = stored(table.where("n > 0").groupBy("whole").agg(
         F.min("row").alias("node"), F.min("id").alias("least"), F.max("n").alias("n"), F.max("regs").alias("regs"),
@@ -284,7 +288,7 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, doc_id: str
     r = band_rows(num / den)
     band = F.explode(F.sequence(F.lit(0), F.lit(REGISTERS // r - 1))).alias("band")
     members = reps.select("node", "n", "regs", band)
-    members = members.select(F.xxhash64("band", F.substring("regs", F.col("band") * r + 1, F.lit(r))).alias("key"), "node", "n")
+    members = members.select(F.xxhash64("band", F.substring("regs", F.col("band") * (r * REGISTER.itemsize) + 1, F.lit(r * REGISTER.itemsize))).alias("key"), "node", "n")
     buckets = members.groupBy("key").agg(
         F.min("node").alias("centre"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("elements")).where("size > 1")
     buckets = stored(buckets, "buckets")
@@ -296,6 +300,7 @@ def near_duplicates(docs: DataFrame, num: int = 80, den: int = 100, doc_id: str
     named = stored(ids.join(comp, "node", "left").withColumn("label", F.coalesce("label", "node")), "classes")
     least = named.groupBy("label").agg(F.min("least").alias("component"))
     classes = stored(named.join(least, "label").select("whole", "component", F.lit(True).alias("shared")), "component-ids")
+    discard(docs.sparkSession, mark, ("sketches", "component-ids"))  # what the result still reads
     out = lookup(table.select("row", "id", "n", "whole"), classes, "whole", "row")
     component = F.when(F.col("shared"), F.col("component")).otherwise(F.col("id"))
     return out.select("row", "id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(

@@ -249,3 +249,30 @@ def test_scores_are_sums_of_word_scores(spark, docs):
             if y[j] >= maxent.HEAD:
                 lp[j] += math.log((table.get(maxent.key_of(w), 0) + 0.5) / vocab.tail_total[y[j] - maxent.HEAD])
         assert got[i].score == pytest.approx(lp.sum() / math.log(10), rel=2e-3)
+
+
+def test_stages_on_nulls_repeats_and_nothing(spark):
+    """Each stage alone, on rows that are unlike documents, with columns named like internal ones, and on no rows."""
+    import corpus_pipeline as pipeline
+    from pyspark.sql import functions as F
+
+    good = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").where("length(text) between 800 and 3000").limit(40).collect()}
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    rows = [(i, t, "a", 1, "x") for i, t in good.items()] + [(900, list(good.values())[0], "a", 2, None)] * 2
+    rows += [(None, None, None, None, None), (901, None, "b", 3, "y"), (902, "", "b", 3, "y"), (None, "two words", "c", 4, "z"), (903, "so " + item + " there", "c", 5, "q")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _at long, `row` string").withColumn("score", F.lit(0.5)).withColumn("n", F.lit(1))
+    for name, stage in pipeline.STAGES:
+        for df in (docs, docs.limit(0)):
+            out = stage(spark, df, SF)
+            got = out.collect()
+            if name != "token files":
+                assert out.columns == docs.columns
+            assert got == [] or df is docs
+    near = pipeline.near_dedup(spark, docs, SF).collect()
+    assert sum(r.doc_id == 900 for r in near) == 0 and {901, 902} <= {r.doc_id for r in near} and len(near) == len(rows) - 2
+    clean = pipeline.decontaminate(spark, docs, SF).collect()
+    assert 903 not in {r.doc_id for r in clean} and sum(r.doc_id is None for r in clean) == 2
+    mixed = pipeline.mix_sources(spark, docs, SF).groupBy("doc_id", "source").count().collect()
+    assert all(r["count"] % 2 == 0 for r in mixed if r.doc_id == 900)
+    tokens = pipeline.token_files(spark, docs, SF).collect()
+    assert len(tokens) == len(rows) and {r.n_tokens for r in tokens if r.doc_id in (901, 902)} == {1}
