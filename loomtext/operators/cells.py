@@ -145,7 +145,7 @@ def assign(vectors: DataFrame, vec: str, centres: np.ndarray, metric: str = "l2"
 
 
 def build(vectors: DataFrame, path: str, *, key: str = "chunk_id", vec: str = "embedding", metric: str = "l2",
-          cells: int | None = None, calibrate: bool = True) -> Index:
+          cells: int | None = None, calibrate: bool = True, rounds: int = ROUNDS) -> Index:
     """Write the vectors below `path`, a partition for each cell, and the centres with their calibration beside them.
 
     All columns are kept. The default number of cells is the square root of the number of vectors.
@@ -158,7 +158,7 @@ def build(vectors: DataFrame, path: str, *, key: str = "chunk_id", vec: str = "e
     facts = some.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vec)).alias("dims")).first()
     n, dims = facts["n"], max(facts["dims"] or 1, 1)
     cells = max(1, min(cells or math.isqrt(n), MAX_CELLS, MAX_NUMBERS // dims))
-    centres = learn_centres(some, key, vec, cells, metric) if n else np.zeros((0, dims))
+    centres = learn_centres(some, key, vec, cells, metric, rounds) if n else np.zeros((0, dims))
     # one exchange by cell; the hint lets adaptive execution split a hot cell and merge small ones
     assign(some, vec, centres, metric).hint("rebalance", "cell").write.partitionBy("cell").parquet(f"{path}/vectors")
     some.limit(0).write.parquet(f"{path}/columns")
