@@ -61,6 +61,29 @@ def stream_rate_limit(spark, sf):
     return spark.read.parquet(f"{out}/rows").select("thread_id", "turn", "prior_calls", "rate_limited")
 
 
+@query("l02_closed_sessions", """
+WITH e AS (SELECT user_id, event_id, value, epoch_us(ts) AS t FROM events WHERE ts IS NOT NULL),
+n AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY user_id ORDER BY t) < 28800000000 THEN 0 ELSE 1 END AS opens FROM e),
+s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY t) AS no FROM n)
+SELECT user_id, count(*) AS n_events, min(event_id) AS first_event, max(event_id) AS last_event, round(sum(value), 4) AS total,
+  (max(t) - min(t) + 28800000000) // 1000000 AS seconds
+FROM s GROUP BY user_id, no HAVING max(t) + 28800000000 <= (SELECT max(t) - 3600000000 FROM e) - (SELECT max(t) - 3600000000 FROM e) % 1000""")
+def closed_sessions(spark, sf):
+    """Sessions of users with gaps of eight hours; the stream has taken in all events, those still open stay in its state."""
+    out, cp = _paths(spark)
+    root = scratch_path(spark, "arriving")
+    events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    day = F.datediff("ts", F.lit("2024-01-01"))
+    aggs = [F.count(F.lit(1)).alias("n_events"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event"),
+            F.round(F.sum("value"), 4).alias("total")]
+    for part in (day < 7, (day >= 7) & (day < 21), (day >= 21) | day.isNull()):
+        events.where(part).write.mode("append").parquet(root)
+        stream = spark.readStream.schema(events.schema).parquet(root)
+        streams.write_table(streams.closed_sessions(stream, "user_id", "ts", "8 hours", aggs, "1 hour"), out, cp).awaitTermination()
+    seconds = F.expr("(unix_micros(session_end) - unix_micros(session_start)) div 1000000").alias("seconds")
+    return spark.read.parquet(out).select("user_id", "n_events", "first_event", "last_event", "total", seconds)
+
+
 @query("l04_state_values", """
 SELECT conv_id AS thread_id, count(*) AS n_messages, max(turn) AS step, arg_max(role, turn) AS last_role, md5(arg_max(text, turn)) AS text_md5
 FROM (SELECT c.*, s.hi FROM conversations c, (VALUES (2), (4), (1000000)) s(hi) WHERE c.turn < s.hi)

@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 from urllib.parse import quote
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -44,23 +44,29 @@ def write_table(stream: DataFrame, path: str, checkpoint: str, **trigger) -> Str
 # ---------------------------------------------------------------- per-thread counts
 
 
+def _whole_as(stream: DataFrame, kind: str | None) -> list[Column]:
+    """The columns with whole numbers as `kind` (None: as they are declared): pandas holds a long next to nulls as a double."""
+    return [F.col(f"`{f.name}`").cast(kind or f.dataType).alias(f.name) if isinstance(f.dataType, T.LongType) else F.col(f"`{f.name}`")
+            for f in stream.schema.fields]
+
+
 def number_rows(stream: DataFrame, key: str, pos: str) -> DataFrame:
     """Add `n_prior`, the number of earlier rows of the thread over all steps.
 
-    The state of a thread is its count. Rows of one step are numbered in the order of `pos`, ties as
-    they arrive; rows without a thread are one thread. Whole numbers beyond 2^53 in a column that
-    also holds nulls lose digits on the way through pandas: pass such a column as text.
+    The state of a thread is its count. Rows of one step are numbered in the order of `pos` (null last), ties as
+    they arrive (so do positions beyond 2^53 that agree in 53 bits); rows without a thread are one thread.
     """
-    schema = T.StructType([*stream.schema.fields, T.StructField("n_prior", T.LongType())])
+    rows = stream.select(*_whole_as(stream, "string"), F.col(f"`{pos}`").alias("_pos"))
+    schema = T.StructType([*rows.schema.fields[:-1], T.StructField("n_prior", T.LongType())])
 
     def number(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         seen = state.get[0] if state.exists else 0
-        rows = pd.concat(list(frames)).sort_values(pos, kind="stable", ignore_index=True)
-        rows["n_prior"] = rows.index + seen
-        state.update((seen + len(rows),))
-        yield rows
+        step = pd.concat(list(frames)).sort_values("_pos", kind="stable", ignore_index=True).drop(columns="_pos")
+        step["n_prior"] = step.index + seen
+        state.update((seen + len(step),))
+        yield step
 
-    return stream.groupBy(key).applyInPandasWithState(number, schema, "n long", "append", GroupStateTimeout.NoTimeout)
+    return rows.groupBy(key).applyInPandasWithState(number, schema, "n long", "append", GroupStateTimeout.NoTimeout).select(*_whole_as(stream, None), "n_prior")
 
 
 def session_history(stream: DataFrame, path: str, checkpoint: str, key: str = "thread_id", pos: str = "turn",
@@ -82,6 +88,21 @@ def read_history(spark: SparkSession, path: str, key: str, session) -> DataFrame
     return spark.read.parquet(f"{path}/rows").where(F.col(key) == session).orderBy("seq")
 
 
+def closed_sessions(stream: DataFrame, key: str, time: str, gap: str, aggs: list[Column], late: str = "0 seconds") -> DataFrame:
+    """One row per session that has ended: key, session_start, session_end and `aggs` (output mode `append`).
+
+    Rows of a thread less than `gap` apart are one session. A session ends, and its state goes, once the newest
+    time of all threads, less `late`, has passed its last row by `gap`; rows that come later than that are dropped.
+    Rows without a time belong to no session. Sessions of a task are merged before the shuffle where
+    `spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition` is set, so a hot thread sends one row per
+    task and session.
+    """
+    window = F.session_window(F.col(time), gap)
+    rows = stream.where(F.col(time).isNotNull()).withWatermark(time, late)
+    ends = [F.col("session_window")[e].alias(f"session_{e}") for e in ("start", "end")]
+    return rows.groupBy(key, window).agg(*aggs).select("*", *ends).drop("session_window")
+
+
 # ---------------------------------------------------------------- state feeds
 
 

@@ -49,6 +49,32 @@ def test_rate_limit_counts_over_steps(spark, folder):
     assert rows.where("thread_id like 'o%' and prior_calls = 0").count() == 5
 
 
+def test_whole_numbers_next_to_nulls_keep_their_digits(spark, folder):
+    big = (1 << 53) + 1
+    spark.createDataFrame([("t", big, big + 2), ("t", big + 1, None), ("t", None, 5)], "thread_id string, turn long, n long").write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema("thread_id string, turn long, n long").parquet(f"{folder}/in")
+    streams.session_history(stream, f"{folder}/out", f"{folder}/cp").awaitTermination()
+    got = spark.read.parquet(f"{folder}/out/rows").orderBy("seq").collect()
+    assert [(r.turn, r.n) for r in got] == [(big, big + 2), (big + 1, None), (None, 5)]
+
+
+def test_sessions_close_behind_the_newest_time(spark, folder):
+    schema = "thread_id string, at timestamp, n long"
+    ticks = [  # minutes
+        [("a", 0, 1), ("a", 9, 2), ("b", 5, 3), (None, 1, 4), ("a", None, 9)], [("a", 30, 5), ("b", 14, 6)], [("a", 60, 7), ("b", 3, 8)],
+    ]
+    for rows in ticks:
+        made = spark.createDataFrame(rows, "thread_id string, m int, n long").withColumn("at", F.timestamp_seconds(F.col("m") * 60))
+        made.select("thread_id", "at", "n").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/in")
+        closed = streams.closed_sessions(stream, "thread_id", "at", "10 minutes", [F.sum("n").alias("n")])
+        streams.write_table(closed, f"{folder}/out", f"{folder}/cp").awaitTermination()
+    got = spark.read.parquet(f"{folder}/out").select("thread_id", F.unix_seconds("session_start") / 60, F.unix_seconds("session_end") / 60, "n")
+    # b's row of minute 3 comes after minute 30 was seen; the session of minute 60 is still open
+    want = {(None, 1, 11, 4), ("a", 0, 19, 3), ("a", 30, 40, 5), ("b", 5, 24, 9)}
+    assert set(map(tuple, got.collect())) == want and got.count() == 4
+
+
 def test_resume_after_failure_repeats_the_step_once(spark, folder):
     s = _feed(spark, folder, [("t", i, "user", "x") for i in range(4)], 0)
     # rows leave the state operator, then the step fails before anything is committed
