@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from loomtext.functions import inference as I
 from loomtext.plans import ingest, rag, revise
 from loomtext.plans.catalog import query, table
+from loomtext.plans.split_sql import chunks_sql
 from loomtext.plans.queries_retrieval import (
     BASE_SQL, FALLBACK_SQL, GRADE, GRADED_SQL, GROUNDED, TOPICS, USEFUL, chunk_corpus, graded, hits_sql,
     overlap_sql, page_corpus, questions, vocab_sql,
@@ -157,7 +158,10 @@ def ingest_coverage(spark, sf):
         "*", F.lit(counts["documents"]).alias("documents_seen"), F.lit(counts["chunks"] == made.count()).alias("all_written"))
 
 
-@query("k08_corpus_ingest")
+@query("k08_corpus_ingest", f"""
+SELECT lang AS collection, count(*) AS n_chunks, max(length(chunk)) AS max_chars, (SELECT count(*) FROM documents) AS documents_seen,
+  sum(count(*)) OVER ()::BIGINT AS chunks_seen
+FROM ({chunks_sql("SELECT doc_id, 'text' AS language, text FROM documents", 2048, 200)}) JOIN documents USING (doc_id) GROUP BY lang""")
 def corpus_ingest(spark, sf):
     """Chunks per collection, next to the counts observed while writing."""
     path = scratch_path(spark, "ingest")

@@ -8,6 +8,7 @@ from loomtext.functions import scalars as S
 from loomtext.functions import text as X
 from loomtext.operators import chunking, stats
 from loomtext.plans.catalog import query, table
+from loomtext.plans.split_sql import chunks_sql
 from loomtext.sources import corpus, records
 
 # ---------------------------------------------------------------- intake (A)
@@ -397,6 +398,18 @@ def recursive_coverage(spark, sf):
     return _coverage(table(spark, sf, "documents").select("doc_id", "text"), 512, None)
 
 
+@query("d02_definition_chunks", f"""
+SELECT doc_id, language, chunk_idx, chunk FROM ({chunks_sql(
+    "SELECT doc_id, CASE doc_id % 2 WHEN 0 THEN 'python' ELSE 'rust' END AS language, replace(text, '. ', chr(10) || CASE doc_id % 2 WHEN 0 THEN 'def ' ELSE 'fn ' END) AS text FROM documents",
+    256, 64)}) JOIN (SELECT doc_id, CASE doc_id % 2 WHEN 0 THEN 'python' ELSE 'rust' END AS language FROM documents) USING (doc_id)""")
+def definition_chunks(spark, sf):
+    """Sentences made definitions, so that the separators of the languages cut."""
+    even = F.col("doc_id") % 2 == 0
+    opens = F.concat(F.lit("\n"), F.when(even, "def ").otherwise("fn "))
+    d = table(spark, sf, "documents").select("doc_id", F.when(even, "python").otherwise("rust").alias("language"), F.replace("text", F.lit(". "), opens).alias("text"))
+    return chunking.recursive_chunks(d, 256, 64, language=F.col("language"))
+
+
 @query("d02_code_coverage", _coverage_sql("replace(text, '. ', chr(10) || 'def ')"))
 def code_coverage(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", F.replace("text", F.lit(". "), F.lit("\ndef ")).alias("text"))
@@ -413,13 +426,17 @@ def splitter_function(spark, sf):
     return _covered(docs, made, 512)
 
 
-@query("d01_recursive_chunks")
+@query("d01_recursive_chunks", rf"""
+SELECT c.doc_id, lang, chunk_idx, chunk, len(regexp_extract_all(chunk, '\S+')) AS n_words
+FROM ({chunks_sql("SELECT doc_id, 'text' AS language, text FROM documents", 512, 50)}) c JOIN documents USING (doc_id)""")
 def recursive_chunks(spark, sf):
     c = chunking.recursive_chunks(table(spark, sf, "documents").select("doc_id", "lang", "text"), 512, 50)
     return chunking.with_word_count(c)
 
 
-@query("d02_code_chunks")
+@query("d02_code_chunks", f"""
+SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'python' ELSE 'rust' END AS language, chunk_idx, chunk FROM ({chunks_sql(
+    "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'python' ELSE 'rust' END AS language, text FROM documents WHERE doc_id % 3 < 2", 1024, 128)})""")
 def code_chunks(spark, sf):
     d = table(spark, sf, "documents").select("doc_id", "text", X.language_tag(_code_path()).alias("language"))
     return chunking.recursive_chunks(d.where(F.col("language").isNotNull()), 1024, 128, language=F.col("language"))

@@ -1,13 +1,17 @@
 """Splitter properties, fixed windows, chunk ids, the SQL face."""
 
+import random
 import re
 
+import duckdb
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from loomtext.operators import chunking
 from loomtext.operators.chunking import split_text
+from loomtext.plans.split_sql import chunks_sql
 
 ALPHABET = st.text(alphabet="ab é\n\t.", max_size=300)
 
@@ -90,3 +94,17 @@ def test_chunk_ids_keep_null_languages_and_sources_apart(spark):
         "language", "source", "doc_id", "chunk_idx", "chunk_id").collect()}
     assert got == {(None, "s", 1, 0, "s_0"), ("en", None, 2, 0, "0"), ("en", "s", 1, 0, "s_1"),
                    ("en", "t", 1, 0, "t_2"), ("en", "t", 1, 1, "t_3")}
+
+
+def test_reference_sql_of_the_splitter():
+    rng = random.Random(5)
+    bits = ["\n\n", "\n", " ", "a", "bcd" * 3, "é" * 40, "\ndef ", "\nclass ", "\nfn ", "\nlet ", "\t", "\u3000"]
+    for language in ("text", "python", "rust", None):
+        texts = [None, ""] + ["".join(rng.choices(bits, k=rng.randint(1, 60))) for _ in range(100)]
+        con = duckdb.connect()
+        con.register("texts", pa.table({"doc_id": range(len(texts)), "language": pa.array([language] * len(texts), pa.string()), "text": texts}))
+        got = {}
+        for doc, i, chunk in con.execute(chunks_sql("SELECT * FROM texts", 20, 7)).fetchall():
+            got.setdefault(doc, {})[i] = chunk
+        for doc, text in enumerate(texts):
+            assert [c for _, c in sorted(got.get(doc, {}).items())] == chunking.split_text(text, language, 20, 7)
