@@ -50,6 +50,7 @@ class Index:
     radius: np.ndarray
     found_by: np.ndarray  # share of true neighbours in the first 1, 2, ... cells
     looked_up: int
+    columns: str = ""  # of the stored rows, where they are known without reading them
 
     def probes(self, recall: float) -> int:
         """Cells whose share of the neighbours looked up reaches `recall` with two standard errors to spare."""
@@ -87,18 +88,18 @@ def sample_by_hash(df: DataFrame, key: str, rows: int, n: int) -> DataFrame:
 
 
 def learn_centres(vectors: DataFrame, key: str, vec: str, cells: int, metric: str = "l2", rounds: int = ROUNDS,
-                  sample: int = SAMPLE_PER_CELL) -> np.ndarray:
-    """Centres after Lloyd rounds over at most about `cells * sample` vectors, chosen by a hash of the key.
+                  sample: int = SAMPLE_PER_CELL, n: int | None = None) -> np.ndarray:
+    """Centres after Lloyd rounds over at most about `cells * sample` of the `n` vectors, chosen by a hash of the key.
 
     Only sums and counts per cell and task leave the tasks. A cell that loses all its vectors keeps its centre.
     """
     spark = vectors.sparkSession
-    n = vectors.count()
+    n = vectors.count() if n is None else n
     path = scratch_path(spark, "centres-sample")
     # the sample is bounded, and so is the number of its files
     sample_by_hash(vectors.select(key, vec), key, cells * sample, n).repartition(
         max(1, min(64, cells * sample // 20_000))).write.parquet(path)
-    rows = spark.read.parquet(path)
+    rows = spark.read.schema(vectors.select(key, vec).schema).parquet(path)
     first = rows.orderBy(F.xxhash64(key, F.lit(7)), key).limit(cells).select(vec).toArrow()
     centres = np.unique(_placed(retrieval.matrix(first.column(0)), metric), axis=0)
     for _ in range(rounds if len(centres) > 1 else 0):
@@ -145,30 +146,32 @@ def assign(vectors: DataFrame, vec: str, centres: np.ndarray, metric: str = "l2"
 
 
 def build(vectors: DataFrame, path: str, *, key: str = "chunk_id", vec: str = "embedding", metric: str = "l2",
-          cells: int | None = None, calibrate: bool = True, rounds: int = ROUNDS) -> Index:
+          cells: int | None = None, lasting: bool = True, rounds: int = ROUNDS, size: tuple[int, int] | None = None) -> Index:
     """Write the vectors below `path`, a partition for each cell, and the centres with their calibration beside them.
 
     All columns are kept. The default number of cells is the square root of the number of vectors.
-    An index that is only searched exactly needs no calibration.
+    An index that does not last is only searched exactly and by the caller: it has no calibration and cannot be opened again.
+    `size` is the number of vectors and of their dimensions, if the caller has counted them.
     """
     if metric not in ("l2", "cosine"):
         raise ValueError(f"unknown metric: {metric}")
     spark = vectors.sparkSession
     some = vectors.where(F.col(vec).isNotNull())
-    facts = some.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(vec)).alias("dims")).first()
-    n, dims = facts["n"], max(facts["dims"] or 1, 1)
+    n, dims = size or some.agg(F.count(F.lit(1)), F.max(F.size(vec))).first()
+    dims = max(dims or 1, 1)
     cells = max(1, min(cells or math.isqrt(n), MAX_CELLS, MAX_NUMBERS // dims))
-    centres = learn_centres(some, key, vec, cells, metric, rounds) if n else np.zeros((0, dims))
+    centres = learn_centres(some, key, vec, cells, metric, rounds, n=n) if n else np.zeros((0, dims))
     # one exchange by cell; the hint lets adaptive execution split a hot cell and merge small ones
     assign(some, vec, centres, metric).hint("rebalance", "cell").write.partitionBy("cell").parquet(f"{path}/vectors")
-    some.limit(0).write.parquet(f"{path}/columns")
-    index = Index(path, metric, centres, np.zeros(len(centres), np.int64), np.zeros(len(centres)), np.ones(len(centres)), 0)
+    index = Index(path, metric, centres, np.zeros(len(centres), np.int64), np.zeros(len(centres)), np.ones(len(centres)), 0, _ddl(some))
     stored = stored_vectors(spark, index)
     per_cell = stored.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("reach").alias("radius")).toArrow()
     index.sizes[per_cell.column("cell").to_numpy()] = per_cell.column("n").to_numpy()
     index.radius[per_cell.column("cell").to_numpy()] = per_cell.column("radius").to_numpy()
-    if calibrate:
-        index.found_by, index.looked_up = _calibrate(stored, index, key, vec)
+    if not lasting:
+        return index
+    some.limit(0).write.parquet(f"{path}/columns")
+    index.found_by, index.looked_up = _calibrate(stored, index, key, vec)
     rows = [(i, c.tolist(), int(m), float(r), float(s), index.looked_up) for i, (c, m, r, s) in enumerate(zip(centres, index.sizes, index.radius, index.found_by))]
     spark.createDataFrame(rows, "cell int, centre array<double>, n long, radius double, found_by double, looked_up long").withColumn(
         "metric", F.lit(metric)).coalesce(1).write.parquet(f"{path}/centres")
@@ -182,10 +185,14 @@ def open_index(spark: SparkSession, path: str) -> Index:
                  rows[0]["looked_up"] if rows else 0)
 
 
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
 def stored_vectors(spark: SparkSession, index: Index) -> DataFrame:
     """The stored rows, with `reach` and `cell`. An empty index has no files, so the columns are kept apart."""
-    names = [f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(f"{index.path}/columns").schema]
-    return spark.read.schema(", ".join([*names, "reach double", "cell int"])).parquet(f"{index.path}/vectors")
+    index.columns = index.columns or _ddl(spark.read.parquet(f"{index.path}/columns"))
+    return spark.read.schema(f"{index.columns}, reach double, cell int").parquet(f"{index.path}/vectors")
 
 
 def _order(index: Index, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

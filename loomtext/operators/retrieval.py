@@ -2,10 +2,11 @@
 
 Distances are computed as matrix products over Arrow batches; a task emits at most `k`
 candidates per question and batch of the corpus, so neither all pairs nor a whole bucket is
-ever materialised. Three ways, chosen by the data:
+ever materialised. Four ways, chosen by the data:
 
 * few questions (size checked): they are broadcast, the corpus is scanned in place;
-* many questions: the corpus is written by cells of near vectors, and a question meets the blocks of
+* many questions, few corpus rows (size checked): the corpus is broadcast, the questions stay in place;
+* many of both: the corpus is written by cells of near vectors, and a question meets the blocks of
   those cells that its k-th distance so far does not rule out (`cells`);
 * approximate: both sides carry a hash code, and blocks meet only within probed codes.
 
@@ -26,8 +27,8 @@ from pyspark.sql import types as T
 
 from loomtext.session import cut_lineage, scratch_path
 
-MAX_BROADCAST_QUESTIONS = 8192
-MAX_BROADCAST_CELLS = 16_000_000  # numbers in the question matrix, 128 MB
+MAX_BROADCAST_QUESTIONS = 8192  # the same bound holds for a corpus
+MAX_BROADCAST_CELLS = 16_000_000  # numbers in the matrix that is broadcast, 128 MB
 QUESTION_BLOCK = 16384
 CORPUS_BLOCK = 65536
 _TILE_CELLS = 4_000_000
@@ -136,6 +137,23 @@ def _broadcast_search(head: list, corpus: DataFrame, schema: T.StructType, qid:
     return corpus.select(cid, vec).where(F.col(vec).isNotNull()).mapInArrow(search, schema)
 
 
+def _broadcast_corpus_search(questions: DataFrame, rows: list, schema: T.StructType, qid: str, cid: str,
+                             vec: str, k: int, metric: str) -> DataFrame:
+    """The few corpus rows go to the questions, whose candidates are complete where they are."""
+    ids = np.array([r[0] for r in rows])
+    mat = np.array([r[1] for r in rows], dtype=np.float64).reshape(len(rows), -1) if rows else None
+    shared = questions.sparkSession.sparkContext.broadcast((ids, mat))
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        c_ids, c = shared.value
+        for b in batches:
+            if b.num_rows and c is not None:
+                row, score, found = _block_topk(matrix(b.column(1)), c, c_ids, k, metric)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), pa.array(found), pa.array(score)], names=[qid, cid, "score"])
+
+    return questions.select(qid, vec).mapInArrow(search, schema)
+
+
 def block_search(q: DataFrame, c: DataFrame, schema: T.StructType, qid: str, cid: str, vec: str,
                  k: int, metric: str, question_block: int = QUESTION_BLOCK, corpus_block: int = CORPUS_BLOCK) -> DataFrame:
     """Meet questions and corpus block by block inside each `code`.
@@ -191,18 +209,29 @@ def topk(questions: DataFrame, corpus: DataFrame, k: int = 8, *, qid: str = "que
         raise ValueError(f"unknown metric: {metric}")
     q = questions.select(qid, vec).where(F.col(vec).isNotNull())
     c = corpus.select(cid, vec).where(F.col(vec).isNotNull())
+
+    def few(size) -> bool:
+        return size["n"] <= max_broadcast and size["numbers"] <= MAX_BROADCAST_CELLS
+
+    def measured(df: DataFrame):
+        dims = F.size(vec)
+        return df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(dims), F.lit(0)).alias("numbers"), F.max(dims).alias("dims")).first()
+
     if not stored:
         q = cut_lineage(q)  # measured first, then read again; the corpus is scanned once if the questions are few
-    size = q.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size(vec)), F.lit(0)).alias("cells")).first()
-    if size["n"] <= max_broadcast and size["cells"] <= MAX_BROADCAST_CELLS:
+    if few(measured(q)):
         cands = _broadcast_search(q.collect(), c, out_schema(q, c, qid, cid), qid, cid, vec, k, metric)
         return final(cands, qid, cid, k, metric)
-    from loomtext.operators import cells  # which is built on this module
-
     if not stored:
         c = cut_lineage(c)
-    index = cells.build(c, scratch_path(c.sparkSession, "cells"), key=cid, vec=vec, metric=metric,
-                        cells=max(1, -(-c.count() // corpus_block)), calibrate=False, rounds=1)  # searched once: any centres prove
+    size = measured(c)
+    if few(size):
+        cands = _broadcast_corpus_search(q, c.collect(), out_schema(q, c, qid, cid), qid, cid, vec, k, metric)
+        return final(cands, qid, cid, k, metric)
+    from loomtext.operators import cells  # which is built on this module
+
+    index = cells.build(c, scratch_path(c.sparkSession, "cells"), key=cid, vec=vec, metric=metric, size=(size["n"], size["dims"]),
+                        cells=max(1, -(-size["n"] // corpus_block)), lasting=False, rounds=1)  # searched once: any centres prove
     return cells.search(q, index, k, qid=qid, cid=cid, vec=vec, question_block=question_block, corpus_block=corpus_block)
 
 

@@ -41,6 +41,11 @@ def test_ways_agree_with_brute_force(spark, data, metric):
     want = _brute(q, c, 5, metric)
     assert _got(retrieval.topk(qf, cf, 5, metric=metric)) == want
     assert _got(retrieval.topk(qf, cf, 5, metric=metric, max_broadcast=3, question_block=10, corpus_block=64)) == want
+    # more questions than corpus rows: the corpus goes to the questions
+    few = cf.where("chunk_id < 15")
+    asked = _got(retrieval.topk(qf, few, 5, metric=metric, max_broadcast=20))
+    assert asked == _brute(q, c[:15], 5, metric) == _got(retrieval.topk(qf, few, 5, metric=metric, max_broadcast=0))
+    assert _got(retrieval.topk(qf, cf.limit(0), 5, metric=metric, max_broadcast=20)) == set()
     assert _got(retrieval.topk_approx(qf, cf, 5, metric=metric, bits=3, radius=3, dims=16, question_block=8, corpus_block=32)) == want
 
 
