@@ -290,7 +290,7 @@ def search(questions: DataFrame, index: Index, k: int = 8, *, recall: float = 1.
     if report is not None:
         report["all"] = q.count() * int((index.sizes > 0).sum())
     found = meet(_explode(q, qid, vec, nearest))
-    if exact:
+    if exact and few < len(index.centres):  # else every cell has been met
         found = cut_lineage(found)
         last = retrieval.final(found, qid, cid, k, index.metric).where(F.col("rank") == k)
         value = F.col("distance") if index.metric == "l2" else 2.0 - 2.0 * F.col("similarity")
