@@ -91,11 +91,12 @@ def word_table(texts: pa.Array, lower: bool = True) -> tuple[list[bytes], np.nda
         cut = [t.as_py().lower().split() if lower else t.as_py().split() for t in texts]
         flat = pa.array([w for c in cut for w in c], pa.large_binary()).dictionary_encode()
         return flat.dictionary.to_pylist(), flat.indices.to_numpy(), np.array([len(c) for c in cut], np.int64)
-    cut = pc.ascii_split_whitespace(pc.ascii_lower(body) if lower else body)
+    cut = pc.ascii_split_whitespace(body)
     flat, sizes = cut.flatten(), np.diff(cut.offsets.to_numpy())
     solid = pc.greater(pc.binary_length(flat), 0)
     owner = np.repeat(np.arange(len(texts)), sizes)[solid.to_numpy(zero_copy_only=False)]
-    coded = flat.filter(solid).dictionary_encode()
+    flat = flat.filter(solid)  # an array of its own: Arrow lower-cases slices of a cast column wrongly
+    coded = (pc.ascii_lower(flat) if lower else flat).dictionary_encode()
     return coded.dictionary.cast(pa.large_binary()).to_pylist(), coded.indices.to_numpy(), np.bincount(owner, minlength=len(texts)).astype(np.int64)
 
 

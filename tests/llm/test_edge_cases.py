@@ -4,12 +4,13 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from loomtext import session
 from loomtext.llm import cgk, linechunks, maxent, mixing, nbsvm, queries, setsketch, tokenfile, toolcalls, vamana, warc
-from loomtext.llm.common import WordHash, fold
+from loomtext.llm.common import WordHash, fold, word_table, words
 
 LONG = "word " * 60_000
 ROWS = [
@@ -295,6 +296,19 @@ def test_lm_scoring(spark, docs, none):
     assert maxent.tail_class(b"a") == spark.range(1).select(maxent.tail_class_column(F.lit("a").cast("binary"))).first()[0]
 
 
+def test_words_of_slices(spark, monkeypatch):
+    texts = ["One two", "x", "a B\tc  d", "", "Ä é E", "one B"]
+    column = pa.array([t.encode() for t in texts], pa.binary())
+    for at in range(len(texts)):
+        found, index, sizes = word_table(column.slice(at))
+        assert [found[i] for i in index] == [w for t in texts[at:] for w in words(t.encode())]
+        assert sizes.tolist() == [len(words(t.encode())) for t in texts[at:]]
+    monkeypatch.setattr(maxent, "LEARN_BYTES", 8)  # texts are scored slice by slice
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    rows = sorted(maxent.score(table, F.lit(False)).collect(), key=lambda r: r.doc_id)
+    assert [(r.n_tokens, r.n_known) for r in rows] == [(len(words(t.encode())) + 1,) * 2 for t in texts]
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(300, 8)) * rng.uniform(0.5, 3, (300, 1))
