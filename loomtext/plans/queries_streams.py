@@ -135,7 +135,7 @@ def stream_ingest(spark, sf):
     """Stream all documents into an index twice over; chunks (no overlap) rebuild every text once."""
     out, cp = _paths(spark)
     d = table(spark, sf, "documents")
-    source = spark.readStream.schema(d.schema).option("pathGlobFilter", "documents.parquet").parquet(sf)
+    source = spark.readStream.schema(d.schema).parquet(f"{sf}/{{documents.parquet}}")  # a pattern may be a file or a folder of files
     docs = source.select("doc_id", F.col("doc_id").cast("string").alias("source"), "text", F.col("lang").alias("collection"))
     for run in ("first", "again"):
         streams.index_stream(docs, out, f"{cp}-{run}", size=1000, overlap=0).awaitTermination()

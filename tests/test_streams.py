@@ -5,7 +5,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from loomtext.streaming import streams
+from tests import oracle
 
 SCHEMA = "thread_id string, turn long, role string, text string"
 MESSAGES = [
@@ -123,3 +125,11 @@ def test_new_files_reach_the_index_once(spark, folder):
     assert out.where("collection = 'py'").count() == 1 and out.where("source like '%venv%'").count() == 0
     assert run("fresh").count() == first + 2  # a full rescan adds nothing
     assert out.where(F.col("embedding").isNull()).count() == 0
+
+
+def test_stream_ingest_of_a_folder_of_files(spark, folder):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs.repartition(3).write.parquet(f"{folder}/documents.parquet")
+    con = oracle.duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet/*.parquet')")
+    assert oracle.compare(con, entry.queries()["l05_stream_ingest"](spark, folder), entry.oracle_sql()["l05_stream_ingest"]) is None
