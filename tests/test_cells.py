@@ -81,3 +81,13 @@ def test_edges(spark, folder):
     assert cells.search(q.limit(0), index, 3).collect() == []
     empty = cells.build(c.limit(0), f"{folder}/b")
     assert cells.search(q, empty, 3).collect() == [] and len(cells.open_index(spark, f"{folder}/b").centres) == 0
+
+
+def test_recall_query_compares_with_true_neighbours(spark):
+    import __spark_entry__ as entry
+    sf = "/root/testdata/sf0.001"
+    got = entry.queries()["e04_recall"](spark, sf).first()
+    codes = entry.queries()["e04_code_recall"](spark, sf).first()
+    assert (got.n_true, got.n_found, got.recall) == (codes.n_true, codes.n_found, codes.recall) and got.n_found > 0
+    assert got.reached and got.n_full == got.n_questions == spark.read.parquet(f"{sf}/embeddings.parquet").count()
+    assert "list_distance" in entry.oracle_sql()["e04_recall"]
