@@ -4,27 +4,26 @@ Centres are learned by Lloyd rounds in Spark on a bounded sample. Every vector i
 partition of its cell with its distance to the centre. A question reads the cells next to it only.
 How many depends on what is asked for:
 
-* `recall=1`: after a first pass over the nearest cells the k-th distance bounds what can still count.
+* `recall=1`: after its own cell the k-th distance so far bounds what can still count.
   By the triangle inequality a cell whose centre is farther than this distance plus its radius
-  holds nothing nearer; all other cells are met in a second pass. The result is exact.
+  holds nothing nearer; all other cells are met, from near to far, and each narrows the bound. The result is exact.
 * `recall<1`: as many cells as held that share of the true neighbours of stored sample questions,
   plus two standard errors. The calibration is stored with the index.
 
-A question always gets enough cells for `k` rows. Cells meet questions block by block (see
-`retrieval.block_search`), so a cell with a large part of all vectors is spread over many tasks.
+A question always gets enough cells for `k` rows. Near questions form blocks, and the task of a block reads
+the cells it needs from the stored files (see `retrieval.scan_search`): nothing is repeated in a shuffle.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from loomtext.operators import retrieval
 from loomtext.session import cut_lineage, scratch_path
@@ -221,24 +220,6 @@ def _calibrate(stored: DataFrame, index: Index, key: str, vec: str) -> tuple[np.
     return np.cumsum(np.bincount(place, minlength=m)) / len(place), held.num_rows
 
 
-def _explode(questions: DataFrame, qid: str, vec: str, choose: Callable, extra: str | None = None) -> DataFrame:
-    """A row (qid, vec, code) for each cell that `choose(vectors, extra)` marks for a question."""
-    cols = [qid, vec] + ([extra] if extra else [])
-    schema = T.StructType([*questions.select(qid, vec).schema, T.StructField("code", T.IntegerType())])
-
-    def spread(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
-            for a in range(0, len(b), 1024):
-                part = b.slice(a, 1024)
-                limit = part.column(2).to_numpy(zero_copy_only=False) if extra else None
-                row, cell = np.nonzero(choose(retrieval.matrix(part.column(1)), limit))
-                take = pa.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(take), part.column(1).take(take), pa.array(cell.astype(np.int32))], [qid, vec, "code"])
-
-    return questions.select(*cols).mapInArrow(spread, schema)
-
-
 def search(questions: DataFrame, index: Index, k: int = 8, *, recall: float = 1.0, qid: str = "query_id", cid: str = "chunk_id",
            vec: str = "embedding", question_block: int = retrieval.QUESTION_BLOCK, corpus_block: int = retrieval.CORPUS_BLOCK,
            report: dict | None = None) -> DataFrame:
@@ -246,54 +227,62 @@ def search(questions: DataFrame, index: Index, k: int = 8, *, recall: float = 1.
 
     `recall=1` gives exactly the nearest, see the module. Below 1 the nearest of the calibrated cells; more
     than `CALIBRATION_K` neighbours were never calibrated and are searched exactly. Only partitions of probed cells are
-    read. `report` receives the number of (question, cell) meetings of each pass and of all there could be.
+    read. `report` receives the number of (question, cell) meetings and of all there could be, by a run of its own.
     """
     spark = questions.sparkSession
-    q = cut_lineage(questions.select(qid, vec).where(F.col(vec).isNotNull()))
+    q = questions.select(qid, vec).where(F.col(vec).isNotNull())
     if not len(index.centres):
         nothing = retrieval.out_schema(q, stored_vectors(spark, index), qid, cid)
         return retrieval.final(spark.createDataFrame([], nothing), qid, cid, k, index.metric)
+    schema = retrieval.out_schema(q, stored_vectors(spark, index), qid, cid)
+    q = cut_lineage(assign(q, vec, index.centres, index.metric).drop("reach"))
     exact = recall >= 1 or k > CALIBRATION_K
     sent = spark.sparkContext.broadcast((index.metric, index.centres, index.sizes, index.radius))
-    few = min(3, len(index.centres)) if exact else index.probes(recall)
-
-    def distances(v: np.ndarray) -> np.ndarray:
-        metric, centres, _, _ = sent.value
-        return _distances(_placed(v, metric), centres)
-
-    def nearest(v: np.ndarray, _) -> np.ndarray:
-        d = distances(v)
-        order = np.argsort(d, axis=1, kind="stable")
-        before = np.cumsum(sent.value[2][order], axis=1) - sent.value[2][order]
-        wanted = (np.arange(d.shape[1])[None, :] < few) | (before < k)  # the rows of earlier cells do not suffice
-        out = np.zeros(d.shape, bool)
-        np.put_along_axis(out, order, wanted, 1)
-        return out & (sent.value[2] > 0)[None, :]
-
-    def possible(v: np.ndarray, limit: np.ndarray) -> np.ndarray:
-        # a zero vector is never nearer than the sphere shows, so the bound also holds for it
-        d = distances(v)
-        reachable = d - sent.value[3][None, :] <= limit[:, None] * (1 + SLACK) + SLACK * d
-        return reachable & (sent.value[2] > 0)[None, :] & ~nearest(v, None)
-
-    def meet(probes: DataFrame) -> DataFrame:
-        probes = cut_lineage(probes)
-        met = probes.groupBy("code").agg(F.count(F.lit(1)).alias("n")).toArrow()  # a row for each cell at most
-        if report is not None:
-            report.setdefault("met", []).append(int(met.column("n").to_numpy().sum()))
-            report.setdefault("cells_read", []).append(met.num_rows)
-        rows = stored_vectors(spark, index).where(F.col("cell").isin(met.column("code").to_pylist())).select(
-            cid, vec, F.col("cell").alias("code"))
-        schema = retrieval.out_schema(q, rows, qid, cid)
-        return retrieval.block_search(probes, rows, schema, qid, cid, vec, k, index.metric, question_block, corpus_block)
-
+    few = index.probes(recall)
+
+    def nearest(v: np.ndarray) -> np.ndarray:
+        """[questions, cells] the calibrated cells, and as many as `k` rows take."""
+        metric, centres, sizes, _ = sent.value
+        out = np.zeros((len(v), len(centres)), bool)
+        for a in range(0, len(v), 1024):
+            order = np.argsort(_distances(_placed(v[a : a + 1024], metric), centres), axis=1, kind="stable")
+            before = np.cumsum(sizes[order], axis=1) - sizes[order]
+            wanted = (np.arange(len(centres))[None, :] < few) | (before < k)  # the rows of earlier cells do not suffice
+            np.put_along_axis(out[a : a + 1024], order, wanted, 1)
+        return out & (sizes > 0)[None, :]
+
+    def visits(v: np.ndarray, own: np.ndarray, best: retrieval.Nearest) -> Iterator[tuple]:
+        metric, centres, sizes, radius = sent.value
+        about = centres if metric == "l2" else [None] * len(centres)
+        place = _placed(v, metric)
+        if exact:
+            for c in np.unique(own):  # its own cell gives each question a first bound
+                yield int(c), np.flatnonzero(own == c), about[c]
+        else:
+            chosen = nearest(v)
+        for c in np.argsort(np.linalg.norm(centres - place.mean(0), axis=1), kind="stable"):
+            if exact:
+                # a zero vector is never nearer than the sphere shows, so the bound also holds for it
+                d = np.linalg.norm(place - centres[c], axis=1)
+                meets = (d - radius[c] <= best.reach() * (1 + SLACK) + SLACK * d) & (own != c) & (sizes[c] > 0)
+            else:
+                meets = chosen[:, c]
+            if meets.any():
+                yield int(c), np.flatnonzero(meets), about[c]
+
+    path = f"{index.path}/vectors"
     if report is not None:
+        def counted(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for block in retrieval._blocks_of(it, question_block):
+                best = retrieval.Nearest(retrieval.matrix(block.column(1)), k, index_metric)
+                for cell, rows, about in visits(best.q, block.column(2).to_numpy(), best):
+                    for batch in retrieval._stored_batches(path, cell, [cid, vec], corpus_block):
+                        best.meet(rows, batch, about)
+                    yield pa.RecordBatch.from_arrays([pa.array([cell], pa.int32()), pa.array([len(rows)], pa.int64())], ["cell", "n"])
+
+        index_metric = index.metric
+        met = q.select(qid, vec, "cell").mapInArrow(counted, "cell int, n long").agg(F.sum("n"), F.count_distinct("cell")).first()
         report["all"] = q.count() * int((index.sizes > 0).sum())
-    found = meet(_explode(q, qid, vec, nearest))
-    if exact and few < len(index.centres):  # else every cell has been met
-        found = cut_lineage(found)
-        last = retrieval.final(found, qid, cid, k, index.metric).where(F.col("rank") == k)
-        value = F.col("distance") if index.metric == "l2" else 2.0 - 2.0 * F.col("similarity")
-        bounded = q.join(last.select(qid, F.sqrt(F.greatest(value, F.lit(0.0))).alias("_bound")), qid)
-        found = found.unionByName(meet(_explode(bounded, qid, vec, possible, "_bound")))
+        report["met"], report["cells_read"] = [met[0] or 0], [met[1]]
+    found = retrieval.scan_search(q, path, visits, schema, qid, cid, vec, k, index.metric, question_block, corpus_block)
     return retrieval.final(found, qid, cid, k, index.metric)

@@ -6,9 +6,9 @@ ever materialised. Four ways, chosen by the data:
 
 * few questions (size checked): they are broadcast, the corpus is scanned in place;
 * many questions, few corpus rows (size checked): the corpus is broadcast, the questions stay in place;
-* many of both: the corpus is written by cells of near vectors, and a question meets the blocks of
-  those cells that its k-th distance so far does not rule out (`cells`);
-* approximate: both sides carry a hash code, and blocks meet only within probed codes.
+* many of both: the corpus is written by cells of near vectors, and blocks of questions read those
+  cells that their k-th distances so far do not rule out (`cells`);
+* approximate: both sides carry a hash code, the corpus is written by code, and only probed codes are read.
 
 Ranks follow (rounded distance, corpus id), so equal vectors rank by id.
 """
@@ -17,10 +17,12 @@ from __future__ import annotations
 
 import hashlib
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +34,10 @@ MAX_BROADCAST_CELLS = 16_000_000  # numbers in the matrix that is broadcast, 128
 QUESTION_BLOCK = 16384
 CORPUS_BLOCK = 65536
 _TILE_CELLS = 4_000_000
+#: Pairs that are scored exactly at once, rows of a stored cell that are read at once, questions that a task takes at least.
+_PAIRS, SCAN_ROWS, MIN_TASK_QUESTIONS = 65_536, 8192, 256
+#: Codes of more bits are not stored in folders of their own.
+MAX_FOLDER_BITS = 12
 DIGITS = 10  # significant digits of a distance that decide ranks; closer ones are ties
 
 
@@ -196,6 +202,150 @@ def block_search(q: DataFrame, c: DataFrame, schema: T.StructType, qid: str, cid
     return left.cogroup(right).applyInArrow(meet, schema)
 
 
+# ---------------------------------------------------------------- stored corpus, met by blocks of questions
+
+
+def few_copies(c: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of equal vectors only the `k` smallest ids can be among the nearest of any question."""
+    mark = c @ np.sin(np.arange(1.0, c.shape[1] + 1))
+    order = np.lexsort((ids.astype(str) if ids.dtype == object else ids, mark))
+    first = np.searchsorted(mark[order], mark[order], side="left")
+    place = np.arange(len(c)) - first
+    if not (place >= k).any():
+        return c, ids
+    starts = np.flatnonzero(place == 0)
+    other = (c[order] != c[order[first]]).any(axis=1)
+    mixed = np.repeat(np.add.reduceat(other, starts) > 0, np.diff(starts, append=len(c)))
+    keep = np.sort(order[(place < k) | mixed])
+    return c[keep], ids[keep]
+
+
+class Nearest:
+    """The `k` nearest corpus rows so far of a block of questions, which meets the corpus batch by batch.
+
+    A product in single precision rules out rows that are surely farther than the k-th so far; the others
+    get their exact score. Memory is bounded by the block, the tile and `_PAIRS`.
+    """
+
+    def __init__(self, q: np.ndarray, k: int, metric: str):
+        self.q, self.k, self.metric = q, k, metric
+        self.score, self.ids, self.id_type = np.full((len(q), k), np.inf), None, None
+
+    def reach(self) -> np.ndarray:
+        """Distance within which a row may still count; for cosine on the unit sphere."""
+        last = self.score[:, -1]
+        return np.sqrt(np.maximum(last if self.metric == "l2" else 2.0 + 2.0 * last, 0.0))
+
+    def meet(self, rows: np.ndarray, batch: pa.RecordBatch, about: np.ndarray | None = None) -> None:
+        """Compare the questions `rows` with a batch of (id, vector). `about`: a point near the batch."""
+        ids = batch.column(0).to_numpy(zero_copy_only=False)
+        if self.ids is None:
+            self.ids, self.id_type = np.full(self.score.shape, "" if ids.dtype == object else 0, ids.dtype), batch.column(0).type
+        c, ids = few_copies(matrix(batch.column(1)), ids, self.k)
+        y = _unit(c) if self.metric == "cosine" else c - (0.0 if about is None else about)
+        tile = max(1, _TILE_CELLS // max(1, len(c)))
+        for a in range(0, len(rows), tile):
+            self._tile(rows[a:a + tile], c, y, ids, about)
+
+    def _tile(self, rows: np.ndarray, c: np.ndarray, y: np.ndarray, ids: np.ndarray, about: np.ndarray | None) -> None:
+        l2 = self.metric == "l2"
+        x = self.q[rows]
+        x = x - (0.0 if about is None else about) if l2 else _unit(x)
+        qq, cc = np.einsum("ij,ij->i", x, x), np.einsum("ij,ij->i", y, y)
+        size = max(qq.max(), cc.max())
+        kind = np.float32 if 1e-20 < size < 1e30 else np.float64
+        error = 2 * float(np.finfo(kind).eps) * (x.shape[1] + 8) * (qq + cc.max())
+        if l2:  # (|x|^2 - distance) / 2 as one product
+            x, y = np.hstack([x, np.ones((len(x), 1))]), np.hstack([y, -cc[:, None] / 2])
+        near = x.astype(kind) @ y.astype(kind).T
+        last = self.score[rows, -1]
+        least = (qq - last * (1 + 1e-9) - error) / 2 if l2 else -last - error - 2e-9
+        some = np.flatnonzero(np.isinf(last))
+        if len(some) and len(c) > self.k:  # no bound yet: the k-th of this batch
+            least[some] = np.partition(near[some], len(c) - self.k, axis=1)[:, len(c) - self.k] - error[some] - (0.0 if l2 else 2e-9)
+            if l2:
+                least[some] -= 1e-9 * np.maximum(qq[some] - 2 * least[some], 0)
+        row, col = np.nonzero(near >= least.astype(kind)[:, None])
+        for a in range(0, len(row), _PAIRS):
+            self._add(rows[row[a:a + _PAIRS]], c, ids, col[a:a + _PAIRS])
+
+    def _add(self, at: np.ndarray, c: np.ndarray, ids: np.ndarray, col: np.ndarray) -> None:
+        if self.metric == "l2":  # equal vectors: only a smaller id counts
+            open_ = (self.score[at, -1] > 0) | (ids[col] < self.ids[at, -1])
+            at, col = at[open_], col[open_]
+        score, found = _exact(self.q[at], c[col], self.metric), ids[col]
+        last = self.score[at, -1]
+        better = (score < last) | ((score == last) & (found < self.ids[at, -1]))
+        at, score, found = at[better], score[better], found[better]
+        if not len(at):
+            return
+        own, inverse = np.unique(at, return_inverse=True)
+        row = np.concatenate([np.repeat(np.arange(len(own)), self.k), inverse])
+        score, found = np.concatenate([self.score[own].ravel(), score]), np.concatenate([self.ids[own].ravel(), found])
+        order = np.lexsort((found.astype(str) if found.dtype == object else found, score, row))
+        keep = order[np.arange(len(row)) - np.searchsorted(row[order], row[order], side="left") < self.k]
+        self.score[own], self.ids[own] = score[keep].reshape(-1, self.k), found[keep].reshape(-1, self.k)
+
+
+def _unit(v: np.ndarray) -> np.ndarray:
+    length = np.linalg.norm(v, axis=1, keepdims=True)
+    return v / np.where(length > 0, length, 1.0)
+
+
+def _blocks_of(it: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Table]:
+    """Blocks of `size` rows of a task's batches."""
+    held: list[pa.RecordBatch] = []
+    for b in it:
+        while len(b):
+            part = b.slice(0, size - sum(map(len, held)))
+            b = b.slice(len(part))
+            held.append(part)
+            if sum(map(len, held)) == size:
+                yield pa.Table.from_batches(held)
+                held = []
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _stored_batches(path: str, cell: int, columns: list[str], size: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a stored cell, read from its files."""
+    fs, root = pafs.FileSystem.from_uri(path)
+    files = fs.get_file_info(pafs.FileSelector(f"{root}/cell={cell}", allow_not_found=True))
+    for f in sorted(files, key=lambda f: f.path):
+        if not f.base_name.startswith(("_", ".")):
+            with fs.open_input_file(f.path) as source:
+                for batch in pq.ParquetFile(source).iter_batches(size, columns=columns):
+                    if len(batch):
+                        yield batch.select(columns)
+
+
+def scan_search(q: DataFrame, path: str, visits: Callable, schema: T.StructType, qid: str, cid: str, vec: str, k: int, metric: str,
+                question_block: int = QUESTION_BLOCK, corpus_block: int = CORPUS_BLOCK) -> DataFrame:
+    """Blocks of questions (qid, vec, cell) meet a corpus that is stored below `path` by cells; neither is repeated in a shuffle.
+
+    Questions are exchanged once, near ones together. A task reads the cells that `visits(vectors, cells of the questions, nearest so far)`
+    names, with the questions that have to meet each and a point near it, and holds one block of either side.
+    """
+    spark, n = q.sparkSession, q.count()
+    tasks = max(-(-n // question_block), 3 * spark.sparkContext.defaultParallelism)
+    tasks = max(1, min(tasks, -(-n // MIN_TASK_QUESTIONS)))
+    placed = q.repartitionByRange(tasks, "cell", F.xxhash64(qid)).sortWithinPartitions("cell").select(qid, vec, "cell")
+    size = min(corpus_block, SCAN_ROWS)
+
+    def search(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks_of(it, question_block):
+            best = Nearest(matrix(block.column(1)), k, metric)
+            for cell, rows, about in visits(best.q, block.column(2).to_numpy(), best):
+                for batch in _stored_batches(path, cell, [cid, vec], size):
+                    best.meet(rows, batch, about)
+            row, place = np.nonzero(np.isfinite(best.score))
+            if len(row):
+                yield pa.RecordBatch.from_arrays([block.column(0).combine_chunks().take(pa.array(row)), pa.array(best.ids[row, place], best.id_type),
+                                                  pa.array(best.score[row, place])], [qid, cid, "score"])
+
+    return placed.mapInArrow(search, schema)
+
+
 def topk(questions: DataFrame, corpus: DataFrame, k: int = 8, *, qid: str = "query_id",
          cid: str = "chunk_id", vec: str = "embedding", metric: str = "l2",
          max_broadcast: int = MAX_BROADCAST_QUESTIONS, question_block: int = QUESTION_BLOCK,
@@ -278,14 +428,30 @@ def topk_approx(questions: DataFrame, corpus: DataFrame, k: int = 8, *, bits: in
     if not stored:
         q, c = cut_lineage(q), cut_lineage(c)
     schema = out_schema(q, c, qid, cid)
+    coded = c.withColumn("code", hash_code(F.col(vec), bits, dims))
+    if bits <= MAX_FOLDER_BITS:
+        asked = cut_lineage(q.withColumn("cell", hash_code(F.col(vec), bits, dims)))
+        return final(_code_scan(asked, coded, probe_masks(bits, radius), schema, qid, cid, vec, k, metric, question_block, corpus_block), qid, cid, k, metric)
     masks = F.array(*[F.lit(m) for m in probe_masks(bits, radius)])
     probes = q.withColumn("own", hash_code(F.col(vec), bits, dims)).withColumn("mask", F.explode(masks))
     probes = probes.select(qid, vec, F.col("own").bitwiseXOR(F.col("mask")).alias("code"))
-    coded = c.withColumn("code", hash_code(F.col(vec), bits, dims))
     cands = block_search(probes, coded, schema, qid, cid, vec, k, metric, question_block, corpus_block)
     return final(cands, qid, cid, k, metric)
 
 
+def _code_scan(q: DataFrame, coded: DataFrame, masks: list[int], schema: T.StructType, qid: str, cid: str, vec: str, k: int, metric: str,
+               question_block: int, corpus_block: int) -> DataFrame:
+    """The corpus is written once by code; a block of questions reads the codes that one of them probes."""
+    path = scratch_path(q.sparkSession, "codes")
+    coded.withColumnRenamed("code", "cell").hint("rebalance", "cell").write.partitionBy("cell").parquet(path)
+
+    def visits(_, own: np.ndarray, best: Nearest) -> Iterator[tuple]:
+        for code in np.unique(np.unique(own)[:, None] ^ np.array(masks)[None, :]):
+            yield int(code), np.flatnonzero(np.isin(own ^ code, masks)), None
+
+    return scan_search(q, path, visits, schema, qid, cid, vec, k, metric, question_block, corpus_block)
+
+
 def recall(found: DataFrame, truth: DataFrame, qid: str = "query_id", cid: str = "chunk_id") -> DataFrame:
     """Share of the true neighbours that were found, over all questions."""
     hit = truth.select(qid, cid).join(found.select(qid, cid, F.lit(1).alias("hit")), [qid, cid], "left")

@@ -91,3 +91,23 @@ def test_recall_query_compares_with_true_neighbours(spark):
     assert (got.n_true, got.n_found, got.recall) == (codes.n_true, codes.n_found, codes.recall) and got.n_found > 0
     assert got.reached and got.n_full == got.n_questions == spark.read.parquet(f"{sf}/embeddings.parquet").count()
     assert "list_distance" in entry.oracle_sql()["e04_recall"]
+
+
+def test_searches_repeat_no_vector_in_a_shuffle(spark):
+    rnd = np.random.default_rng(5)
+    v = rnd.normal(size=(600, 8)).astype(np.float32)
+    q, c = _frame(spark, "query_id", range(600), v), _frame(spark, "chunk_id", range(600), v)
+    for found in (retrieval.topk(q, c, 3, max_broadcast=0, question_block=64, corpus_block=32), retrieval.topk_approx(q, c, 3, bits=3, radius=3, dims=8)):
+        assert _got(found) == _brute(v, v, 3)
+        assert "CoGroup" not in found._jdf.queryExecution().toString()
+
+
+def test_nearest_holds_few_pairs_of_many_copies(monkeypatch):
+    import pyarrow as pa
+    seen, exact = [], retrieval._exact
+    monkeypatch.setattr(retrieval, "_exact", lambda q, c, m: seen.append(len(q)) or exact(q, c, m))
+    c = np.ones((4000, 4))
+    best = retrieval.Nearest(np.ones((100, 4)), 3, "l2")
+    for a in (2000, 0):
+        best.meet(np.arange(100), pa.record_batch({"id": pa.array(range(a, a + 2000)), "v": pa.array(c[a:a + 2000].tolist())}))
+    assert best.ids.tolist() == [[0, 1, 2]] * 100 and sum(seen) <= 600
