@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from loomtext.functions import scalars as S
 from loomtext.functions import text as X
+from loomtext.functions.blocks import in_blocks
 
 #: A scorer maps text columns to one verdict column (JSON text). Any batch `pandas_udf`
 #: that calls a model fits; the built-ins below are JVM expressions.
@@ -74,8 +75,7 @@ def hashed_encoder(dims: int = DIMENSIONS) -> Callable[[Column], Column]:
     model takes the same place as an Arrow or pandas iterator UDF.
     """
 
-    @F.arrow_udf(T.ArrayType(T.DoubleType()))
-    def encode(texts: pa.Array) -> pa.Array:
+    def vectors(texts: pa.Array) -> pa.Array:
         tokens = pc.ascii_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
         row = pc.list_parent_indices(tokens).to_numpy(zero_copy_only=False)
         coded = pc.list_flatten(tokens).dictionary_encode()
@@ -88,6 +88,10 @@ def hashed_encoder(dims: int = DIMENSIONS) -> Callable[[Column], Column]:
         offsets = pa.array(np.arange(0, (len(texts) + 1) * dims, dims, dtype=np.int32))
         return pa.ListArray.from_arrays(offsets, pa.array(unit.ravel()), mask=pa.array(norm == 0))
 
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def encode(texts: pa.Array) -> pa.Array:
+        return in_blocks(vectors, texts)
+
     # inference must not be repeated per row, as it would be when a filter on its result is
     # pushed below its projection
     return encode.asNondeterministic()

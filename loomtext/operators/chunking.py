@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomtext.functions import text as X
+from loomtext.functions.blocks import in_blocks
 from loomtext.operators import ranges, skew
 from loomtext.session import cut_lineage
 
@@ -100,8 +101,11 @@ def recursive_chunks(df: DataFrame, size: int = 512, overlap: int = 50, text: st
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def split(texts: pa.Array, langs: pa.Array) -> pa.Array:
-        both = zip(texts.to_pylist(), langs.to_pylist())
-        return pa.array([split_text(t, g, size, overlap) for t, g in both], pa.list_(pa.string()))
+        def block(some: pa.Array, languages: pa.Array) -> pa.Array:
+            both = zip(some.to_pylist(), languages.to_pylist())
+            return pa.array([split_text(t, g, size, overlap) for t, g in both], pa.list_(pa.string()))
+
+        return in_blocks(block, texts, langs)
 
     arr = df.select(*[c for c in df.columns if c != text], split(F.col(text), lang).alias("_chunks"))
     out = arr.select(*[c for c in arr.columns if c != "_chunks"],

@@ -108,3 +108,20 @@ def test_reference_sql_of_the_splitter():
             got.setdefault(doc, {})[i] = chunk
         for doc, text in enumerate(texts):
             assert [c for _, c in sorted(got.get(doc, {}).items())] == chunking.split_text(text, language, 20, 7)
+
+
+def test_batches_are_handled_in_blocks(monkeypatch):
+    import pyarrow as pa
+    from loomtext.functions import blocks
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 10)
+    texts, seen = [None, "", "Ä b", "x" * 30, "one", "two", "three four", None], []
+
+    def make(some, others):
+        seen.append((some.to_pylist(), others.to_pylist()))
+        return pa.array([None if t is None else t.split() for t in some.to_pylist()], pa.list_(pa.string()))
+
+    column = pa.array(texts)
+    assert blocks.in_blocks(make, column, column).to_pylist() == [None if t is None else t.split() for t in texts]
+    assert [t for part, _ in seen for t in part] == texts and all(a == b for a, b in seen) and len(seen) > 3
+    assert all(len(a) == 1 or sum(len((t or "").encode()) for t in a) <= 10 for a, _ in seen)
+    assert blocks.in_blocks(make, column.slice(0, 0), column.slice(0, 0)).to_pylist() == []
