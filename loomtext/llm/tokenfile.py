@@ -69,7 +69,7 @@ class Encoder:
     """
 
     WORDS = 120_000
-    BLOCK = 8_000_000
+    BLOCK = 2_000_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer

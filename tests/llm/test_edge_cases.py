@@ -417,3 +417,15 @@ def test_lengths_without_limits(spark):
     vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = vamana.search(vamana.build_index(vectors), vectors.where("vec_id = 3"), 2).orderBy("rank").collect()
     assert [r.vec_id for r in got] == [5, 1]
+
+
+def test_encoding_holds_a_small_block():
+    import tracemalloc
+    enc = tokenfile.encoder(queries.tokenizer_path())
+    rng = random.Random(3)
+    texts = pa.array([" ".join(f"w{rng.randrange(500)}" for _ in range(600)).encode() for _ in range(3000)], pa.binary())  # 7 MB
+    tracemalloc.start()
+    n = sum(int(counts.sum()) for _, counts in enc.texts(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n >= 600 * 3000 and peak < 100_000_000
