@@ -83,21 +83,27 @@ def text_blocks(column: pa.Array, n_bytes: int = 8_000_000) -> Iterator[pa.Array
         at = stop
 
 
-def word_table(texts: pa.Array, lower: bool = True) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+def word_codes(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     """(different words, number of the word at each place, words of each text) of a column of bytes, cut as `words` does."""
     try:
         body = texts.cast(pa.large_string())
     except pa.ArrowInvalid:  # bytes that are no text
         cut = [t.as_py().lower().split() if lower else t.as_py().split() for t in texts]
         flat = pa.array([w for c in cut for w in c], pa.large_binary()).dictionary_encode()
-        return flat.dictionary.to_pylist(), flat.indices.to_numpy(), np.array([len(c) for c in cut], np.int64)
+        return flat.dictionary, flat.indices.to_numpy(), np.array([len(c) for c in cut], np.int64)
     cut = pc.ascii_split_whitespace(body)
-    flat, sizes = cut.flatten(), np.diff(cut.offsets.to_numpy())
+    flat, offsets = cut.flatten(), cut.offsets.to_numpy()
     solid = pc.greater(pc.binary_length(flat), 0)
-    owner = np.repeat(np.arange(len(texts)), sizes)[solid.to_numpy(zero_copy_only=False)]
+    before = np.concatenate([[0], np.cumsum(solid.to_numpy(zero_copy_only=False))])
     flat = flat.filter(solid)  # an array of its own: Arrow lower-cases slices of a cast column wrongly
     coded = (pc.ascii_lower(flat) if lower else flat).dictionary_encode()
-    return coded.dictionary.cast(pa.large_binary()).to_pylist(), coded.indices.to_numpy(), np.bincount(owner, minlength=len(texts)).astype(np.int64)
+    return coded.dictionary.cast(pa.large_binary()), coded.indices.to_numpy(), np.diff(before[offsets - offsets[0]]).astype(np.int64)
+
+
+def word_table(texts: pa.Array, lower: bool = True) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The same with the different words as a list."""
+    found, index, sizes = word_codes(texts, lower)
+    return found.to_pylist(), index, sizes
 
 
 def tidy(rows: Iterator) -> Iterator:

@@ -11,17 +11,18 @@ from the common weights on their share of the training texts, and their changes
 
 from __future__ import annotations
 
+import functools
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomtext.llm.common import doc_bytes, stored, text_blocks, tidy, word_table
+from loomtext.llm.common import doc_bytes, stored, text_blocks, tidy, word_codes
 from loomtext.operators import skew
 
 HEAD_CLASSES, MEMBERS, TAIL_CLASSES = 32, 32, 32
@@ -38,8 +39,8 @@ ROUNDS, STEP, BATCH, FIRST_SQUARE = 3, 0.15, 8192, 1.0
 BLOCK_ROWS = 256
 #: Bytes of the texts that are learned from or scored together.
 LEARN_BYTES = 4_000_000
-#: Gradients of a row beyond so many are summed on their own.
-LONG_RUN = 12
+#: So few rows with gradients left to add are summed on their own.
+FEW_RUNS = 24
 GATHER = 1024
 END = b"\n"  # not a word of any text
 
@@ -57,6 +58,31 @@ def tail_class(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % TAIL_CLASSES
 
 
+@functools.cache
+def tail_table() -> np.ndarray:
+    """Classes by the last two bytes; from 65,536 on those of words of one byte."""
+    two = [tail_class(bytes([a, b])) for a in range(256) for b in range(256)]
+    return np.array(two + [tail_class(bytes([a])) for a in range(256)], np.int64)
+
+
+def keys_of(found: pa.Array) -> pa.Array:
+    """`key_of` for an array of words."""
+    long = pc.greater(pc.binary_length(found), KEY_BYTES)
+    if not pc.any(long).as_py():
+        return found
+    return pc.replace_with_mask(found, long, pa.array([key_of(w) for w in found.filter(long).to_pylist()], found.type))
+
+
+def tail_classes(found: pa.Array) -> np.ndarray:
+    """`tail_class` for an array of words (large binary, none empty)."""
+    if not len(found):
+        return np.zeros(0, np.int64)
+    ends = np.frombuffer(found.buffers()[1], np.int64)[found.offset : found.offset + len(found) + 1]
+    data = np.frombuffer(found.buffers()[2], np.uint8)
+    last = data[ends[1:] - 1].astype(np.int64)
+    return tail_table()[np.where(np.diff(ends) > 1, data[np.maximum(ends[1:] - 2, 0)] * np.int64(256), 65536) + last]
+
+
 def tail_class_column(word: Column) -> Column:
     two = F.when(F.length(word) <= 2, word).otherwise(F.substring(word, -2, 2))
     return F.pmod(F.crc32(two), F.lit(TAIL_CLASSES)).cast("int")
@@ -65,28 +91,32 @@ def tail_class_column(word: Column) -> Column:
 def count_words(rows: DataFrame) -> DataFrame:
     """(word, n) over all rows' `data`; each text ends with one end mark."""
     def count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: Counter = Counter()
+        found, times = [], []
+
+        def merge() -> None:
+            coded = pa.concat_arrays([pa.array([], pa.large_binary()), *found]).dictionary_encode()
+            n = np.zeros(len(coded.dictionary), np.int64)
+            np.add.at(n, coded.indices.to_numpy(), np.concatenate([np.zeros(0, np.int64), *times]))
+            found[:], times[:] = [coded.dictionary], [n]
 
         def out() -> pa.RecordBatch:
-            got = pa.RecordBatch.from_arrays([pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())], ["word", "n"])
-            total.clear()
+            merge()
+            got = pa.RecordBatch.from_arrays([found[0].cast(pa.binary()), pa.array(times[0])], ["word", "n"])
+            found.clear(), times.clear()
             return got
 
         for batch in it:
             for part in text_blocks(batch.column("data")):
-                found, index, sizes = word_table(part)
-                for w, n in zip(found, np.bincount(index, minlength=len(found)).tolist()):
-                    total[w] += n
-                total[END] += len(sizes)
-                if len(total) > FLUSH_WORDS:
-                    for w in [w for w in total if len(w) > KEY_BYTES]:
-                        total[key_of(w)] += total.pop(w)
-                    yield out()
-        for w in [w for w in total if len(w) > KEY_BYTES]:
-            total[key_of(w)] += total.pop(w)
+                coded, index, sizes = word_codes(part)
+                found.extend([keys_of(coded), pa.array([END], pa.large_binary())])
+                times.extend([np.bincount(index, minlength=len(coded)), np.array([len(sizes)])])
+                if sum(map(len, found[1:])) > FLUSH_WORDS:
+                    merge()
+                    if len(found[0]) > FLUSH_WORDS:
+                        yield out()
         yield out()
 
-    return rows.select("data").mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return rows.select("data").mapInArrow(lambda it: tidy(count(it)), "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 @dataclass
@@ -108,8 +138,8 @@ class Vocabulary:
         """The fields, to be broadcast: tasks need not know the class to read them."""
         return tuple(getattr(self, f.name) for f in fields(self))
 
-    def index(self) -> dict[bytes, int]:
-        return {w: i for i, w in enumerate(self.blob.split(END))} if len(self.counts) else {}
+    def words(self) -> pa.Array:
+        return pa.array(self.blob.split(END) if len(self.counts) else [], pa.large_binary())
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
@@ -147,26 +177,38 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
                       end_n, prior.astype(np.float32), member.astype(np.float32), tail_total, total, distinct)
 
 
-class Reader(dict):
+class Reader:
     """Word -> place in the dictionary, or -1 - tail class for a word outside it."""
 
     def __init__(self, vocab: Vocabulary):
-        super().__init__(vocab.index())
-        self.vocab = vocab
+        self.words = vocab.words()
+        self.heads = np.flatnonzero(vocab.symbols < HEAD)
+        self.head_words = self.words.take(pa.array(self.heads))
         self.symbol_of = np.append(vocab.symbols, 0)
 
-    def __missing__(self, word: bytes) -> int:
-        key = key_of(word)
-        return self[key] if key != word and key in self else -1 - tail_class(key)
+    def __getitem__(self, word: bytes) -> int:
+        return int(self.places(keys_of(pa.array([word], pa.large_binary())))[0])
 
-    def block(self, texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-        """(different words, number of the word at each place, words of each text, place of each different word)."""
-        found, index, sizes = word_table(texts)
-        return found, index, sizes, np.fromiter(map(self.__getitem__, found), np.int64, len(found))
+    def places(self, keys: pa.Array) -> np.ndarray:
+        at = pc.index_in(keys, value_set=self.words).fill_null(-1).to_numpy().astype(np.int64)
+        return np.where(at >= 0, at, -1 - tail_classes(keys))
+
+    def block(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        """(keys of the different words, number of the word at each place, words of each text, place of each key)."""
+        found, index, sizes = word_codes(texts)
+        keys = keys_of(found)
+        return keys, index, sizes, self.places(keys)
 
     def symbols(self, places: np.ndarray) -> np.ndarray:
         return np.where(places >= 0, self.symbol_of[np.maximum(places, 0)], HEAD - 1 - places).astype(np.int32)
 
+    def symbols_of(self, keys: pa.Array) -> np.ndarray:
+        """`symbols` of the `places`: all words but those with a symbol of their own have that of their tail class."""
+        at = pc.index_in(keys, value_set=self.head_words).fill_null(-1).to_numpy()
+        got = HEAD + tail_classes(keys)
+        got[at >= 0] = self.symbol_of[self.heads[at[at >= 0]]]
+        return got.astype(np.int32)
+
 
 def ended(values: np.ndarray, sizes: np.ndarray, end) -> np.ndarray:
     """Values of all texts with one more for the end mark after each text."""
@@ -211,10 +253,18 @@ def exponentials(z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return e, s, shift
 
 
-def softmax(z: np.ndarray) -> np.ndarray:
-    e, s, _ = exponentials(z)
-    e /= s[:, None]
-    return e
+def slices(n: int) -> Iterator[slice]:
+    """Parts of rows that stay in the cache."""
+    return (slice(i, i + GATHER) for i in range(0, n, GATHER))
+
+
+def gathered(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sums of the table's rows, for at most GATHER places."""
+    sums = table.take(rows[0], axis=0, mode="clip")
+    part = np.empty_like(sums)
+    for r in rows[1:]:
+        sums += np.take(table, r, axis=0, out=part, mode="clip")
+    return sums
 
 
 def log_sum(z: np.ndarray) -> np.ndarray:
@@ -222,60 +272,72 @@ def log_sum(z: np.ndarray) -> np.ndarray:
     return shift + np.log(s)
 
 
-def gathered(table: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    z = np.empty((rows.shape[1], table.shape[1]), table.dtype)
-    part = np.empty((min(GATHER, len(z)), table.shape[1]), table.dtype)
-    for i in range(0, len(z), GATHER):  # parts that stay in the cache
-        sums = z[i : i + GATHER]
-        np.take(table, rows[0, i : i + GATHER], axis=0, out=sums, mode="clip")
-        for r in rows[1:, i : i + GATHER]:
-            sums += np.take(table, r, axis=0, out=part[: len(sums)], mode="clip")
-    return z
+def softmax(table: np.ndarray, rows: np.ndarray, prior: np.ndarray, which: np.ndarray | None = None) -> np.ndarray:
+    """Probabilities under the rows' weights and the prior, or that of `which` row of it."""
+    p = np.empty((rows.shape[1], table.shape[1]), table.dtype)
+    for at in slices(len(p)):
+        z = gathered(table, rows[:, at])
+        z += prior if which is None else prior.take(which[at], axis=0)
+        e, s, _ = exponentials(z)
+        np.divide(e, s[:, None], out=p[at])
+    return p
 
 
 def log_probs(vocab: Vocabulary, tables: tuple[np.ndarray, np.ndarray], y: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Natural log of P(class) and, for words of head classes, of P(word | class)."""
     out = np.empty(len(y))
-    for i in range(0, len(y), BATCH):
-        ys, rs = y[i : i + BATCH], rows[:, i : i + BATCH]
+    for at in slices(len(y)):
+        ys, rs = y[at], rows[:, at]
         cls = np.where(ys < HEAD, ys // MEMBERS, ys - HEAD + HEAD_CLASSES)
-        z = gathered(tables[0], rs) + vocab.class_prior
+        z = gathered(tables[0], rs)
+        z += vocab.class_prior
         got = z[np.arange(len(ys)), cls] - log_sum(z)
         head = np.flatnonzero(ys < HEAD)
         c = cls[head]
-        z = gathered(tables[1], member_rows(rs[:, head], c)) + vocab.member_prior[c]
+        z = gathered(tables[1], member_rows(rs[:, head], c))
+        z += vocab.member_prior.take(c, axis=0)
         got[head] += z[np.arange(len(head)), ys[head] % MEMBERS] - log_sum(z)
-        out[i : i + BATCH] = got
+        out[at] = got
     return out
 
 
-def summed(x: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Sums of runs of `n` rows from `first` on: the k-th rows of all runs together, then the rest of each long run."""
-    out = x.take(first, axis=0)
-    for k in range(1, min(int(n.max()), LONG_RUN)):
-        some = np.flatnonzero(n > k)
-        out[some] += x.take(first[some] + k, axis=0)
-    for i in np.flatnonzero(n > LONG_RUN):
-        out[i] += x[first[i] + LONG_RUN : first[i] + n[i]].sum(axis=0)
+def summed(x: np.ndarray, order: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of the rows of `x` by runs of `order` (`n` from `first` on, longest run first): the k-th rows of all runs
+    together, then the rest of the last few."""
+    out = x.take(order[first], axis=0)
+    runs = len(n) - np.cumsum(np.bincount(n))  # runs of more than k rows
+    for k in range(1, int(n[0])):
+        m = int(runs[k])
+        if m <= FEW_RUNS:
+            for i in range(m):
+                out[i] += x.take(order[first[i] + k : first[i] + n[i]], axis=0).sum(axis=0)
+            break
+        out[:m] += x.take(order[first[:m] + k], axis=0)
     return out
 
 
 def update(table: np.ndarray, squares: np.ndarray, seen: np.ndarray, rows: np.ndarray, grad: np.ndarray) -> None:
-    """One adaptive step for every feature's row; the gradients of a row are summed first."""
-    for r in rows:
-        order = np.argsort(r, kind="stable")
-        at = r[order]
-        first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-        n = np.diff(first, append=len(r))
-        g = summed(grad.take(order, axis=0), first, n)
-        at = at[first].astype(np.intp)
-        square = squares.take(at, axis=0)
-        square += g * g
-        squares[at] = square
-        g /= np.sqrt(square, out=square)
-        g *= STEP
-        table[at] -= g
-        seen[at] += n
+    """One adaptive step for every row of the features; the gradients of a row are summed first."""
+    flat = rows.ravel()
+    order = np.argsort(flat, kind="stable")
+    at = flat[order]
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+    n = np.diff(first, append=len(at))
+    down = np.argsort(-n, kind="stable")
+    first, n = first[down], n[down]
+    g = summed(grad, order % len(grad), first, n)
+    at = at[first].astype(np.intp)
+    for part in slices(len(at)):
+        some, step = at[part], g[part]
+        square = squares.take(some, axis=0)
+        square += step * step
+        squares[some] = square
+        step /= np.sqrt(square, out=square)
+        step *= STEP
+        weights = table.take(some, axis=0)
+        weights -= step
+        table[some] = weights
+    seen[at] += n
 
 
 class Learner:
@@ -291,16 +353,17 @@ class Learner:
         for i in range(0, len(y), BATCH):
             ys, rs = y[i : i + BATCH], rows[:, i : i + BATCH].astype(np.int16)
             cls = np.where(ys < HEAD, ys // MEMBERS, ys - HEAD + HEAD_CLASSES)
-            p = softmax(gathered(self.tables[0], rs) + self.vocab.class_prior)
+            p = softmax(self.tables[0], rs, self.vocab.class_prior)
             p[np.arange(len(ys)), cls] -= 1
-            update(self.tables[0], self.squares[0], self.seen[0], rs, p)
+            update(self.tables[0], self.squares[0], self.seen[0], rs, p)  # no two features share a row
             head = np.flatnonzero(ys < HEAD)
             if len(head):
                 c = cls[head]
                 ms = member_rows(rs[:, head].astype(np.int32), c).astype(np.int16)
-                p = softmax(gathered(self.tables[1], ms) + self.vocab.member_prior[c])
+                p = softmax(self.tables[1], ms, self.vocab.member_prior, c)
                 p[np.arange(len(head)), ys[head] % MEMBERS] -= 1
-                update(self.tables[1], self.squares[1], self.seen[1], ms, p)
+                for m in ms:  # rows that features share take a step for each
+                    update(self.tables[1], self.squares[1], self.seen[1], m, p)
 
     def changes(self) -> Iterator[pa.RecordBatch]:
         """Changes of blocks of rows, each row weighted by the tokens that touched it."""
@@ -344,8 +407,8 @@ def train(rows: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> tuple[np.
             learner, reader = Learner(v, now.value), Reader(v)
             for batch in it:
                 for part in text_blocks(batch.column("data"), LEARN_BYTES):
-                    _, index, sizes, places = reader.block(part)
-                    y = ended(reader.symbols(places)[index], sizes, v.end_symbol)
+                    found, index, sizes = word_codes(part)
+                    y = ended(reader.symbols_of(keys_of(found))[index], sizes, v.end_symbol)
                     learner.learn(y, contexts(y, sizes + 1))
             yield from learner.changes()
 
@@ -363,14 +426,13 @@ def train(rows: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> tuple[np.
 SCORED_DDL = "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, tail array<binary>, times array<long>"
 
 
-def rare_words(found: list[bytes], index: np.ndarray, sizes: np.ndarray, places: np.ndarray) -> tuple[pa.Array, pa.Array, pa.Array]:
+def rare_words(keys: pa.Array, index: np.ndarray, sizes: np.ndarray, places: np.ndarray) -> tuple[pa.Array, pa.Array, pa.Array]:
     """(words, times, ends of the texts' lists) of the words outside the dictionary, each once for a text."""
     owner = np.repeat(np.arange(len(sizes)), sizes)
     outside = places[index] < 0
-    pairs, times = np.unique(owner[outside] * max(len(found), 1) + index[outside], return_counts=True)
-    keys = pa.array([key_of(w) if p < 0 else None for w, p in zip(found, places.tolist())], pa.binary())
-    ends = np.concatenate([[0], np.cumsum(np.bincount(pairs // max(len(found), 1), minlength=len(sizes)))])
-    return keys.take(pa.array(pairs % max(len(found), 1))), pa.array(times, pa.int64()), pa.array(ends, pa.int32())
+    pairs, times = np.unique(owner[outside] * max(len(keys), 1) + index[outside], return_counts=True)
+    ends = np.concatenate([[0], np.cumsum(np.bincount(pairs // max(len(keys), 1), minlength=len(sizes)))])
+    return keys.take(pa.array(pairs % max(len(keys), 1))).cast(pa.binary()), pa.array(times, pa.int64()), pa.array(ends, pa.int32())
 
 
 def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -398,7 +460,7 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
         tail_log = np.log10(v.tail_total)
 
         def scored(batch: pa.RecordBatch, part: pa.Array) -> pa.RecordBatch:
-            found, index, sizes, places = reader.block(part)
+            keys, index, sizes, places = reader.block(part)
             y = ended(reader.symbols(places)[index], sizes, v.end_symbol)
             lengths = sizes + 1
             starts = np.cumsum(lengths) - lengths
@@ -410,7 +472,7 @@ def score(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str =
             rare = y >= HEAD
             lp[rare] += logs[rare] - tail_log[y[rare] - HEAD]
             total = lambda x: np.add.reduceat(x, starts)
-            tail, times, ends = rare_words(found, index, sizes, places)
+            tail, times, ends = rare_words(keys, index, sizes, places)
             return pa.RecordBatch.from_arrays([
                 batch.column("id"), batch.column("held"), pa.array(lengths, pa.int64()),
                 pa.array(total(inside.astype(np.int64)) + (v.end_count > 0), pa.int64()),

@@ -1,7 +1,9 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and foreign columns."""
 
 import random
+import sys
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -309,6 +311,54 @@ def test_words_of_slices(spark, monkeypatch):
     assert [(r.n_tokens, r.n_known) for r in rows] == [(len(words(t.encode())) + 1,) * 2 for t in texts]
 
 
+def test_words_of_a_block_are_looked_up_together():
+    """A block takes no Python call for each of its words; places and symbols are those of the words one by one."""
+    long, known = "y" * 70, [b"the", b"a", maxent.key_of(b"y" * 70), b"seldom"]
+    symbols = np.array([0, 1, 2, maxent.HEAD + maxent.tail_class(b"seldom")], np.int32)
+    none = np.zeros(0, np.float32)
+    reader = maxent.Reader(maxent.Vocabulary(b"\n".join(known), np.arange(4), symbols, 3, 1, none, none, none, 9, 5))
+    texts = ["The a", " ".join(f"w{i:x}" for i in range(20_000)), "", f"{long} {'z' * 65} é q seldom a", long + "x"]
+    column = pa.array([t.encode() for t in texts], pa.binary())
+    reader.block(column.slice(3))  # what is made once for a process
+    calls = Counter()
+    sys.setprofile(lambda frame, event, arg: calls.update([event]))
+    try:
+        found, index, sizes, places = reader.block(column)
+    finally:
+        sys.setprofile(None)
+    assert calls["call"] < 1000
+    flat = [maxent.key_of(w) for t in texts for w in words(t.encode())]
+    place = {w: i for i, w in enumerate(known)}
+    assert [place.get(w, -1 - maxent.tail_class(w)) for w in flat] == places[index].tolist()
+    assert [w for w in found.take(pa.array(index)).to_pylist()] == flat and sizes.tolist() == [len(words(t.encode())) for t in texts]
+    assert (reader.symbols_of(found) == reader.symbols(places)).all() and reader[b"q"] == -1 - maxent.tail_class(b"q")
+
+
+@pytest.mark.parametrize("flush", (2, 1000))
+def test_counts_of_words(spark, monkeypatch, flush):
+    monkeypatch.setattr(maxent, "FLUSH_WORDS", flush)
+    texts = ["a B b", "", None, "c " * 9 + "x" * 80, "b " + "x" * 80, "é"] * 3
+    rows = spark.createDataFrame([(t,) for t in texts], "text string").selectExpr("cast(coalesce(text, '') as binary) as data")
+    true = Counter(maxent.key_of(w) for t in texts for w in words((t or "").encode())) + Counter({maxent.END: len(texts)})
+    assert {bytes(r.word): r.n for r in maxent.count_words(rows).collect()} == true
+    assert maxent.count_words(rows.limit(0)).collect() == []
+
+
+def test_steps_sum_the_gradients_of_a_row():
+    """Rows with one, several and very many gradients; features whose rows are apart take one step each."""
+    rng = np.random.default_rng(4)
+    rows = np.stack([rng.zipf(1.3, 4000) % 50, 50 + rng.integers(0, 2000, 4000), np.full(4000, 2100)]).astype(np.int16)
+    grad = rng.normal(size=(4000, 8)).astype(np.float32)
+    table, squares, seen = np.ones((2200, 8), np.float32), np.ones((2200, 8), np.float32), np.zeros(2200, np.float32)
+    sums = np.zeros((2200, 8))
+    for r in rows:
+        np.add.at(sums, r, grad)
+    maxent.update(table, squares, seen, rows, grad)
+    assert np.allclose(squares, 1 + sums**2, rtol=1e-3, atol=1e-3)
+    assert np.allclose(table, 1 - maxent.STEP * sums / np.sqrt(1 + sums**2), atol=1e-4)
+    assert (seen == np.bincount(rows.ravel(), minlength=2200)).all()
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=(300, 8)) * rng.uniform(0.5, 3, (300, 1))
