@@ -25,7 +25,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null text is scored as an empty one, which has the score of the model's bias. Rows without an id have no label.
     """
     scored = nbsvm.score(docs, queries.learned_model(spark, docs, sf_dir))
-    return scored.where(F.col("score") >= queries.MIN_SCORE).select("_row.*")
+    with session.text_batches(spark):
+        return stored(scored.where(F.col("score") >= queries.MIN_SCORE).select("_row.*"), "good")
 
 
 def numbered_rows(docs: DataFrame) -> DataFrame:
@@ -61,7 +62,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """
     rows = numbered_rows(docs)
     hits = cgk.find_items(rows.select("_at", "_doc.text"), table(spark, sf_dir, "benchmark"), doc_id="_at")
-    return dropped_rows(rows, hits.select(F.col("doc_id").alias("row")).distinct())
+    with session.text_batches(spark):
+        return dropped_rows(rows, hits.select(F.col("doc_id").alias("row")).distinct())
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomtext import session
 from loomtext.llm.common import discard, doc_bytes, lookup, mix64, stored, tidy, written
 
 BITS = 18
@@ -199,7 +200,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
     mark = written()
     rows = training_rows(docs, labels, doc_id, text, label)
-    train = stored(rows.mapInArrow(lambda it: tidy(featurise(it)), "id long, y int, f binary"), "nbsvm-train")
+    with session.text_batches(docs.sparkSession):
+        train = stored(rows.mapInArrow(lambda it: tidy(featurise(it)), "id long, y int, f binary"), "nbsvm-train")
     classes = {r["y"]: r["n"] for r in train.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(classes) < 2:
         share = 0.5 if not classes else (classes.get(1, 0) + 1) / (sum(classes.values()) + 2)

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomtext import session
 from loomtext.llm.common import WordHash, discard, doc_bytes, lookup, mix64, stored, tidy, words, written
 from loomtext.llm.components import components
 
@@ -132,7 +133,8 @@ def sketch_table(rows: DataFrame) -> DataFrame:
                 [batch.column("row"), batch.column("id"), pa.array(n, pa.int64()), pa.array(whole, pa.binary()), pa.array(regs, pa.binary())],
                 ["row", "id", "n", "whole", "regs"])
 
-    return stored(rows.mapInArrow(lambda it: tidy(sketch(it)), "row long, id long, n long, whole binary, regs binary"), "sketches")
+    with session.text_batches(rows.sparkSession):
+        return stored(rows.mapInArrow(lambda it: tidy(sketch(it)), "row long, id long, n long, whole binary, regs binary"), "sketches")
 
 
 def numbered(docs: DataFrame, doc_id: str, text: str, row: str | None = None) -> DataFrame:
@@ -153,7 +155,8 @@ def sets_of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(s, pa.binary())], ["node", "s"])
 
     chosen = lookup(rows.select("row", "data"), wanted, "row", "data").where("wanted").select("row", "data")
-    return stored(chosen.mapInArrow(lambda it: tidy(make(it)), "node long, s binary"), "sets")
+    with session.text_batches(rows.sparkSession):
+        return stored(chosen.mapInArrow(lambda it: tidy(make(it)), "node long, s binary"), "sets")
 
 
 def may_link(x: np.ndarray, y: np.ndarray, n1: np.ndarray, n2: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
@@ -192,7 +195,8 @@ def star_links(buckets: DataFrame, members: DataFrame, reps: DataFrame, rows: Da
                     for x, y in zip(batch.column("x"), batch.column("y"))]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return stored(both.select("a", "b", "x", "y").mapInArrow(check, "a long, b long"), "links")
+    with session.text_batches(rows.sparkSession):
+        return stored(both.select("a", "b", "x", "y").mapInArrow(lambda it: tidy(check(it)), "a long, b long"), "links")
 
 
 def block_pairs(p: pd.DataFrame, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

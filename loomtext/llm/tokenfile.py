@@ -20,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loomtext import session
 from loomtext.llm.common import attempt, batches, doc_bytes, filesystem, stored, tidy
 
 #: Documents that one reading task takes at most.
@@ -248,7 +249,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
             "n_null": n_null, "n_tokens": int(offsets[-1]),
         }], MANIFEST)
 
-    manifest = stored(rows.mapInArrow(lambda it: tidy(write(it)), MANIFEST_DDL), "token-manifest")
+    with session.text_batches(docs.sparkSession):
+        manifest = stored(rows.mapInArrow(lambda it: tidy(write(it)), MANIFEST_DDL), "token-manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per part, not per document
     return manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of an Arrow batch of texts, and the setting that bounds them.
+BATCH_BYTES = 4_000_000
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def build_session(app: str = "loomtext", master: str | None = None, **conf: str) -> SparkSession:
     """Session with adaptive execution, skew handling and UTC times; `conf` overrides."""
@@ -51,6 +57,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def text_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run inside send texts to Python in batches of about BATCH_BYTES or one row.
+
+    Spark's own bound is so many rows that a batch of texts takes tens of megabytes in the JVM, twice while its buffers
+    grow, and again in Python. A bound that the session sets itself holds.
+    """
+    if spark.conf.get(BATCH_SETTING, None) is not None:
+        yield
+        return
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_SETTING)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of any executor."""
     shared_dir(df.sparkSession)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from loomtext import session
 from loomtext.llm import cgk, linechunks, maxent, mixing, nbsvm, queries, setsketch, tokenfile, toolcalls, vamana, warc
-from loomtext.llm.common import WordHash, fold, word_table, words
+from loomtext.llm.common import WordHash, fold, stored, word_table, words
 
 LONG = "word " * 60_000
 ROWS = [
@@ -479,3 +479,51 @@ def test_encoding_holds_a_small_block():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert n >= 600 * 3000 and peak < 100_000_000
+
+
+def sent_bytes(spark, text_bytes=200_000):
+    """Bytes of each Arrow batch that a Python step gets of 60 texts in one partition."""
+    def sizes(it):
+        for batch in it:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes], pa.int64())], ["n"])
+
+    rows = spark.range(60, numPartitions=1).select(F.expr(f"repeat('x', {text_bytes})").alias("text"))
+    return [r.n for r in rows.mapInArrow(sizes, "n long").collect()]
+
+
+def test_batches_of_texts_are_bounded_by_bytes(spark):
+    assert max(sent_bytes(spark)) > 10_000_000  # Spark's own bound
+    with session.text_batches(spark):
+        got = sent_bytes(spark)
+        assert max(got) <= session.BATCH_BYTES + 500_000 and sum(got) >= 60 * 200_000
+        assert len(sent_bytes(spark, 5_000_000)) == 60  # a longer text is a batch of its own
+    assert spark.conf.get(session.BATCH_SETTING, None) is None
+    spark.conf.set(session.BATCH_SETTING, "1000000")
+    try:
+        with session.text_batches(spark):
+            assert max(sent_bytes(spark)) < 1_500_000
+        assert spark.conf.get(session.BATCH_SETTING, None) == "1000000"
+    finally:
+        spark.conf.unset(session.BATCH_SETTING)
+
+
+def test_texts_of_the_stages_go_out_in_bounded_batches(spark, docs, monkeypatch):
+    import corpus_pipeline
+
+    bounds = {}
+
+    def noted(df, name, write=stored):
+        bounds.setdefault(name, set()).add(spark.conf.get(session.BATCH_SETTING, None))
+        return write(df, name)
+
+    for module in (corpus_pipeline, nbsvm, setsketch, tokenfile):
+        monkeypatch.setattr(module, "stored", noted)
+    sf_dir = "/root/testdata/sf0.001"
+    corpus_pipeline.quality(spark, docs, sf_dir)
+    corpus_pipeline.near_dedup(spark, docs, sf_dir)
+    bounds.pop("gone")
+    corpus_pipeline.decontaminate(spark, docs, sf_dir)
+    corpus_pipeline.token_files(spark, docs, sf_dir)
+    for name in ("nbsvm-train", "good", "sketches", "sets", "links", "gone", "token-manifest"):
+        assert bounds[name] == {str(session.BATCH_BYTES)}, name
+    assert spark.conf.get(session.BATCH_SETTING, None) is None
