@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -111,19 +112,23 @@ def dual_coordinate_descent(rows: list[np.ndarray], labels: np.ndarray, ratio: n
     """Weights of the scaled indicators, and a bias, that minimise |w|^2 / 2 + sum of c_y * hinge loss.
 
     One dual variable per row; each step solves for one of them exactly and moves the weights along.
-    Both classes have the same total cost.
+    Both classes have the same total cost. The scaled values are made anew in each step: kept, they would
+    take twice the memory of the rows.
     """
+    def scaled(f: np.ndarray) -> np.ndarray:
+        return ratio.take(f) / np.sqrt(max(1, len(f)))
+
     n = len(rows)
     share = np.array([max(1, (labels < 0).sum()), max(1, (labels > 0).sum())])
     upper = cost * n / 2 / share[(labels > 0).astype(int)]
     w, bias, dual = np.zeros(len(ratio)), 0.0, np.zeros(n)
-    values = [ratio[f] / np.sqrt(max(1, len(f))) for f in rows]
-    square = np.array([float(v @ v) for v in values]) + 1.0
+    square = np.array([float(v @ v) for v in map(scaled, rows)]) + 1.0
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         for i in rng.permutation(n):
-            f, v, y = rows[i], values[i], labels[i]
-            g = y * (float(w[f] @ v) + bias) - 1
+            f, y = rows[i].astype(np.intp), labels[i]
+            v = scaled(f)
+            g = y * (float(w.take(f) @ v) + bias) - 1
             new = min(max(dual[i] - g / square[i], 0.0), upper[i])
             if new != dual[i]:
                 step = (new - dual[i]) * y
@@ -170,7 +175,7 @@ def count_features(train: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         for part in np.array_split(at, max(1, len(at) // 65_536)):
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[0, part]), pa.array(total[1, part])], ["b", "n0", "n1"])
 
-    sums = train.mapInArrow(count, "b long, n0 long, n1 long").groupBy("b").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    sums = train.mapInArrow(lambda it: tidy(count(it)), "b long, n0 long, n1 long").groupBy("b").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     got = sums.toArrow().to_pandas()
     n = np.zeros((2, 1 << BITS))
     n[0, got["b"].to_numpy(int)], n[1, got["b"].to_numpy(int)] = got["n0"], got["n1"]
@@ -182,6 +187,56 @@ def log_ratio(bad: np.ndarray, good: np.ndarray, alpha: float = ALPHA) -> np.nda
     return np.log((p / p.sum()) / (q / q.sum()))
 
 
+def first_rows(train: DataFrame, n: int, most: int) -> DataFrame:
+    """At most `most` of the `n` rows, those of the smallest keys; they are chosen without their features."""
+    kept = min(1.0, 1.3 * most / n)  # of the keys: so that few rows are sorted
+    near = train.where(F.col("key").cast("double") <= (kept - 0.5) * 2.0**64)
+    first = near.select("key", "id", "y", "tie", "row").orderBy("key", "id", "y", "tie", "row").limit(most)
+    return near.join(F.broadcast(first.select("row")), "row", "left_semi")
+
+
+def fitted(sample: DataFrame, ratio: np.ndarray, max_features: int) -> dict[int, tuple[np.ndarray, float]]:
+    """Weights and bias of a fit without each fold that leaves rows, and (number FOLDS) of one with all.
+
+    The sample comes to one task, in batches, and is there once: all fits read it in place, one after the other.
+    """
+    def descend(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        xs, rest = [], []
+        for batch in it:
+            xs += [np.frombuffer(f.as_buffer(), np.int32) for f in batch.column("f")]
+            rest.append(np.array([batch.column(c).to_numpy() for c in ("tie", "y", "key", "fold")], np.int64))
+        if not xs:
+            return
+        tie, y, key, fold = np.concatenate(rest, axis=1)
+        order = np.lexsort([tie, y, key])
+        for without in range(FOLDS + 1):
+            at = order[fold[order] != without]
+            if not len(at):
+                continue
+            at = at[: np.searchsorted(np.cumsum([len(xs[i]) for i in at]), max_features, "right")]
+            w, bias = dual_coordinate_descent([xs[i] for i in at], y[at] * 2.0 - 1, ratio)
+            yield pa.RecordBatch.from_arrays([pa.array([without]), pa.array([w.tobytes()], pa.binary()), pa.array([bias])], ["without", "w", "bias"])
+
+    got = sample.select("f", "tie", "y", "key", "fold").repartition(1).mapInArrow(
+        lambda it: tidy(descend(it)), "without long, w binary, bias double").collect()
+    return {r["without"]: (np.frombuffer(r["w"]) * ratio, r["bias"]) for r in got}
+
+
+def binned_margins(train: DataFrame, fits: dict[int, tuple[np.ndarray, float]]) -> pd.DataFrame:
+    """Rows of each class by bin of the margin that the fit without their fold gives them; 801 bins at most."""
+    sent = train.sparkSession.sparkContext.broadcast(fits)
+
+    def margins(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in it:
+            known = [margin(np.frombuffer(f.as_py(), np.int32), *sent.value[k]) for k, f in zip(batch.column("fold").to_pylist(), batch.column("f"))]
+            bins = np.rint(np.clip(known, -MAX_MARGIN, MAX_MARGIN) / BIN).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(bins), batch.column("y")], ["bin", "y"])
+
+    asked = train.where(F.col("fold").isin(list(fits))).select("fold", "f", "y")  # a fold is left out if no row lies outside of it
+    return asked.mapInArrow(lambda it: tidy(margins(it)), "bin long, y int").groupBy("bin").agg(
+        F.sum("y").alias("good"), F.sum(1 - F.col("y")).alias("bad")).toArrow().to_pandas()
+
+
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality",
         max_rows: int = MAX_FIT_ROWS, max_features: int = MAX_FIT_FEATURES) -> Model:
     """Model of label 1 against label 0.
@@ -201,42 +256,17 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     mark = written()
     rows = training_rows(docs, labels, doc_id, text, label)
     with session.text_batches(docs.sparkSession):
-        train = stored(rows.mapInArrow(lambda it: tidy(featurise(it)), "id long, y int, f binary"), "nbsvm-train")
-    classes = {r["y"]: r["n"] for r in train.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if len(classes) < 2:
-        share = 0.5 if not classes else (classes.get(1, 0) + 1) / (sum(classes.values()) + 2)
-        return Model(np.zeros(1 << BITS), 0.0, 0.0, float(np.log(share / (1 - share))))
-    ratio = log_ratio(*count_features(train))
-    key = F.xxhash64(F.lit("fit"), "id")
-    train = train.withColumn("fold", F.pmod(F.xxhash64(F.lit("curve"), "id"), F.lit(FOLDS)).cast("int"))
-    kept = min(1.0, 1.3 * max_rows / sum(classes.values()))  # of the hashes: so that few rows are sorted
-    near = train.where(key.cast("double") <= (kept - 0.5) * 2.0**64)
-    sample = near.withColumns({"key": key, "tie": F.xxhash64("f")}).orderBy("key", "id", "y", "tie").limit(max_rows)
-
-    def descend(t: pa.Table) -> pa.Table:
-        order = np.lexsort([t.column(c).to_numpy() for c in ("tie", "y", "key")])
-        xs = [np.frombuffer(t.column("f")[int(i)].as_py(), np.int32) for i in order]
-        fit_in = int(np.searchsorted(np.cumsum([len(x) for x in xs]), max_features, "right"))
-        y = t.column("y").to_numpy()[order][:fit_in]
-        w, bias = dual_coordinate_descent(xs[:fit_in], y * 2.0 - 1, ratio)
-        return pa.table({"without": t.column("without").slice(0, 1), "w": pa.array([w.tobytes()], pa.binary()), "bias": pa.array([bias])})
-
-    # one fit without each fold, and one (number FOLDS) with all: each a task of its own
-    dealt = sample.withColumn("without", F.explode(F.sequence(F.lit(0), F.lit(FOLDS)))).where("fold != without")
-    fits = {r["without"]: (np.frombuffer(r["w"]) * ratio, r["bias"]) for r in dealt.groupBy("without").applyInArrow(
-        descend, "without int, w binary, bias double").collect()}
-    weights, bias = fits.pop(FOLDS)
-    sent = train.sparkSession.sparkContext.broadcast(fits)
-
-    def margins(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in it:
-            known = [margin(np.frombuffer(f.as_py(), np.int32), *sent.value[k]) for k, f in zip(batch.column("fold").to_pylist(), batch.column("f"))]
-            bins = np.rint(np.clip(known, -MAX_MARGIN, MAX_MARGIN) / BIN).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(bins), batch.column("y")], ["bin", "y"])
-
-    asked = train.where(F.col("fold").isin(list(fits)))  # a fold is left out if no row lies outside of it
-    curve = asked.mapInArrow(margins, "bin long, y int").groupBy("bin").agg(
-        F.sum("y").alias("good"), F.sum(1 - F.col("y")).alias("bad")).toArrow().to_pandas()  # 801 bins at most
+        found = rows.mapInArrow(lambda it: tidy(featurise(it)), "id long, y int, f binary")
+        train = stored(found.withColumns({"tie": F.xxhash64("f"), "row": F.monotonically_increasing_id()}), "nbsvm-train")
+        classes = {r["y"]: r["n"] for r in train.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+        if len(classes) < 2:
+            share = 0.5 if not classes else (classes.get(1, 0) + 1) / (sum(classes.values()) + 2)
+            return Model(np.zeros(1 << BITS), 0.0, 0.0, float(np.log(share / (1 - share))))
+        ratio = log_ratio(*count_features(train))
+        train = train.withColumns({"key": F.xxhash64(F.lit("fit"), "id"), "fold": F.pmod(F.xxhash64(F.lit("curve"), "id"), F.lit(FOLDS)).cast("int")})
+        fits = fitted(first_rows(train, sum(classes.values()), max_rows), ratio, max_features)
+        weights, bias = fits.pop(FOLDS)
+        curve = binned_margins(train, fits)
     discard(docs.sparkSession, mark)
     slope, shift = logistic(curve["bin"].to_numpy(float) * BIN, curve["good"].to_numpy(float), curve["bad"].to_numpy(float))
     return Model(weights, bias, slope, shift)

@@ -204,6 +204,51 @@ def test_classifier_on_many_rows_and_small_bounds(spark):
     assert model.slope > 0
 
 
+def test_descent_keeps_no_copy_of_its_rows():
+    """The rows of a fit fill a worker once; with their scaled values beside them, an executor passed its memory."""
+    import tracemalloc
+
+    from loomtext.llm import nbsvm
+
+    rng = np.random.default_rng(4)
+    rows = [np.unique(rng.integers(0, 1 << nbsvm.BITS, 1000)).astype(np.int32) for _ in range(2000)]
+    y, ratio = np.where(rng.random(2000) < 0.4, 1.0, -1.0), rng.normal(size=1 << nbsvm.BITS)
+    tracemalloc.start()
+    try:
+        nbsvm.dual_coordinate_descent(rows, y, ratio, epochs=1)
+        assert tracemalloc.get_traced_memory()[1] < sum(f.nbytes for f in rows) / 2 + ratio.nbytes
+    finally:
+        tracemalloc.stop()
+
+
+@pytest.mark.parametrize("max_rows, max_features", [(301, 10**6), (301, 300), (10**6, 10**6)])
+def test_fits_see_the_first_rows_without_their_fold(spark, max_rows, max_features):
+    """Each row of the sample reaches the fits once, also of ids that occur many times."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from loomtext.llm import nbsvm
+
+    rng = np.random.default_rng(5)
+    rows = [(i % 100, i % 2, np.unique(rng.integers(0, 999, rng.integers(0, 30))).astype(np.int32).tobytes()) for i in range(200)]
+    rows = [r for r in rows for _ in range(3)]
+    train = spark.createDataFrame(rows, "id long, y int, f binary").repartition(5).withColumns({
+        "tie": F.xxhash64("f"), "key": F.xxhash64(F.lit("fit"), "id"), "fold": (F.col("id") % nbsvm.FOLDS).cast("int")})
+    train = train.withColumn("row", F.row_number().over(Window.orderBy("id", "tie")).cast("long")).persist()
+    want = sorted(((r.key, r.y, r.tie, r.fold, np.frombuffer(r.f, np.int32)) for r in train.collect()), key=lambda r: r[:3])[:max_rows]
+    sample = nbsvm.first_rows(train, len(rows), max_rows)
+    assert sorted((r.key, r.y, r.tie) for r in sample.collect()) == [r[:3] for r in want]
+    ratio = rng.normal(size=1 << nbsvm.BITS)
+    got = nbsvm.fitted(sample, ratio, max_features)
+    assert sorted(got) == list(range(nbsvm.FOLDS + 1))
+    for without, (w, bias) in got.items():
+        own = [r for r in want if r[3] != without]
+        own = own[: np.searchsorted(np.cumsum([len(r[4]) for r in own]), max_features, "right")]
+        v, b = nbsvm.dual_coordinate_descent([r[4] for r in own], np.array([r[1] for r in own]) * 2.0 - 1, ratio)
+        assert bias == b and (w == v * ratio).all()
+    train.unpersist()
+
+
 def test_probabilities_of_all_words_sum_to_one(spark):
     """Under a learned model, after any context: head words by their softmax, the words of each tail class by counts."""
     from pyspark.sql import functions as F
