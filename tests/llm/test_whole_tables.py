@@ -1,6 +1,7 @@
 """The queries over whole small tables: against SQL, brute force, round trips or held-out accuracy."""
 
 import math
+import os
 import zlib
 from collections import Counter
 
@@ -204,6 +205,18 @@ def test_classifier_on_many_rows_and_small_bounds(spark):
     assert model.slope > 0
 
 
+def test_stored_texts_are_packed_well(spark, tmp_path):
+    """The pipeline keeps three tables of texts at a time: packed as Spark does by itself, they passed its disk."""
+    from loomtext.llm.common import stored
+
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    rows.write.parquet(str(tmp_path / "usual"), compression="snappy")
+    kept = stored(rows, "packed")
+    size = lambda df: sum(os.path.getsize(f.removeprefix("file://")) for f in df.inputFiles())
+    assert size(kept) < 0.8 * size(spark.read.parquet(str(tmp_path / "usual")))
+    assert sorted(kept.collect()) == sorted(rows.collect())
+
+
 def test_descent_keeps_no_copy_of_its_rows():
     """The rows of a fit fill a worker once; with their scaled values beside them, an executor passed its memory."""
     import tracemalloc
